@@ -20,13 +20,13 @@ from hitscope.plans.streams import replay_in_two_parts, replay_windowed
 from hitscope.session import configure
 from hitscope.sinks.records import encode_records
 from hitscope.sources import testdata
-from hitscope.schemas import LOG_JSON
+from hitscope.sources.stream import decode_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed slicer parameters of the registered dashboard queries.
 DATE_RANGE = ("2024-01-05", "2024-01-20")
-COUNTRIES = ["FRANCE", "GERMANY", "JAPAN", "BRAZIL", "CANADA", "KENYA"]
+COUNTRIES = ["NATION_0", "NATION_3", "NATION_7", "NATION_12", "NATION_21"]
 CATEGORIES = ["Shuttle", "Images", "Homepage", "CGI"]
 HOURS = (8, 17)
 
@@ -62,8 +62,7 @@ def ip_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K11 -> S5 round trip, then the stream cleaner."""
     records = encode_records(_raw(spark, sf_dir))
-    decoded = records.select("key", F.from_json("value", LOG_JSON).alias("d"))
-    return clean(decoded.select("key", "d.*"), index_col=None)
+    return clean(decode_records(records, keep=["key"]), index_col=None)
 
 
 def _stream(name: str, **kw) -> Query:

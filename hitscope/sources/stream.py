@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from hitscope.schemas import LOG_JSON
 
 
-def decode_records(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Record value (binary or text) -> typed log columns.
+def decode_records(df: DataFrame, value_col: str = "value", keep: list[str] | tuple = ()) -> DataFrame:
+    """Record value (binary or text) -> typed log columns (``keep``: columns to carry,
+    e.g. the record ``key``).
 
     Malformed JSON gives an all-NULL row and a mistyped field gives NULL in that
     field only; ``clean`` then drops rows whose ``response`` is NULL.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), LOG_JSON)
-    return df.select(parsed.alias("data")).select("data.*")
+    return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 
 
 def read_record_stream(

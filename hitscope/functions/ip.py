@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 # The dotted-quad test, as in the reference (octets not range-checked).
 DOTTED_QUAD = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
-# A decimal part that Java's Long.parseLong accepts.
-SIGNED_DECIMAL = r"^[+-]?[0-9]+\z"
+# Exactly four dot-separated decimal parts that Java's Long.parseLong accepts.
+FOUR_SIGNED_DECIMALS = r"^[+-]?[0-9]+\.[+-]?[0-9]+\.[+-]?[0-9]+\.[+-]?[0-9]+\z"
 # Strict IPv4 octet 0-255 and CIDR prefix 0-32 for network blocks.
 OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_STRICT = rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}\z"
@@ -31,9 +31,10 @@ def is_ip_address(host: Column | str) -> Column:
     return F.coalesce(_col(host).rlike(DOTTED_QUAD), F.lit(False))
 
 
-def _quad_to_long(parts: Column) -> Column:
-    """Weighted sum of four parsed parts; wraps like the JVM's shift, NULL on overflow."""
-    p = [F.element_at(parts, i + 1).try_cast("long") for i in range(4)]
+def _quad_to_long(text: Column) -> Column:
+    """Weighted sum of the four dot-separated parts; wraps like the JVM's shift, NULL on
+    overflow."""
+    p = [F.split_part(text, F.lit("."), F.lit(i + 1)).try_cast("long") for i in range(4)]
     total = F.shiftleft(p[0], 24)
     for value, shift in zip(p[1:], (16, 8, 0)):
         total = F.try_add(total, F.shiftleft(value, shift))
@@ -42,10 +43,9 @@ def _quad_to_long(parts: Column) -> Column:
 
 def ip_to_long(ip: Column | str) -> Column:
     """Dotted quad -> long; NULL, wrong part count or non-number -> -1."""
-    stripped = F.regexp_replace(_col(ip), r"\.+\z", "")
-    parts = F.split(stripped, r"\.", -1)
-    well_formed = (F.size(parts) == 4) & F.forall(parts, lambda p: p.rlike(SIGNED_DECIMAL))
-    return F.coalesce(F.when(well_formed, _quad_to_long(parts)), F.lit(-1).cast("long"))
+    stripped = F.rtrim(_col(ip), F.lit("."))
+    return F.coalesce(F.when(stripped.rlike(FOUR_SIGNED_DECIMALS), _quad_to_long(stripped)),
+                      F.lit(-1).cast("long"))
 
 
 def _cidr_parts(network: Column | str) -> tuple[Column, Column, Column]:
@@ -54,7 +54,7 @@ def _cidr_parts(network: Column | str) -> tuple[Column, Column, Column]:
     address = F.element_at(pieces, 1)
     prefix_text = F.when(F.size(pieces) == 1, F.lit("32")).when(F.size(pieces) == 2, F.element_at(pieces, 2))
     valid = net.isNotNull() & address.rlike(IPV4_STRICT) & F.coalesce(prefix_text.rlike(PREFIX), F.lit(False))
-    base = _quad_to_long(F.split(address, r"\.", -1))
+    base = _quad_to_long(address)
     block = F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(32) - prefix_text.try_cast("int"))
     return valid, base, block
 

@@ -79,9 +79,14 @@ class RangeIndex:
 
 def index_ranges(ranges: DataFrame, bin_bits: int = DEFAULT_BIN_BITS,
                  broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES,
-                 strategy: str = "auto") -> RangeIndex:
-    """Bin the ranges and measure them (one small job over the dimension table)."""
+                 strategy: str = "auto", persist: bool = False) -> RangeIndex:
+    """Bin the ranges and measure them (one small job over the dimension table).
+
+    ``persist`` keeps the binned table in executor storage (memory, then disk) for
+    reuse by several joins; lost blocks are rebuilt from the geo files."""
     binned = bin_ranges(ranges, bin_bits)
+    if persist:
+        binned = binned.persist()
     if strategy == "shuffle":
         return RangeIndex(binned, bin_bits, -1, -1, False)
     width = sum(F.coalesce(F.length(c), F.lit(0)) for c in GEO_COLUMNS)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hitscope.functions.sql import register_sql_functions
 from hitscope.operators import measures, reports
 from hitscope.operators.cleaning import clean
-from hitscope.operators.geo import build_geo_ranges, geolocate, index_ranges
+from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.plans.batch import enriched_logs, pipeline_counts
 from hitscope.plans.streams import replay_in_two_parts, replay_windowed
 from hitscope.session import configure
@@ -41,8 +41,20 @@ def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_geo_ranges(testdata.geo_blocks(spark, sf_dir), testdata.geo_locations(spark, sf_dir))
 
 
-def _enriched(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    return enriched_logs(_raw(spark, sf_dir), _ranges(spark, sf_dir), strategy=strategy)
+_INDEXES: dict[tuple[str, str], RangeIndex] = {}
+
+
+def _index(spark: SparkSession, sf_dir: str) -> RangeIndex:
+    """One measured, persisted range index per session and input folder (the geo
+    table is a small dimension: built once, reused by every query)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _INDEXES:
+        _INDEXES[key] = index_ranges(_ranges(spark, sf_dir), persist=True)
+    return _INDEXES[key]
+
+
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_logs(_raw(spark, sf_dir), _index(spark, sf_dir))
 
 
 def _report(name: str) -> Query:
@@ -67,15 +79,14 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(name: str, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        index = index_ranges(_ranges(spark, sf_dir))
-        return replay_windowed(spark, _raw(spark, sf_dir), index, name, **kw)
+        return replay_windowed(spark, _raw(spark, sf_dir), _index(spark, sf_dir), name, **kw)
     return run
 
 
 def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error-rate windows from two runs; newest version of each window."""
-    index = index_ranges(_ranges(spark, sf_dir))
-    _all, newest = replay_in_two_parts(spark, _raw(spark, sf_dir), index, "stream_error_rate")
+    _all, newest = replay_in_two_parts(spark, _raw(spark, sf_dir), _index(spark, sf_dir),
+                                       "stream_error_rate")
     return newest
 
 
@@ -87,7 +98,7 @@ QUERIES: dict[str, Query] = {
     "clean_logs": lambda spark, sf_dir: clean(_raw(spark, sf_dir)),
     "ip_functions": ip_functions,
     "geo_ranges": _ranges,
-    "geolocate_logs": lambda spark, sf_dir: geolocate(clean(_raw(spark, sf_dir)), _ranges(spark, sf_dir)),
+    "geolocate_logs": lambda spark, sf_dir: geolocate(clean(_raw(spark, sf_dir)), _index(spark, sf_dir)),
     "geolocate_logs_naive": lambda spark, sf_dir: geolocate(
         clean(_raw(spark, sf_dir)), _ranges(spark, sf_dir), strategy="naive"),
     "enrich_logs": _enriched,

@@ -14,9 +14,13 @@ def decode_records(df: DataFrame, value_col: str = "value", keep: list[str] | tu
 
     Malformed JSON gives an all-NULL row and a mistyped field gives NULL in that
     field only; ``clean`` then drops rows whose ``response`` is NULL.
+
+    The parsed struct comes out of a one-element ``explode``: later filters on its
+    fields cannot be pushed below the generator, so each record is parsed once
+    (pushed through a plain projection, every predicate would re-parse the JSON).
     """
     parsed = F.from_json(F.col(value_col).cast("string"), LOG_JSON)
-    return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
+    return df.select(*keep, F.explode(F.array(parsed)).alias("data")).select(*keep, "data.*")
 
 
 def read_record_stream(

@@ -6,16 +6,17 @@ added as a tie-break so the top-k is deterministic; ``orderBy().limit()`` plans
 ``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge).
 
 Percentages use the whole-table row count. When the caller does not pass it, it is the
-sum of the group counts (every row falls in exactly one group), taken as a scalar
-subquery over the already-aggregated rows: no second scan of the table, and no single-
-partition window.
+sum of the group counts (every row falls in exactly one group), as a window total over
+the already-aggregated rows. That window holds one row per status code, URL category or
+method, a domain that does not grow with the logs; a scalar subquery would instead
+re-run the aggregation, i.e. scan the logs a second time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
@@ -40,7 +41,7 @@ def with_percentage(grouped: DataFrame, total_rows: int | None = None) -> DataFr
     if total_rows is not None and total_rows > 0:
         total = F.lit(float(total_rows))
     else:
-        total = grouped.agg(F.sum("requests").cast("double")).scalar()
+        total = F.sum("requests").over(Window.partitionBy()).cast("double")
     return grouped.withColumn("percentage", F.round(F.col("requests") / total * 100, 2))
 
 
@@ -118,19 +119,22 @@ def response_distribution(df: DataFrame) -> DataFrame:
 def country_hour_heatmap(df: DataFrame, top_n: int = 10) -> DataFrame:
     """Requests per (country, hour) for the ``top_n`` countries by requests.
 
-    The top list has at most ``top_n`` rows (a proven bound), so it is broadcast to a
-    left-semi join: the log side is never shuffled for the filter.
+    One pass over the logs: the (country, hour) counts are aggregated once (at most
+    countries x 25 rows, NULL hour included); a country's total is the sum of its hour
+    groups, and the top countries are ranked on that small aggregate (country name
+    breaks ties). Filtering the logs by a top list instead would read them twice.
     """
-    top = (
+    by_hour = (
         df.where(F.col("country_name") != UNKNOWN)
-        .groupBy("country_name").agg(F.count(F.lit(1)).alias("total"))
-        .orderBy(F.desc("total"), F.asc_nulls_first("country_name"))
-        .limit(top_n)
-        .select("country_name")
+        .groupBy("country_name", "hour_of_day").agg(_requests())
     )
+    totals = by_hour.withColumn(
+        "_total", F.sum("requests").over(Window.partitionBy("country_name")))
+    ranked = totals.withColumn("_rank", F.dense_rank().over(
+        Window.orderBy(F.desc("_total"), F.asc_nulls_first("country_name"))))
     return (
-        df.join(F.broadcast(top), "country_name", "left_semi")
-        .groupBy("country_name", "hour_of_day").agg(_requests())
+        ranked.where(F.col("_rank") <= top_n)
+        .select("country_name", "hour_of_day", "requests")
         .orderBy("country_name", "hour_of_day")
     )
 

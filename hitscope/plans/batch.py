@@ -45,6 +45,11 @@ def pipeline_counts(raw: DataFrame, blocks: DataFrame, locations: DataFrame, *,
     return out
 
 
+def previews(reports: dict[str, DataFrame], n: int = 5) -> dict[str, DataFrame]:
+    """K8: the first ``n`` rows of each report as DataFrames (display is the caller's)."""
+    return {name: df.limit(n) for name, df in reports.items()}
+
+
 def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations: DataFrame,
               out_dir: str, *, jdbc: dict | None = None, report_names: list[str] | None = None,
               strategy: str = "auto", on_error: str = "raise") -> dict[str, DataFrame]:

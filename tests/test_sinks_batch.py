@@ -78,3 +78,11 @@ def test_run_batch(spark, scratch):
         assert len(files) == 1, name
     pct = reports["error_analysis"].agg({"percentage": "sum"}).first()[0]
     assert abs(pct - 100.0) < 0.1
+
+
+def test_previews(spark):
+    from hitscope.plans.batch import previews
+
+    reports = {"a": spark.range(100), "b": spark.range(3)}
+    got = {k: v.count() for k, v in previews(reports, 5).items()}
+    assert got == {"a": 5, "b": 3}

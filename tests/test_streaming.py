@@ -127,3 +127,37 @@ def test_sink_skip_empty_and_errors(spark):
     with pytest.raises(RuntimeError):
         versioned_batch_writer(_Boom())(df, 3)
     assert F is not None
+
+
+def test_four_queries_side_by_side(spark, scratch, ranges):
+    """The four windowed queries on one enriched stream, one checkpoint each."""
+    from hitscope.operators.windows import WINDOWED
+    from hitscope.sources.stream import read_record_stream
+    from hitscope.streaming.pipeline import enriched_stream
+    from hitscope.streaming.sink import ParquetBatchTarget, start_windowed_queries
+    from hitscope.streaming.versions import read_versions
+
+    root = f"{scratch}/w7-{uuid.uuid4().hex}"
+    StreamRun(root).add_input(_rows(spark, [T0 + 1, T0 + 2, T0 + 301]))
+    enriched = enriched_stream(read_record_stream(spark, "text", path=f"{root}/input"), ranges)
+    targets = {name: ParquetBatchTarget(f"{root}/out/{name}") for name in WINDOWED}
+    queries = start_windowed_queries(enriched, targets, f"{root}/checkpoints",
+                                     trigger={"availableNow": True})
+    assert set(queries) == set(WINDOWED)
+    for q in queries.values():
+        q.awaitTermination()
+    counts = {name: read_versions(spark, f"{root}/out/{name}").count() for name in WINDOWED}
+    assert counts == {name: 2 for name in WINDOWED}
+    volume = read_versions(spark, f"{root}/out/stream_traffic_volume").orderBy("window_start").collect()
+    assert [(r.requests, r.total_bytes, r.unique_hosts) for r in volume] == [(2, 200, 1), (1, 100, 1)]
+
+
+def test_kafka_source_arguments(spark):
+    from hitscope.sources.stream import read_record_stream
+
+    with pytest.raises(ValueError):
+        read_record_stream(spark, "kafka", topic="logs")
+    with pytest.raises(ValueError):
+        read_record_stream(spark, "text")
+    with pytest.raises(ValueError):
+        read_record_stream(spark, "socket")

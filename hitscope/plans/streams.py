@@ -49,14 +49,18 @@ class StreamRun:
         """Append log rows as JSON records (a new set of files = a new micro-batch)."""
         write_records(raw_rows, self.input)
 
-    def run(self, spark: SparkSession, name: str, ranges: DataFrame | RangeIndex, **kw) -> None:
-        """Process all input available now, then stop (resumes from the checkpoint)."""
+    def run(self, spark: SparkSession, name: str, ranges: DataFrame | RangeIndex, *,
+            output_mode: str = "update", **kw) -> None:
+        """Process all input available now, then stop (resumes from the checkpoint).
+
+        ``output_mode="update"`` re-emits a window each time it changes (versions);
+        ``"append"`` emits each window once, when the watermark has passed its end."""
         fn, _keys = WINDOWED[name]
         records = read_record_stream(spark, "text", path=self.input)
         windows = fn(enriched_stream(records, ranges), **kw)
         query = start_query(windows, f"{name}_{self.root.rsplit('/', 1)[-1]}",
                             ParquetBatchTarget(self.output), self.checkpoint,
-                            trigger={"availableNow": True})
+                            output_mode=output_mode, trigger={"availableNow": True})
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"stream {name} failed: {query.exception()}")

@@ -115,3 +115,42 @@ def test_binned_equals_naive(spark, ranges, ips, bin_bits):
     for strategy in ("broadcast", "shuffle"):
         binned = _geo(geolocate(logs, rdf, strategy=strategy, bin_bits=bin_bits).collect())
         assert binned == naive
+
+
+def test_shuffled_join_splits_a_hot_bin(spark):
+    """Past the broadcast limit the join shuffles on the bin; AQE splits a bin that
+    holds most rows (one host with a third or more of the traffic) and the result is
+    unchanged."""
+    from pyspark.sql import functions as F
+
+    ranges = spark.createDataFrame(
+        [(167772160 + i * 256, 167772160 + i * 256 + 255, f"C{i}", "E", "CC", "EU") for i in range(64)],
+        RANGE_SCHEMA)
+    hot = spark.range(60000).select(F.lit("10.0.0.7").alias("host"))
+    cold = spark.range(20000).select(F.concat(F.lit("10.0."), (F.col("id") % 64).cast("string"),
+                                              F.lit(".9")).alias("host"))
+    logs = hot.unionByName(cold).select("host", F.lit(0).cast("long").alias("time"), F.lit("GET").alias("method"),
+                                        F.lit("/").alias("url"), F.lit(200).alias("response"),
+                                        F.lit(1).cast("long").alias("bytes")).repartition(8)
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = geolocate(logs, ranges, strategy="shuffle")
+        counts = {r.country_name: r.n for r in df.groupBy("country_name").agg(F.count("*").alias("n")).collect()}
+        assert len(df.collect()) == 80000  # runs this DataFrame's own adaptive plan
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert counts["C0"] == 60000 + 20000 // 64 + (1 if 20000 % 64 else 0)
+    assert sum(counts.values()) == 80000 and "Unknown" not in counts
+    assert "skew=true" in plan, plan

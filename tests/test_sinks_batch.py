@@ -86,3 +86,13 @@ def test_previews(spark):
     reports = {"a": spark.range(100), "b": spark.range(3)}
     got = {k: v.count() for k, v in previews(reports, 5).items()}
     assert got == {"a": 5, "b": 3}
+
+
+def test_run_batch_survives_database_down(spark, scratch):
+    out = f"{scratch}/batch_run_nodb"
+    jdbc = {"url": "jdbc:hitscope-no-such-driver:x", "properties": {"user": "u"}}
+    reports = run_batch(spark, testdata.raw_logs(spark, SF_SMALL), testdata.geo_blocks(spark, SF_SMALL),
+                        testdata.geo_locations(spark, SF_SMALL), out, jdbc=jdbc,
+                        report_names=["hourly_traffic", "top_hosts"], on_error="skip")
+    assert set(reports) == {"hourly_traffic", "top_hosts"}
+    assert os.path.isdir(f"{out}/reports/top_hosts")

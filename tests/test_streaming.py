@@ -161,3 +161,20 @@ def test_kafka_source_arguments(spark):
         read_record_stream(spark, "text")
     with pytest.raises(ValueError):
         read_record_stream(spark, "socket")
+
+
+def test_append_mode_emits_final_windows_once(spark, run, ranges):
+    name = "stream_requests_by_url_category"
+    run.add_input(_rows(spark, [T0 + 10, T0 + 20]))
+    run.run(spark, name, ranges, output_mode="append")
+    assert not _has_output(run)  # the watermark has not passed the window yet
+    run.add_input(_rows(spark, [T0 + 30, T0 + 3600]))
+    run.run(spark, name, ranges, output_mode="append")
+    got = sorted((r.window_start, r.url_category, r.requests) for r in run.versions(spark).collect())
+    # window T0 once, with its final count; the window at T0+3600 is still open
+    assert got == [(_ts(T0), "Shuttle", 3)]
+
+
+def _has_output(run):
+    import os
+    return os.path.isdir(run.output) and any(d.startswith("batch_id=") for d in os.listdir(run.output))

@@ -21,6 +21,14 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
 
+# Report sizes and the error status, as in the reference.
+TOP_COUNTRIES = 20
+TOP_PAGES = 50
+TOP_HOSTS = 50
+HEATMAP_COUNTRIES = 10
+TOP_ERROR_PAGES = 30
+ERROR_STATUS = 404
+
 
 def _requests() -> Column:
     return F.count(F.lit(1)).alias("requests")
@@ -45,7 +53,7 @@ def with_percentage(grouped: DataFrame, total_rows: int | None = None) -> DataFr
     return grouped.withColumn("percentage", F.round(F.col("requests") / total * 100, 2))
 
 
-def traffic_by_country(df: DataFrame, limit: int = 20) -> DataFrame:
+def traffic_by_country(df: DataFrame, limit: int = TOP_COUNTRIES) -> DataFrame:
     """A1: top countries by requests, with bytes and exact distinct hosts."""
     keys = ["country_name", "country_iso_code"]
     agg = df.where(F.col("country_name") != UNKNOWN).groupBy(*keys).agg(
@@ -61,7 +69,7 @@ def traffic_by_continent(df: DataFrame) -> DataFrame:
     return _top(agg, "requests", keys, None)
 
 
-def top_pages(df: DataFrame, limit: int = 50) -> DataFrame:
+def top_pages(df: DataFrame, limit: int = TOP_PAGES) -> DataFrame:
     """A3: most requested URLs."""
     agg = df.groupBy("url").agg(_requests(), _total_bytes())
     return _top(agg, "requests", ["url"], limit)
@@ -98,7 +106,7 @@ def bandwidth_by_category(df: DataFrame) -> DataFrame:
     return _top(agg, "total_bytes", ["url_category"], None)
 
 
-def top_hosts(df: DataFrame, limit: int = 50) -> DataFrame:
+def top_hosts(df: DataFrame, limit: int = TOP_HOSTS) -> DataFrame:
     """Most active hosts (IPs and DNS names)."""
     agg = df.groupBy("host").agg(_requests(), _total_bytes())
     return _top(agg, "requests", ["host"], limit)
@@ -116,7 +124,7 @@ def response_distribution(df: DataFrame) -> DataFrame:
     return _top(df.groupBy(*keys).agg(_requests()), "requests", keys, None)
 
 
-def country_hour_heatmap(df: DataFrame, top_n: int = 10) -> DataFrame:
+def country_hour_heatmap(df: DataFrame, top_n: int = HEATMAP_COUNTRIES) -> DataFrame:
     """Requests per (country, hour) for the ``top_n`` countries by requests.
 
     One pass over the logs: the (country, hour) counts are aggregated once (at most
@@ -139,7 +147,7 @@ def country_hour_heatmap(df: DataFrame, top_n: int = 10) -> DataFrame:
     )
 
 
-def top_error_pages(df: DataFrame, limit: int = 30, status: int = 404) -> DataFrame:
+def top_error_pages(df: DataFrame, limit: int = TOP_ERROR_PAGES, status: int = ERROR_STATUS) -> DataFrame:
     """URLs most often answered with 404."""
     agg = df.where(F.col("response") == status).groupBy("url").agg(_requests())
     return _top(agg, "requests", ["url"], limit)

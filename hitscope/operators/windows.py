@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Tumbling window length and watermark delay, as in the reference.
 WINDOW_DURATION = "5 minutes"
 WATERMARK_DELAY = "10 minutes"
 EVENT_TIME = "timestamp"

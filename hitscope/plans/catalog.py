@@ -16,7 +16,7 @@ from hitscope.operators import measures, reports
 from hitscope.operators.cleaning import clean
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.plans.batch import enriched_logs, pipeline_counts
-from hitscope.plans.streams import replay_in_two_parts, replay_windowed
+from hitscope.plans.streams import replay_in_two_parts, replay_windowed, write_record_input
 from hitscope.session import configure
 from hitscope.sinks.records import encode_records
 from hitscope.sources import testdata
@@ -77,9 +77,21 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(decode_records(records, keep=["key"]), index_col=None)
 
 
+_RECORD_INPUTS: dict[tuple[str, str], str] = {}
+
+
+def _records(spark: SparkSession, sf_dir: str) -> str:
+    """The log rows encoded as stream records once per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RECORD_INPUTS:
+        _RECORD_INPUTS[key] = write_record_input(spark, _raw(spark, sf_dir))
+    return _RECORD_INPUTS[key]
+
+
 def _stream(name: str, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return replay_windowed(spark, _raw(spark, sf_dir), _index(spark, sf_dir), name, **kw)
+        return replay_windowed(spark, None, _index(spark, sf_dir), name,
+                               input_dir=_records(spark, sf_dir), **kw)
     return run
 
 

@@ -25,13 +25,14 @@ from hitscope.streaming.versions import latest_versions, read_versions
 
 @dataclass(frozen=True)
 class StreamRun:
-    """Folders of one file-fed stream run."""
+    """Folders of one file-fed stream run (``input_dir`` may be shared, read-only)."""
 
     root: str
+    input_dir: str | None = None
 
     @property
     def input(self) -> str:
-        return f"{self.root}/input"
+        return self.input_dir or f"{self.root}/input"
 
     @property
     def output(self) -> str:
@@ -42,8 +43,8 @@ class StreamRun:
         return f"{self.root}/checkpoint"
 
     @classmethod
-    def create(cls, spark: SparkSession, name: str) -> StreamRun:
-        return cls(scratch_path(spark, "streams", name))
+    def create(cls, spark: SparkSession, name: str, input_dir: str | None = None) -> StreamRun:
+        return cls(scratch_path(spark, "streams", name), input_dir)
 
     def add_input(self, raw_rows: DataFrame) -> None:
         """Append log rows as JSON records (a new set of files = a new micro-batch)."""
@@ -72,11 +73,21 @@ class StreamRun:
         return latest_versions(self.versions(spark), WINDOWED[name][1])
 
 
-def replay_windowed(spark: SparkSession, raw_rows: DataFrame, ranges: DataFrame | RangeIndex,
-                    name: str, **kw) -> DataFrame:
-    """All rows as one input, one availableNow run: the final version of every window."""
-    run = StreamRun.create(spark, name)
-    run.add_input(raw_rows)
+def write_record_input(spark: SparkSession, raw_rows: DataFrame) -> str:
+    """Encode log rows once into a record folder that several stream runs can read."""
+    path = scratch_path(spark, "streams", "input")
+    write_records(raw_rows, path)
+    return path
+
+
+def replay_windowed(spark: SparkSession, raw_rows: DataFrame | None, ranges: DataFrame | RangeIndex,
+                    name: str, *, input_dir: str | None = None, **kw) -> DataFrame:
+    """All rows as one input, one availableNow run: the final version of every window.
+
+    Pass ``input_dir`` (from ``write_record_input``) to reuse encoded records."""
+    run = StreamRun.create(spark, name, input_dir)
+    if input_dir is None:
+        run.add_input(raw_rows)
     run.run(spark, name, ranges, **kw)
     return run.latest(spark, name)
 

@@ -64,9 +64,21 @@ def raw_logs_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer splits than the cluster has cores.
+
+    A single Parquet row group cannot be split, so a small test table would be
+    processed by one task. A large input has far more splits than cores and is
+    returned unchanged (no shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return raw_logs_from_events(table(spark, sf_dir, "events"))
+    return raw_logs_from_events(spread_small_input(table(spark, sf_dir, "events")))
 
 
 def geo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,28 @@ def with_percentage(grouped: DataFrame, total_rows: int | None = None) -> DataFr
     return grouped.withColumn("percentage", F.round(F.col("requests") / total * 100, 2))
 
 
+# Base aggregates shared by reports with the same group key.
+# Used alone, a report's unused aggregate columns are pruned by Catalyst; run together
+# (``run_reports(..., share=True)``) the base is aggregated once.
+
+def by_response(df: DataFrame) -> DataFrame:
+    return df.groupBy("response", "response_category").agg(_requests())
+
+
+def by_url_category(df: DataFrame) -> DataFrame:
+    return df.groupBy("url_category").agg(
+        _requests(), _total_bytes(), F.round(F.avg("bytes"), 2).alias("avg_bytes"))
+
+
+def by_date(df: DataFrame) -> DataFrame:
+    return df.groupBy("date").agg(
+        _requests(), F.count_distinct("host").alias("unique_hosts"), _total_bytes(),
+        F.round(F.sum("bytes") / 1024.0 / 1024.0, 2).alias("total_mb"))
+
+
+BASES = {"by_response": by_response, "by_url_category": by_url_category, "by_date": by_date}
+
+
 def traffic_by_country(df: DataFrame, limit: int = TOP_COUNTRIES) -> DataFrame:
     """A1: top countries by requests, with bytes and exact distinct hosts."""
     keys = ["country_name", "country_iso_code"]
@@ -75,10 +97,11 @@ def top_pages(df: DataFrame, limit: int = TOP_PAGES) -> DataFrame:
     return _top(agg, "requests", ["url"], limit)
 
 
-def error_analysis(df: DataFrame, total_rows: int | None = None) -> DataFrame:
+def error_analysis(df: DataFrame, total_rows: int | None = None, *,
+                   base: DataFrame | None = None) -> DataFrame:
     """A4: every status code with its class, count and share of all requests."""
     keys = ["response", "response_category"]
-    agg = with_percentage(df.groupBy(*keys).agg(_requests()), total_rows)
+    agg = with_percentage(by_response(df) if base is None else base, total_rows)
     return _top(agg, "requests", keys, None)
 
 
@@ -87,10 +110,10 @@ def hourly_traffic(df: DataFrame) -> DataFrame:
     return df.groupBy("hour_of_day").agg(_requests(), _total_bytes()).orderBy("hour_of_day")
 
 
-def daily_traffic(df: DataFrame) -> DataFrame:
+def daily_traffic(df: DataFrame, *, base: DataFrame | None = None) -> DataFrame:
     """Requests and exact distinct hosts per day."""
-    return df.groupBy("date").agg(
-        _requests(), F.count_distinct("host").alias("unique_hosts")).orderBy("date")
+    agg = by_date(df) if base is None else base
+    return agg.select("date", "requests", "unique_hosts").orderBy("date")
 
 
 def day_of_week_traffic(df: DataFrame) -> DataFrame:
@@ -99,10 +122,9 @@ def day_of_week_traffic(df: DataFrame) -> DataFrame:
     return _top(agg, "requests", ["day_of_week"], None)
 
 
-def bandwidth_by_category(df: DataFrame) -> DataFrame:
+def bandwidth_by_category(df: DataFrame, *, base: DataFrame | None = None) -> DataFrame:
     """Requests, bytes and mean bytes per URL category."""
-    agg = df.groupBy("url_category").agg(
-        _requests(), _total_bytes(), F.round(F.avg("bytes"), 2).alias("avg_bytes"))
+    agg = by_url_category(df) if base is None else base
     return _top(agg, "total_bytes", ["url_category"], None)
 
 
@@ -112,16 +134,17 @@ def top_hosts(df: DataFrame, limit: int = TOP_HOSTS) -> DataFrame:
     return _top(agg, "requests", ["host"], limit)
 
 
-def url_category_distribution(df: DataFrame, total_rows: int | None = None) -> DataFrame:
+def url_category_distribution(df: DataFrame, total_rows: int | None = None, *,
+                              base: DataFrame | None = None) -> DataFrame:
     """A10: requests and share per URL category."""
-    agg = with_percentage(df.groupBy("url_category").agg(_requests()), total_rows)
-    return _top(agg, "requests", ["url_category"], None)
+    agg = (by_url_category(df) if base is None else base).select("url_category", "requests")
+    return _top(with_percentage(agg, total_rows), "requests", ["url_category"], None)
 
 
-def response_distribution(df: DataFrame) -> DataFrame:
-    """Requests per status code and class."""
+def response_distribution(df: DataFrame, *, base: DataFrame | None = None) -> DataFrame:
+    """Requests per status code and class (A4 without the share)."""
     keys = ["response", "response_category"]
-    return _top(df.groupBy(*keys).agg(_requests()), "requests", keys, None)
+    return _top(by_response(df) if base is None else base, "requests", keys, None)
 
 
 def country_hour_heatmap(df: DataFrame, top_n: int = HEATMAP_COUNTRIES) -> DataFrame:
@@ -153,12 +176,10 @@ def top_error_pages(df: DataFrame, limit: int = TOP_ERROR_PAGES, status: int = E
     return _top(agg, "requests", ["url"], limit)
 
 
-def daily_bandwidth(df: DataFrame) -> DataFrame:
+def daily_bandwidth(df: DataFrame, *, base: DataFrame | None = None) -> DataFrame:
     """Bytes and megabytes per day."""
-    return df.groupBy("date").agg(
-        _total_bytes(),
-        F.round(F.sum("bytes") / 1024.0 / 1024.0, 2).alias("total_mb"),
-    ).orderBy("date")
+    agg = by_date(df) if base is None else base
+    return agg.select("date", "total_bytes", "total_mb").orderBy("date")
 
 
 def method_distribution(df: DataFrame, total_rows: int | None = None) -> DataFrame:
@@ -167,28 +188,51 @@ def method_distribution(df: DataFrame, total_rows: int | None = None) -> DataFra
     return _top(agg, "requests", ["method"], None)
 
 
-# Report name -> function(enriched, total_rows) in the reference's listing order.
-REPORTS: dict[str, Callable[[DataFrame, int | None], DataFrame]] = {
-    "traffic_by_country": lambda df, total=None: traffic_by_country(df),
-    "traffic_by_continent": lambda df, total=None: traffic_by_continent(df),
-    "top_pages": lambda df, total=None: top_pages(df),
-    "error_analysis": lambda df, total=None: error_analysis(df, total),
-    "hourly_traffic": lambda df, total=None: hourly_traffic(df),
-    "daily_traffic": lambda df, total=None: daily_traffic(df),
-    "day_of_week_traffic": lambda df, total=None: day_of_week_traffic(df),
-    "bandwidth_by_category": lambda df, total=None: bandwidth_by_category(df),
-    "top_hosts": lambda df, total=None: top_hosts(df),
-    "url_category_distribution": lambda df, total=None: url_category_distribution(df, total),
-    "response_distribution": lambda df, total=None: response_distribution(df),
-    "country_hour_heatmap": lambda df, total=None: country_hour_heatmap(df),
-    "top_error_pages": lambda df, total=None: top_error_pages(df),
-    "daily_bandwidth": lambda df, total=None: daily_bandwidth(df),
-    "method_distribution": lambda df, total=None: method_distribution(df, total),
+# Report name -> (shared base or None, function(enriched, total_rows, base)), in the
+# reference's listing order.
+REPORT_SPECS: dict[str, tuple[str | None, Callable[..., DataFrame]]] = {
+    "traffic_by_country": (None, lambda df, total, base: traffic_by_country(df)),
+    "traffic_by_continent": (None, lambda df, total, base: traffic_by_continent(df)),
+    "top_pages": (None, lambda df, total, base: top_pages(df)),
+    "error_analysis": ("by_response", lambda df, total, base: error_analysis(df, total, base=base)),
+    "hourly_traffic": (None, lambda df, total, base: hourly_traffic(df)),
+    "daily_traffic": ("by_date", lambda df, total, base: daily_traffic(df, base=base)),
+    "day_of_week_traffic": (None, lambda df, total, base: day_of_week_traffic(df)),
+    "bandwidth_by_category": ("by_url_category", lambda df, total, base: bandwidth_by_category(df, base=base)),
+    "top_hosts": (None, lambda df, total, base: top_hosts(df)),
+    "url_category_distribution": ("by_url_category",
+                                  lambda df, total, base: url_category_distribution(df, total, base=base)),
+    "response_distribution": ("by_response", lambda df, total, base: response_distribution(df, base=base)),
+    "country_hour_heatmap": (None, lambda df, total, base: country_hour_heatmap(df)),
+    "top_error_pages": (None, lambda df, total, base: top_error_pages(df)),
+    "daily_bandwidth": ("by_date", lambda df, total, base: daily_bandwidth(df, base=base)),
+    "method_distribution": (None, lambda df, total, base: method_distribution(df, total)),
+}
+
+# Report name -> function(enriched, total_rows=None): each report on its own.
+REPORTS: dict[str, Callable[..., DataFrame]] = {
+    name: (lambda fn: (lambda df, total=None: fn(df, total, None)))(fn)
+    for name, (_base, fn) in REPORT_SPECS.items()
 }
 
 
 def run_reports(enriched: DataFrame, total_rows: int | None = None,
-                names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Build the named reports (lazy DataFrames) over one enriched table."""
-    chosen = names or list(REPORTS)
-    return {name: REPORTS[name](enriched, total_rows) for name in chosen}
+                names: list[str] | None = None, *, share: bool = False
+                ) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Build the named reports (lazy) over one enriched table.
+
+    With ``share``, a base aggregate used by two chosen reports is built once and
+    persisted (it has one row per status code, category or day); the persisted bases
+    are returned so the caller can release them after the writes."""
+    chosen = names or list(REPORT_SPECS)
+    uses: dict[str, int] = {}
+    for name in chosen:
+        key = REPORT_SPECS[name][0]
+        if key:
+            uses[key] = uses.get(key, 0) + 1
+    bases = {key: BASES[key](enriched).persist() for key, n in uses.items() if share and n > 1}
+    reports = {}
+    for name in chosen:
+        key, fn = REPORT_SPECS[name]
+        reports[name] = fn(enriched, total_rows, bases.get(key))
+    return reports, list(bases.values())

@@ -75,9 +75,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations:
     write_parquet(enriched, table_path, partition_by=["date"])
     stored = spark.read.parquet(table_path)
     total = stored.count()  # answered from Parquet footers
-    reports = run_reports(stored, total, report_names)
+    reports, shared = run_reports(stored, total, report_names, share=True)
     if jdbc:
         write_jdbc(stored, jdbc["url"], "cleaned_logs", jdbc.get("properties"),
                    batchsize=10000, num_partitions=8, on_error=on_error)
-    export_reports(reports, f"{out_dir}/reports", jdbc=jdbc, on_error=on_error)
+    try:
+        export_reports(reports, f"{out_dir}/reports", jdbc=jdbc, on_error=on_error)
+    finally:
+        for base in shared:
+            base.unpersist()
     return reports

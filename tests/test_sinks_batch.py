@@ -96,3 +96,20 @@ def test_run_batch_survives_database_down(spark, scratch):
                         report_names=["hourly_traffic", "top_hosts"], on_error="skip")
     assert set(reports) == {"hourly_traffic", "top_hosts"}
     assert os.path.isdir(f"{out}/reports/top_hosts")
+
+
+def test_shared_bases_equal_separate_reports(spark):
+    from hitscope.operators.reports import run_reports
+    from hitscope.plans import catalog
+
+    enriched = catalog._enriched(spark, SF_SMALL)
+    separate, none_shared = run_reports(enriched)
+    shared, bases = run_reports(enriched, share=True)
+    assert none_shared == [] and len(bases) == 3
+    try:
+        for name in separate:
+            assert shared[name].columns == separate[name].columns, name
+            assert sorted(map(tuple, shared[name].collect())) == sorted(map(tuple, separate[name].collect())), name
+    finally:
+        for b in bases:
+            b.unpersist()

@@ -27,8 +27,9 @@ UNKNOWN = "Unknown"
 DEFAULT_BIN_BITS = 16
 # Broadcast limit for the binned range table (measured, not estimated from files).
 DEFAULT_BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-# Bytes per binned row besides its strings: 3 longs + row overhead.
-_ROW_OVERHEAD = 48
+# Bytes per binned row besides its string bytes: an UnsafeRow of 7 fields (null bits +
+# 7 words) plus hash-map entry overhead in the broadcast relation.
+_ROW_OVERHEAD = 96
 
 
 def build_geo_ranges(blocks: DataFrame, locations: DataFrame) -> DataFrame:

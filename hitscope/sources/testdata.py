@@ -70,10 +70,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     A single Parquet row group cannot be split, so a small test table would be
     processed by one task. A large input has far more splits than cores and is
     returned unchanged (no shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

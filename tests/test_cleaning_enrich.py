@@ -65,3 +65,16 @@ def test_bytes_kb_rounds_half_up(spark):
     df = spark.createDataFrame([(1029.12,)], "bytes double")
     from pyspark.sql import functions as F
     assert df.select(F.round(F.col("bytes") / 1024.0, 2)).first()[0] == 1.01
+
+
+def test_enriched_schema(spark):
+    from hitscope.plans import catalog
+    from hitscope.schemas import ENRICHED_COLUMNS
+
+    df = catalog.QUERIES["enrich_logs"](spark, "/root/testdata/sf0.001")
+    assert df.columns == ENRICHED_COLUMNS
+    types = dict(df.dtypes)
+    assert (types["time"], types["response"], types["bytes"], types["ip_long"]) == ("bigint", "int", "bigint", "bigint")
+    assert (types["timestamp"], types["date"], types["hour_of_day"], types["bytes_kb"]) == (
+        "timestamp", "date", "int", "double")
+    assert types["is_ip_host"] == "boolean"

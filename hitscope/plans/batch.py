@@ -69,10 +69,12 @@ def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations:
     Returns the reports as DataFrames over the written Parquet table.
     """
     out_dir = out_dir.rstrip("/")
-    index = index_ranges(build_geo_ranges(blocks, locations), strategy=strategy)
-    enriched = enriched_logs(raw, index)
+    index = index_ranges(build_geo_ranges(blocks, locations), strategy=strategy, persist=True)
     table_path = f"{out_dir}/enriched_logs_parquet"
-    write_parquet(enriched, table_path, partition_by=["date"])
+    try:
+        write_parquet(enriched_logs(raw, index), table_path, partition_by=["date"])
+    finally:
+        index.binned.unpersist()
     stored = spark.read.parquet(table_path)
     total = stored.count()  # answered from Parquet footers
     reports, shared = run_reports(stored, total, report_names, share=True)

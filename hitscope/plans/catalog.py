@@ -31,9 +31,20 @@ CATEGORIES = ["Shuttle", "Images", "Homepage", "CGI"]
 HOURS = (8, 17)
 
 
+_RAW: dict[tuple[str, str], DataFrame] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-shaped input (a lazy plan, resolved once per session and folder)."""
     configure(spark)
-    return testdata.raw_logs(spark, sf_dir)
+    key = _key(spark, sf_dir)
+    if key not in _RAW:
+        _RAW[key] = testdata.raw_logs(spark, sf_dir)
+    return _RAW[key]
 
 
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +58,7 @@ _INDEXES: dict[tuple[str, str], RangeIndex] = {}
 def _index(spark: SparkSession, sf_dir: str) -> RangeIndex:
     """One measured, persisted range index per session and input folder (the geo
     table is a small dimension: built once, reused by every query)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = _key(spark, sf_dir)
     if key not in _INDEXES:
         _INDEXES[key] = index_ranges(_ranges(spark, sf_dir), persist=True)
     return _INDEXES[key]
@@ -82,7 +93,7 @@ _RECORD_INPUTS: dict[tuple[str, str], str] = {}
 
 def _records(spark: SparkSession, sf_dir: str) -> str:
     """The log rows encoded as stream records once per session and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = _key(spark, sf_dir)
     if key not in _RECORD_INPUTS:
         _RECORD_INPUTS[key] = write_record_input(spark, _raw(spark, sf_dir))
     return _RECORD_INPUTS[key]

@@ -75,7 +75,8 @@ def spread_small_input(df: DataFrame) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
         return df
-    return df.repartition(cores) if splits < cores else df
+    # hash on the columns: deterministic on retry without the sort a round-robin needs
+    return df.repartition(cores, *df.columns) if splits < cores else df
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from hitscope.operators.geo import build_geo_ranges, index_ranges
 from hitscope.operators.windows import WINDOWED
-from hitscope.plans.batch import run_batch
+from hitscope.plans.batch import pipeline_counts, previews, run_batch
 from hitscope.session import configure
 from hitscope.sources.files import read_access_log, read_geo_blocks, read_geo_locations
 from hitscope.sources.stream import read_record_stream
@@ -40,11 +40,25 @@ def _jdbc(args) -> dict | None:
 
 
 def batch(spark: SparkSession, args) -> None:
-    reports = run_batch(
-        spark, read_access_log(spark, args.logs), read_geo_blocks(spark, args.blocks),
-        read_geo_locations(spark, args.locations), args.out, jdbc=_jdbc(args),
-        on_error="skip" if args.keep_going else "raise")
+    raw = read_access_log(spark, args.logs)
+    blocks, locations = read_geo_blocks(spark, args.blocks), read_geo_locations(spark, args.locations)
+    reports = run_batch(spark, raw, blocks, locations, args.out, jdbc=_jdbc(args),
+                        on_error="skip" if args.keep_going else "raise")
     print(f"wrote {len(reports)} reports under {args.out}")
+    if args.show:
+        pipeline_counts(raw, blocks, locations).show(truncate=False)
+        for name, df in previews(reports, args.show).items():
+            print(f"--- {name} ---")
+            df.show(args.show, truncate=False)
+
+
+def _printer(n: int):
+    def for_query(name: str):
+        def show(df, batch_id: int) -> None:
+            print(f"=== [batch {batch_id}] {name} ===")
+            df.show(n, truncate=False)
+        return show
+    return for_query
 
 
 def stream(spark: SparkSession, args) -> None:
@@ -63,7 +77,8 @@ def stream(spark: SparkSession, args) -> None:
     }
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     queries = start_windowed_queries(logs, targets, args.checkpoint, trigger=trigger,
-                                     on_error="skip" if args.keep_going else "raise")
+                                     on_error="skip" if args.keep_going else "raise",
+                                     preview_for=_printer(args.show) if args.show else None)
     if args.once:
         for q in queries.values():
             q.awaitTermination()
@@ -85,6 +100,8 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--jdbc-driver")
         p.add_argument("--keep-going", action="store_true",
                        help="log and skip failed database writes instead of failing")
+        p.add_argument("--show", type=int, default=0,
+                       help="print the first N rows of each report / micro-batch")
         if name == "batch":
             p.add_argument("--logs", required=True, nargs="+")
         else:

@@ -82,7 +82,8 @@ def versioned_batch_writer(target, *, skip_empty: bool = True, on_error: str = "
 
 def start_query(df: DataFrame, name: str, target, checkpoint: str, *,
                 output_mode: str = "update", trigger: dict | None = None,
-                on_error: str = "raise", skip_empty: bool = True) -> StreamingQuery:
+                on_error: str = "raise", skip_empty: bool = True,
+                preview: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """K6: start one named windowed query with its own checkpoint.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (default: 30 s processing
@@ -93,7 +94,8 @@ def start_query(df: DataFrame, name: str, target, checkpoint: str, *,
         .outputMode(output_mode)
         .trigger(**trig)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(versioned_batch_writer(target, on_error=on_error, skip_empty=skip_empty))
+        .foreachBatch(versioned_batch_writer(target, on_error=on_error, skip_empty=skip_empty,
+                                             preview=preview))
         .start()
     )
 
@@ -102,12 +104,15 @@ def start_windowed_queries(enriched: DataFrame, targets: dict[str, object], chec
                            *, names: Iterable[str] | None = None, **kw) -> dict[str, StreamingQuery]:
     """The windowed queries side by side, one checkpoint each.
 
-    ``targets`` maps a stream table name (see ``WINDOWED``) to its sink target."""
+    ``targets`` maps a stream table name (see ``WINDOWED``) to its sink target;
+    ``preview_for(name)`` may return a per-batch preview callback for that query."""
     from hitscope.operators.windows import WINDOWED
 
     started = {}
+    preview_for = kw.pop("preview_for", None)
     for name in names or WINDOWED:
         fn, _keys = WINDOWED[name]
+        preview = preview_for(name) if preview_for else None
         started[name] = start_query(fn(enriched), name, targets[name],
-                                    f"{checkpoint_root.rstrip('/')}/{name}", **kw)
+                                    f"{checkpoint_root.rstrip('/')}/{name}", preview=preview, **kw)
     return started

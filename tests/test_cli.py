@@ -16,11 +16,13 @@ def _write_inputs(spark, root):
     testdata.geo_locations(spark, SF_SMALL).write.option("header", True).csv(f"{root}/locations")
 
 
-def test_batch_command(spark, scratch):
+def test_batch_command(spark, scratch, capsys):
     root = f"{scratch}/cli_batch"
     _write_inputs(spark, root)
     main(["batch", "--logs", f"{root}/logs", "--blocks", f"{root}/blocks",
-          "--locations", f"{root}/locations", "--out", f"{root}/out"])
+          "--locations", f"{root}/locations", "--out", f"{root}/out", "--show", "3"])
+    printed = capsys.readouterr().out
+    assert "--- top_hosts ---" in printed and "enriched" in printed
     assert len(os.listdir(f"{root}/out/reports")) == 15
     from hitscope.plans import catalog
     expected = sorted(tuple(r) for r in catalog.QUERIES["traffic_by_country"](spark, SF_SMALL).collect())
@@ -34,7 +36,8 @@ def test_stream_command_once(spark, scratch):
     _write_inputs(spark, root)
     write_records(testdata.raw_logs(spark, SF_SMALL), f"{root}/records")
     main(["stream", "--records", f"{root}/records", "--blocks", f"{root}/blocks",
-          "--locations", f"{root}/locations", "--out", f"{root}/out", "--checkpoint", f"{root}/ckpt", "--once"])
+          "--locations", f"{root}/locations", "--out", f"{root}/out", "--checkpoint", f"{root}/ckpt", "--once",
+          "--show", "2"])
     from hitscope.plans import catalog
     expected = sorted(tuple(r) for r in catalog.QUERIES["stream_error_rate"](spark, SF_SMALL).collect())
     got = latest_versions(read_versions(spark, f"{root}/out/stream_error_rate"), [])

@@ -13,19 +13,27 @@ from pyspark.sql import functions as F
 from hitscope.schemas import GEO_BLOCKS, GEO_LOCATIONS, RAW_LOG
 
 
+LOG_FIELDS = [f.name for f in RAW_LOG.fields[1:]]
+
+
 def read_access_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """CSV with a header, ``"`` as both quote and escape, every field a string.
 
-    The first column is an index of any name; ``clean`` drops it by position.
+    Fields are taken by header name, as text (no inference pass); the first column is
+    an index of any name, kept first so that ``clean`` drops it by position.
     """
-    return (
-        spark.read.schema(RAW_LOG)
-        .option("header", True)
+    text = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
+    index = text.columns[0]
+    if index in LOG_FIELDS:
+        raise ValueError(f"expected an index column before {LOG_FIELDS}, got {text.columns}")
+    return text.select(F.col(f"`{index}`").alias("idx"), *LOG_FIELDS)
 
 
 def _read_by_header(spark: SparkSession, path: str | list[str], schema) -> DataFrame:

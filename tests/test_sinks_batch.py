@@ -113,3 +113,12 @@ def test_shared_bases_equal_separate_reports(spark):
     finally:
         for b in bases:
             b.unpersist()
+
+
+def test_access_log_by_header_names(spark, scratch):
+    path = f"{scratch}/raw_csv_reordered"
+    os.makedirs(path)
+    with open(f"{path}/log.csv", "w") as fh:
+        fh.write("n,url,host,bytes,time,response,method\n7,/a,h,12,804571201,200,GET\n")
+    row = read_access_log(spark, path).first()
+    assert tuple(row) == ("7", "h", "804571201", "GET", "/a", "200", "12")

@@ -30,3 +30,21 @@ def test_plan_shape(spark, name):
         assert "NestedLoopJoin" not in plan, name
     scans = len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan))
     assert scans == MULTI_SCAN.get(name, 1), (name, scans)
+
+
+def test_date_slicer_prunes_partitions(spark, scratch):
+    """F1 over the stored enriched table (partitioned by date) reads only the chosen days."""
+    from hitscope.operators import measures, reports
+    from hitscope.plans.batch import run_batch
+    from hitscope.sources import testdata
+
+    out = f"{scratch}/pruning"
+    run_batch(spark, testdata.raw_logs(spark, SF_SMALL), testdata.geo_blocks(spark, SF_SMALL),
+              testdata.geo_locations(spark, SF_SMALL), out, report_names=["hourly_traffic"])
+    stored = spark.read.parquet(f"{out}/enriched_logs_parquet")
+    sliced = measures.daily_traffic_between(reports.daily_traffic(stored), "2024-01-05", "2024-01-06")
+    plan = _final_plan(sliced)
+    assert re.search(r"PartitionFilters: \[[^\]]*date", plan), plan
+    assert len(sliced.collect()) == 2
+    # and a report reads only the columns it needs
+    assert re.search(r"ReadSchema: struct<host:string>", _final_plan(reports.daily_traffic(stored)))

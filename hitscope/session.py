@@ -57,8 +57,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (what a cluster names); fall back to the
-    context's checkpoint dir; only when neither is set (local tests) create one.
+    Read from ``spark.checkpoint.dir`` (what a cluster names), else the context's
+    checkpoint dir. Only a local-mode session (tests) without either gets a folder of
+    its own; on a cluster a machine-local folder would be wrong, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -66,6 +67,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         root = tempfile.mkdtemp(prefix="hitscope-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

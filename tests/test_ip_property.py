@@ -63,3 +63,27 @@ def test_ip_functions_match_jvm_model(spark, hosts):
         expected = (model_is_ip(r.host), model_ip_to_long(r.host))
         assert (r.ip, r.n) == expected, r.host
         assert (r.sql_ip, r.sql_n) == expected, r.host
+
+
+octet = st.integers(min_value=0, max_value=255)
+
+
+@st.composite
+def cidr_text(draw):
+    quad = ".".join(str(draw(octet)) for _ in range(4))
+    prefix = draw(st.one_of(st.none(), st.integers(min_value=0, max_value=32)))
+    return quad if prefix is None else f"{quad}/{prefix}"
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(networks=st.lists(cidr_text(), min_size=1, max_size=60))
+def test_cidr_matches_ipaddress(spark, networks):
+    import ipaddress
+
+    from hitscope.functions import cidr_end, cidr_start
+
+    df = spark.createDataFrame([(n,) for n in networks], "network string")
+    got = df.select("network", cidr_start("network").alias("s"), cidr_end("network").alias("e")).collect()
+    for r in got:
+        net = ipaddress.ip_network(r.network, strict=False)
+        assert (r.s, r.e) == (int(net.network_address), int(net.broadcast_address)), r.network

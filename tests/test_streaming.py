@@ -178,3 +178,18 @@ def test_append_mode_emits_final_windows_once(spark, run, ranges):
 def _has_output(run):
     import os
     return os.path.isdir(run.output) and any(d.startswith("batch_id=") for d in os.listdir(run.output))
+
+
+def test_parquet_target_retry_is_idempotent(spark, scratch):
+    from hitscope.streaming.sink import ParquetBatchTarget
+    from hitscope.streaming.versions import read_versions
+
+    target = ParquetBatchTarget(f"{scratch}/retry-{uuid.uuid4().hex}")
+    df = spark.createDataFrame([(_ts(0), _ts(300), 4)], "window_start timestamp, window_end timestamp, n long")
+    writer = versioned_batch_writer(target)
+    writer(df, 7)
+    writer(df, 7)  # the same micro-batch retried after a failure
+    writer(df.withColumn("n", F.lit(5).cast("long")), 8)
+    back = read_versions(spark, target.path)
+    assert sorted((r.batch_id, r.n) for r in back.collect()) == [(7, 4), (8, 5)]
+    assert [r.n for r in latest_versions(back, []).collect()] == [5]

@@ -67,7 +67,8 @@ def stream(spark: SparkSession, args) -> None:
     if args.records:
         records = read_record_stream(spark, "text", path=args.records)
     else:
-        records = read_record_stream(spark, "kafka", bootstrap_servers=args.kafka_servers, topic=args.topic)
+        records = read_record_stream(spark, "kafka", bootstrap_servers=args.kafka_servers, topic=args.topic,
+                                     max_offsets_per_trigger=args.max_offsets_per_trigger)
     logs = enriched_stream(records, ranges)
     jdbc = _jdbc(args)
     targets = {
@@ -110,6 +111,7 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--topic")
             p.add_argument("--records", help="folder of JSON record files instead of Kafka")
             p.add_argument("--trigger", default="30 seconds")
+            p.add_argument("--max-offsets-per-trigger", type=int)
             p.add_argument("--once", action="store_true", help="process what is available, then stop")
     args = parser.parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"hitscope-{args.command}").getOrCreate())

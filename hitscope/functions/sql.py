@@ -14,10 +14,10 @@ _IP_TO_LONG = r"""
 coalesce(
   CASE WHEN trim(TRAILING '.' FROM ip) rlike '^[+-]?[0-9]+\\.[+-]?[0-9]+\\.[+-]?[0-9]+\\.[+-]?[0-9]+\\z'
        THEN try_add(try_add(try_add(
-              shiftleft(try_cast(split_part(trim(TRAILING '.' FROM ip), '.', 1) AS BIGINT), 24),
-              shiftleft(try_cast(split_part(trim(TRAILING '.' FROM ip), '.', 2) AS BIGINT), 16)),
-              shiftleft(try_cast(split_part(trim(TRAILING '.' FROM ip), '.', 3) AS BIGINT), 8)),
-              try_cast(split_part(trim(TRAILING '.' FROM ip), '.', 4) AS BIGINT))
+              shiftleft(try_cast(split(trim(TRAILING '.' FROM ip), '\\.', -1)[0] AS BIGINT), 24),
+              shiftleft(try_cast(split(trim(TRAILING '.' FROM ip), '\\.', -1)[1] AS BIGINT), 16)),
+              shiftleft(try_cast(split(trim(TRAILING '.' FROM ip), '\\.', -1)[2] AS BIGINT), 8)),
+              try_cast(split(trim(TRAILING '.' FROM ip), '\\.', -1)[3] AS BIGINT))
   END,
   CAST(-1 AS BIGINT))
 """

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # Tumbling window length and watermark delay, as in the reference.
 WINDOW_DURATION = "5 minutes"
 WATERMARK_DELAY = "10 minutes"
+WINDOW_SECONDS = 300  # WINDOW_DURATION in seconds
 EVENT_TIME = "timestamp"
 UNKNOWN = "Unknown"
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.operators.geo import RangeIndex
-from hitscope.operators.windows import WINDOWED
+from hitscope.operators.windows import WINDOW_SECONDS, WINDOWED
 from hitscope.session import scratch_path
 from hitscope.sinks.records import write_records
 from hitscope.sources.stream import read_record_stream
@@ -102,7 +102,8 @@ def replay_in_two_parts(spark: SparkSession, raw_rows: DataFrame, ranges: DataFr
     t = F.col("time").try_cast("long")
     bounds = raw_rows.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    split = (lo + hi) // 2 // 300 * 300 + 150 if lo is not None else 0
+    # mid-way through a window, so that window gets a version from each part
+    split = (lo + hi) // 2 // WINDOW_SECONDS * WINDOW_SECONDS + WINDOW_SECONDS // 2 if lo is not None else 0
     run = StreamRun.create(spark, name)
     run.add_input(raw_rows.where(F.coalesce(t < split, F.lit(False))))
     run.run(spark, name, ranges, **kw)

@@ -192,3 +192,17 @@ def test_parquet_target_retry_is_idempotent(spark, scratch):
     back = read_versions(spark, target.path)
     assert sorted((r.batch_id, r.n) for r in back.collect()) == [(7, 4), (8, 5)]
     assert [r.n for r in latest_versions(back, []).collect()] == [5]
+
+
+def test_two_part_replay_reemits_a_window(spark):
+    """The registered W8 query really reads several versions of a window."""
+    from hitscope.plans import catalog
+    from hitscope.plans.streams import replay_in_two_parts
+
+    from conftest import SF_SMALL
+
+    versions, newest = replay_in_two_parts(spark, catalog._raw(spark, SF_SMALL), catalog._index(spark, SF_SMALL),
+                                           "stream_error_rate")
+    per_window = versions.groupBy("window_start").count()
+    assert per_window.where("count > 1").count() >= 1
+    assert newest.count() == per_window.count() == versions.select("window_start").distinct().count()

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitscope.operators.cleaning import kept, typed
 from hitscope.operators.geo import RangeIndex
 from hitscope.operators.windows import WINDOW_SECONDS, WINDOWED
 from hitscope.session import scratch_path
@@ -92,21 +93,33 @@ def replay_windowed(spark: SparkSession, raw_rows: DataFrame | None, ranges: Dat
     return run.latest(spark, name)
 
 
+def _split_inside_a_window(raw_rows: DataFrame):
+    """An event time ``s`` with a window holding cleaned rows both before and at/after it.
+
+    The earliest window with two distinct event times is found by one aggregation (one
+    row per window, then one row); ``s`` is its first time + 1. ``None`` if no window
+    has two distinct times."""
+    rows = typed(raw_rows).where(kept() & F.col("time").isNotNull())
+    start = F.col("time") - F.pmod(F.col("time"), F.lit(WINDOW_SECONDS))
+    spans = rows.groupBy(start.alias("w")).agg(F.min("time").alias("lo"), F.max("time").alias("hi"))
+    pick = spans.where(F.col("lo") < F.col("hi")).agg(F.min_by("lo", "w").alias("lo")).first()
+    return None if pick is None or pick["lo"] is None else pick["lo"] + 1
+
+
 def replay_in_two_parts(spark: SparkSession, raw_rows: DataFrame, ranges: DataFrame | RangeIndex,
                         name: str, **kw) -> tuple[DataFrame, DataFrame]:
-    """Rows split at a mid-point of event time into two runs over one checkpoint.
+    """Rows split by event time into two runs over one checkpoint.
 
-    The window that straddles the split is emitted twice (update mode); no row of the
-    second part is behind the watermark, so the newest versions equal the bounded
-    result. Returns ``(all versions, newest versions)``."""
+    The split falls inside a window that has rows on both sides, so that window is
+    emitted twice (update mode); every row of the second part is later than the first
+    part's newest event, hence never behind the watermark, and the newest versions equal
+    the bounded result. Returns ``(all versions, newest versions)``."""
     t = F.col("time").try_cast("long")
-    bounds = raw_rows.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    # mid-way through a window, so that window gets a version from each part
-    split = (lo + hi) // 2 // WINDOW_SECONDS * WINDOW_SECONDS + WINDOW_SECONDS // 2 if lo is not None else 0
+    split = _split_inside_a_window(raw_rows)
+    first = F.coalesce(t < split, F.lit(False)) if split is not None else F.lit(True)
     run = StreamRun.create(spark, name)
-    run.add_input(raw_rows.where(F.coalesce(t < split, F.lit(False))))
+    run.add_input(raw_rows.where(first))
     run.run(spark, name, ranges, **kw)
-    run.add_input(raw_rows.where(~F.coalesce(t < split, F.lit(False))))
+    run.add_input(raw_rows.where(~first))
     run.run(spark, name, ranges, **kw)
     return run.versions(spark), run.latest(spark, name)

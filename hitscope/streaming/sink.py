@@ -25,12 +25,21 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class ParquetBatchTarget:
-    """One directory per batch id under ``path`` (``batch_id=<n>``), overwritten on retry."""
+    """One directory per batch id under ``path`` (``batch_id=<n>``), overwritten on retry.
+
+    A micro-batch's output is the windows it changed (small), so it is written as
+    ``files_per_batch`` files: a ``repartition`` of the output keeps the stateful stage
+    parallel (a ``coalesce`` would run it in that many tasks), and the table does not
+    collect one tiny file per state partition every trigger. ``None`` keeps Spark's split."""
 
     path: str
+    files_per_batch: int | None = 1
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.drop("batch_id").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        out = df.drop("batch_id")
+        if self.files_per_batch:
+            out = out.repartition(self.files_per_batch)
+        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
 @dataclass(frozen=True)

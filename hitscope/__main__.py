@@ -62,6 +62,9 @@ def _printer(n: int):
 
 
 def stream(spark: SparkSession, args) -> None:
+    if args.state_partitions:
+        # frozen into each query's checkpoint at its first start
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
     ranges = index_ranges(build_geo_ranges(read_geo_blocks(spark, args.blocks),
                                            read_geo_locations(spark, args.locations)), persist=True)
     if args.records:
@@ -112,6 +115,8 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--records", help="folder of JSON record files instead of Kafka")
             p.add_argument("--trigger", default="30 seconds")
             p.add_argument("--max-offsets-per-trigger", type=int)
+            p.add_argument("--state-partitions", type=int,
+                           help="shuffle/state partitions of the windowed queries (first start only)")
             p.add_argument("--once", action="store_true", help="process what is available, then stop")
     args = parser.parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"hitscope-{args.command}").getOrCreate())

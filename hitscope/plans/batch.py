@@ -71,11 +71,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations:
     out_dir = out_dir.rstrip("/")
     index = index_ranges(build_geo_ranges(blocks, locations), strategy=strategy, persist=True)
     table_path = f"{out_dir}/enriched_logs_parquet"
+    enriched = enriched_logs(raw, index)
     try:
-        write_parquet(enriched_logs(raw, index), table_path, partition_by=["date"])
+        write_parquet(enriched, table_path, partition_by=["date"])
     finally:
         index.binned.unpersist()
-    stored = spark.read.parquet(table_path)
+    # read back with the known schema: an empty input writes no data files to infer from
+    stored = spark.read.schema(enriched.schema).parquet(table_path)
     total = stored.count()  # answered from Parquet footers
     reports, shared = run_reports(stored, total, report_names, share=True)
     if jdbc:

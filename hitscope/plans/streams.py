@@ -60,6 +60,9 @@ class StreamRun:
         fn, _keys = WINDOWED[name]
         records = read_record_stream(spark, "text", path=self.input)
         windows = fn(enriched_stream(records, ranges), **kw)
+        # an empty, schema-only batch -1 keeps the output readable before any window exists
+        spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(
+            f"{self.output}/batch_id=-1")
         query = start_query(windows, f"{name}_{self.root.rsplit('/', 1)[-1]}",
                             ParquetBatchTarget(self.output), self.checkpoint,
                             output_mode=output_mode, trigger={"availableNow": True})

@@ -122,3 +122,12 @@ def test_access_log_by_header_names(spark, scratch):
         fh.write("n,url,host,bytes,time,response,method\n7,/a,h,12,804571201,200,GET\n")
     row = read_access_log(spark, path).first()
     assert tuple(row) == ("7", "h", "804571201", "GET", "/a", "200", "12")
+
+
+def test_run_batch_on_empty_input(spark, scratch):
+    from hitscope.schemas import RAW_LOG
+
+    empty = spark.createDataFrame([], RAW_LOG)
+    reports = run_batch(spark, empty, testdata.geo_blocks(spark, SF_SMALL), testdata.geo_locations(spark, SF_SMALL),
+                        f"{scratch}/batch_empty")
+    assert all(df.count() == 0 for df in reports.values())

@@ -211,3 +211,22 @@ def test_stream_run_without_any_window(spark, run, ranges):
     latest = run.latest(spark, "stream_error_rate")
     assert latest.count() == 0
     assert latest.columns == ["window_start", "window_end", "total_requests", "error_requests", "error_rate_pct"]
+
+
+def test_stream_keeps_going_when_the_database_is_down(spark, run, ranges):
+    from hitscope.sources.stream import read_record_stream
+    from hitscope.streaming.pipeline import enriched_stream
+    from hitscope.streaming.sink import JdbcBatchTarget, start_query
+    from hitscope.operators.windows import error_rate
+
+    run.add_input(_rows(spark, [T0 + 1, T0 + 2]))
+    target = JdbcBatchTarget("jdbc:hitscope-no-such-driver:x", "stream_error_rate", {})
+    windows = error_rate(enriched_stream(read_record_stream(spark, "text", path=run.input), ranges))
+    skipped = start_query(windows, f"skip_{uuid.uuid4().hex}", target, f"{run.root}/ckpt-skip",
+                          trigger={"availableNow": True}, on_error="skip")
+    skipped.awaitTermination()
+    assert skipped.exception() is None
+    failing = start_query(windows, f"raise_{uuid.uuid4().hex}", target, f"{run.root}/ckpt-raise",
+                          trigger={"availableNow": True})
+    with pytest.raises(Exception):
+        failing.awaitTermination()

@@ -24,7 +24,11 @@ from hitscope.functions.ip import cidr_end, cidr_start, ip_to_long, is_ip_addres
 from hitscope.schemas import GEO_COLUMNS
 
 UNKNOWN = "Unknown"
-DEFAULT_BIN_BITS = 16
+DEFAULT_BIN_BITS = "auto"
+# Bin sizes tried by "auto", coarse to fine, and the most ranges one bin may hold: a log
+# row is compared with every range of its bin, so this bounds the per-row probe work.
+BIN_BITS_CANDIDATES = (16, 18, 20)
+MAX_RANGES_PER_BIN = 64
 # Broadcast limit for the binned range table (measured, not estimated from files).
 DEFAULT_BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 # Bytes per binned row besides its string bytes: an UnsafeRow of 7 fields (null bits +
@@ -58,7 +62,7 @@ def add_ip_columns(logs: DataFrame, host_col: str = "host") -> DataFrame:
     })
 
 
-def bin_ranges(ranges: DataFrame, bin_bits: int = DEFAULT_BIN_BITS) -> DataFrame:
+def bin_ranges(ranges: DataFrame, bin_bits: int = 16) -> DataFrame:
     """Explode each range over the address bins it covers (``range_bin``)."""
     shift = 32 - bin_bits
     return ranges.select(
@@ -76,31 +80,59 @@ class RangeIndex:
     rows: int
     approx_bytes: int
     broadcast: bool
+    max_per_bin: int = -1
 
 
-def index_ranges(ranges: DataFrame, bin_bits: int = DEFAULT_BIN_BITS,
+def _measure(binned: DataFrame) -> tuple[int, int, int]:
+    """(rows, approximate broadcast bytes, most ranges in one bin): one small job."""
+    width = sum(F.coalesce(F.length(c), F.lit(0)) for c in GEO_COLUMNS)
+    per_bin = binned.groupBy("range_bin").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("chars"))
+    stats = per_bin.agg(F.sum("n").alias("rows"), F.max("n").alias("top"), F.sum("chars").alias("chars")).first()
+    rows = int(stats["rows"] or 0)
+    return rows, rows * _ROW_OVERHEAD + int(stats["chars"] or 0), int(stats["top"] or 0)
+
+
+def index_ranges(ranges: DataFrame, bin_bits: int | str = DEFAULT_BIN_BITS,
                  broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES,
                  strategy: str = "auto", persist: bool = False) -> RangeIndex:
-    """Bin the ranges and measure them (one small job over the dimension table).
-
-    ``persist`` keeps the binned table in executor storage (memory, then disk) for
-    reuse by several joins; lost blocks are rebuilt from the geo files."""
-    binned = bin_ranges(ranges, bin_bits)
+    """Bin the ranges and measure them (small jobs over the dimension table only).
+
+    ``bin_bits="auto"`` takes the coarsest of ``BIN_BITS_CANDIDATES`` whose fullest bin
+    holds at most ``MAX_RANGES_PER_BIN`` ranges and that fits the broadcast limit (else
+    the least crowded one that fits, else /16 with a shuffled join). ``persist`` keeps
+    the binned table in executor storage (memory, then disk) for reuse by several joins;
+    lost blocks are rebuilt from the geo files."""
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    candidates = BIN_BITS_CANDIDATES if bin_bits == "auto" else (int(bin_bits),)
+    if strategy == "shuffle" and bin_bits != "auto":
+        chosen = (candidates[0], -1, -1, -1)
+    else:
+        measured = []
+        for bits in candidates:
+            rows, approx, top = _measure(bin_ranges(ranges, bits))
+            measured.append((bits, rows, approx, top))
+            if top <= MAX_RANGES_PER_BIN and approx <= broadcast_limit_bytes:
+                break
+        fitting = [m for m in measured if m[2] <= broadcast_limit_bytes]
+        uncrowded = [m for m in fitting if m[3] <= MAX_RANGES_PER_BIN]
+        if uncrowded:
+            chosen = uncrowded[0]  # coarsest
+        elif fitting:
+            chosen = min(fitting, key=lambda m: m[3])
+        else:
+            chosen = measured[0]
+    bits, rows, approx, top = chosen
+    binned = bin_ranges(ranges, bits)
     if persist:
         binned = binned.persist()
-    if strategy == "shuffle":
-        return RangeIndex(binned, bin_bits, -1, -1, False)
-    width = sum(F.coalesce(F.length(c), F.lit(0)) for c in GEO_COLUMNS)
-    stats = binned.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("chars")).first()
-    rows, chars = int(stats["n"]), int(stats["chars"] or 0)
-    approx = rows * _ROW_OVERHEAD + chars
     if strategy == "broadcast":
         go_broadcast = True
-    elif strategy == "auto":
-        go_broadcast = approx <= broadcast_limit_bytes
+    elif strategy == "shuffle":
+        go_broadcast = False
     else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return RangeIndex(binned, bin_bits, rows, approx, go_broadcast)
+        go_broadcast = approx <= broadcast_limit_bytes
+    return RangeIndex(binned, bits, rows, approx, go_broadcast, top)
 
 
 def _finish(joined: DataFrame) -> DataFrame:
@@ -109,7 +141,7 @@ def _finish(joined: DataFrame) -> DataFrame:
 
 
 def geolocate(logs: DataFrame, ranges: DataFrame | RangeIndex, *,
-              strategy: str = "auto", bin_bits: int = DEFAULT_BIN_BITS,
+              strategy: str = "auto", bin_bits: int | str = DEFAULT_BIN_BITS,
               broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Left range join of logs with geo ranges, as a binned equi join.
 

@@ -154,3 +154,20 @@ def test_shuffled_join_splits_a_hot_bin(spark):
     assert counts["C0"] == 60000 + 20000 // 64 + (1 if 20000 % 64 else 0)
     assert sum(counts.values()) == 80000 and "Unknown" not in counts
     assert "skew=true" in plan, plan
+
+
+def test_auto_bins_bound_the_ranges_per_bin(spark):
+    from hitscope.operators.geo import MAX_RANGES_PER_BIN
+
+    # 200 /24 blocks inside 10.1.0.0/16: one /16 bin would hold all 200
+    rows = [(167837696 + i * 256, 167837696 + i * 256 + 255, f"C{i}", "E", "CC", "EU") for i in range(200)]
+    ranges = spark.createDataFrame(rows, RANGE_SCHEMA)
+    coarse = index_ranges(ranges, bin_bits=16)
+    assert coarse.max_per_bin == 200
+    auto = index_ranges(ranges)
+    assert auto.bin_bits == 18 and auto.max_per_bin <= MAX_RANGES_PER_BIN and auto.broadcast
+    hosts = ["10.1.0.1", "10.1.199.255", "10.1.200.0"]
+    got = _geo(geolocate(_logs(spark, hosts), auto).collect())
+    assert got == _geo(geolocate(_logs(spark, hosts), ranges, strategy="naive").collect())
+    # sparse ranges keep the coarsest bins
+    assert index_ranges(spark.createDataFrame(rows[:3], RANGE_SCHEMA)).bin_bits == 16

@@ -24,6 +24,18 @@ from hitscope.streaming.sink import ParquetBatchTarget, start_query
 from hitscope.streaming.versions import latest_versions, read_versions
 
 
+class _CountingTarget:
+    """Pass-through sink target that counts the batches written (the ``foreachBatch``
+    function runs in this driver process)."""
+
+    def __init__(self, inner):
+        self.inner, self.writes = inner, 0
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        self.inner.write(df, batch_id)
+        self.writes += 1
+
+
 @dataclass(frozen=True)
 class StreamRun:
     """Folders of one file-fed stream run (``input_dir`` may be shared, read-only)."""
@@ -60,15 +72,17 @@ class StreamRun:
         fn, _keys = WINDOWED[name]
         records = read_record_stream(spark, "text", path=self.input)
         windows = fn(enriched_stream(records, ranges), **kw)
-        # an empty, schema-only batch -1 keeps the output readable before any window exists
-        spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(
-            f"{self.output}/batch_id=-1")
+        target = _CountingTarget(ParquetBatchTarget(self.output))
         query = start_query(windows, f"{name}_{self.root.rsplit('/', 1)[-1]}",
-                            ParquetBatchTarget(self.output), self.checkpoint,
+                            target, self.checkpoint,
                             output_mode=output_mode, trigger={"availableNow": True})
         query.awaitTermination()
         if query.exception() is not None:
             raise RuntimeError(f"stream {name} failed: {query.exception()}")
+        if not target.writes:
+            # nothing emitted (yet): an empty, schema-only batch -1 keeps the output readable
+            spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(
+                f"{self.output}/batch_id=-1")
 
     def versions(self, spark: SparkSession) -> DataFrame:
         return read_versions(spark, self.output)

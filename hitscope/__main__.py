@@ -47,6 +47,7 @@ def batch(spark: SparkSession, args) -> None:
     print(f"wrote {len(reports)} reports under {args.out}")
     if args.show:
         pipeline_counts(raw, blocks, locations).show(truncate=False)
+        spark.read.parquet(f"{args.out.rstrip('/')}/enriched_logs_parquet").printSchema()
         for name, df in previews(reports, args.show).items():
             print(f"--- {name} ---")
             df.show(args.show, truncate=False)

@@ -22,7 +22,7 @@ def test_batch_command(spark, scratch, capsys):
     main(["batch", "--logs", f"{root}/logs", "--blocks", f"{root}/blocks",
           "--locations", f"{root}/locations", "--out", f"{root}/out", "--show", "3"])
     printed = capsys.readouterr().out
-    assert "--- top_hosts ---" in printed and "enriched" in printed
+    assert "--- top_hosts ---" in printed and "enriched" in printed and "|-- url_category" in printed
     assert len(os.listdir(f"{root}/out/reports")) == 15
     from hitscope.plans import catalog
     expected = sorted(tuple(r) for r in catalog.QUERIES["traffic_by_country"](spark, SF_SMALL).collect())

@@ -82,6 +82,7 @@ def stream(spark: SparkSession, args) -> None:
     }
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     queries = start_windowed_queries(logs, targets, args.checkpoint, trigger=trigger,
+                                     output_mode=args.output_mode,
                                      on_error="skip" if args.keep_going else "raise",
                                      preview_for=_printer(args.show) if args.show else None)
     if args.once:
@@ -115,6 +116,9 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--topic")
             p.add_argument("--records", help="folder of JSON record files instead of Kafka")
             p.add_argument("--trigger", default="30 seconds")
+            p.add_argument("--output-mode", choices=["update", "append"], default="update",
+                           help="update: re-emit changed windows (versions); append: each window once, "
+                                "after the watermark passes it")
             p.add_argument("--max-offsets-per-trigger", type=int)
             p.add_argument("--state-partitions", type=int,
                            help="shuffle/state partitions of the windowed queries (first start only)")

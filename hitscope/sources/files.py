@@ -16,12 +16,21 @@ from hitscope.schemas import GEO_BLOCKS, GEO_LOCATIONS, RAW_LOG
 LOG_FIELDS = [f.name for f in RAW_LOG.fields[1:]]
 
 
-def read_access_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
     """CSV with a header, ``"`` as both quote and escape, every field a string.
 
     Fields are taken by header name, as text (no inference pass); the first column is
     an index of any name, kept first so that ``clean`` drops it by position.
+    ``fmt="parquet"`` reads the same layout from Parquet (fields cast to text, so the
+    cleaning rules are the same).
     """
+    if fmt == "parquet":
+        table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+        index = table.columns[0]
+        return table.select(F.col(f"`{index}`").cast("string").alias("idx"),
+                            *[F.col(c).cast("string").alias(c) for c in LOG_FIELDS])
+    if fmt != "csv":
+        raise ValueError(f"unknown access-log format {fmt!r}")
     text = (
         spark.read.option("header", True)
         .option("inferSchema", False)

@@ -131,3 +131,11 @@ def test_run_batch_on_empty_input(spark, scratch):
     reports = run_batch(spark, empty, testdata.geo_blocks(spark, SF_SMALL), testdata.geo_locations(spark, SF_SMALL),
                         f"{scratch}/batch_empty")
     assert all(df.count() == 0 for df in reports.values())
+
+
+def test_access_log_from_parquet(spark, scratch):
+    raw = testdata.raw_logs(spark, SF_SMALL)
+    raw.write.parquet(f"{scratch}/raw_parquet")
+    back = read_access_log(spark, f"{scratch}/raw_parquet", fmt="parquet")
+    assert back.columns == raw.columns
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, raw.collect()))

@@ -40,7 +40,7 @@ def _jdbc(args) -> dict | None:
 
 
 def batch(spark: SparkSession, args) -> None:
-    raw = read_access_log(spark, args.logs)
+    raw = read_access_log(spark, args.logs, fmt=args.logs_format)
     blocks, locations = read_geo_blocks(spark, args.blocks), read_geo_locations(spark, args.locations)
     reports = run_batch(spark, raw, blocks, locations, args.out, jdbc=_jdbc(args),
                         on_error="skip" if args.keep_going else "raise")
@@ -110,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
                        help="print the first N rows of each report / micro-batch")
         if name == "batch":
             p.add_argument("--logs", required=True, nargs="+")
+            p.add_argument("--logs-format", choices=["csv", "parquet"], default="csv")
         else:
             p.add_argument("--checkpoint", required=True)
             p.add_argument("--kafka-servers")

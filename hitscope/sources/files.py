@@ -25,7 +25,7 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
     cleaning rules are the same).
     """
     if fmt == "parquet":
-        table = spark.read.parquet(*([path] if isinstance(path, str) else path))
+        table = spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
         index = table.columns[0]
         return table.select(F.col(f"`{index}`").cast("string").alias("idx"),
                             *[F.col(c).cast("string").alias(c) for c in LOG_FIELDS])

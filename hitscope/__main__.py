@@ -24,6 +24,7 @@ from hitscope.sources.files import read_access_log, read_geo_blocks, read_geo_lo
 from hitscope.sources.stream import read_record_stream
 from hitscope.streaming.pipeline import enriched_stream
 from hitscope.streaming.sink import JdbcBatchTarget, ParquetBatchTarget, start_windowed_queries
+from hitscope.streaming.staging import read_enriched_table, start_enriched_table
 
 
 def _jdbc(args) -> dict | None:
@@ -74,13 +75,21 @@ def stream(spark: SparkSession, args) -> None:
         records = read_record_stream(spark, "kafka", bootstrap_servers=args.kafka_servers, topic=args.topic,
                                      max_offsets_per_trigger=args.max_offsets_per_trigger)
     logs = enriched_stream(records, ranges)
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
+    if args.stage_enriched:
+        staging = start_enriched_table(logs, args.stage_enriched,
+                                       f"{args.checkpoint.rstrip('/')}/enriched", trigger=trigger)
+        if args.once:
+            staging.awaitTermination()
+        else:
+            staging.processAllAvailable()  # the staged table exists before its readers start
+        logs = read_enriched_table(spark, args.stage_enriched, logs.schema)
     jdbc = _jdbc(args)
     targets = {
         name: (JdbcBatchTarget(jdbc["url"], name, jdbc["properties"]) if jdbc
                else ParquetBatchTarget(f"{args.out.rstrip('/')}/{name}"))
         for name in WINDOWED
     }
-    trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     queries = start_windowed_queries(logs, targets, args.checkpoint, trigger=trigger,
                                      output_mode=args.output_mode,
                                      on_error="skip" if args.keep_going else "raise",
@@ -124,6 +133,9 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--state-partitions", type=int,
                            help="shuffle/state partitions of the windowed queries (first start only)")
             p.add_argument("--once", action="store_true", help="process what is available, then stop")
+            p.add_argument("--stage-enriched",
+                           help="folder for an enriched Parquet table: records are parsed, geolocated "
+                                "and enriched once, and the windowed queries read that table")
     args = parser.parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"hitscope-{args.command}").getOrCreate())
     (batch if args.command == "batch" else stream)(spark, args)

@@ -9,6 +9,7 @@ from hitscope.streaming.sink import (
     start_query,
     versioned_batch_writer,
 )
+from hitscope.streaming.staging import read_enriched_table, start_enriched_table
 from hitscope.streaming.versions import latest_versions
 
 __all__ = [
@@ -16,6 +17,8 @@ __all__ = [
     "ParquetBatchTarget",
     "enriched_stream",
     "latest_versions",
+    "read_enriched_table",
+    "start_enriched_table",
     "start_query",
     "start_windowed_queries",
     "versioned_batch_writer",

@@ -42,3 +42,16 @@ def test_stream_command_once(spark, scratch):
     expected = sorted(tuple(r) for r in catalog.QUERIES["stream_error_rate"](spark, SF_SMALL).collect())
     got = latest_versions(read_versions(spark, f"{root}/out/stream_error_rate"), [])
     assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_stream_command_staged(spark, scratch):
+    root = f"{scratch}/cli_stream_staged"
+    _write_inputs(spark, root)
+    write_records(testdata.raw_logs(spark, SF_SMALL), f"{root}/records")
+    main(["stream", "--records", f"{root}/records", "--blocks", f"{root}/blocks",
+          "--locations", f"{root}/locations", "--out", f"{root}/out", "--checkpoint", f"{root}/ckpt", "--once",
+          "--stage-enriched", f"{root}/enriched"])
+    from hitscope.plans import catalog
+    expected = sorted(tuple(r) for r in catalog.QUERIES["stream_requests_by_country"](spark, SF_SMALL).collect())
+    got = latest_versions(read_versions(spark, f"{root}/out/stream_requests_by_country"), ["country_name"])
+    assert sorted(tuple(r) for r in got.collect()) == expected

@@ -230,3 +230,33 @@ def test_stream_keeps_going_when_the_database_is_down(spark, run, ranges):
                           trigger={"availableNow": True})
     with pytest.raises(Exception):
         failing.awaitTermination()
+
+
+def test_staged_layout_equals_direct(spark, scratch, ranges):
+    """Enrich once into a staged table, window from it: same windows as the bounded frame."""
+    from hitscope.operators.cleaning import clean
+    from hitscope.operators.enrich import enrich
+    from hitscope.operators.geo import geolocate
+    from hitscope.operators.windows import WINDOWED
+    from hitscope.sources.stream import read_record_stream
+    from hitscope.streaming.pipeline import enriched_stream
+    from hitscope.streaming.sink import ParquetBatchTarget, start_windowed_queries
+    from hitscope.streaming.staging import read_enriched_table, start_enriched_table
+    from hitscope.streaming.versions import read_versions
+
+    root = f"{scratch}/staged-{uuid.uuid4().hex}"
+    rows = _rows(spark, [T0 + 1, T0 + 2, T0 + 301, T0 + 900]).unionByName(
+        spark.createDataFrame([("u.example.com", T0 + 5, "GET", "/images/i", 404, 7)], LOG))
+    StreamRun(root).add_input(rows)
+    enriched = enriched_stream(read_record_stream(spark, "text", path=f"{root}/input"), ranges)
+    staging = start_enriched_table(enriched, f"{root}/enriched", f"{root}/ckpt/enriched",
+                                   trigger={"availableNow": True})
+    staging.awaitTermination()
+    staged = read_enriched_table(spark, f"{root}/enriched", enriched.schema)
+    targets = {name: ParquetBatchTarget(f"{root}/out/{name}") for name in WINDOWED}
+    for q in start_windowed_queries(staged, targets, f"{root}/ckpt", trigger={"availableNow": True}).values():
+        q.awaitTermination()
+    bounded = enrich(geolocate(clean(rows, index_col=None), ranges))
+    for name, (fn, keys) in WINDOWED.items():
+        got = sorted(tuple(r) for r in latest_versions(read_versions(spark, f"{root}/out/{name}"), keys).collect())
+        assert got == sorted(tuple(r) for r in fn(bounded).collect()), name

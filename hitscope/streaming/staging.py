@@ -16,8 +16,11 @@ from pyspark.sql.types import StructType
 
 def start_enriched_table(enriched: DataFrame, path: str, checkpoint: str, *,
                          trigger: dict | None = None,
-                         partition_by: tuple[str, ...] = ("date",)) -> StreamingQuery:
-    """Append the enriched stream to a Parquet table (stateless, one pass per record)."""
+                         partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+    """Append the enriched stream to a Parquet table (stateless, one pass per record).
+
+    Not partitioned by default: the windowed readers consume it incrementally and never
+    prune by date, so a per-task sort for dynamic partitions would be pure cost."""
     writer = (
         enriched.writeStream.format("parquet")
         .option("path", path)

@@ -44,7 +44,8 @@ def batch(spark: SparkSession, args) -> None:
     raw = read_access_log(spark, args.logs, fmt=args.logs_format)
     blocks, locations = read_geo_blocks(spark, args.blocks), read_geo_locations(spark, args.locations)
     reports = run_batch(spark, raw, blocks, locations, args.out, jdbc=_jdbc(args),
-                        on_error="skip" if args.keep_going else "raise")
+                        on_error="skip" if args.keep_going else "raise",
+                        jdbc_enriched=not args.no_enriched_jdbc)
     print(f"wrote {len(reports)} reports under {args.out}")
     if args.show:
         pipeline_counts(raw, blocks, locations).show(truncate=False)
@@ -120,6 +121,8 @@ def main(argv: list[str] | None = None) -> None:
         if name == "batch":
             p.add_argument("--logs", required=True, nargs="+")
             p.add_argument("--logs-format", choices=["csv", "parquet"], default="csv")
+            p.add_argument("--no-enriched-jdbc", action="store_true",
+                           help="send only the reports to JDBC; the enriched table stays in Parquet")
         else:
             p.add_argument("--checkpoint", required=True)
             p.add_argument("--kafka-servers")

@@ -59,11 +59,13 @@ def previews(reports: dict[str, DataFrame], n: int = 5) -> dict[str, DataFrame]:
 
 def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations: DataFrame,
               out_dir: str, *, jdbc: dict | None = None, report_names: list[str] | None = None,
-              strategy: str = "auto", on_error: str = "raise") -> dict[str, DataFrame]:
+              strategy: str = "auto", on_error: str = "raise",
+              jdbc_enriched: bool = True) -> dict[str, DataFrame]:
     """Run the whole batch job and write its outputs under ``out_dir``.
 
     * ``enriched_logs_parquet/`` (partitioned by ``date``), also to JDBC ``cleaned_logs``
-      with 10,000-row batches over at most 8 connections when ``jdbc`` is given;
+      with 10,000-row batches over at most 8 connections when ``jdbc`` is given (unless
+      ``jdbc_enriched=False``: at scale 8 connections cannot take the whole table);
     * one CSV folder per report, and a JDBC table per report when ``jdbc`` is given.
 
     Returns the reports as DataFrames over the written Parquet table.
@@ -80,7 +82,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations:
     stored = spark.read.schema(enriched.schema).parquet(table_path)
     total = stored.count()  # answered from Parquet footers
     reports, shared = run_reports(stored, total, report_names, share=True)
-    if jdbc:
+    if jdbc and jdbc_enriched:
         write_jdbc(stored, jdbc["url"], "cleaned_logs", jdbc.get("properties"),
                    batchsize=10000, num_partitions=8, on_error=on_error)
     try:

@@ -139,3 +139,16 @@ def test_access_log_from_parquet(spark, scratch):
     back = read_access_log(spark, f"{scratch}/raw_parquet", fmt="parquet")
     assert back.columns == raw.columns
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, raw.collect()))
+
+
+def test_run_batch_reports_only_to_jdbc(spark, scratch, monkeypatch):
+    import hitscope.plans.batch as batch
+
+    tables = []
+    monkeypatch.setattr(batch, "write_jdbc", lambda df, url, table, *a, **k: tables.append(table))
+    import hitscope.sinks.files as files
+    monkeypatch.setattr(files, "write_jdbc", lambda df, url, table, *a, **k: tables.append(table) or True)
+    run_batch(spark, testdata.raw_logs(spark, SF_SMALL), testdata.geo_blocks(spark, SF_SMALL),
+              testdata.geo_locations(spark, SF_SMALL), f"{scratch}/batch_reports_only",
+              jdbc={"url": "jdbc:x:y"}, report_names=["hourly_traffic"], jdbc_enriched=False)
+    assert tables == ["hourly_traffic"]

@@ -210,6 +210,7 @@ OTHER_BODIES = {
     "geolocate_logs_naive": "select * from geolocated",
     "enrich_logs": "select * from enriched",
     "latest_windows": STREAM_BODIES["stream_error_rate"],
+    "stream_requests_by_country_staged": STREAM_BODIES["stream_requests_by_country"],
     "json_records": f"select host as key, {CLEAN_COLS} from raw_logs where {CLEAN_WHERE}",
     "pipeline_counts": """select 'raw' as stage, count(*) as rows from raw_logs
  union all select 'geo_blocks', count(*) from geo_blocks

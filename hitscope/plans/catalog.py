@@ -16,7 +16,7 @@ from hitscope.operators import measures, reports
 from hitscope.operators.cleaning import clean
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.plans.batch import enriched_logs, pipeline_counts
-from hitscope.plans.streams import replay_in_two_parts, replay_windowed, write_record_input
+from hitscope.plans.streams import replay_in_two_parts, replay_staged, replay_windowed, write_record_input
 from hitscope.session import configure
 from hitscope.sinks.records import encode_records
 from hitscope.sources import testdata
@@ -109,6 +109,11 @@ def _stream(name: str, **kw) -> Query:
 _LATEST: dict[tuple[str, str], DataFrame] = {}
 
 
+def stream_requests_by_country_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 through the staged layout (records enriched once into a table, then windowed)."""
+    return replay_staged(spark, _records(spark, sf_dir), _index(spark, sf_dir), "stream_requests_by_country")
+
+
 def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error-rate windows from two runs over one checkpoint; the newest version of
     each window (read from the run's output, so it is run once per session)."""
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "stream_error_rate": _stream("stream_error_rate"),
     "stream_traffic_volume": _stream("stream_traffic_volume", with_unique_hosts=False),
     "stream_traffic_volume_hosts": _stream("stream_traffic_volume"),
+    "stream_requests_by_country_staged": stream_requests_by_country_staged,
     "latest_windows": latest_windows,
     "json_records": json_records,
     "pipeline_counts": lambda spark, sf_dir: pipeline_counts(

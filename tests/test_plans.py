@@ -48,3 +48,24 @@ def test_date_slicer_prunes_partitions(spark, scratch):
     assert len(sliced.collect()) == 2
     # and a report reads only the columns it needs
     assert re.search(r"ReadSchema: struct<host:string>", _final_plan(reports.daily_traffic(stored)))
+
+
+@pytest.mark.parametrize("name", ["stream_requests_by_country", "stream_traffic_volume"])
+def test_stream_plan_shape(spark, scratch, capsys, name):
+    """Streaming plans: JSON parsed once, broadcast geo join, partial aggregate before the
+    stateful shuffle, no Python evaluation."""
+    from hitscope.operators.windows import WINDOWED
+    from hitscope.plans import catalog
+    from hitscope.sources.stream import read_record_stream
+    from hitscope.streaming.pipeline import enriched_stream
+
+    path = f"{scratch}/plan-input-{name}"
+    spark.createDataFrame([], "value string").write.text(path)
+    fn, _keys = WINDOWED[name]
+    fn(enriched_stream(read_record_stream(spark, "text", path=path), catalog._index(spark, SF_SMALL))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("from_json(") == 1, plan
+    assert "BroadcastHashJoin" in plan and "StateStoreSave" in plan
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "NestedLoopJoin", "CartesianProduct"):
+        assert bad not in plan

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import byte_bpe
+from hitscope.llm import block_naming, byte_bpe, pivotal_mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,9 +25,21 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokenise(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal_mix.summary(_table(spark, sf_dir, "documents"))
+
+
+def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_naming.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_pivotal_mix": op7_pivotal_mix,
+    "op8_block_naming": op8_block_naming,
 }
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_block_naming": block_naming.ORACLE,
+}

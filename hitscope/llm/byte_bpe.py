@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from hitscope.llm.textio import binary_array, slices, string_bytes
 
@@ -50,7 +50,9 @@ RESET, S_LETTER, S_NUMBER, S_OTHER, S_SPACE, S_BLANK, S_MORE, S_SHORT, S_LONG =
 # States: what the code points so far have left open.
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_BLANKS, AFTER_SPACE, ONE_TO_GO, TWO_TO_GO = range(8)
 SEPARATOR = "\ud800"  # never part of a valid text
-CACHED_SLICES = 400_000
+CACHED_SLICES = 200_000
+#: Bytes of text that a worker encodes at once.
+SLICE_BYTES = 1 << 20
 VECTOR_BYTES = 64
 
 
@@ -379,7 +381,7 @@ def encode(documents: DataFrame, path: str, text: str = "text", keep: Iterable[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        for part in slices(batches, "__text"):
+        for part in slices(batches, "__text", SLICE_BYTES):
             ids, starts, first = words.encode(part.column("__text"))
             at = pa.array(first.astype(np.int32))
             lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (ids, starts)]
@@ -404,18 +406,19 @@ def decoded(ids: Column | str, path: str) -> Column:
     return run(ids)
 
 
-@F.arrow_udf(BinaryType())
-def packed(lists: pa.Array) -> pa.Array:
-    """Ids as little-endian unsigned 32-bit integers."""
-    flat, first = _lists(lists)
-    return binary_array(flat.astype("<u4"), first * 4)
+def tokenise(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document: encoded, then decoded from the ids.
 
+    Both directions run in one Python worker per task, so it holds the vocabulary once.
+    """
+    schema = StructType([documents.schema["doc_id"], StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded", BinaryType())])
 
-def tokenise(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document: encoded, then decoded from the ids."""
-    return encode(documents, path).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(packed("ids"), 256).alias("ids_sha256"),
-        F.sha2(decoded("ids", path), 256).alias("decoded_sha256"),
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for part in slices(batches, "__text", SLICE_BYTES):
+            ids, _, first = words.encode(part.column("__text"))
+            columns = [part.column("doc_id"), pa.array(np.diff(first)), binary_array(ids.astype("<u4"), first * 4), words.decode(ids, first)]
+            yield pa.RecordBatch.from_arrays([c.cast(pa.binary()) if pa.types.is_large_binary(c.type) else c for c in columns], schema.names)
+
+    out = documents.select("doc_id", F.col(text).alias("__text")).mapInArrow(run, schema)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

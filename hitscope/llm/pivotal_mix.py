@@ -58,7 +58,7 @@ def targets(sizes: DataFrame, share: float, weights: Sequence[float], cap: float
     return ranked.select("source", "documents", "source_size", F.least(F.col("most"), F.coalesce(F.col("weight") * found["level"], F.col("most"))).alias("target"))
 
 
-def _rounding(seed: int, level: int, last: bool):
+def _rounding(seed: int, level: int, last: bool, fan_in: int):
     def draw(*what: object) -> float:
         return xxhash.xxh3_64_intdigest(repr((seed, level, what)).encode()) / 2.0**64
 
@@ -82,7 +82,7 @@ def _rounding(seed: int, level: int, last: bool):
             chance[a] = float(draw(name[a]) < chance[a])
         rows["copies"] = pd.array([base + round(c) if not _OPEN < c < 1 - _OPEN else None for base, c in zip(rows["base"], chance, strict=True)], "Int64")
         rows["chance"] = chance
-        rows["block"] //= FAN_IN
+        rows["block"] //= fan_in
         return rows
 
     return run
@@ -113,7 +113,7 @@ def mix(documents: DataFrame, share: float = 1.5, weights: Sequence[float] = (3,
     while True:
         last = blocks <= 1
         path = scratch_path(spark, "mix_level")
-        waiting.groupBy("source", "block").applyInPandas(_rounding(seed, level, last), _SCHEMA).write.parquet(path)
+        waiting.groupBy("source", "block").applyInPandas(_rounding(seed, level, last, FAN_IN), _SCHEMA).write.parquet(path)
         ended = spark.read.parquet(path)
         settled.append(ended.where("copies IS NOT NULL"))
         waiting = ended.where("copies IS NULL")

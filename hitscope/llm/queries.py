@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, pivotal_mix
+from hitscope.llm import block_naming, byte_bpe, pivotal_mix, repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,10 +33,15 @@ def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.deduplicate(_table(spark, sf_dir, "documents"))
 
 
+def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op7_pivotal_mix": op7_pivotal_mix,
     "op8_block_naming": op8_block_naming,
+    "op10_repeated_spans": op10_repeated_spans,
 }
 
 #: DuckDB text of the queries that SQL can express.

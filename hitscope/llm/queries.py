@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, pivotal_mix, repeated_spans
+from hitscope.llm import block_naming, byte_bpe, page_text, pivotal_mix, repeated_spans, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,10 +21,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokenise(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_mix.summary(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +46,9 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_toxicity": op5_toxicity,
     "op7_pivotal_mix": op7_pivotal_mix,
     "op8_block_naming": op8_block_naming,
     "op10_repeated_spans": op10_repeated_spans,

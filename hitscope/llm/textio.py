@@ -84,6 +84,7 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    breaks: np.ndarray
 
     @property
     def doc(self) -> np.ndarray:
@@ -91,7 +92,7 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """64 bits per word; with ``lower`` A-Z count as a-z."""
-        table = _BYTE_LOWER if lower else _BYTE
+        table = np.where(self.breaks, _U(0), _BYTE_LOWER if lower else _BYTE)
         out = np.empty(len(self.start), np.uint64)
         at = 0
         while at < len(self.start):
@@ -112,16 +113,17 @@ class Words:
 def words(texts: pa.Array, breaks: np.ndarray | None = None) -> Words:
     """Words of each text. ``breaks`` marks further bytes that separate words."""
     data, at = string_bytes(texts)
-    gap = _SPACES[data] if breaks is None else breaks[data]
+    breaks = _SPACES if breaks is None else breaks
+    gap = breaks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     solid = ~gap
-    head, tail = solid.copy(), solid
+    head = solid.copy()
     head[1:] &= gap[:-1] | edge[1:-1]
     tail = solid.copy()
     tail[:-1] &= gap[1:] | edge[1:-1]
     start, end = np.flatnonzero(head), np.flatnonzero(tail) + 1
-    return Words(data, start, end, np.searchsorted(start, at).astype(np.int64))
+    return Words(data, start, end, np.searchsorted(start, at).astype(np.int64), breaks)
 
 
 def sequence_hashes(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

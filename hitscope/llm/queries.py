@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, page_text, pivotal_mix, repeated_spans, toxicity
+from hitscope.llm import block_naming, byte_bpe, page_text, pivotal_mix, repeated_spans, scaled_sketch, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +41,10 @@ def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.deduplicate(_table(spark, sf_dir, "documents"))
 
 
+def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans.digest(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op7_pivotal_mix": op7_pivotal_mix,
     "op8_block_naming": op8_block_naming,
+    "op9_scaled_sketch": op9_scaled_sketch,
     "op10_repeated_spans": op10_repeated_spans,
 }
 

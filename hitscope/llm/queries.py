@@ -11,10 +11,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, page_text, pivotal_mix, repeated_spans, scaled_sketch, toxicity
+from hitscope.llm import block_naming, byte_bpe, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: The query's key; a user keeps their own secret.
+SURROGATE_KEY = "registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op7_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_mix.summary(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_surrogates": op6_surrogates,
     "op7_pivotal_mix": op7_pivotal_mix,
     "op8_block_naming": op8_block_naming,
     "op9_scaled_sketch": op9_scaled_sketch,

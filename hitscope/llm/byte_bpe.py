@@ -406,9 +406,11 @@ def decoded(ids: Column | str, path: str) -> Column:
     return run(ids)
 
 
-def tokenise(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
+def tokenise(documents: DataFrame, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document: encoded, then decoded from the ids.
 
+    ``with_ids`` adds the ids themselves, packed as little-endian unsigned 32-bit integers.
+
     Both directions run in one Python worker per task, so it holds the vocabulary once.
     """
     schema = StructType([documents.schema["doc_id"], StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded", BinaryType())])
@@ -421,4 +423,5 @@ def tokenise(documents: DataFrame, path: str, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.cast(pa.binary()) if pa.types.is_large_binary(c.type) else c for c in columns], schema.names)
 
     out = documents.select("doc_id", F.col(text).alias("__text")).mapInArrow(run, schema)
-    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    digests = [F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return out.select("doc_id", "n_tokens", *digests, *(["ids"] if with_ids else []))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, toxicity
+from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -31,6 +31,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokenise(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_line_join": op3_line_join,
     "op4_ngram_join": op4_ngram_join,
     "op5_toxicity": op5_toxicity,
     "op6_surrogates": op6_surrogates,

@@ -5,8 +5,8 @@ occurs in a document with a smaller doc_id.
 
 1. Each task hashes its windows and sends a sketch: the cells of each line of a count-min table
    that it has hit, and those it has hit more than once. Sketches are merged by ranges of cells
-   into one bit per cell: hit at least twice. The table has a fixed size (``LINES`` lines of
-   ``2 ** CELL_BITS`` bits, 64 MB in all), so the broadcast does not grow with the data.
+   into one bit per cell: hit at least twice. The table has a fixed size (two lines of
+   2 ** 28 bits, 64 MB in all), so the broadcast does not grow with the data.
 2. A second pass over all texts sends only windows whose cells all have that bit. A sketch can
    only overestimate, so every repeated window is among them; on more data than the table can
    tell apart more windows come through, none is lost. Windows are dealt by the upper bits of
@@ -14,7 +14,7 @@ occurs in a document with a smaller doc_id.
    smallest of their group are returned to their documents.
 3. The documents are joined with what goes.
 
-A window that occurs very often (at most ``HEAVY`` such) is sent once per slice of a task, and
+A window that occurs very often (at most 1000 such) is sent once per slice of a task, and
 what goes of it is decided in the last pass from a small table, so no task gets all of it.
 
 Defined results: null or empty text has no words and keeps the empty text; fewer than 13 words
@@ -26,7 +26,6 @@ and the text column are read, so extra columns never clash.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -35,45 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitscope.llm.textio import _SPACES, Words, binary_array, mix, sequence_hashes, slices, string_bytes, words
+from hitscope.llm.count_min import Sketch, gaps_packed, gaps_unpacked, sketch
+from hitscope.llm.textio import _SPACES, Words, binary_array, sequence_hashes, slices, string_bytes, words
 from hitscope.session import scratch_path
 
 WINDOW = 13
-LINES = 2
-CELL_BITS = 28
-CHUNK_BITS = 18
-#: Windows that a task holds before it sends their cells.
-SKETCH_WINDOWS = 3_000_000
-#: A window counts towards heavy ones where one slice has it this often; so many are kept, each with this many rows at least.
-HEAVY_IN_SLICE = 32
-HEAVY = 1000
-HEAVY_FROM = 1000
-HEAVY_CHUNK = 64
 #: Windows in one range of hashes, as far as windows can be told before the second pass.
 RANGE_WINDOWS = 4_000_000
 _LAST = np.iinfo(np.int64).max
-_SALT = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)]
-
-
-def gaps_packed(rising: np.ndarray) -> bytes:
-    """Rising integers as bytes: the gap to the one before, 255 standing for 255 and more to come."""
-    if not len(rising):
-        return b""
-    gap = np.diff(rising.astype(np.int64), prepend=0)
-    more = gap // 255
-    at = np.cumsum(more + 1) - 1
-    out = np.full(at[-1] + 1, 255, np.uint8)
-    out[at] = gap - more * 255
-    return out.tobytes()
-
-
-def gaps_unpacked(raw: bytes) -> np.ndarray:
-    steps = np.frombuffer(raw, np.uint8)
-    return np.cumsum(steps, dtype=np.int64)[steps < 255]
-
-
-def cells(hashes: np.ndarray, line: int) -> np.ndarray:
-    return (mix(hashes ^ _SALT[line]) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def _windows(rows: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -81,118 +49,8 @@ def _windows(rows: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray, np.nd
     return found, *sequence_hashes(found.hashes(), found.first, WINDOW)
 
 
-_SKETCH = "line int, chunk int, hit binary, again binary"
-
-
-def _sketches(heavy_in_slice: int):
-    """Cells hit by this task, and windows that are frequent in one of its slices (line -1)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once: list[np.ndarray] = []
-        twice: list[np.ndarray] = []
-        often: dict[int, int] = defaultdict(int)
-        held = total = 0
-
-        def flush() -> Iterator[tuple]:
-            nonlocal held
-            hashes = np.concatenate(once) if once else np.empty(0, np.uint64)
-            known = np.concatenate(twice) if twice else hashes[:0]
-            for line in range(LINES):
-                hit, count = np.unique(cells(hashes, line), return_counts=True)
-                again = np.union1d(hit[count > 1], cells(known, line))
-                for part, values in (("hit", hit), ("again", again)):
-                    chunk = values >> CHUNK_BITS
-                    edges = np.flatnonzero(np.diff(chunk, prepend=-1))
-                    for a, b in zip(edges, np.append(edges[1:], len(values)), strict=False):
-                        packed = gaps_packed(values[a:b] & ((1 << CHUNK_BITS) - 1))
-                        yield (line, int(chunk[a]), packed if part == "hit" else b"", packed if part == "again" else b"")
-            once.clear()
-            twice.clear()
-            held = 0
-
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["line", "chunk", "hit", "again"])
-
-        for rows in slices(batches, "text"):
-            _, hashes, _, _ = _windows(rows)
-            values, count = np.unique(hashes, return_counts=True)
-            once.append(values)
-            twice.append(values[count > 1])
-            for h, n in zip(values[count >= heavy_in_slice].tolist(), count[count >= heavy_in_slice].tolist(), strict=True):
-                often[h] += n
-            held += len(values)
-            total += len(hashes)
-            if held >= SKETCH_WINDOWS or len(often) > 100_000:
-                yield batch([*flush(), *_often(often)])
-                often.clear()
-        yield batch([*flush(), *_often(often), (-2, 0, total.to_bytes(8, "little"), b"")])
-
-    return run
-
-
-def _often(often: dict[int, int]) -> Iterator[tuple]:
-    table = np.array(list(often.items()), np.uint64).reshape(-1, 2)
-    chunk = (table[:, 0] % np.uint64(HEAVY_CHUNK)).astype(int)
-    for c in np.unique(chunk).tolist():
-        yield (-1, c, table[chunk == c].tobytes(), b"")
-
-
-def _folded(heavy_from: int):
-    """One row per (line, chunk): the cells hit twice as bits; for line -1 the most frequent windows; for -2 the number of windows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
-        for (line, chunk), group in groupby(rows, key=lambda r: r[:2]):
-            if line == -2:
-                bits = sum(int.from_bytes(r[2], "little") for r in group).to_bytes(8, "little")
-            elif line == -1:
-                counts: dict[int, int] = defaultdict(int)
-                for r in group:
-                    for h, n in np.frombuffer(r[2], np.uint64).reshape(-1, 2).tolist():
-                        counts[h] += n
-                most = sorted(((n, h) for h, n in counts.items() if n >= heavy_from), reverse=True)[:HEAVY]
-                bits = np.array([(h, n) for n, h in most], np.uint64).tobytes()
-            else:
-                one, two = np.zeros(1 << CHUNK_BITS, bool), np.zeros(1 << CHUNK_BITS, bool)
-                for _, _, hit, again in group:
-                    at = gaps_unpacked(hit)
-                    two[at[one[at]]] = True
-                    one[at] = True
-                    two[gaps_unpacked(again)] = True
-                bits = np.packbits(two, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([line], pa.int32()), pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], ["line", "chunk", "bits"])
-
-    return run
-
-
-class Sketch:
-    """The merged table, and the windows that occur very often."""
-
-    def __init__(self, rows: list):
-        self.lines = np.zeros((LINES, 1 << (CELL_BITS - 3)), np.uint8)
-        self.windows, heavy, size = 0, [], 1 << (CHUNK_BITS - 3)
-        for line, chunk, bits in rows:
-            if line >= 0:
-                self.lines[line, chunk * size : (chunk + 1) * size] = np.frombuffer(bits, np.uint8)
-            elif line == -1:
-                heavy += np.frombuffer(bits, np.uint64).reshape(-1, 2).tolist()
-            else:
-                self.windows += int.from_bytes(bits, "little")
-        self.heavy = np.array(sorted(h for h, _ in sorted(heavy, key=lambda x: (-x[1], x[0]))[:HEAVY]), np.uint64)
-
-    def may_repeat(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), bool)
-        for line, bits in enumerate(self.lines):
-            at = cells(hashes, line)
-            out &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-        return out
-
-
-def sketch(source: DataFrame, heavy_in_slice: int = HEAVY_IN_SLICE, heavy_from: int = HEAVY_FROM) -> Sketch:
-    rows = source.select("text").mapInArrow(_sketches(heavy_in_slice), _SKETCH).repartition("line", "chunk").sortWithinPartitions("line", "chunk")
-    return Sketch(rows.mapInArrow(_folded(heavy_from), "line int, chunk int, bits binary").collect())  # a table of fixed size
+def _window_hashes(rows: pa.RecordBatch) -> np.ndarray:
+    return _windows(rows)[1]
 
 
 _SENT = "range int, ids binary, tags binary, counts binary, lengths binary, starts binary, hashes binary"
@@ -307,15 +165,15 @@ def remove_repeats(documents: DataFrame, text: str = "text", **heavy: int) -> Da
     source = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # the tag tells rows with one doc_id apart
     source = source.withColumn("tag", F.hash("text")).withColumn("order", F.coalesce("doc_id", F.lit(int(_LAST))))
-    table = sketch(source, **heavy)
-    range_bits = max(6, int(np.ceil(np.log2(max(table.windows, 1) / RANGE_WINDOWS + 1))))
+    table = sketch(source, _window_hashes, **heavy)
+    range_bits = max(6, int(np.ceil(np.log2(max(table.total, 1) / RANGE_WINDOWS + 1))))
     shared = spark.sparkContext.broadcast(table)
     sent = source.select("order", "tag", "text").mapInArrow(_sent(shared, range_bits), _SENT)
     path = scratch_path(spark, "repeated_spans")
     # sorted by range, so that a task has one range in memory at a time
     sent.repartition(1 << range_bits, "range").sortWithinPartitions("range").mapInArrow(_grouped(table.heavy), _GONE).write.parquet(path)
     found = spark.read.schema(_GONE).parquet(path)
-    least = {r.hash & ((1 << 64) - 1): r.order for r in found.where("hash IS NOT NULL").collect()} if len(table.heavy) else {}  # at most HEAVY rows
+    least = {r.hash & ((1 << 64) - 1): r.order for r in found.where("hash IS NOT NULL").collect()} if len(table.heavy) else {}  # at most 1000 rows
     keys = np.array(sorted(least), np.uint64)
     values = np.array([least[k] for k in keys.tolist()], np.int64)
     gone = found.where("hash IS NULL").groupBy(F.col("order").alias("gone_order"), F.col("tag").alias("gone_tag")).agg(F.collect_list("starts").alias("gone"))

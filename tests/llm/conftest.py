@@ -1,5 +1,10 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture(scope="session")
 def documents(spark):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from hitscope.llm import repeated_spans
+from hitscope.llm.count_min import gaps_packed, gaps_unpacked, sketch
 
 K = 13
 
@@ -53,7 +54,7 @@ def test_against_brute_force(spark, documents, seed):
 def test_heavy_windows(spark, documents):
     rows = corpus(3)
     low = {"heavy_in_slice": 4, "heavy_from": 5}
-    assert len(repeated_spans.sketch(documents(rows).coalesce(1), **low).heavy)
+    assert len(sketch(documents(rows).coalesce(1), repeated_spans._window_hashes, **low).heavy)
     assert got(documents(rows).coalesce(1), **low) == brute(rows)
 
 
@@ -66,7 +67,7 @@ def test_odd_rows(spark, documents):
 
 def test_sketch_loses_nothing(spark, documents):
     rows = corpus(5)
-    seen = repeated_spans.sketch(documents(rows))
+    seen = sketch(documents(rows), repeated_spans._window_hashes)
     once, often = set(), set()
     for _, t in rows:
         w = t.split()
@@ -86,5 +87,5 @@ def test_gaps_round_trip():
     rng = np.random.default_rng(1)
     for top in (1, 10, 254, 255, 256, 100_000):
         values = np.cumsum(rng.integers(0, top, 500))
-        assert repeated_spans.gaps_unpacked(repeated_spans.gaps_packed(values)).tolist() == values.tolist()
-    assert len(repeated_spans.gaps_unpacked(b"")) == 0
+        assert gaps_unpacked(gaps_packed(values)).tolist() == values.tolist()
+    assert len(gaps_unpacked(b"")) == 0

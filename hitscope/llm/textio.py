@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 #: A longer word is hashed as one string, outside the vectorised path.
 LONG_WORD = 1 << 20
 

@@ -24,7 +24,7 @@ from hitscope.sources.files import read_access_log, read_geo_blocks, read_geo_lo
 from hitscope.sources.stream import read_record_stream
 from hitscope.streaming.pipeline import enriched_stream
 from hitscope.streaming.sink import JdbcBatchTarget, ParquetBatchTarget, start_windowed_queries
-from hitscope.streaming.staging import read_enriched_table, start_enriched_table
+from hitscope.streaming.staging import read_enriched_table, start_enriched_table, wait_for_first_batch
 
 
 def _jdbc(args) -> dict | None:
@@ -74,7 +74,8 @@ def stream(spark: SparkSession, args) -> None:
         records = read_record_stream(spark, "text", path=args.records)
     else:
         records = read_record_stream(spark, "kafka", bootstrap_servers=args.kafka_servers, topic=args.topic,
-                                     max_offsets_per_trigger=args.max_offsets_per_trigger)
+                                     max_offsets_per_trigger=args.max_offsets_per_trigger,
+                                     fail_on_data_loss=not args.skip_lost_offsets)
     logs = enriched_stream(records, ranges)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     if args.stage_enriched:
@@ -83,7 +84,7 @@ def stream(spark: SparkSession, args) -> None:
         if args.once:
             staging.awaitTermination()
         else:
-            staging.processAllAvailable()  # the staged table exists before its readers start
+            wait_for_first_batch(staging)  # the staged table exists before its readers start
         logs = read_enriched_table(spark, args.stage_enriched, logs.schema)
     jdbc = _jdbc(args)
     targets = {
@@ -133,6 +134,8 @@ def main(argv: list[str] | None = None) -> None:
                            help="update: re-emit changed windows (versions); append: each window once, "
                                 "after the watermark passes it")
             p.add_argument("--max-offsets-per-trigger", type=int)
+            p.add_argument("--skip-lost-offsets", action="store_true",
+                           help="go on over offsets that the broker has already dropped")
             p.add_argument("--state-partitions", type=int,
                            help="shuffle/state partitions of the windowed queries (first start only)")
             p.add_argument("--once", action="store_true", help="process what is available, then stop")

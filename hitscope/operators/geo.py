@@ -9,8 +9,10 @@ ranges still multiply rows, and a row matching nothing still comes out once.
 
 The binned range table is bounded by the IPv4 space, not by the logs: at most
 ``2**bin_bits + #ranges`` rows for non-overlapping blocks. Its size is measured before
-it is broadcast; past the limit the join is a shuffled equi join on the bin, where
-adaptive execution splits a hot bin (one host carrying a third of the rows).
+it is broadcast; past the limit the join is a shuffled equi join on (bin, salt), which needs
+no adaptive execution (streams run without it): the ranges are copied to every salt, the log
+rows of a bin are spread over the salts by a hash of the row, and rows without an IP get
+bins of their own, below zero, by the same hash.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ BIN_BITS_CANDIDATES = (16, 18, 20)
 MAX_RANGES_PER_BIN = 64
 # Broadcast limit for the binned range table (measured, not estimated from files).
 DEFAULT_BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
+# Shares into which the shuffled join deals the log rows of one bin, and negative bins for
+# rows without an IP.
+SALTS = 32
+NON_IP_BINS = 1 << 20
 # Bytes per binned row besides its string bytes: an UnsafeRow of 7 fields (null bits +
 # 7 words) plus hash-map entry overhead in the broadcast relation.
 _ROW_OVERHEAD = 96
@@ -85,7 +91,7 @@ class RangeIndex:
 
 def _measure(binned: DataFrame) -> tuple[int, int, int]:
     """(rows, approximate broadcast bytes, most ranges in one bin): one small job."""
-    width = sum(F.coalesce(F.length(c), F.lit(0)) for c in GEO_COLUMNS)
+    width = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in GEO_COLUMNS)
     per_bin = binned.groupBy("range_bin").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("chars"))
     stats = per_bin.agg(F.sum("n").alias("rows"), F.max("n").alias("top"), F.sum("chars").alias("chars")).first()
     rows = int(stats["rows"] or 0)
@@ -99,39 +105,38 @@ def index_ranges(ranges: DataFrame, bin_bits: int | str = DEFAULT_BIN_BITS,
 
     ``bin_bits="auto"`` takes the coarsest of ``BIN_BITS_CANDIDATES`` whose fullest bin
     holds at most ``MAX_RANGES_PER_BIN`` ranges and that fits the broadcast limit (else
-    the least crowded one that fits, else /16 with a shuffled join). ``persist`` keeps
+    the least crowded one that fits, else the least crowded with a shuffled join).
+    ``strategy="broadcast"`` above the limit is an error. ``persist`` keeps
     the binned table in executor storage (memory, then disk) for reuse by several joins;
     lost blocks are rebuilt from the geo files."""
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     candidates = BIN_BITS_CANDIDATES if bin_bits == "auto" else (int(bin_bits),)
-    if strategy == "shuffle" and bin_bits != "auto":
-        chosen = (candidates[0], -1, -1, -1)
-    else:
+    ranges = ranges.persist()  # measured once per candidate
+    try:
         measured = []
         for bits in candidates:
             rows, approx, top = _measure(bin_ranges(ranges, bits))
             measured.append((bits, rows, approx, top))
             if top <= MAX_RANGES_PER_BIN and approx <= broadcast_limit_bytes:
                 break
-        fitting = [m for m in measured if m[2] <= broadcast_limit_bytes]
-        uncrowded = [m for m in fitting if m[3] <= MAX_RANGES_PER_BIN]
-        if uncrowded:
-            chosen = uncrowded[0]  # coarsest
-        elif fitting:
-            chosen = min(fitting, key=lambda m: m[3])
-        else:
-            chosen = measured[0]
+    finally:
+        ranges.unpersist()
+    fitting = [m for m in measured if m[2] <= broadcast_limit_bytes]
+    if strategy == "broadcast" and not fitting:
+        raise ValueError(f"the binned ranges take {measured[0][2]} bytes, over the broadcast limit of {broadcast_limit_bytes}")
+    uncrowded = [m for m in fitting if m[3] <= MAX_RANGES_PER_BIN]
+    if strategy == "shuffle":
+        chosen = min(measured, key=lambda m: m[3])
+    elif uncrowded:
+        chosen = uncrowded[0]  # coarsest
+    else:
+        chosen = min(fitting or measured, key=lambda m: m[3])
     bits, rows, approx, top = chosen
     binned = bin_ranges(ranges, bits)
     if persist:
         binned = binned.persist()
-    if strategy == "broadcast":
-        go_broadcast = True
-    elif strategy == "shuffle":
-        go_broadcast = False
-    else:
-        go_broadcast = approx <= broadcast_limit_bytes
+    go_broadcast = strategy != "shuffle" and approx <= broadcast_limit_bytes
     return RangeIndex(binned, bits, rows, approx, go_broadcast, top)
 
 
@@ -161,14 +166,21 @@ def geolocate(logs: DataFrame, ranges: DataFrame | RangeIndex, *,
     index = ranges if isinstance(ranges, RangeIndex) else index_ranges(
         ranges, bin_bits, broadcast_limit_bytes, strategy)
     shift = 32 - index.bin_bits
-    # ip_long = -1 (not an IP) gets a NULL bin and can only come out unmatched.
-    probe = with_ip.withColumn(
-        "ip_bin", F.when(F.col("ip_long") >= 0, F.shiftright("ip_long", shift)))
-    build = F.broadcast(index.binned) if index.broadcast else index.binned
-    cond = (
-        (F.col("ip_bin") == F.col("range_bin"))
-        & (F.col("ip_long") >= F.col("ip_start"))
-        & (F.col("ip_long") <= F.col("ip_end"))
-    )
-    joined = probe.join(build, cond, "left").drop("ip_bin", "range_bin", "ip_start", "ip_end")
+    bin_of = F.shiftright("ip_long", shift)
+    in_range = (F.col("ip_long") >= F.col("ip_start")) & (F.col("ip_long") <= F.col("ip_end"))
+    if index.broadcast:
+        # ip_long = -1 (not an IP) gets a NULL bin and can only come out unmatched.
+        probe = with_ip.withColumn("ip_bin", F.when(F.col("ip_long") >= 0, bin_of))
+        cond = (F.col("ip_bin") == F.col("range_bin")) & in_range
+        joined = probe.join(F.broadcast(index.binned), cond, "left")
+    else:
+        spread = F.xxhash64("host", "time", "url")
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("range_salt")
+        probe = with_ip.withColumns({
+            "ip_bin": F.when(F.col("ip_long") >= 0, bin_of).otherwise(-1 - F.pmod(spread, F.lit(NON_IP_BINS))),
+            "ip_salt": F.pmod(spread, F.lit(SALTS)).cast("int"),
+        })
+        cond = (F.col("ip_bin") == F.col("range_bin")) & (F.col("ip_salt") == F.col("range_salt")) & in_range
+        joined = probe.join(index.binned.select("*", salts).hint("merge"), cond, "left").drop("ip_salt", "range_salt")
+    joined = joined.drop("ip_bin", "range_bin", "ip_start", "ip_end")
     return _finish(joined)

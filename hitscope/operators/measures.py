@@ -37,15 +37,10 @@ def peak_hour(hourly_traffic: DataFrame) -> DataFrame:
 
 
 def latest_error_rate(error_rate_latest: DataFrame) -> DataFrame:
-    """M4: newest window (with a rate) of the latest-version W3 table.
-
-    The newest start is a global max (partial per partition, then one row), taken as a
-    scalar subquery: the windows table grows with the time span, so no single-partition
-    window here."""
-    rated = error_rate_latest.where(F.col("error_rate_pct").isNotNull())
-    newest = rated.agg(F.max("window_start")).scalar()
-    return rated.where(F.col("window_start") == newest).select(
-        "window_start", "window_end", "error_rate_pct")
+    """M4: newest window (with a rate) of the latest-version W3 table: one pass, one row per task to the last step."""
+    row = F.max_by(F.struct("window_start", "window_end", "error_rate_pct"), "window_start")
+    newest = error_rate_latest.where(F.col("error_rate_pct").isNotNull()).agg(row.alias("_w"))
+    return newest.where(F.col("_w").isNotNull()).select("_w.window_start", "_w.window_end", "_w.error_rate_pct")
 
 
 def daily_traffic_between(daily_traffic: DataFrame, start: str | _dt.date,

@@ -6,10 +6,10 @@ added as a tie-break so the top-k is deterministic; ``orderBy().limit()`` plans
 ``TakeOrderedAndProject`` (per-partition top-k, then a k-row merge).
 
 Percentages use the whole-table row count. When the caller does not pass it, it is the
-sum of the group counts (every row falls in exactly one group), as a window total over
-the already-aggregated rows. That window holds one row per status code, URL category or
-method, a domain that does not grow with the logs; a scalar subquery would instead
-re-run the aggregation, i.e. scan the logs a second time.
+sum of the group counts (every row falls in exactly one group): a second, one-row aggregate of
+the same groups, joined back by broadcast. Both sides are the same aggregate of the logs, so
+Spark runs it once and reuses its shuffle; the groups themselves are never gathered in one task
+(methods and status codes come from requests, so junk can make them many).
 """
 
 from __future__ import annotations
@@ -47,10 +47,10 @@ def with_percentage(grouped: DataFrame, total_rows: int | None = None) -> DataFr
     """round(requests / total * 100, 2); ``total`` from the argument if > 0, else the
     sum of ``requests`` over the grouped rows."""
     if total_rows is not None and total_rows > 0:
-        total = F.lit(float(total_rows))
-    else:
-        total = F.sum("requests").over(Window.partitionBy()).cast("double")
-    return grouped.withColumn("percentage", F.round(F.col("requests") / total * 100, 2))
+        return grouped.withColumn("percentage", F.round(F.col("requests") / F.lit(float(total_rows)) * 100, 2))
+    total = grouped.agg(F.sum("requests").cast("double").alias("_total"))  # one row
+    share = F.round(F.col("requests") / F.col("_total") * 100, 2)
+    return grouped.join(F.broadcast(total)).withColumn("percentage", share).drop("_total")
 
 
 # Base aggregates shared by reports with the same group key.

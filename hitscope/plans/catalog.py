@@ -16,7 +16,13 @@ from hitscope.operators import measures, reports
 from hitscope.operators.cleaning import clean
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.plans.batch import enriched_logs, pipeline_counts
-from hitscope.plans.streams import replay_in_two_parts, replay_staged, replay_windowed, write_record_input
+from hitscope.plans.streams import (
+    replay_in_two_parts,
+    replay_staged,
+    replay_windowed,
+    replay_with_two_checkpoints,
+    write_record_input,
+)
 from hitscope.session import configure
 from hitscope.sinks.records import encode_records
 from hitscope.sources import testdata
@@ -106,22 +112,19 @@ def _stream(name: str, **kw) -> Query:
     return run
 
 
-_LATEST: dict[tuple[str, str], DataFrame] = {}
-
-
 def stream_requests_by_country_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 through the staged layout (records enriched once into a table, then windowed)."""
     return replay_staged(spark, _records(spark, sf_dir), _index(spark, sf_dir), "stream_requests_by_country")
 
 
 def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error-rate windows from two runs over one checkpoint; the newest version of
-    each window (read from the run's output, so it is run once per session)."""
-    key = _key(spark, sf_dir)
-    if key not in _LATEST:
-        _all, _LATEST[key] = replay_in_two_parts(spark, _raw(spark, sf_dir), _index(spark, sf_dir),
-                                                 "stream_error_rate")
-    return _LATEST[key]
+    """Error-rate windows from two runs over one checkpoint; the newest version of each window."""
+    return replay_in_two_parts(spark, _raw(spark, sf_dir), _index(spark, sf_dir), "stream_error_rate")[1]
+
+
+def latest_windows_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 after a change that needs a new checkpoint: the newest run's windows are read."""
+    return replay_with_two_checkpoints(spark, _raw(spark, sf_dir), _index(spark, sf_dir), "stream_error_rate")[1]
 
 
 def _measure(fn, source: Query, *args) -> Query:
@@ -133,8 +136,8 @@ QUERIES: dict[str, Query] = {
     "ip_functions": ip_functions,
     "geo_ranges": _ranges,
     "geolocate_logs": lambda spark, sf_dir: geolocate(clean(_raw(spark, sf_dir)), _index(spark, sf_dir)),
-    "geolocate_logs_naive": lambda spark, sf_dir: geolocate(
-        clean(_raw(spark, sf_dir)), _ranges(spark, sf_dir), strategy="naive"),
+    "geolocate_logs_shuffled": lambda spark, sf_dir: geolocate(
+        clean(_raw(spark, sf_dir)), _ranges(spark, sf_dir), strategy="shuffle"),
     "enrich_logs": _enriched,
     **{name: _report(name) for name in reports.REPORTS},
     "stream_requests_by_country": _stream("stream_requests_by_country"),
@@ -144,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "stream_traffic_volume_hosts": _stream("stream_traffic_volume"),
     "stream_requests_by_country_staged": stream_requests_by_country_staged,
     "latest_windows": latest_windows,
+    "latest_windows_two_checkpoints": latest_windows_two_checkpoints,
     "json_records": json_records,
     "pipeline_counts": lambda spark, sf_dir: pipeline_counts(
         _raw(spark, sf_dir), testdata.geo_blocks(spark, sf_dir), testdata.geo_locations(spark, sf_dir)),

@@ -24,6 +24,9 @@ from hitscope.streaming.sink import ParquetBatchTarget, start_query
 from hitscope.streaming.versions import latest_versions, read_versions
 
 
+NO_RUN = "none"
+
+
 class _CountingTarget:
     """Pass-through sink target that counts the batches written (the ``foreachBatch``
     function runs in this driver process)."""
@@ -31,8 +34,8 @@ class _CountingTarget:
     def __init__(self, inner):
         self.inner, self.writes = inner, 0
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        self.inner.write(df, batch_id)
+    def write(self, df: DataFrame, batch_id: int, run: str) -> None:
+        self.inner.write(df, batch_id, run)
         self.writes += 1
 
 
@@ -42,6 +45,7 @@ class StreamRun:
 
     root: str
     input_dir: str | None = None
+    checkpoint_name: str = "checkpoint"
 
     @property
     def input(self) -> str:
@@ -53,7 +57,7 @@ class StreamRun:
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/checkpoint"
+        return f"{self.root}/{self.checkpoint_name}"
 
     @classmethod
     def create(cls, spark: SparkSession, name: str, input_dir: str | None = None) -> StreamRun:
@@ -82,7 +86,7 @@ class StreamRun:
         if not target.writes:
             # nothing emitted (yet): an empty, schema-only batch -1 keeps the output readable
             spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(
-                f"{self.output}/batch_id=-1")
+                f"{self.output}/run={NO_RUN}/batch_id=-1")
 
     def versions(self, spark: SparkSession) -> DataFrame:
         return read_versions(spark, self.output)
@@ -142,6 +146,22 @@ def replay_in_two_parts(spark: SparkSession, raw_rows: DataFrame, ranges: DataFr
     return run.versions(spark), run.latest(spark, name)
 
 
+def replay_with_two_checkpoints(spark: SparkSession, raw_rows: DataFrame, ranges: DataFrame | RangeIndex,
+                                name: str, **kw) -> tuple[DataFrame, DataFrame]:
+    """The first part of the rows under one checkpoint, then all rows from the start under a new one, into one
+    output: the second run's batches count from 0 again, and its windows are the newest versions."""
+    t = F.col("time").try_cast("long")
+    split = _split_inside_a_window(raw_rows)
+    first = F.coalesce(t < split, F.lit(False)) if split is not None else F.lit(True)
+    before = StreamRun.create(spark, name)
+    before.add_input(raw_rows.where(first))
+    before.run(spark, name, ranges, **kw)
+    after = StreamRun(before.root, checkpoint_name="checkpoint-2")
+    after.add_input(raw_rows.where(~first))
+    after.run(spark, name, ranges, **kw)
+    return after.versions(spark), after.latest(spark, name)
+
+
 def replay_staged(spark: SparkSession, input_dir: str, ranges: DataFrame | RangeIndex,
                   name: str, **kw) -> DataFrame:
     """The staged layout on a record folder: one availableNow run enriches the records
@@ -162,5 +182,5 @@ def replay_staged(spark: SparkSession, input_dir: str, ranges: DataFrame | Range
     if query.exception() is not None:
         raise RuntimeError(f"stream {name} (staged) failed: {query.exception()}")
     if not target.writes:
-        spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(f"{run.output}/batch_id=-1")
+        spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(f"{run.output}/run={NO_RUN}/batch_id=-1")
     return run.latest(spark, name)

@@ -1,8 +1,8 @@
 """Session helpers.
 
 Library code never sets a master. ``configure`` pins the settings that change the
-*meaning* of results (UTC session zone) and turns on adaptive execution, which the
-range join relies on for skew handling when it cannot broadcast.
+*meaning* of results (UTC session zone). ``EXECUTION_CONF`` is what the local sessions of
+tests and bench also set.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that change results or that the operators' plans rely on.
+# Settings that change results.
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
@@ -28,8 +28,8 @@ EXECUTION_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every hitscope plan assumes (idempotent)."""
-    for key, value in {**SEMANTIC_CONF, **EXECUTION_CONF}.items():
+    """Apply the settings that results depend on (idempotent); how plans run is the caller's choice."""
+    for key, value in SEMANTIC_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

@@ -33,6 +33,7 @@ def read_record_stream(
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
     max_files_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """An unbounded frame with one ``value`` column holding one JSON record per row.
@@ -41,6 +42,7 @@ def read_record_stream(
     reads newline-delimited records from files (used by tests and replays).
     ``max_offsets_per_trigger`` / ``max_files_per_trigger`` bound one micro-batch, so a
     backlog (a restart after downtime) is worked off in batches of known size.
+    ``fail_on_data_loss=False`` goes on over offsets that the broker no longer has.
     """
     if source == "kafka":
         if not bootstrap_servers or not topic:
@@ -50,7 +52,7 @@ def read_record_stream(
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
+            .option("failOnDataLoss", str(fail_on_data_loss).lower())
         )
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))

@@ -2,19 +2,21 @@
 
 In ``update`` mode a window is emitted again each time a later batch changes it, and
 the sink appends, so a table holds several versions of a window. Every row written
-here carries the micro-batch id (``batch_id``), so readers can keep the newest version
-(``latest_versions``). A retried batch writes the same rows with the same id: the
-Parquet target overwrites that batch's directory, and the reader is idempotent to
-duplicates of one batch id for the JDBC target.
+here carries its version: ``run`` (when the query's checkpoint was made, and the query's id
+in it) and the micro-batch id (``batch_id``), so readers can keep the newest
+(``latest_versions``). Batch ids restart at 0 with a new checkpoint, but its run is a later one.
+A retried batch writes the same rows with the same version: the Parquet target overwrites
+that batch's directory, the JDBC target deletes its rows first.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,40 +25,72 @@ from hitscope.sinks.jdbc import write_jdbc
 log = logging.getLogger(__name__)
 
 
+LOCAL_RUN = "local"
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
+    """The run of a started query: its checkpoint's time (sorts as text) and the query id stored in it."""
+    made = spark.read.format("binaryFile").load(f"{checkpoint.rstrip('/')}/metadata").first()
+    started = int(made["modificationTime"].timestamp() * 1000)
+    return f"{started:014d}-{json.loads(bytes(made['content']))['id']}"
+
+
 @dataclass(frozen=True)
 class ParquetBatchTarget:
-    """One directory per batch id under ``path`` (``batch_id=<n>``), overwritten on retry.
+    """One directory per run and batch id under ``path`` (``run=<run>/batch_id=<n>``), overwritten on retry.
 
-    A micro-batch's output is the windows it changed (small), so it is written as
-    ``files_per_batch`` files: a ``repartition`` of the output keeps the stateful stage
-    parallel (a ``coalesce`` would run it in that many tasks), and the table does not
-    collect one tiny file per state partition every trigger. ``None`` keeps Spark's split."""
+    By default the output is rebalanced: Spark makes files by size, so a usual micro-batch (the
+    windows it changed) is one file and a catch-up batch many. ``files_per_batch`` fixes a number."""
 
     path: str
-    files_per_batch: int | None = 1
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        out = df.drop("batch_id")
-        if self.files_per_batch:
-            out = out.repartition(self.files_per_batch)
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    files_per_batch: int | None = None
+
+    def write(self, df: DataFrame, batch_id: int, run: str = LOCAL_RUN) -> None:
+        out = df.drop("run", "batch_id")
+        out = out.repartition(self.files_per_batch) if self.files_per_batch else out.hint("rebalance")
+        out.write.mode("overwrite").parquet(f"{self.path}/run={run}/batch_id={batch_id}")
+
+
+def _execute(spark: SparkSession, url: str, properties: dict[str, str], table: str, sql: str, values: list) -> None:
+    """One statement over the driver's JDBC connection; nothing if the table is not there yet."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for key, value in properties.items():
+        props.setProperty(key, str(value))
+    connection = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        if connection.getMetaData().getTables(None, None, table, None).next():
+            statement = connection.prepareStatement(sql)
+            for i, value in enumerate(values, 1):
+                statement.setObject(i, value)
+            statement.executeUpdate()
+    finally:
+        connection.close()
 
 
 @dataclass(frozen=True)
 class JdbcBatchTarget:
-    """Append each micro-batch to a JDBC table (``batch_id`` is a column)."""
+    """Append each micro-batch to a JDBC table (``run`` and ``batch_id`` are columns).
+
+    Rows that an earlier try of the same batch left are deleted first; ``execute`` runs that statement."""
 
     url: str
     table: str
     properties: dict[str, str] = field(default_factory=dict)
+    execute: Callable = _execute
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, run: str = LOCAL_RUN) -> None:
+        sql = f"DELETE FROM {self.table} WHERE run = ? AND batch_id = ?"
+        self.execute(df.sparkSession, self.url, self.properties, self.table, sql, [run, batch_id])
         write_jdbc(df, self.url, self.table, self.properties, mode="append")
 
 
 def versioned_batch_writer(target, *, skip_empty: bool = True, on_error: str = "raise",
-                           preview: Callable[[DataFrame, int], None] | None = None):
-    """K5: a ``foreachBatch`` function writing ``batch_df`` + ``batch_id`` to ``target``.
+                           preview: Callable[[DataFrame, int], None] | None = None,
+                           checkpoint: str | None = None):
+    """K5: a ``foreachBatch`` function writing ``batch_df`` + ``run`` + ``batch_id`` to ``target``.
+
+    ``run`` is read from ``checkpoint`` at the first batch (the query has made it by then).
 
     ``skip_empty`` skips batches without rows (each restart runs a no-data batch);
     ``on_error="skip"`` logs and drops a failed write (the checkpoint then moves on,
@@ -65,8 +99,12 @@ def versioned_batch_writer(target, *, skip_empty: bool = True, on_error: str = "
     if on_error not in ("raise", "skip"):
         raise ValueError("on_error must be 'raise' or 'skip'")
 
+    runs: list[str] = []
+
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if not runs:
+            runs.append(checkpoint_run(batch_df.sparkSession, checkpoint) if checkpoint else LOCAL_RUN)
+        out = batch_df.withColumns({"run": F.lit(runs[0]), "batch_id": F.lit(batch_id).cast("long")})
         cached = skip_empty or preview is not None
         if cached:
             out = out.persist()
@@ -76,7 +114,7 @@ def versioned_batch_writer(target, *, skip_empty: bool = True, on_error: str = "
             if preview is not None:
                 preview(out, batch_id)
             try:
-                target.write(out, batch_id)
+                target.write(out, batch_id, runs[0])
             except Exception:  # noqa: BLE001 - the caller chose to keep going
                 if on_error == "raise":
                     raise
@@ -104,7 +142,7 @@ def start_query(df: DataFrame, name: str, target, checkpoint: str, *,
         .trigger(**trig)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(versioned_batch_writer(target, on_error=on_error, skip_empty=skip_empty,
-                                             preview=preview))
+                                             preview=preview, checkpoint=checkpoint))
         .start()
     )
 

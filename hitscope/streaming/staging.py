@@ -9,6 +9,8 @@ trigger of latency and the table's storage.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -33,6 +35,14 @@ def start_enriched_table(enriched: DataFrame, path: str, checkpoint: str, *,
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
+def wait_for_first_batch(query: StreamingQuery, poll_seconds: float = 1.0) -> None:
+    """Return when the query has committed a batch; later batches may still be running (data keep arriving)."""
+    while not query.recentProgress:
+        if not query.isActive:
+            raise RuntimeError(f"the staging query ended before its first batch: {query.exception()}")
+        time.sleep(poll_seconds)
+
+
 def read_enriched_table(spark: SparkSession, path: str, schema: StructType, *,
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """The staged table as a stream (only files committed by the sink are read)."""

@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_versions(versions: DataFrame, keys: list[str], version_col: str = "batch_id") -> DataFrame:
-    """Keep, per ``window_start, window_end`` + ``keys``, the row of the highest batch id.
+VERSION = ("run", "batch_id")
+
+
+def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
+    """Keep, per ``window_start, window_end`` + ``keys``, the row of the newest run and, in it, the highest batch id.
 
     ``max_by`` is an ordinary aggregate (partial on the map side), so a window with many
-    versions never gathers its rows in one place; equal ids (a retried append) collapse.
+    versions never gathers its rows in one place; equal versions (a retried append) collapse.
     """
     group = ["window_start", "window_end", *keys]
-    values = [c for c in versions.columns if c not in (*group, version_col)]
+    values = [c for c in versions.columns if c not in (*group, *VERSION)]
+    order = F.struct(*[F.col(c) for c in VERSION if c in versions.columns])
     packed = F.struct(*[F.col(c) for c in values])
-    newest = versions.groupBy(*group).agg(F.max_by(packed, F.col(version_col)).alias("_v"))
+    newest = versions.groupBy(*group).agg(F.max_by(packed, order).alias("_v"))
     return newest.select(*group, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def read_versions(spark, path: str) -> DataFrame:
-    """Read a ``ParquetBatchTarget`` directory (``batch_id`` comes from the folder names)."""
+    """Read a ``ParquetBatchTarget`` directory (``run`` and ``batch_id`` come from the folder names)."""
     return spark.read.option("basePath", path).parquet(path)

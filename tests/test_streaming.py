@@ -104,7 +104,7 @@ def test_records_round_trip(spark):
 
 
 class _Boom:
-    def write(self, df, batch_id):
+    def write(self, df, batch_id, run):
         raise RuntimeError("database down")
 
 
@@ -112,7 +112,7 @@ class _Collect:
     def __init__(self):
         self.seen = []
 
-    def write(self, df, batch_id):
+    def write(self, df, batch_id, run):
         self.seen.append((batch_id, df.count(), "batch_id" in df.columns))
 
 
@@ -190,6 +190,37 @@ def test_parquet_target_retry_is_idempotent(spark, scratch):
     assert [r.n for r in latest_versions(back, []).collect()] == [5]
 
 
+def test_versions_survive_a_new_checkpoint(spark, scratch, ranges):
+    """Old batches 0..1 under one checkpoint, then a new checkpoint whose batches count from 0: nothing is
+    overwritten, and the newer run's windows are the newest even where its batch ids are lower."""
+    name = "stream_error_rate"
+    first = StreamRun(f"{scratch}/two-{uuid.uuid4().hex}")
+    first.add_input(_rows(spark, [T0 + 10]))
+    first.run(spark, name, ranges)
+    first.add_input(_rows(spark, [T0 + 20]))
+    first.run(spark, name, ranges)
+    before = first.versions(spark).count()
+    second = StreamRun(first.root, checkpoint_name="other")
+    second.add_input(_rows(spark, [T0 + 30, T0 + 400]))
+    second.run(spark, name, ranges)
+    versions = second.versions(spark)
+    assert versions.select("run").distinct().count() == 2
+    assert versions.count() == before + 2
+    got = sorted((r.window_start, r.total_requests) for r in second.latest(spark, name).collect())
+    assert got == [(_ts(T0), 3), (_ts(T0 + 300), 1)]
+
+
+def test_jdbc_target_deletes_a_batch_before_appending(spark):
+    from hitscope.streaming.sink import JdbcBatchTarget
+
+    calls = []
+    target = JdbcBatchTarget("jdbc:hitscope-no-such-driver:x", "windows", {"user": "u"}, execute=lambda *a: calls.append(a[1:]))
+    with pytest.raises(Exception):
+        target.write(spark.createDataFrame([(1,)], "n int"), 4, "run-1")
+    assert calls == [("jdbc:hitscope-no-such-driver:x", {"user": "u"}, "windows",
+                      "DELETE FROM windows WHERE run = ? AND batch_id = ?", ["run-1", 4])]
+
+
 def test_two_part_replay_reemits_a_window(spark):
     """The registered W8 query really reads several versions of a window."""
     from hitscope.plans import catalog

@@ -19,6 +19,8 @@ def _final_plan(df):
     """The executed adaptive plan, without its (top-level) initial-plan copy."""
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
+    if "AdaptiveSparkPlan" not in plan:  # nothing is shuffled
+        return plan
     assert "isFinalPlan=true" in plan.splitlines()[0]
     return plan.split("\n+- == Initial Plan ==")[0]
 

@@ -192,6 +192,15 @@ STREAM_BODIES = {
     "stream_error_rate": _window([], f"count(*) as total_requests, cast({ERR} as bigint) as error_requests, "
                                      f"{R(f'cast({ERR} as double) / cast(count(*) as double) * 100')} as error_rate_pct"),
     "stream_traffic_volume": _window([], f"{REQ}, {BYTES}, {MB} as total_mb"),
+    "stream_traffic_volume_hosts": _window([], f"{REQ}, {BYTES}, {MB} as total_mb, count(distinct host) as exact_hosts, true as estimate_ok"),
+    # rows that arrive late count only in windows that the watermark (newest earlier time - 10 minutes) has not passed
+    "stream_late_rows": f"""select make_timestamp(wstart * 1000000) as window_start, make_timestamp((wstart + 300) * 1000000) as window_end,
+ count(*) as total_requests, cast({ERR} as bigint) as error_requests, {R(f'cast({ERR} as double) / cast(count(*) as double) * 100')} as error_rate_pct
+ from (select *, cast(floor(time / 300) as bigint) * 300 as wstart, cast(idx as bigint) % 3 = 0 as late from
+        (select idx, {CLEAN_COLS} from raw_logs where {CLEAN_WHERE}) where time is not null)
+ where not late or wstart + 300 > (select max(time) - 600 from (select idx, {CLEAN_COLS} from raw_logs where {CLEAN_WHERE})
+                                   where cast(idx as bigint) % 3 <> 0)
+ group by wstart""",
 }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.operators.cleaning import kept, typed
@@ -162,6 +162,18 @@ def replay_with_two_checkpoints(spark: SparkSession, raw_rows: DataFrame, ranges
     return after.versions(spark), after.latest(spark, name)
 
 
+def replay_late_rows(spark: SparkSession, raw_rows: DataFrame, ranges: DataFrame | RangeIndex,
+                     name: str, late: Column, **kw) -> DataFrame:
+    """All rows but the ``late`` ones, then those under the same checkpoint: what lies behind the watermark of
+    the first run (its newest time less the delay) is dropped, the rest still changes its windows."""
+    run = StreamRun.create(spark, name)
+    run.add_input(raw_rows.where(~late))
+    run.run(spark, name, ranges, **kw)
+    run.add_input(raw_rows.where(late))
+    run.run(spark, name, ranges, **kw)
+    return run.latest(spark, name)
+
+
 def replay_staged(spark: SparkSession, input_dir: str, ranges: DataFrame | RangeIndex,
                   name: str, **kw) -> DataFrame:
     """The staged layout on a record folder: one availableNow run enriches the records

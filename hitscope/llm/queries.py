@@ -78,5 +78,7 @@ QUERIES: dict[str, Query] = {
 
 #: DuckDB text of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op4_ngram_join": ngram_join.ORACLE,
     "op8_block_naming": block_naming.ORACLE,
+    "op10_repeated_spans": repeated_spans.ORACLE,
 }

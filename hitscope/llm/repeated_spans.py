@@ -186,3 +186,16 @@ def remove_repeats(documents: DataFrame, text: str = "text", **heavy: int) -> Da
 def digest(documents: DataFrame, **heavy: int) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     return remove_repeats(documents, **heavy).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+k AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS span
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+least AS (SELECT span, min(doc_id) AS first_id FROM k GROUP BY span),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT k.doc_id, unnest(range(k.i, k.i + 13)) AS p FROM k JOIN least USING (span) WHERE first_id < k.doc_id)),
+u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w)
+SELECT w.doc_id, count(u.p) AS n_words, count(gone.p) AS n_removed,
+       sha256(coalesce(string_agg(u.word, ' ' ORDER BY u.p) FILTER (WHERE gone.p IS NULL), '')) AS kept_sha256
+FROM w LEFT JOIN u ON u.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.p = u.p GROUP BY w.doc_id
+"""

@@ -8,9 +8,10 @@ similarity of at least 75 %. The join keeps classes of documents with equal sets
    too. Summed per node these counts leave only nodes of which three quarters of the shingles
    are shared; no other can have a link.
 2. Nodes that share one of their rarest shingles (as many as a link cannot miss) are candidates.
-   Pairs within a list of candidates are not all formed: each list first gives the pairs of one hub
-   with the others; nodes that turn out connected need no further pairs. Then the smaller groups
-   of each list are paired with all of another group.
+   Pairs within a list of candidates are not all formed: each node is first paired with one hub and
+   with a few neighbours in random orders of its lists; nodes that turn out connected need no
+   further pairs. Then the smaller groups of each list are paired with all of another group. All pairs
+   pass a length and a positional filter.
 3. The overlap of a pair is counted by fragment and summed per pair, which decides exactly.
 4. Components of the links, by repeated contraction.
 
@@ -31,7 +32,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitscope.llm.textio import binary_array, sequence_hashes, short_hashes, slices, words
@@ -43,6 +44,9 @@ PERCENT = 75
 FRAGMENT_SHINGLES = 4_000_000
 #: Fragments in which the overlaps of a pair are counted.
 PAIR_FRAGMENTS = 8
+#: Of each list, so many neighbours of a member are paired with it at once, in parts of so many members.
+CHAIN_STEPS = 8
+CHAIN_ROWS = 1000
 
 
 def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -170,12 +174,11 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
 
 def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b) those that link: partial overlaps by fragment, summed per pair."""
-    left = segments.select(F.col("node").alias("b"), "fragment", F.col("segment").alias("of_b"), F.col("size").alias("size_b"))
-    right = segments.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("of_a"), F.col("size").alias("size_a"))
-    partial = pairs.join(left, "b").join(right, ["a", "fragment"])
-    partial = partial.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
-    total = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("overlap").alias("overlap"))
-    return total.where(100 * F.col("overlap") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b")
+    left = segments.select(F.col("node").alias("b"), F.col("segments").alias("of_b"), F.col("size").alias("size_b"))
+    right = segments.select(F.col("node").alias("a"), F.col("segments").alias("of_a"), F.col("size").alias("size_a"))
+    partial = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    both = pairs.join(left, "b").join(right, "a").select("a", "b", "size_a", "size_b", F.aggregate(partial, F.lit(0), lambda total, x: total + x).alias("overlap"))
+    return both.where(100 * F.col("overlap") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -194,34 +197,51 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _fitting(size: str, other: str) -> F.Column:
-    return (F.col(size) * 100 >= F.col(other) * PERCENT) & (F.col(other) * 100 >= F.col(size) * PERCENT)
+def _may_link(a: Column, b: Column) -> Column:
+    """Length filter, and positional filter: what two sets can still share after their first common shingle."""
+    needed = F.ceil((a["size"] + b["size"]) * F.lit(PERCENT) / F.lit(100 + PERCENT) - F.lit(1e-9))
+    left = 1 + F.least(a["size"] - a["place"] - 1, b["size"] - b["place"] - 1)
+    return (a["size"] * 100 >= b["size"] * PERCENT) & (b["size"] * 100 >= a["size"] * PERCENT) & (left >= needed)
+
+
+def _pair(a: Column, b: Column) -> list[Column]:
+    return [F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b")]
 
 
 def _links(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     """node, label of all nodes that have a link."""
-    shingle_of = F.posexplode(F.slice("shingles", 1, F.greatest(F.col("keys"), F.lit(1)).cast("int"))).alias("place", "shingle")
-    lists = _stored(nodes.select("node", "size", "keys", shingle_of).where("place < keys").select("shingle", "node", "size"), "lists")
-    fragment = F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))).alias("fragment")
+    keys = F.slice("shingles", 1, F.greatest(F.col("keys"), F.lit(1)).cast("int"))
+    lists = nodes.select("node", "size", "keys", F.size("shingles").alias("shared"), F.posexplode(keys).alias("at", "shingle")).where("at < keys")
+    # shingles that no other node has come before all others
+    lists = lists.select("shingle", F.struct("node", "size", (F.col("size") - F.col("shared") + F.col("at")).alias("place")).alias("own"))
+    often = lists.groupBy("shingle").agg(F.min("own").alias("hub"), F.count("*").alias("members")).where("members > 1")
+    lists = _stored(lists.join(often, "shingle"), "lists")
     shift = 64 - (PAIR_FRAGMENTS - 1).bit_length()
-    segments = nodes.select("node", "size", "shingles", fragment)
-    segments = segments.select("node", "size", "fragment", F.expr(f"filter(shingles, s -> shiftrightunsigned(s, {shift}) = fragment)").alias("segment"))
-    hubs = lists.groupBy("shingle").agg(F.min(F.struct("node", "size")).alias("hub"), F.count("*").alias("members")).where("members > 1")
-    pairs = lists.join(hubs, "shingle").select(F.col("hub.node").alias("a"), F.col("hub.size").alias("a_size"), F.col("node").alias("b"), F.col("size").alias("b_size"))
-    tried = _stored(pairs.where("a <> b").where(_fitting("a_size", "b_size")).select("a", "b").distinct(), "pairs")
+    cut = f"transform(sequence(0, {PAIR_FRAGMENTS - 1}), f -> filter(shingles, s -> shiftrightunsigned(s, {shift}) = f))"
+    segments = nodes.select("node", "size", F.expr(cut).alias("segments"))
+    own, hub = F.col("own"), F.col("hub")
+    to_hub = lists.where((own["node"] != hub["node"]) & _may_link(own, hub)).groupBy(own["node"].alias("node")).agg(F.min("hub").alias("hub"))
+    to_hub = to_hub.select(F.least("node", hub["node"]).alias("a"), F.greatest("node", hub["node"]).alias("b"))
+    # neighbours in a random order of each list, in parts of about CHAIN_ROWS members
+    part = F.pmod(F.xxhash64(own["node"]), F.ceil(F.col("members") / CHAIN_ROWS).cast("long"))
+    order = Window.partitionBy("shingle", "part").orderBy(F.xxhash64(own["node"], "shingle"), own["node"])
+    chained = lists.withColumn("part", part).select("own", F.array(*[F.lead("own", k).over(order) for k in range(1, CHAIN_STEPS + 1)]).alias("beside"))
+    beside = F.col("other")
+    chained = chained.select("own", F.explode(F.filter("beside", lambda x: x.isNotNull() & _may_link(own, x))).alias("other")).select(*_pair(own, beside))
+    tried = _stored(to_hub.union(chained).distinct(), "pairs")
     links = _stored(_linked(tried, segments), "links")
     labels = components(links)
     # the rest of each list: members of another group than its largest, with all of other groups
-    named = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = lists.select("shingle", "own", own["node"].alias("node")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     groups = named.groupBy("shingle", "label").agg(F.count("*").alias("members"))
     most = groups.groupBy("shingle").agg(F.max(F.struct("members", "label")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
-    named = _stored(named.join(most, "shingle").select("shingle", "node", "size", "label", (F.col("label") == F.col("most.label")).alias("largest")), "groups")
-    few = named.where("NOT largest").select("shingle", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("label").alias("a_label"))
-    every = named.select("shingle", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("label").alias("b_label"))
-    pairs = few.join(every, "shingle").where("a_label <> b_label").where(_fitting("a_size", "b_size"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _stored(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+    named = _stored(named.join(most, "shingle").select("shingle", "own", "label", (F.col("label") == F.col("most.label")).alias("largest")), "groups")
+    few = named.where("NOT largest").select("shingle", F.col("own").alias("x"), F.col("label").alias("x_label"))
+    every = named.select("shingle", F.col("own").alias("y"), F.col("label").alias("y_label"), "largest")
+    x, y = F.col("x"), F.col("y")
+    once = F.col("largest") | (x["node"] < y["node"])
+    rest = few.join(every, "shingle").where((F.col("x_label") != F.col("y_label")) & once & _may_link(x, y)).select(*_pair(x, y)).distinct()
+    rest = _stored(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
     more = _stored(_linked(rest, segments), "links")
     return labels if more.isEmpty() else components(links.union(more))
 
@@ -255,3 +275,18 @@ def one_of_each(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are the smallest of their component, with their columns; those without an id stay only if alone."""
     found = join(documents, text).where("doc_id IS NOT NULL AND component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return documents.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+c AS (SELECT doc_id AS d, doc_id AS o FROM documents UNION SELECT c.d, l.y FROM c JOIN l ON c.o = l.x)
+SELECT c.d AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(c.o) AS component_id FROM c LEFT JOIN n ON n.doc_id = c.d GROUP BY c.d
+"""

@@ -15,10 +15,14 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = True) -> None:
 
 
 def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
-    """K4: Parquet, overwrite, optionally partitioned (``date`` for the enriched table)."""
-    writer = df.write.mode("overwrite")
+    """K4: Parquet, overwrite, optionally partitioned (``date`` for the enriched table).
+
+    Partitioned rows are rebalanced by the folder columns first: without that every task writes a file
+    into every folder. Spark splits a large folder by size, so a hot day is not one task's work."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    else:
+        writer = df.write.mode("overwrite")
     writer.parquet(path)
 
 

@@ -20,7 +20,8 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
     """CSV with a header, ``"`` as both quote and escape, every field a string.
 
     Fields are taken by header name, as text (no inference pass); the first column is
-    an index of any name, kept first so that ``clean`` drops it by position.
+    an index of any name, kept first so that ``clean`` drops it by position. All files must have
+    the same header: one that differs is an error, not read by position.
     ``fmt="parquet"`` reads the same layout from Parquet (fields cast to text, so the
     cleaning rules are the same).
     """
@@ -37,6 +38,7 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)  # a file whose header differs from the first one's fails
         .csv(path)
     )
     index = text.columns[0]
@@ -46,7 +48,7 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
 
 
 def _read_by_header(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    text = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
     return text.select([
         F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema.fields
     ])

@@ -152,3 +152,32 @@ def test_run_batch_reports_only_to_jdbc(spark, scratch, monkeypatch):
               testdata.geo_locations(spark, SF_SMALL), f"{scratch}/batch_reports_only",
               jdbc={"url": "jdbc:x:y"}, report_names=["hourly_traffic"], jdbc_enriched=False)
     assert tables == ["hourly_traffic"]
+
+
+def test_a_differing_csv_header_fails(spark, scratch):
+    import os
+
+    from hitscope.sources.files import read_access_log
+
+    folder = f"{scratch}/headers"
+    os.makedirs(folder)
+    for name, header, row in (("a", "i,host,time,method,url,response,bytes", "1,h,1,GET,/a,200,1"),
+                              ("b", "i,host,time,url,method,response,bytes", "2,h,1,/b,GET,200,1")):
+        with open(f"{folder}/{name}.csv", "w") as out:
+            out.write(f"{header}\n{row}\n")
+    with pytest.raises(Exception, match="header"):
+        read_access_log(spark, folder).collect()
+    assert [r.url for r in read_access_log(spark, f"{folder}/a.csv").collect()] == ["/a"]
+
+
+def test_partitioned_output_has_few_files_per_date(spark, scratch):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from hitscope.sinks.files import write_parquet
+
+    rows = spark.range(2000).select("id", (F.col("id") % 5).alias("date")).repartition(8)
+    write_parquet(rows, f"{scratch}/few", partition_by=["date"])
+    assert len(glob.glob(f"{scratch}/few/date=*/*.parquet")) <= 10
+    assert spark.read.parquet(f"{scratch}/few").count() == 2000

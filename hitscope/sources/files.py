@@ -20,8 +20,9 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
     """CSV with a header, ``"`` as both quote and escape, every field a string.
 
     Fields are taken by header name, as text (no inference pass); the first column is
-    an index of any name, kept first so that ``clean`` drops it by position. All files must have
-    the same header: one that differs is an error, not read by position.
+    an index of any name (or none), kept first so that ``clean`` drops it by position. The header
+    of the first file holds for all files of a call: Spark takes the others by position, so files with
+    another order of columns need a call of their own.
     ``fmt="parquet"`` reads the same layout from Parquet (fields cast to text, so the
     cleaning rules are the same).
     """
@@ -38,7 +39,6 @@ def read_access_log(spark: SparkSession, path: str | list[str], fmt: str = "csv"
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)  # a file whose header differs from the first one's fails
         .csv(path)
     )
     index = text.columns[0]

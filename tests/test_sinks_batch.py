@@ -154,20 +154,19 @@ def test_run_batch_reports_only_to_jdbc(spark, scratch, monkeypatch):
     assert tables == ["hourly_traffic"]
 
 
-def test_a_differing_csv_header_fails(spark, scratch):
+def test_a_differing_geo_header_fails(spark, scratch):
     import os
 
-    from hitscope.sources.files import read_access_log
+    from hitscope.sources.files import read_geo_blocks
 
     folder = f"{scratch}/headers"
     os.makedirs(folder)
-    for name, header, row in (("a", "i,host,time,method,url,response,bytes", "1,h,1,GET,/a,200,1"),
-                              ("b", "i,host,time,url,method,response,bytes", "2,h,1,/b,GET,200,1")):
+    for name, header, row in (("a", "network,geoname_id", "10.0.0.0/8,1"), ("b", "geoname_id,network", "2,11.0.0.0/8")):
         with open(f"{folder}/{name}.csv", "w") as out:
             out.write(f"{header}\n{row}\n")
     with pytest.raises(Exception, match="header"):
-        read_access_log(spark, folder).collect()
-    assert [r.url for r in read_access_log(spark, f"{folder}/a.csv").collect()] == ["/a"]
+        read_geo_blocks(spark, folder).collect()
+    assert [r.geoname_id for r in read_geo_blocks(spark, f"{folder}/a.csv").collect()] == [1]
 
 
 def test_partitioned_output_has_few_files_per_date(spark, scratch):

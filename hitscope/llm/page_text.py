@@ -5,7 +5,8 @@ attributes and content; Spark counts, per host, in how many different pages a su
 subtrees found in ``MIN_PAGES`` pages or more are deleted as template. Pages with equal markup
 count once, so copies of a page do not make its content a template. Of what is left, containers
 that say what they are (menus, footers, sidebars, forms, adverts, notices, comments, ...) go,
-and if the page has an article or main element, only that stays.
+and if the page has an article or main element, only that stays, so such a page's text does not depend on
+what is template, and its markup need not meet the templates of its host.
 
 The blocks of what remains are joined in page order.
 
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitscope.llm.textio import slices
+from hitscope.session import scratch_path
 
 #: Different pages of a host that a subtree must occur in to be template.
 MIN_PAGES = 5
@@ -214,22 +216,40 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(c).take(at) for c in ("page", "host")] + [pa.array(hashes, pa.int64())], ["page", "host", "hash"])
 
 
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of pages that have an article, whatever is template; the markup of the others."""
+    for rows in slices(batches, "html"):
+        markups = rows.column("html").to_pylist()
+        pages = [parse(markup) for markup in markups]
+        whole = [any(inside for _, _, inside in page.blocks) for page in pages]
+        texts = [main_text(page, set()) if done else None for page, done in zip(pages, whole, strict=True)]
+        rest = [None if done else markup for markup, done in zip(markups, whole, strict=True)]
+        columns = [rows.column(c) for c in ("page_id", "url", "page", "host")] + [pa.array(texts, pa.string()), pa.array(rest, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "page", "host", "text", "html"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "html"):
         templates = rows.column("template").to_pylist()
-        found = [main_text(parse(markup or ""), set(t or ())) for markup, t in zip(rows.column("html").to_pylist(), templates, strict=True)]
+        found = [main_text(parse(markup), set(t or ())) for markup, t in zip(rows.column("html").to_pylist(), templates, strict=True)]
         yield pa.RecordBatch.from_arrays([rows.column("page_id"), rows.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text (main text), n_chars of every page."""
+    spark = pages.sparkSession
     source = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     source = source.withColumn("page", F.xxhash64("html")).withColumn("host", host)
-    subtrees = source.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long").distinct()
+    path = scratch_path(spark, "page_subtrees")
+    source.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long").distinct().write.parquet(path)
+    subtrees = spark.read.parquet(path)
     counts = subtrees.groupBy("host", "hash").count().where(F.col("count") >= min_pages)
     own = subtrees.join(counts.select("host", "hash"), ["host", "hash"], "left_semi").groupBy("page", "host").agg(F.collect_list("hash").alias("template"))
     own = own.select(F.col("page").alias("own_page"), F.col("host").alias("own_host"), "template")
-    joined = source.join(own, (F.col("page") == F.col("own_page")) & (F.col("host") == F.col("own_host")), "left")
-    texts = joined.select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
-    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+    first = source.mapInArrow(_settled, "page_id long, url string, page long, host string, text string, html string")
+    done = first.where("text IS NOT NULL").select("page_id", "url", "text")
+    # only pages without an article are shuffled
+    rest = first.where("text IS NULL").join(own, (F.col("page") == F.col("own_page")) & (F.col("host") == F.col("own_host")), "left")
+    rest = rest.select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
+    return done.union(rest).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -1,6 +1,6 @@
 """Document fingerprints by a threshold-scaled sketch (operator 9). DataFrame functions only.
 
-Every run of five consecutive words gets a 48-bit hash. A fingerprint keeps all distinct hashes
+Every run of five consecutive words gets a 31-bit hash. A fingerprint keeps all distinct hashes
 below a fixed fraction (1/``SCALE``) of the range, so its size follows the document's and the
 sketches of any two documents, however unequal, are samples by the same rule: intersections and
 unions of sketches estimate those of the documents, and the union of two sketches is the sketch
@@ -25,7 +25,7 @@ from hitscope.session import scratch_path
 
 SHINGLE = 5
 SCALE = 8
-HASH_BITS = 48
+HASH_BITS = 31
 _LEAST = -(1 << 63)
 
 
@@ -44,11 +44,11 @@ def with_sketch(frame: DataFrame, text: str, into: str, scale: int = SCALE) -> D
     at = F.col("__words")
     positions = F.when(F.size(at) >= SHINGLE, F.sequence(F.lit(1), F.size(at) - (SHINGLE - 1))).otherwise(F.array().cast("array<int>"))
     shift = 64 - HASH_BITS
-    runs = F.transform(positions, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.element_at(at, (i + k).cast("int")) for k in range(SHINGLE)]), shift))
-    hashed = hashed.withColumn("__runs", F.when(F.size(at) >= SHINGLE, runs).otherwise(F.filter(F.array(F.shiftrightunsigned(_short(at), shift)), lambda h: h.isNotNull())))
+    runs = F.transform(positions, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.element_at(at, (i + k).cast("int")) for k in range(SHINGLE)]), shift).cast("int"))
+    hashed = hashed.withColumn("__runs", F.when(F.size(at) >= SHINGLE, runs).otherwise(F.filter(F.array(F.shiftrightunsigned(_short(at), shift).cast("int")), lambda h: h.isNotNull())))
     runs = F.col("__runs")
     low = F.filter(runs, lambda h: h < (1 << HASH_BITS) // scale)
-    kept = F.when(F.size(runs) > 0, F.array_sort(F.array_distinct(F.concat(low, F.array(F.array_min(runs)))))).otherwise(F.array().cast("array<long>"))
+    kept = F.when(F.size(runs) > 0, F.array_sort(F.array_distinct(F.concat(low, F.array(F.array_min(runs)))))).otherwise(F.array().cast("array<int>"))
     return hashed.withColumn(into, kept).drop("__words", "__runs")
 
 
@@ -69,8 +69,8 @@ def merged(a: Column, b: Column) -> Column:
 
 
 def as_text(sketch: Column) -> Column:
-    """Twelve hexadecimal digits a hash."""
-    return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), HASH_BITS // 4, "0"))), "")
+    """Eight hexadecimal digits a hash."""
+    return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), -(-HASH_BITS // 4), "0"))), "")
 
 
 def _next_documents(ids: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def jaccard(a, b):
 
 
 def hashes(fingerprint):
-    return {fingerprint[i : i + 12] for i in range(0, len(fingerprint), 12)}
+    return {fingerprint[i : i + 8] for i in range(0, len(fingerprint), 8)}
 
 
 def corpus(n=60, seed=3):

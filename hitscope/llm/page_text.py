@@ -1,12 +1,16 @@
 """Main text of web pages by site template removal (operator 1).
 
-Every page is parsed into elements. Each subtree outside the article gets a hash of its tag,
-attributes and content; Spark counts, per host, in how many different pages a subtree occurs, and
-subtrees found in ``MIN_PAGES`` pages or more are deleted as template. Pages with equal markup
-count once, so copies of a page do not make its content a template. Of what is left, containers
-that say what they are (menus, footers, sidebars, forms, adverts, notices, comments, ...) go,
-and if the page has an article or main element, only that stays, so such a page's text does not depend on
-what is template, and its markup need not meet the templates of its host.
+Every page is parsed into elements. Each subtree gets a hash of its tag, attributes and content, in
+the article as beside it; Spark counts, per host, in how many different pages a subtree occurs, and
+subtrees found in ``MIN_PAGES`` pages or more are deleted as template on every page. Pages with equal
+content count once, so copies of a page do not make its content a template. An article or main
+that would lose more than half of its text is a copy of others rather than made of template, and
+loses nothing. Of what is left, containers that say what they are (menus, footers, sidebars, forms,
+adverts, notices, comments, ...) go, and if the page has an article or main element, only that
+stays.
+
+Only hashes are shuffled. The templates of a host are one row, and Spark broadcasts that table while
+it is small; the pages are shuffled by host only if it is not.
 
 The blocks of what remains are joined in page order.
 
@@ -79,10 +83,11 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks of text with the numbers of the elements around them, and each unprotected element's hash."""
+    """Blocks of text with the numbers of the elements around them, each element's hash, and a hash of all content."""
 
     blocks: list[tuple[str, tuple[int, ...], bool]]
     hashes: dict[int, int]
+    key: int
 
 
 def _dropped(name: str, rest: str, inside_main: bool) -> bool:
@@ -110,6 +115,7 @@ def parse(markup: str) -> Page:
     root = Element("", "", False, False, [], 0)
     stack = [root]
     buffer: list[str] = []
+    holders: set[int] = set()
     count = at = 0
 
     def flush() -> None:
@@ -131,7 +137,7 @@ def parse(markup: str) -> Page:
             return
         value = xxhash.xxh3_64_digest("\x00".join((done.name, done.attributes)).encode("utf-8", "surrogatepass") + b"\x01" + b"\x02".join(done.parts))
         stack[-1].parts.append(value)
-        if not done.inside_main and done.parts:
+        if done.parts and done.name not in ("html", "body"):
             hashes[done.number] = int.from_bytes(value, "big", signed=True)
 
     for token in _TOKEN.finditer(markup):
@@ -176,6 +182,9 @@ def parse(markup: str) -> Page:
         top = stack[-1]
         gone = top.dropped or _dropped(name, rest, top.inside_main)
         inside = not gone and (top.inside_main or name in MAIN)
+        if inside and name in MAIN:
+            holders.update(e.number for e in stack)
+            holders.add(count)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(markup, at)
             content = markup[at : end.start() if end else len(markup)]
@@ -193,39 +202,33 @@ def parse(markup: str) -> Page:
     while len(stack) > 1:
         pop()
     flush()
-    return Page(blocks, hashes)
+    key = int.from_bytes(xxhash.xxh3_64_digest(b"\x02".join(root.parts)), "big", signed=True)
+    # what goes anyway needs no count, and what holds an article is no template
+    shown = {n for _, around, _ in blocks for n in around}
+    return Page(blocks, {n: h for n, h in hashes.items() if n in shown and n not in holders}, key)
 
 
 def main_text(page: Page, template: set[int]) -> str:
     """The blocks that stay, joined by one space."""
     gone = {n for n, h in page.hashes.items() if h in template}
-    kept = [(text, inside) for text, around, inside in page.blocks if inside or not gone.intersection(around)]
-    if any(inside for _, inside in kept):
-        kept = [k for k in kept if k[1]]
-    return " ".join(text for text, _ in kept)
+    kept = [b for b in page.blocks if not gone.intersection(b[1])]
+    article = [b for b in page.blocks if b[2]]
+    if article:
+        left = [b for b in kept if b[2]]
+        kept = left if 2 * sum(len(b[0]) for b in left) >= sum(len(b[0]) for b in article) else article
+    return " ".join(b[0] for b in kept)
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "html"):
-        page, hashes = [], []
+        at, hashes, keys = [], [], []
         for i, markup in enumerate(rows.column("html").to_pylist()):
-            own = set(parse(markup or "").hashes.values())
-            page += [i] * len(own)
+            page = parse(markup or "")
+            own = set(page.hashes.values())
+            at += [i] * len(own)
             hashes += own
-        at = pa.array(page, pa.int64())
-        yield pa.RecordBatch.from_arrays([rows.column(c).take(at) for c in ("page", "host")] + [pa.array(hashes, pa.int64())], ["page", "host", "hash"])
-
-
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text of pages that have an article, whatever is template; the markup of the others."""
-    for rows in slices(batches, "html"):
-        markups = rows.column("html").to_pylist()
-        pages = [parse(markup) for markup in markups]
-        whole = [any(inside for _, _, inside in page.blocks) for page in pages]
-        texts = [main_text(page, set()) if done else None for page, done in zip(pages, whole, strict=True)]
-        rest = [None if done else markup for markup, done in zip(markups, whole, strict=True)]
-        columns = [rows.column(c) for c in ("page_id", "url", "page", "host")] + [pa.array(texts, pa.string()), pa.array(rest, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "page", "host", "text", "html"])
+            keys += [page.key] * len(own)
+        yield pa.RecordBatch.from_arrays([rows.column("host").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64()), pa.array(keys, pa.int64())], ["host", "hash", "key"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,16 +243,11 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     spark = pages.sparkSession
     source = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    source = source.withColumn("page", F.xxhash64("html")).withColumn("host", host)
-    path = scratch_path(spark, "page_subtrees")
-    source.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long").distinct().write.parquet(path)
-    subtrees = spark.read.parquet(path)
-    counts = subtrees.groupBy("host", "hash").count().where(F.col("count") >= min_pages)
-    own = subtrees.join(counts.select("host", "hash"), ["host", "hash"], "left_semi").groupBy("page", "host").agg(F.collect_list("hash").alias("template"))
-    own = own.select(F.col("page").alias("own_page"), F.col("host").alias("own_host"), "template")
-    first = source.mapInArrow(_settled, "page_id long, url string, page long, host string, text string, html string")
-    done = first.where("text IS NOT NULL").select("page_id", "url", "text")
-    # only pages without an article are shuffled
-    rest = first.where("text IS NULL").join(own, (F.col("page") == F.col("own_page")) & (F.col("host") == F.col("own_host")), "left")
-    rest = rest.select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
-    return done.union(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    source = source.withColumn("host", F.xxhash64(host))
+    path = scratch_path(spark, "page_templates")
+    subtrees = source.select("host", "html").mapInArrow(_subtrees, "host long, hash long, key long")
+    counts = subtrees.distinct().groupBy("host", "hash").count().where(F.col("count") >= min_pages)
+    counts.groupBy("host").agg(F.collect_list("hash").alias("template")).write.parquet(path)
+    # read again, so that its size is known when the join is planned
+    texts = source.join(spark.read.parquet(path), "host", "left").select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))

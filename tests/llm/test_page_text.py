@@ -63,3 +63,22 @@ def test_pages_table_against_its_article(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "page_id long, url string, html string")
     assert page_text.extract(frame).collect() == []
+
+
+def test_template_inside_an_article_goes(spark):
+    """A subscribe box without a telling class recurs in the articles of a host, and no other part does."""
+    body = "<body><div>Top</div><article><h1>Title {0}</h1><p>Some longer text of page {0}.</p><div class=x1><p>Get our letter</p></div></article></body>"
+    rows = [(i, "http://a.example/x", body.format(i)) for i in range(6)]
+    # an article that recurs as a whole, its pages differing in a menu, is content
+    rows += [(20 + i, "http://b.example/x", f"<div>Menu {i}</div><main><h1>One</h1><p>The same text</p></main>") for i in range(6)]
+    got = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"Title {i} Some longer text of page {i}."
+        assert got[20 + i] == "One The same text"
+
+
+def test_pages_are_not_shuffled(spark):
+    """Only hashes are exchanged: the markup meets a broadcast table of templates."""
+    frame = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    plan = page_text.extract(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -2,10 +2,12 @@
 
 Every page is parsed into elements. Each subtree gets a hash of its tag, attributes and content, in
 the article as beside it; Spark counts, per host, in how many different pages a subtree occurs, and
-subtrees found in ``MIN_PAGES`` pages or more are deleted as template on every page. Pages with equal
-content count once, so copies of a page do not make its content a template. An article or main
-that would lose more than half of its text is a copy of others rather than made of template, and
-loses nothing. Of what is left, containers that say what they are (menus, footers, sidebars, forms,
+subtrees found in a ``SHARE`` of the host's pages, and in ``MIN_PAGES`` at least, are deleted as
+template on every page. Pages with equal content count once, and so do, for the subtrees inside it,
+pages with an equal main part (the article or main with the most text, else the innermost container
+with more than half of the page's text), so copies do not make content a template, whatever
+stands around them. An article or main that would lose more than half of its text is a copy of
+others rather than made of template, and loses nothing. Of what is left, containers that say what they are (menus, footers, sidebars, forms,
 adverts, notices, comments, ...) go, and if the page has an article or main element, only that
 stays.
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +38,9 @@ from pyspark.sql import functions as F
 from hitscope.llm.textio import slices
 from hitscope.session import scratch_path
 
-#: Different pages of a host that a subtree must occur in to be template.
-MIN_PAGES = 5
+#: Share of a host's different pages that a subtree must occur in to be template, and the least number of them.
+SHARE = 0.5
+MIN_PAGES = 3
 
 # Element names by what they mean for the main text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +55,7 @@ CLOSES = {
     "body": {"head"},
 }
 SCOPE = set("ul ol dl table tr article main section div body html aside nav header footer blockquote form".split())
+CONTAINERS = set("div section form fieldset center table tbody tr td".split())
 # Words in a class, id or role that mark a container as not part of the article.
 BOILERPLATE = set(
     "ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs captcha comment comments complementary consent contentinfo"
@@ -83,11 +88,17 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks of text with the numbers of the elements around them, each element's hash, and a hash of all content."""
+    """Blocks of text with the numbers of the elements around them, each element's hash (odd inside the main part), and hashes of all content and of the main part."""
 
     blocks: list[tuple[str, tuple[int, ...], bool]]
     hashes: dict[int, int]
     key: int
+    main_key: int | None
+
+    def counted(self) -> list[tuple[int, int]]:
+        """Each hash with the content that it counts once for; 0 and 1 stand for the pages and main parts themselves."""
+        out = {(h, self.main_key if h & 1 else self.key) for h in self.hashes.values()}
+        return [(0, self.key), *([] if self.main_key is None else [(1, self.main_key)]), *out]
 
 
 def _dropped(name: str, rest: str, inside_main: bool) -> bool:
@@ -115,7 +126,8 @@ def parse(markup: str) -> Page:
     root = Element("", "", False, False, [], 0)
     stack = [root]
     buffer: list[str] = []
-    holders: set[int] = set()
+    articles: set[int] = set()
+    containers: set[int] = set()
     count = at = 0
 
     def flush() -> None:
@@ -183,8 +195,9 @@ def parse(markup: str) -> Page:
         gone = top.dropped or _dropped(name, rest, top.inside_main)
         inside = not gone and (top.inside_main or name in MAIN)
         if inside and name in MAIN:
-            holders.update(e.number for e in stack)
-            holders.add(count)
+            articles.add(count)
+        if name in CONTAINERS:
+            containers.add(count)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(markup, at)
             content = markup[at : end.start() if end else len(markup)]
@@ -203,9 +216,26 @@ def parse(markup: str) -> Page:
         pop()
     flush()
     key = int.from_bytes(xxhash.xxh3_64_digest(b"\x02".join(root.parts)), "big", signed=True)
-    # what goes anyway needs no count, and what holds an article is no template
-    shown = {n for _, around, _ in blocks for n in around}
-    return Page(blocks, {n: h for n, h in hashes.items() if n in shown and n not in holders}, key)
+    return _with_main_part(blocks, hashes, articles, containers, key)
+
+
+def _with_main_part(blocks: list[tuple[str, tuple[int, ...], bool]], hashes: dict[int, int], articles: set[int], containers: set[int], key: int) -> Page:
+    length: Counter[int] = Counter()
+    around_of: dict[int, tuple[int, ...]] = {}
+    for text, around, _ in blocks:
+        for i, n in enumerate(around):
+            length[n] += len(text)
+            around_of[n] = around[: i + 1]
+    shown = [n for n in articles if n in length]
+    if shown:
+        main = max(shown, key=lambda n: (length[n], n))
+        main = max(n for n in shown if main in around_of[n] and 2 * length[n] > length[main])
+    else:
+        main = max((n for n in containers if 2 * length[n] > length[0]), default=0)
+    # what goes anyway needs no count, and what holds the main part is no template
+    whole = around_of.get(main, ())
+    own = {n: h & ~1 | (main > 0 and main in around_of[n]) for n, h in hashes.items() if n in around_of and n not in whole}
+    return Page(blocks, own, key, hashes.get(main))
 
 
 def main_text(page: Page, template: set[int]) -> str:
@@ -223,11 +253,10 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "html"):
         at, hashes, keys = [], [], []
         for i, markup in enumerate(rows.column("html").to_pylist()):
-            page = parse(markup or "")
-            own = set(page.hashes.values())
+            own = parse(markup or "").counted()
             at += [i] * len(own)
-            hashes += own
-            keys += [page.key] * len(own)
+            hashes += [h for h, _ in own]
+            keys += [k for _, k in own]
         yield pa.RecordBatch.from_arrays([rows.column("host").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64()), pa.array(keys, pa.int64())], ["host", "hash", "key"])
 
 
@@ -238,16 +267,22 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("page_id"), rows.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url, text (main text), n_chars of every page."""
     spark = pages.sparkSession
     source = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     source = source.withColumn("host", F.xxhash64(host))
-    path = scratch_path(spark, "page_templates")
     subtrees = source.select("host", "html").mapInArrow(_subtrees, "host long, hash long, key long")
     counts = subtrees.distinct().groupBy("host", "hash").count().where(F.col("count") >= min_pages)
-    counts.groupBy("host").agg(F.collect_list("hash").alias("template")).write.parquet(path)
+    path = scratch_path(spark, "page_subtrees")
+    counts.write.parquet(path)
+    counts = spark.read.parquet(path)
+    itself = F.col("hash").isin(0, 1)
+    sizes = counts.where(itself).select("host", F.col("hash").alias("inside"), F.col("count").alias("size"))
+    many = counts.where(~itself).withColumn("inside", F.col("hash").bitwiseAND(F.lit(1).cast("long"))).join(sizes, ["host", "inside"])
+    path = scratch_path(spark, "page_templates")
+    many.where(F.col("count") >= share * F.col("size")).groupBy("host").agg(F.collect_list("hash").alias("template")).write.parquet(path)
     # read again, so that its size is known when the join is planned
     texts = source.join(spark.read.parquet(path), "host", "left").select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

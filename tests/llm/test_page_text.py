@@ -82,3 +82,19 @@ def test_pages_are_not_shuffled(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = page_text.extract(frame)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_template_is_a_share_of_the_host(spark):
+    """What occurs in a few of many pages is content, and a host of three pages has templates."""
+    rows = [(i, "http://a.example/x", page(f"text {i}</p><h2>Summary</h2><p>" if i % 4 == 0 else f"text {i}")) for i in range(32)]
+    rows += [(100 + i, "http://b.example/x", page(f"text {i}")) for i in range(3)]
+    # one long text under pages that differ in a menu and a date
+    long = "<div><h2>One</h2><p>The same long text of the host</p></div>"
+    rows += [(200 + i, "http://c.example/x", f"<body><div>Menu {i}</div>{long}<div>day {i}</div></body>") for i in range(8)]
+    got = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(32):
+        assert got[i] == (f"text {i} Summary" if i % 4 == 0 else f"text {i}")
+    for i in range(3):
+        assert got[100 + i] == f"text {i}"
+    for i in range(8):
+        assert got[200 + i] == f"Menu {i} One The same long text of the host day {i}"

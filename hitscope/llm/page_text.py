@@ -8,8 +8,8 @@ pages with an equal main part (the article or main with the most text, else the
 with more than half of the page's text), so copies do not make content a template, whatever
 stands around them. An article or main that would lose more than half of its text is a copy of
 others rather than made of template, and loses nothing. Of what is left, containers that say what they are (menus, footers, sidebars, forms,
-adverts, notices, comments, ...) go, and if the page has an article or main element, only that
-stays.
+adverts, notices, comments, ...) go unless they hold the main part, and if the page has an article
+or main element, only that stays.
 
 Only hashes are shuffled. The templates of a host are one row, and Spark broadcasts that table while
 it is small; the pages are shuffled by host only if it is not.
@@ -47,7 +47,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 NEVER = set(
-    "script style noscript template head title nav footer aside form button select option textarea iframe object svg canvas audio video dialog menu map".split()
+    "script style noscript template head title nav footer aside button select option textarea iframe object svg canvas audio video dialog menu map".split()
 )
 MAIN = {"article", "main"}
 CLOSES = {
@@ -101,23 +101,28 @@ class Page:
         return [(0, self.key), *([] if self.main_key is None else [(1, self.main_key)]), *out]
 
 
-def _dropped(name: str, rest: str, inside_main: bool) -> bool:
+def _never(name: str, rest: str, inside_main: bool) -> bool:
+    """An element that is not part of the text, whatever it holds."""
     if name in NEVER or name == "header" and not inside_main:
         return True
-    if not rest.strip(" /"):
-        return False
-    marks: set[str] = set()
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values)
-        if key in ("class", "id", "role"):
-            marks |= set(_PART.findall(value.lower()))
-        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
             return True
-    if name in ("html", "body"):
-        return False
-    if name in MAIN:
-        return bool(marks) and marks <= MAIN_EXCEPT
-    return bool(marks & BOILERPLATE)
+    return name in MAIN and _is_beside(_marks(rest))
+
+
+def _marks(rest: str) -> set[str]:
+    """The words of the class, id and role."""
+    marks: set[str] = set()
+    for key, *values in _ATTRIBUTE.findall(rest):
+        if key.lower() in ("class", "id", "role"):
+            marks |= set(_PART.findall("".join(values).lower()))
+    return marks
+
+
+def _is_beside(marks: set[str]) -> bool:
+    return bool(marks) and marks <= MAIN_EXCEPT
 
 
 def parse(markup: str) -> Page:
@@ -127,6 +132,7 @@ def parse(markup: str) -> Page:
     stack = [root]
     buffer: list[str] = []
     articles: set[int] = set()
+    marked: dict[int, set[str]] = {}
     containers: set[int] = set()
     count = at = 0
 
@@ -192,7 +198,12 @@ def parse(markup: str) -> Page:
                     break
         count += 1
         top = stack[-1]
-        gone = top.dropped or _dropped(name, rest, top.inside_main)
+        plain = not rest.strip(" /")
+        gone = top.dropped or (name in NEVER or name == "header" and not top.inside_main if plain else _never(name, rest, top.inside_main))
+        if not gone and name not in MAIN and name not in ("html", "body"):
+            marks = set() if plain else _marks(rest)
+            if name == "form" or marks & BOILERPLATE:
+                marked[count] = marks
         inside = not gone and (top.inside_main or name in MAIN)
         if inside and name in MAIN:
             articles.add(count)
@@ -207,7 +218,7 @@ def parse(markup: str) -> Page:
             continue
         if rest.endswith("/") and name not in INLINE and name in ("path", "use", "circle", "rect"):
             continue
-        if gone and name in INLINE and not top.dropped:
+        if (gone or count in marked) and name in INLINE and not top.dropped:
             flush()
         stack.append(Element(name, " ".join(rest.split()), inside, gone, [], count))
     if at < len(markup):
@@ -216,25 +227,36 @@ def parse(markup: str) -> Page:
         pop()
     flush()
     key = int.from_bytes(xxhash.xxh3_64_digest(b"\x02".join(root.parts)), "big", signed=True)
-    return _with_main_part(blocks, hashes, articles, containers, key)
+    return _with_main_part(blocks, hashes, articles, containers, marked, key)
 
 
-def _with_main_part(blocks: list[tuple[str, tuple[int, ...], bool]], hashes: dict[int, int], articles: set[int], containers: set[int], key: int) -> Page:
+def _with_main_part(
+    blocks: list[tuple[str, tuple[int, ...], bool]], hashes: dict[int, int], articles: set[int], containers: set[int], marked: dict[int, set[str]], key: int
+) -> Page:
+    """The page without marked containers (number: words) beside its main part; those that hold the main part stay."""
     length: Counter[int] = Counter()
     around_of: dict[int, tuple[int, ...]] = {}
     for text, around, _ in blocks:
         for i, n in enumerate(around):
             length[n] += len(text)
             around_of[n] = around[: i + 1]
-    shown = [n for n in articles if n in length]
+
+    def may_be_main(n: int) -> bool:
+        most = 2 * length[n] > length[0]
+        return not any(_is_beside(marked[a]) or not most and marked[a] & MAIN_EXCEPT for a in around_of[n] if a in marked)
+
+    shown = [n for n in articles if n in length and may_be_main(n)]
     if shown:
         main = max(shown, key=lambda n: (length[n], n))
         main = max(n for n in shown if main in around_of[n] and 2 * length[n] > length[main])
     else:
-        main = max((n for n in containers if 2 * length[n] > length[0]), default=0)
-    # what goes anyway needs no count, and what holds the main part is no template
+        main = max((n for n in containers if 2 * length[n] > length[0] and may_be_main(n)), default=0)
     whole = around_of.get(main, ())
-    own = {n: h & ~1 | (main > 0 and main in around_of[n]) for n, h in hashes.items() if n in around_of and n not in whole}
+    beside = marked.keys() - set(whole)
+    blocks = [b for b in blocks if beside.isdisjoint(b[1])] if beside else blocks
+    # what goes anyway needs no count, and what holds the main part is no template
+    left = {n for _, around, _ in blocks for n in around}.difference(whole)
+    own = {n: h & ~1 | (main > 0 and main in around_of[n]) for n, h in hashes.items() if n in left}
     return Page(blocks, own, key, hashes.get(main))
 
 

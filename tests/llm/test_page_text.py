@@ -98,3 +98,21 @@ def test_template_is_a_share_of_the_host(spark):
         assert got[100 + i] == f"text {i}"
     for i in range(8):
         assert got[200 + i] == f"Menu {i} One The same long text of the host day {i}"
+
+
+@pytest.mark.parametrize(
+    "markup, want",
+    [
+        ("<div class='layout has-sidebar'><article>a</article></div>", "a"),
+        ("<div id='page-menu-wrap'><div>Menu Home</div><main><p>a</p><div class=share>no</div></main></div>", "a"),
+        ("<div class='no-share'><div><p>A long enough text</p></div></div><div class=share>no</div>", "A long enough text"),
+        ("<form id=aspnet><div class=nav>no</div><div><h1>A</h1><p>long enough text</p></div><form>f</form></form>", "A long enough text"),
+        ("<form><article>a</article><input></form>", "a"),
+        # beside the main part, and where a list of other things has the only article, the words hold
+        ("<article>The text</article><div class='has-sidebar'><article>no</article></div>", "The text"),
+        ("<div>The text of the page</div><div class='related-posts'><article>no</article></div>", "The text of the page"),
+        ("<div class=comments><article>no</article></div><p>a</p>", "a"),
+    ],
+)
+def test_words_of_a_container_around_the_text(markup, want):
+    assert text(markup) == want

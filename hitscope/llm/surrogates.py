@@ -47,6 +47,15 @@ GIVEN = {
 }
 SYLLABLES = ["ba", "bel", "dor", "fen", "gar", "hol", "ka", "len", "lin", "mar", "mon", "nor", "per", "ral", "rin", "sal", "sto", "tal", "ven", "wes"]
 SYLLABLES_CYRILLIC = ["ба", "бел", "вол", "гор", "дар", "жу", "зим", "ка", "лен", "мар", "мор", "нов", "пет", "рал", "сол", "сто", "тал", "фен", "хол", "чер"]
+#: Letters and digits beyond ASCII: what they match, and the first and number of the code points that replace them.
+ALPHABETS = [
+    (r"[\p{IsCyrillic}&&\p{Lu}]", 0x410, 32), (r"[\p{IsCyrillic}&&\p{Ll}]", 0x430, 32), (r"[\p{IsLatin}&&\p{Lu}]", 0xC0, 23), (r"[\p{IsLatin}&&\p{Ll}]", 0xE0, 23),
+    (r"[\p{IsGreek}&&\p{Lu}]", 0x391, 17), (r"[\p{IsGreek}&&\p{Ll}]", 0x3B1, 17), (r"[\p{IsArmenian}&&\p{Lu}]", 0x531, 38), (r"[\p{IsArmenian}&&\p{Ll}]", 0x561, 38),
+    (r"[\p{IsHan}&&\p{L}]", 0x4E00, 20_000), (r"[\p{IsHangul}&&\p{L}]", 0xAC00, 11_172), (r"[\p{IsHiragana}&&\p{L}]", 0x3042, 80), (r"[\p{IsKatakana}&&\p{L}]", 0x30A2, 80),
+    (r"[\p{IsArabic}&&\p{L}]", 0x628, 19), (r"[\p{IsHebrew}&&\p{L}]", 0x5D0, 27), (r"[\p{IsDevanagari}&&\p{L}]", 0x915, 37), (r"[\p{IsBengali}&&\p{L}]", 0x995, 20),
+    (r"[\p{IsThai}&&\p{L}]", 0xE01, 46), (r"[\p{IsGeorgian}&&\p{L}]", 0x10D0, 33), (r"[\x{660}-\x{669}]", 0x660, 10), (r"[\x{6F0}-\x{6F9}]", 0x6F0, 10),
+    (r"[\x{966}-\x{96F}]", 0x966, 10), (r"[\x{FF10}-\x{FF19}]", 0xFF10, 10), (r"\p{Nd}", 0x30, 10), (r"\p{Lu}", 0x41, 26), (r"\p{L}", 0x61, 26),
+]
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity, and the full pattern is not tried on it.
 HINT = r"[0-9@]|\b(?:Mr|Mrs|Ms|Miss|Dr|Sr|Sra|Srta|Mme|Mlle|Herr|Frau|Monsieur|Madame|Mademoiselle|Señor|Señora|Señorita|Господин|Госпожа)\b|(?i:password|passwd|pwd|secret|key|token)[ ]?[=:]"
@@ -81,21 +90,33 @@ def _pick(listed: list[str], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, listed)), (number % len(listed) + 1).cast("int"))
 
 
-def _redrawn(value: Column, draws: Column) -> Column:
-    """Digits for digits and letters for letters of the same case and script; the rest stays. All-hexadecimal values stay so."""
+def _redrawn(value: Column, draws: Column, any_script: bool = False) -> Column:
+    """Digits for digits and letters for letters of the same case and script; the rest stays. All-hexadecimal values stay so.
+
+    With ``any_script`` also beyond ASCII: a script without an alphabet here gets Latin letters, and a value without
+    digits or letters becomes lower-case letters and digits. The other kinds have ASCII digits or letters only.
+    """
+    drawable = value.rlike(r"[\p{L}\p{Nd}]")
     hexadecimal = value.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{12,}$")
     characters = F.split(value, "")
 
     def one(c: Column, i: Column) -> Column:
         n = _number(draws, i)
         of = lambda first, size: F.char(F.lit(ord(first)) + n % size)
-        return (
+        ascii_only = (
             F.when(hexadecimal & c.rlike("[0-9a-f]"), F.substring(F.lit("0123456789abcdef"), (n % 16 + 1).cast("int"), F.lit(1)))
             .when(c.rlike("[0-9]"), (n % 10).cast("string"))
             .when(c.rlike("[A-Z]"), of("A", 26))
             .when(c.rlike("[a-z]"), of("a", 26))
-            .otherwise(c)
         )
+        if not any_script:
+            return ascii_only.otherwise(c)
+        beyond = c
+        for letters, first, size in reversed(ALPHABETS):
+            point = F.lpad(F.hex(F.lit(first) + n % size), 4, "0")
+            beyond = F.when(c.rlike(letters), F.decode(F.unhex(point), "UTF-16BE")).otherwise(beyond)
+        blank = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz0123456789"), (n % 36 + 1).cast("int"), F.lit(1))
+        return ascii_only.when(~drawable, blank).when(c.rlike(r"^\p{ASCII}$"), c).otherwise(beyond)
 
     return F.array_join(F.transform(characters, one), "")
 
@@ -145,7 +166,7 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     phone = F.concat(prefix, _redrawn(F.substring(entity, F.char_length(prefix) + 1, F.char_length(entity)), draws))
     secret = r"^((?i:password|passwd|pwd|secret|api_?key|token)[ ]?[=:][ ]?)"
     label = F.regexp_extract(entity, secret, 1)
-    password = F.concat(label, _redrawn(F.substring(entity, F.char_length(label) + 1, F.char_length(entity)), draws))
+    password = F.concat(label, _redrawn(F.substring(entity, F.char_length(label) + 1, F.char_length(entity)), draws, any_script=True))
     access = F.concat(F.substring(entity, 1, 4), _redrawn(F.substring(entity, F.lit(5), F.char_length(entity)), draws))
     return (
         F.when(kind == "email", email)

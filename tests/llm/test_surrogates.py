@@ -104,3 +104,16 @@ def test_repeated_rows_and_empty_table(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = surrogates.replace(documents(ROWS), KEY)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_secrets_without_latin_letters(spark, documents):
+    secrets = ["********", "______", "🔑🔑🔑🔑🔑🔑", "пароль-Ключ", "密码密码密码", "Straße-ÄÖ", "κλειδίΑ", "ab密码пароль12"]
+    rows = [(i, f"password: {s}") for i, s in enumerate(secrets)]
+    got = {r.doc_id: r.text.removeprefix("password: ") for r in surrogates.replace(documents(rows), KEY).collect()}
+    assert len(set(got.values())) == len(secrets)
+    for i, secret in enumerate(secrets):
+        assert got[i] != secret and len(got[i]) == len(secret)
+    assert all(re.fullmatch("[a-z0-9]+", got[i]) for i in range(3))
+    assert re.fullmatch("[а-я]{6}-[А-Я][а-я]{3}", got[3]) and re.fullmatch(r"[\u4e00-\u9fff]{6}", got[4]) and not set(got[4]) & set("密码")
+    assert re.fullmatch("[A-Z][a-z]{3}[à-ö][a-z]-[À-Ö]{2}", got[5]) and re.fullmatch("[α-ρ]{6}[Α-Ρ]", got[6])
+    assert re.fullmatch(r"[a-z]{2}[\u4e00-\u9fff]{2}[а-я]{6}[0-9]{2}", got[7])

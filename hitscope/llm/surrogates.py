@@ -6,7 +6,9 @@ from a secret key: of the same kind, length, script and format, with the check d
 account numbers right where they were right, and names of the same gender. The same entity gets
 the same surrogate everywhere (coreference), and different ones different surrogates: entities
 whose surrogates agree, or agree with an entity that occurs, are drawn again, all but the
-first by the order of their attempts, until no two agree.
+first by the order of their attempts, until no two agree. After ``IN_FORMAT`` attempts a surrogate gets
+longer with each further one (names by a syllable, the others by a keyed digit), so that no
+format, however short, is used up.
 
 Only documents with entities are shuffled. An entity that occurs in very many documents is
 one row of the table of entities; joins with it can be split by Spark.
@@ -60,7 +62,8 @@ ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity, and the full pattern is not tried on it.
 HINT = r"[0-9@]|\b(?:Mr|Mrs|Ms|Miss|Dr|Sr|Sra|Srta|Mme|Mlle|Herr|Frau|Monsieur|Madame|Mademoiselle|Señor|Señora|Señorita|Господин|Госпожа)\b|(?i:password|passwd|pwd|secret|key|token)[ ]?[=:]"
 _BLOCKS = 4
-ROUNDS = 50
+#: Attempts that keep the length of the entity, or a name's four syllables.
+IN_FORMAT = 4
 
 
 def found(text: Column) -> Column:
@@ -145,11 +148,13 @@ def _with_last_digits(value: Column, last: Column, pattern: str) -> Column:
 
 def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
     draws = _draws(key, kind, entity, attempt)
+    more = F.greatest(attempt - (IN_FORMAT - 1), F.lit(0))
+    tail = F.array_join(F.transform(_upto(more), lambda i: (_number(draws, 70 + 3 * i) % 10).cast("string")), "")
     plain = _redrawn(entity, draws)
     domain = F.substring_index(entity, "@", -1)
     host = F.regexp_extract(domain, r"^(.*)\.[A-Za-z]+$", 1)
     local = _redrawn(F.substring_index(entity, "@", 1), draws)
-    email = F.concat(local, F.lit("@"), _redrawn(host, _draws(key, F.lit("domain"), F.lower(host))), F.regexp_extract(domain, r"(\.[A-Za-z]+)$", 1))
+    email = F.concat(local, tail, F.lit("@"), _redrawn(host, _draws(key, F.lit("domain"), F.lower(host))), F.regexp_extract(domain, r"(\.[A-Za-z]+)$", 1))
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.when(i == 0, 1).otherwise(0) + _number(draws, i * 8) % F.when(i == 0, 223).otherwise(256)).cast("string"))
     digits = F.regexp_replace(entity, "[^0-9]", "")
     # the first digit stays, and the last makes the number as valid as it was
@@ -168,21 +173,26 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     label = F.regexp_extract(entity, secret, 1)
     password = F.concat(label, _redrawn(F.substring(entity, F.char_length(label) + 1, F.char_length(entity)), draws, any_script=True))
     access = F.concat(F.substring(entity, 1, 4), _redrawn(F.substring(entity, F.lit(5), F.char_length(entity)), draws))
-    return (
-        F.when(kind == "email", email)
-        .when(kind == "network", F.array_join(octets, "."))
+    like_entity = (
+        F.when(kind == "network", F.array_join(octets, "."))
         .when(kind == "card", card)
         .when(kind == "account", account)
         .when(kind == "phone", phone)
         .when(kind == "password", password)
         .when(kind == "access_key", access)
-        .when(kind == "name", _name(entity, draws))
         .otherwise(plain)
     )
+    # an x before the digits keeps them apart from those of the format
+    longer = F.concat(like_entity, F.when(more > 0, F.concat(F.lit("x"), tail)).otherwise(""))
+    return F.when(kind == "email", email).when(kind == "name", _name(entity, draws, more)).otherwise(longer)
 
 
-def _name(entity: Column, draws: Column) -> Column:
-    """The form of address with a name of its gender, in its script, with as many words and the same capitals."""
+def _upto(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+
+def _name(entity: Column, draws: Column, more: Column) -> Column:
+    """The form of address with a name of its gender, in its script, with as many words and the same capitals; its family name has four syllables and ``more``."""
     title = F.regexp_extract(entity, r"^(\p{L}+\.? )", 1)
     words = F.split(F.substring(entity, F.char_length(title) + 1, F.char_length(entity)), " ")
     female = F.regexp_replace(title, r"\.? $", "").isin(FEMALE)
@@ -191,8 +201,9 @@ def _name(entity: Column, draws: Column) -> Column:
     for script, is_script in (("", ~cyrillic), ("_cyrillic", cyrillic)):
         for gender, is_gender in (("female", female), ("male", ~female)):
             given = F.when(is_script & is_gender, _pick(GIVEN[gender + script], _number(draws, 3))).otherwise(given)
-    parts = [F.when(cyrillic, _pick(SYLLABLES_CYRILLIC, _number(draws, 20 + 9 * k))).otherwise(_pick(SYLLABLES, _number(draws, 20 + 9 * k))) for k in range(4)]
-    family = F.concat(F.initcap(parts[0]), *parts[1:])
+    syllable = lambda n: F.when(cyrillic, _pick(SYLLABLES_CYRILLIC, n)).otherwise(_pick(SYLLABLES, n))
+    parts = [syllable(_number(draws, 20 + 9 * k)) for k in range(4)]
+    family = F.concat(F.initcap(parts[0]), *parts[1:], F.array_join(F.transform(_upto(more), lambda i: syllable(_number(draws, 60 + 9 * i))), ""))
     like = lambda new, old: F.when((old == F.upper(old)) & (F.char_length(old) > 1), F.upper(new)).otherwise(new)
     return F.concat(title, F.when(F.size(words) > 1, F.concat_ws(" ", like(given, words[0]), like(family, words[1]))).otherwise(like(family, words[0])))
 
@@ -201,7 +212,7 @@ def _table(entities: DataFrame, key: str) -> DataFrame:
     """kind, entity, surrogate: distinct for distinct entities, and none that occurs as an entity."""
     spark = entities.sparkSession
     drawn = entities.select(kind_of(F.col("entity")).alias("kind"), "entity", F.lit(0).alias("attempt"))
-    for _ in range(ROUNDS):
+    while True:  # each attempt past IN_FORMAT has a larger space, so this ends
         path = scratch_path(spark, "surrogates")
         drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)).write.parquet(path)
         table = spark.read.parquet(path)
@@ -212,7 +223,6 @@ def _table(entities: DataFrame, key: str) -> DataFrame:
         if ranked.where(again).isEmpty():
             return table.select("kind", "entity", "surrogate")
         drawn = ranked.select("kind", "entity", (F.col("attempt") + again.cast("int")).alias("attempt"))
-    raise RuntimeError("the surrogates of a kind are used up")
 
 
 def replace(documents: DataFrame, key: str, text: str = "text") -> DataFrame:

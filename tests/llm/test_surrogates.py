@@ -117,3 +117,12 @@ def test_secrets_without_latin_letters(spark, documents):
     assert re.fullmatch("[а-я]{6}-[А-Я][а-я]{3}", got[3]) and re.fullmatch(r"[\u4e00-\u9fff]{6}", got[4]) and not set(got[4]) & set("密码")
     assert re.fullmatch("[A-Z][a-z]{3}[à-ö][a-z]-[À-Ö]{2}", got[5]) and re.fullmatch("[α-ρ]{6}[Α-Ρ]", got[6])
     assert re.fullmatch(r"[a-z]{2}[\u4e00-\u9fff]{2}[а-я]{6}[0-9]{2}", got[7])
+
+
+def test_small_spaces_are_not_used_up(spark, documents, monkeypatch):
+    """More names than four of two syllables can spell, and all one-digit endings of a secret."""
+    monkeypatch.setattr(surrogates, "SYLLABLES", ["ba", "bel"])
+    rows = [(i, f"Mr {chr(65 + i % 26)}{'abc'[i // 26]}x") for i in range(60)] + [(100 + i, f"token=*****{i}") for i in range(10)]
+    got = surrogates.replace(documents(rows), KEY).collect()
+    assert len({r.text for r in got}) == len(rows) and not {r.text for r in got} & {t for _, t in rows}
+    assert all(re.fullmatch("Mr (Ba|Bel)(ba|bel){3,}", r.text) for r in got if r.doc_id < 100)

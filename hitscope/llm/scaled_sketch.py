@@ -1,11 +1,12 @@
 """Document fingerprints by a threshold-scaled sketch (operator 9). DataFrame functions only.
 
-Every run of five consecutive words gets a 31-bit hash. A fingerprint keeps all distinct hashes
+Every run of five consecutive words gets a 63-bit hash. A fingerprint keeps all distinct hashes
 below a fixed fraction (1/``SCALE``) of the range, so its size follows the document's and the
 sketches of any two documents, however unequal, are samples by the same rule: intersections and
 unions of sketches estimate those of the documents, and the union of two sketches is the sketch
 of the two documents together. The smallest hash is kept too, so that a text with words never
-has an empty fingerprint.
+has an empty fingerprint. Documents are shuffled without their sketches, which are made where the
+documents arrive.
 
 Defined results: a text with fewer than five words has its whole word sequence as its only
 shingle; null or empty text, or white space alone, has an empty fingerprint; two empty
@@ -25,7 +26,7 @@ from hitscope.session import scratch_path
 
 SHINGLE = 5
 SCALE = 8
-HASH_BITS = 31
+HASH_BITS = 63
 _LEAST = -(1 << 63)
 
 
@@ -44,11 +45,11 @@ def with_sketch(frame: DataFrame, text: str, into: str, scale: int = SCALE) -> D
     at = F.col("__words")
     positions = F.when(F.size(at) >= SHINGLE, F.sequence(F.lit(1), F.size(at) - (SHINGLE - 1))).otherwise(F.array().cast("array<int>"))
     shift = 64 - HASH_BITS
-    runs = F.transform(positions, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.element_at(at, (i + k).cast("int")) for k in range(SHINGLE)]), shift).cast("int"))
-    hashed = hashed.withColumn("__runs", F.when(F.size(at) >= SHINGLE, runs).otherwise(F.filter(F.array(F.shiftrightunsigned(_short(at), shift).cast("int")), lambda h: h.isNotNull())))
+    runs = F.transform(positions, lambda i: F.shiftrightunsigned(F.xxhash64(*[F.element_at(at, (i + k).cast("int")) for k in range(SHINGLE)]), shift))
+    hashed = hashed.withColumn("__runs", F.when(F.size(at) >= SHINGLE, runs).otherwise(F.filter(F.array(F.shiftrightunsigned(_short(at), shift)), lambda h: h.isNotNull())))
     runs = F.col("__runs")
     low = F.filter(runs, lambda h: h < (1 << HASH_BITS) // scale)
-    kept = F.when(F.size(runs) > 0, F.array_sort(F.array_distinct(F.concat(low, F.array(F.array_min(runs)))))).otherwise(F.array().cast("array<int>"))
+    kept = F.when(F.size(runs) > 0, F.array_sort(F.array_distinct(F.concat(low, F.array(F.array_min(runs)))))).otherwise(F.array().cast("array<bigint>"))
     return hashed.withColumn(into, kept).drop("__words", "__runs")
 
 
@@ -58,9 +59,17 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union).cast("double")
 
 
-def containment(part: Column, whole: Column) -> Column:
-    """Estimated share of the shingles of ``part`` that ``whole`` has; 1 for an empty part."""
-    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(part, whole)) / F.size(part)).cast("double")
+def containment(part: Column, whole: Column, scale: int = SCALE) -> Column:
+    """Estimated share of the shingles of ``part`` that ``whole`` has; 1 for an empty part.
+
+    Hashes at or above the threshold count only up to the smallest of both, where both sketches would
+    have them. Null if no hash of a part can be compared.
+    """
+    least = F.least(F.array_min(part), F.array_min(whole))
+    limit = F.greatest(F.lit((1 << HASH_BITS) // scale - 1), F.when(F.size(whole) > 0, least).otherwise(F.array_min(part)))
+    sampled = F.filter(part, lambda h: h <= limit)
+    share = F.when(F.size(sampled) > 0, F.size(F.array_intersect(sampled, whole)) / F.size(sampled))
+    return F.when(F.size(part) == 0, F.lit(1.0)).otherwise(share).cast("double")
 
 
 def merged(a: Column, b: Column) -> Column:
@@ -69,7 +78,7 @@ def merged(a: Column, b: Column) -> Column:
 
 
 def as_text(sketch: Column) -> Column:
-    """Eight hexadecimal digits a hash."""
+    """Sixteen hexadecimal digits a hash."""
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.lpad(F.hex(h), -(-HASH_BITS // 4), "0"))), "")
 
 
@@ -103,7 +112,7 @@ def fingerprints(documents: DataFrame, text: str = "text", scale: int = SCALE) -
     source = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("id"), F.xxhash64(body).alias("tag"), body.alias("text"))
     sizes = source.select("id", "tag", F.char_length("text").cast("long").alias("size")).dropDuplicates(["id", "tag"])
     follow = _next_documents(sizes)
-    sketched = with_sketch(source, "text", "sketch", scale).repartition("id", "tag").dropDuplicates(["id", "tag"])
+    sketched = with_sketch(source.repartition("id", "tag").dropDuplicates(["id", "tag"]), "text", "sketch", scale)
     heads = follow.select(F.col("id").alias("of_id"), F.col("tag").alias("of_tag"), "size", "next_id", "next_tag")
     heads = sketched.join(heads, (F.col("id") == F.col("next_id")) & (F.col("tag") == F.col("next_tag"))).select(
         "of_id", "of_tag", "size", F.substring("text", F.lit(1), F.floor(F.col("size") / 3).cast("int")).alias("head"), F.col("sketch").alias("next_sketch")

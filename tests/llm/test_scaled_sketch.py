@@ -78,3 +78,18 @@ def test_containment_and_merging(spark, documents):
 def test_no_python_in_the_plan(spark, documents):
     plan = scaled_sketch.fingerprints(documents(corpus()))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_hashes_are_wide_enough_for_merged_sketches(spark, documents):
+    """Of 63-bit hashes none agree by chance; the extra smallest hash of a short text is no evidence against a long one."""
+    frame = documents([(1, "")]).select(F.expr("transform(sequence(1, 400000), i -> concat('w', i))").alias("w"))
+    frame = frame.select(F.array_join("w", " ").alias("text"))
+    size = scaled_sketch.with_sketch(frame, "text", "s").select(F.size("s").alias("n"), F.array_max("s").alias("top")).first()
+    assert size.top >> 48 and 49_000 < size.n < 51_000
+    words = [f"v{i}" for i in range(200)]
+    parts = documents([(i, " ".join(words[i : i + 5])) for i in range(150)]).withColumn("long", F.lit(" ".join(words)))
+    both = scaled_sketch.with_sketch(scaled_sketch.with_sketch(parts, "text", "part"), "long", "whole")
+    got = {r.c for r in both.select(scaled_sketch.containment(F.col("part"), F.col("whole")).alias("c")).collect()}
+    assert got == {1.0, None}
+    alone = both.select(scaled_sketch.containment(F.col("part"), F.col("part")).alias("c")).distinct().collect()
+    assert [r.c for r in alone] == [1.0]

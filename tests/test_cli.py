@@ -7,7 +7,7 @@ from hitscope.sinks.records import write_records
 from hitscope.sources import testdata
 from hitscope.streaming.versions import latest_versions, read_versions
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _write_inputs(spark, root):

@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from paths import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from hitscope.plans.catalog import QUERIES
 
 BATCH = [n for n in sorted(QUERIES) if not n.startswith("stream_")

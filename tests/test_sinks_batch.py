@@ -14,7 +14,7 @@ from hitscope.sinks.jdbc import jdbc_options, write_jdbc
 from hitscope.sources import testdata
 from hitscope.sources.files import read_access_log, read_geo_blocks, read_geo_locations
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_jdbc_options_and_skip(spark):

@@ -226,7 +226,7 @@ def test_two_part_replay_reemits_a_window(spark):
     from hitscope.plans import catalog
     from hitscope.plans.streams import replay_in_two_parts
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
 
     versions, newest = replay_in_two_parts(spark, catalog._raw(spark, SF_SMALL), catalog._index(spark, SF_SMALL),
                                            "stream_error_rate")

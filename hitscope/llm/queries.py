@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: ``name -> fn(spark, sf_dir) -> DataFrame``.
+"""Registered queries of the operators: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Each reads its whole table and returns its operator's full result in the columns that the
 contract of the query names.
@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, toxicity
+from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, target_sampling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -63,6 +63,10 @@ def op10_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_block_naming": op8_block_naming,
     "op9_scaled_sketch": op9_scaled_sketch,
     "op10_repeated_spans": op10_repeated_spans,
+    "op11_target_sampling": op11_target_sampling,
 }
 
 #: DuckDB text of the queries that SQL can express.
@@ -81,4 +86,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_ngram_join": ngram_join.ORACLE,
     "op8_block_naming": block_naming.ORACLE,
     "op10_repeated_spans": repeated_spans.ORACLE,
+    "op11_target_sampling": target_sampling.ORACLE,
 }

@@ -38,3 +38,17 @@ def crc32_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: np.
     for i in np.flatnonzero(length > VECTOR_BYTES).tolist():
         out[i] = zlib.crc32(data[start[i] : end[i]].tobytes(), int(out[i]))
     return out
+
+
+#: DuckDB text of the table that ``crc_sql`` needs; it takes WITH RECURSIVE before it.
+CRC_TABLE = """
+steps(b, i, v) AS (SELECT b, 0, b FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT b, i + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE i < 8),
+crc_table AS (SELECT list(v ORDER BY b) AS crc_steps FROM steps WHERE i = 8)"""
+
+
+def crc_sql(word: str) -> str:
+    """DuckDB text of the unsigned CRC-32 of a column's UTF-8 bytes; the query must read crc_table (column crc_steps)."""
+    octets = f"list_transform(range(1, octet_length(encode({word})) + 1), lambda i: CAST('0x' || substr(hex(encode({word})), 2 * i - 1, 2) AS BIGINT))"
+    step = "xor(crc_steps[(xor(c, b) & 255) + 1], c // 256)"
+    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"

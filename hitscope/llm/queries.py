@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, surrogates, target_sampling, toxicity
+from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, spelling_variants, surrogates, target_sampling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,6 +67,10 @@ def op11_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_sampling.draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op9_scaled_sketch": op9_scaled_sketch,
     "op10_repeated_spans": op10_repeated_spans,
     "op11_target_sampling": op11_target_sampling,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 #: DuckDB text of the queries that SQL can express.
@@ -87,4 +92,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_block_naming": block_naming.ORACLE,
     "op10_repeated_spans": repeated_spans.ORACLE,
     "op11_target_sampling": target_sampling.ORACLE,
+    "op12_spelling_variants": spelling_variants.ORACLE,
 }

@@ -29,14 +29,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitscope.llm.crc import crc32_ranges
+from hitscope.llm.crc import CRC_TABLE, crc32_ranges, crc_sql
 from hitscope.llm.textio import Words, slices, words
 from hitscope.session import scratch_path
 
@@ -213,21 +212,8 @@ def selected(documents: DataFrame, target: DataFrame, **options: object) -> Data
     return documents.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi").select(*documents.columns)
 
 
-_CRC = """
-RECURSIVE steps(b, i, v) AS (SELECT b, 0, b FROM (SELECT unnest(range(256)) AS b)
-  UNION ALL SELECT b, i + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM steps WHERE i < 8),
-crc_table AS (SELECT list(v ORDER BY b) AS crc_steps FROM steps WHERE i = 8)"""
-
-
-def crc_sql(word: str) -> str:
-    """DuckDB text of the unsigned CRC-32 of a column's UTF-8 bytes; the query must read crc_table (column crc_steps)."""
-    octets = f"list_transform(range(1, octet_length(encode({word})) + 1), lambda i: CAST('0x' || substr(hex(encode({word})), 2 * i - 1, 2) AS BIGINT))"
-    step = "xor(crc_steps[(xor(c, b) & 255) + 1], c // 256)"
-    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
-
-
 ORACLE = rf"""
-WITH {_CRC},
+WITH RECURSIVE {CRC_TABLE},
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
 dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY ALL),

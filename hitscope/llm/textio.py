@@ -17,31 +17,20 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 512 << 10
-#: A longer word is hashed as one string, outside the vectorised path.
-LONG_WORD = 1 << 20
+#: Words of at most so many bytes are hashed together; longer ones by xxh3, one by one.
+VECTOR_BYTES = 64
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C13 | 3  # odd, and base - 1 is not divisible by 4
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _random = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE[_SPACES] = 0
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _PLACE = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
-        n = max(n, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+# A random number for each byte at each place of a word, and 0 for what is between words. Sums of these have
+# no algebraic structure, as powers of a base modulo 2^64 have, where words of equal hash can be constructed.
+_AT_PLACE = np.append(_random.integers(0, 1 << 64, VECTOR_BYTES * 256, dtype=np.uint64), _U(0))
+_BETWEEN = VECTOR_BYTES * 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -92,21 +81,24 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """64 bits per word; with ``lower`` A-Z count as a-z."""
-        table = np.where(self.breaks, _U(0), _BYTE_LOWER if lower else _BYTE)
         out = np.empty(len(self.start), np.uint64)
+        length = self.end - self.start
         at = 0
         while at < len(self.start):
             begin = self.start[at]
             upto = max(at + 1, int(np.searchsorted(self.end, begin + SLICE_BYTES, "right")))
             span = int(self.end[upto - 1] - begin)
-            if span > SLICE_BYTES:  # one very long word
-                word = self.data[begin : begin + span].tobytes()
-                out[at] = xxhash.xxh3_64_intdigest(word.lower() if lower else word)
-            else:
-                up, down = _power(span + 1)
+            if span <= SLICE_BYTES:  # else one very long word
+                here = self.data[begin : begin + span]
                 rel = self.start[at:upto] - begin
-                out[at:upto] = np.add.reduceat(table[self.data[begin : begin + span]] * up[:span], rel) * down[rel]
+                place = np.arange(span) - np.repeat(rel, np.diff(rel, append=span))
+                code = np.minimum(place, VECTOR_BYTES - 1) * 256 + (_LOWER[here] if lower else here)
+                code[self.breaks[here]] = _BETWEEN
+                out[at:upto] = np.add.reduceat(_AT_PLACE[code], rel)
             at = upto
+        for i in np.flatnonzero(length > VECTOR_BYTES).tolist():
+            word = self.data[self.start[i] : self.end[i]].tobytes()
+            out[i] = xxhash.xxh3_64_intdigest(word.lower() if lower else word)
         return mix(out)
 
 

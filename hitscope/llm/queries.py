@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, repeated_spans, scaled_sketch, spelling_variants, surrogates, target_sampling, toxicity
+from hitscope.llm import block_naming, byte_bpe, line_join, ngram_join, page_text, pivotal_mix, quality_neighbours, repeated_spans, scaled_sketch, spelling_variants, surrogates, target_sampling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +71,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group(_table(spark, sf_dir, "documents"))
 
 
+def op13_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_neighbours.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_page_text": op1_page_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op10_repeated_spans": op10_repeated_spans,
     "op11_target_sampling": op11_target_sampling,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_quality_neighbours": op13_quality_neighbours,
 }
 
 #: DuckDB text of the queries that SQL can express.

@@ -72,7 +72,7 @@ def test_expected_copies(spark, documents):
 def test_odd_rows(spark, documents):
     rows = [(1, None, "a"), (2, "", None), (3, "x y", None), (3, "x y", None), (None, "z", "b"), (5, "\t\n", "b")]
     got = pivotal_mix.summary(documents(rows, ", source string")).collect()
-    assert sorted((r.doc_id or 0, r.size) for r in got) == [(0, 1), (1, 0), (2, 0), (3, 2), (5, 0)]
+    assert sorted((r.doc_id or 0, r.size) for r in got) == [(0, 1), (1, 0), (2, 0), (3, 2), (3, 2), (5, 0)]
     assert pivotal_mix.summary(documents([], ", source string")).collect() == []
 
 
@@ -85,3 +85,36 @@ def test_repeated_keeps_columns(spark, documents):
     for r in out.collect():
         seen[r.doc_id] += 1
     assert {d: c for d, c in picks.items() if c} == dict(seen)
+
+
+def test_large_ids_beside_a_null_one(documents):
+    ids = [(1 << 60) + 1, (1 << 60) + 3, None, -(1 << 62) - 1]
+    got = pivotal_mix.summary(documents([(i, "a b c", "s") for i in ids], ", source string")).collect()
+    assert sorted((r.doc_id for r in got if r.doc_id is not None)) == sorted(i for i in ids if i is not None) and len(got) == 4
+
+
+def test_repeated_rows_are_documents_of_their_own(documents, monkeypatch):
+    """Sizes, targets and what is taken count every row; equal rows share the copies of their group."""
+    monkeypatch.setattr(pivotal_mix, "CHUNK", 3)
+    rows = [(1, "a b c d", "s")] * 4 + [(2, "a b c d", "s")] + [(3, "x " * 7, "t")] * 20 + [(None, "z", None)] * 9
+    frame = documents(rows, ", source string")
+    got = pivotal_mix.summary(frame).collect()
+    check(got, rows)
+    assert {r.source_size for r in got if r.size == 4} == {20}
+    copies = {(r.doc_id, r.number): r.copies for r in pivotal_mix.mix(frame).collect()}
+    assert sorted(n for d, n in copies if d == 3) == list(range(20))
+    out = pivotal_mix.repeated(frame.repartition(5)).collect()
+    for doc_id in (1, 2, 3, None):
+        assert sum(r.doc_id == doc_id for r in out) == sum(c for (d, _), c in copies.items() if d == doc_id)
+    assert sum(len(r.text.split()) for r in out) == sum(r.taken for r in got)
+
+
+def test_numbers_of_equal_rows(spark):
+    frame = spark.range(200).selectExpr("if(id % 3 = 0, null, 'k') AS k", "id AS v").repartition(6)
+    out = pivotal_mix._numbered(frame, ["k"], "number").collect()
+    assert sorted(r.number for r in out if r.k is None) == list(range(67)) and sorted(r.number for r in out if r.k) == list(range(133))
+
+
+def test_a_very_long_text(documents):
+    got = pivotal_mix.summary(documents([(1, "w " * 500_000, "a"), (2, "x" * 1_000_000, "a"), (3, "y z", "b")], ", source string")).collect()
+    assert {r.doc_id: r.size for r in got} == {1: 500_000, 2: 1, 3: 2}

@@ -3,8 +3,11 @@
 Detected entities (e-mail addresses, telephone, card, account and identity numbers, network
 addresses, access keys, passwords, and names after a form of address) get surrogates derived
 from a secret key: of the same kind, length, script and format, with the check digits of card and
-account numbers right where they were right, and names of the same gender. The same entity gets
-the same surrogate everywhere (coreference), and different ones different surrogates: entities
+account numbers right, and names of the same gender (of the form of address, else of the given
+name). A number like a card's without its check digit, a single plain word after "password:" and
+a version number are not entities. The same entity gets the same surrogate everywhere (coreference),
+also where it is written in another letter case, with other separators or with a full stop after the title;
+"Mr. Smith" and "Mr. John Smith" count as two. Different ones get different surrogates: entities
 whose surrogates agree, or agree with an entity that occurs, are drawn again, all but the
 first by the order of their attempts, until no two agree. After ``IN_FORMAT`` attempts a surrogate gets
 longer with each further one (names by a syllable, the others by a keyed digit), so that no
@@ -15,7 +18,8 @@ one row of the table of entities; joins with it can be split by Spark.
 
 Defined results: null text stays null; a text without entities stays as it is; repeated rows each
 give a row, with equal results; where two kinds fit, the earlier in ``KINDS`` holds; an empty
-table gives an empty table; only doc_id and the text column are read, so extra columns never clash.
+table gives an empty table; a text of any length is searched whole in time linear in its length (an e-mail address has at
+most 255 characters before the @); only doc_id and the text column are read, so extra columns never clash.
 """
 
 from __future__ import annotations
@@ -28,12 +32,13 @@ from hitscope.session import scratch_path
 
 # What entities look like, the more specific before the more general.
 KINDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,24}",
+    # every repetition is bounded and starts at the edge of a word: a matcher that recurses or tries again ends soon on any text
+    "email": r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,254}+@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.){1,16}[A-Za-z]{2,24}",
     "password": r"(?i:password|passwd|pwd|secret|api_?key|token)[ ]?[=:][ ]?[^\s\"',;]{6,}",
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "hex_key": r"\b(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{32})\b",
     "account": r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b",
-    "network": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
+    "network": r"(?<![0-9.])(?<!(?i:version|release) )(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "identity": r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
     "card": r"(?<![0-9])(?:[0-9]{4}[ \-]){3}[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{13,19}(?![0-9])",
     "phone": r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])",
@@ -61,17 +66,39 @@ ALPHABETS = [
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: A text without any of these has no entity, and the full pattern is not tried on it.
 HINT = r"[0-9@]|\b(?:Mr|Mrs|Ms|Miss|Dr|Sr|Sra|Srta|Mme|Mlle|Herr|Frau|Monsieur|Madame|Mademoiselle|Señor|Señora|Señorita|Господин|Госпожа)\b|(?i:password|passwd|pwd|secret|key|token)[ ]?[=:]"
+#: Numbers that only the last digit can tell from other numbers, and values of a password that are plain words.
+CARD_LIKE = r"^(?:(?:[0-9]{4}[ \-]){3}[0-9]{4}|[0-9]{13,19})$"
+PLAIN_WORD = r"^(?i:password|passwd|pwd|secret|api_?key|token)[ ]?[=:][ ]?[A-Za-z][a-z]{0,12}[.!?):]*$"
+MALE = ["Mr", "Sr", "Herr", "Monsieur", "Señor", "Господин"]
 _BLOCKS = 4
 #: Attempts that keep the length of the entity, or a name's four syllables.
 IN_FORMAT = 4
 
 
-def found(text: Column) -> Column:
-    """The entities of a text, in order."""
+def matches(text: Column) -> Column:
+    """What the patterns find in a text, in order."""
     nothing = F.array().cast("array<string>")
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(nothing)
 
 
+def is_private(match: Column) -> Column:
+    """Numbers like a card's must have a card's check digit; a single plain word is no secret."""
+    digits = F.regexp_replace(match, "[^0-9]", "")
+    return F.when(match.rlike(CARD_LIKE), _luhn(digits) % 10 == 0).otherwise(~match.rlike(PLAIN_WORD))
+
+
+def found(text: Column) -> Column:
+    """The entities of a text, in order."""
+    return F.filter(matches(text), is_private)
+
+
+def canonical(kind: Column, entity: Column) -> Column:
+    """What entities that mean the same share: letter case of e-mail addresses and names, separators of numbers and the full stop of a title do not count."""
+    compact = F.regexp_replace(entity, r"[ .()\-]", "")
+    name = F.lower(F.regexp_replace(entity, r"^(\p{L}+)\.? ", "$1 "))
+    return F.when(kind == "email", F.lower(entity)).when(kind == "name", name).when(kind.isin("phone", "card", "account", "identity"), compact).otherwise(entity)
+
+
 def kind_of(entity: Column) -> Column:
     out = F.lit(None).cast("string")
     for name, pattern in reversed(KINDS.items()):
@@ -124,6 +151,12 @@ def _redrawn(value: Column, draws: Column, any_script: bool = False) -> Column:
     return F.array_join(F.transform(characters, one), "")
 
 
+def _spread(compact: Column, like: Column) -> Column:
+    """The letters and digits of ``compact`` in the format of ``like``."""
+    place = lambda i: F.char_length(F.regexp_replace(F.substring(like, F.lit(1), i + 1), "[^A-Za-z0-9]", ""))
+    return F.array_join(F.transform(F.split(like, ""), lambda c, i: F.when(c.rlike("[A-Za-z0-9]"), F.substring(compact, place(i), F.lit(1))).otherwise(c)), "")
+
+
 def _luhn(digits: Column) -> Column:
     """The sum that a valid card number has divisible by ten."""
     return F.aggregate(
@@ -147,28 +180,30 @@ def _with_last_digits(value: Column, last: Column, pattern: str) -> Column:
 
 
 def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
-    draws = _draws(key, kind, entity, attempt)
+    draws = _draws(key, kind, canonical(kind, entity), attempt)
     more = F.greatest(attempt - (IN_FORMAT - 1), F.lit(0))
     tail = F.array_join(F.transform(_upto(more), lambda i: (_number(draws, 70 + 3 * i) % 10).cast("string")), "")
     plain = _redrawn(entity, draws)
+    compact = F.regexp_replace(entity, "[^A-Za-z0-9]", "")
+    rest = lambda value, first: F.substring(value, F.lit(first), F.char_length(value))
     domain = F.substring_index(entity, "@", -1)
     host = F.regexp_extract(domain, r"^(.*)\.[A-Za-z]+$", 1)
     local = _redrawn(F.substring_index(entity, "@", 1), draws)
     email = F.concat(local, tail, F.lit("@"), _redrawn(host, _draws(key, F.lit("domain"), F.lower(host))), F.regexp_extract(domain, r"(\.[A-Za-z]+)$", 1))
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.when(i == 0, 1).otherwise(0) + _number(draws, i * 8) % F.when(i == 0, 223).otherwise(256)).cast("string"))
-    digits = F.regexp_replace(entity, "[^0-9]", "")
     # the first digit stays, and the last makes the number as valid as it was
-    card = F.concat(F.substring(entity, 1, 1), _redrawn(F.substring(entity, F.lit(2), F.char_length(entity)), draws))
-    short = _luhn(F.concat(F.substring(F.regexp_replace(card, "[^0-9]", ""), F.lit(1), F.char_length(digits) - 1), F.lit("0")))
+    card = F.concat(F.substring(compact, 1, 1), _redrawn(rest(compact, 2), draws))
+    short = _luhn(F.concat(F.substring(card, F.lit(1), F.char_length(card) - 1), F.lit("0")))
     right = (10 - short % 10) % 10
-    last = F.when(_luhn(digits) % 10 == 0, right).otherwise((right + 1 + _number(draws, 60) % 9) % 10)
-    card = _with_last_digits(card, last.cast("string"), "^(.*)[0-9]$")
-    blank = F.concat(F.substring(entity, 1, 2), F.lit("00"), _redrawn(F.substring(entity, F.lit(5), F.char_length(entity)), draws))
+    last = F.when(_luhn(compact) % 10 == 0, right).otherwise((right + 1 + _number(draws, 60) % 9) % 10)
+    card = _spread(_with_last_digits(card, last.cast("string"), "^(.*)[0-9]$"), entity)
+    blank = F.concat(F.substring(compact, 1, 2), F.lit("00"), _redrawn(rest(compact, 5), draws))
     check = F.lpad((98 - _mod97(blank)).cast("string"), 2, "0")
-    checked = F.concat(F.substring(entity, 1, 2), check, F.substring(blank, F.lit(5), F.char_length(entity)))
-    account = F.when(_mod97(entity) == 1, checked).otherwise(F.concat(F.substring(entity, 1, 2), _redrawn(F.substring(entity, F.lit(3), F.char_length(entity)), draws)))
+    checked = F.concat(F.substring(compact, 1, 2), check, rest(blank, 5))
+    account = _spread(F.when(_mod97(compact) == 1, checked).otherwise(F.concat(F.substring(compact, 1, 2), _redrawn(rest(compact, 3), draws))), entity)
     prefix = F.regexp_extract(entity, r"^(\+[0-9]{1,3})[ .\-(]", 1)
-    phone = F.concat(prefix, _redrawn(F.substring(entity, F.char_length(prefix) + 1, F.char_length(entity)), draws))
+    local_number = F.substring(entity, F.char_length(prefix) + 1, F.char_length(entity))
+    phone = F.concat(prefix, _spread(_redrawn(F.regexp_replace(local_number, "[^0-9]", ""), draws), local_number))
     secret = r"^((?i:password|passwd|pwd|secret|api_?key|token)[ ]?[=:][ ]?)"
     label = F.regexp_extract(entity, secret, 1)
     password = F.concat(label, _redrawn(F.substring(entity, F.char_length(label) + 1, F.char_length(entity)), draws, any_script=True))
@@ -178,6 +213,7 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
         .when(kind == "card", card)
         .when(kind == "account", account)
         .when(kind == "phone", phone)
+        .when(kind == "identity", _spread(_redrawn(compact, draws), entity))
         .when(kind == "password", password)
         .when(kind == "access_key", access)
         .otherwise(plain)
@@ -195,7 +231,9 @@ def _name(entity: Column, draws: Column, more: Column) -> Column:
     """The form of address with a name of its gender, in its script, with as many words and the same capitals; its family name has four syllables and ``more``."""
     title = F.regexp_extract(entity, r"^(\p{L}+\.? )", 1)
     words = F.split(F.substring(entity, F.char_length(title) + 1, F.char_length(entity)), " ")
-    female = F.regexp_replace(title, r"\.? $", "").isin(FEMALE)
+    form = F.regexp_replace(title, r"\.? $", "")
+    # a form of address without a gender leaves it to the given name
+    female = form.isin(FEMALE) | (~form.isin(MALE) & (F.size(words) > 1) & (F.initcap(words[0]).isin(GIVEN["female"]) | words[0].rlike("[aAаА]$")))
     cyrillic = words[0].rlike(r"^\p{IsCyrillic}")
     given = F.lit(None).cast("string")
     for script, is_script in (("", ~cyrillic), ("_cyrillic", cyrillic)):
@@ -211,7 +249,9 @@ def _name(entity: Column, draws: Column, more: Column) -> Column:
 def _table(entities: DataFrame, key: str) -> DataFrame:
     """kind, entity, surrogate: distinct for distinct entities, and none that occurs as an entity."""
     spark = entities.sparkSession
-    drawn = entities.select(kind_of(F.col("entity")).alias("kind"), "entity", F.lit(0).alias("attempt"))
+    # drawing is work per row and not per byte, so its tasks are not merged by their size
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    drawn = entities.select(kind_of(F.col("entity")).alias("kind"), "entity", F.lit(0).alias("attempt")).repartition(tasks, "entity")
     while True:  # each attempt past IN_FORMAT has a larger space, so this ends
         path = scratch_path(spark, "surrogates")
         drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)).write.parquet(path)
@@ -222,7 +262,9 @@ def _table(entities: DataFrame, key: str) -> DataFrame:
         again = (F.col("place") > 1) | F.col("occurs").isNotNull()
         if ranked.where(again).isEmpty():
             return table.select("kind", "entity", "surrogate")
-        drawn = ranked.select("kind", "entity", (F.col("attempt") + again.cast("int")).alias("attempt"))
+        # entities that mean the same are drawn again together
+        same = Window.partitionBy("kind", canonical(F.col("kind"), F.col("entity")))
+        drawn = ranked.select("kind", "entity", (F.max("attempt").over(same) + F.max(again.cast("int")).over(same)).alias("attempt")).repartition(tasks, "entity")
 
 
 def replace(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -230,15 +272,16 @@ def replace(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     spark = documents.sparkSession
     source = documents.select(F.col("doc_id"), F.col(text).alias("text"))
     path = scratch_path(spark, "private_texts")
-    private = source.withColumn("entities", found(F.col("text"))).where(F.size("entities") > 0)
+    private = source.withColumn("matches", matches(F.col("text"))).withColumn("entities", F.filter("matches", is_private)).where(F.size("entities") > 0)
     private.withColumn("row", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text").cast("string"))).write.parquet(path)
     private = spark.read.parquet(path)
     occurring = private.select("row", F.explode(F.array_distinct("entities")).alias("entity")).distinct()
     table = _table(occurring.select("entity").distinct(), key)
     pairs = occurring.join(table, "entity").groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("by_entity"))
     between = F.split("text", ANY, -1)
-    instead = F.transform("entities", lambda e: F.element_at("by_entity", e))
-    rebuilt = F.array_join(F.transform(between, lambda piece, i: F.concat(piece, F.coalesce(F.get(instead, i), F.lit("")))), "")
+    instead = F.transform("matches", lambda e: F.coalesce(F.try_element_at("by_entity", e), e))
+    # both arrays are made once a row; inside a function of a piece they would be made for every piece
+    rebuilt = F.array_join(F.zip_with(between, instead, lambda piece, e: F.concat(F.coalesce(piece, F.lit("")), F.coalesce(e, F.lit("")))), "")
     changed = private.join(pairs, "row").withColumn("instead", instead).select("doc_id", rebuilt.alias("text"), F.size("entities").cast("long").alias("n_replaced"))
     same = source.where(F.coalesce(F.size(found(F.col("text"))) == 0, F.lit(True))).select("doc_id", "text", F.lit(0).cast("long").alias("n_replaced"))
     return same.union(changed)

@@ -1,15 +1,16 @@
 """Main text of web pages by site template removal (operator 1).
 
-Every page is parsed into elements. Each subtree gets a hash of its tag, attributes and content, in
-the article as beside it; Spark counts, per host, in how many different pages a subtree occurs, and
-subtrees found in a ``SHARE`` of the host's pages, and in ``MIN_PAGES`` at least, are deleted as
-template on every page. Pages with equal content count once, and so do, for the subtrees inside it,
+Every page is parsed into elements. Each subtree gets a hash of its tag, attributes and content, menus
+and footers as well as the article and what is in it; Spark counts, per host, in how many different pages a
+subtree occurs, and recurring ones are deleted as template on every page, before any rule about names:
+those found in a ``SHARE`` of the host's pages, and in ``MIN_PAGES`` at least, and beside an article or
+main element those found in ``MIN_PAGES`` (a site's sections have menus of their own). Pages with equal content count once, and so do, for the subtrees inside it,
 pages with an equal main part (the article or main with the most text, else the innermost container
 with more than half of the page's text), so copies do not make content a template, whatever
 stands around them. An article or main that would lose more than half of its text is a copy of
-others rather than made of template, and loses nothing. Of what is left, containers that say what they are (menus, footers, sidebars, forms,
-adverts, notices, comments, ...) go unless they hold the main part, and if the page has an article
-or main element, only that stays.
+others rather than made of template, and loses nothing. What the counts leave goes by rules: containers that say what they are (menus, footers, sidebars, forms,
+adverts, notices, comments, ...) unless they hold the main part, and if the page has an article
+or main element, all beside it. ``removed`` tells how many subtrees went by counts and how many by rules.
 
 Only hashes are shuffled. The templates of a host are one row, and Spark broadcasts that table while
 it is small; the pages are shuffled by host only if it is not.
@@ -18,7 +19,8 @@ The blocks of what remains are joined in page order.
 
 Defined results: null or empty html gives empty text; a null url is a host of its own; rows are
 independent, so a repeated row gives its result again; broken markup is closed the way browsers
-do for paragraphs and list items, unknown end tags are ignored; an empty table gives an empty
+do for paragraphs and list items, unknown end tags are ignored; a page of any length or depth is read whole
+in time linear in its length; an empty table gives an empty
 table; only page_id, url and html are read, so extra columns never clash.
 """
 
@@ -27,7 +29,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -65,17 +67,55 @@ BOILERPLATE = set(
 )
 MAIN_EXCEPT = {"ad", "advert", "comment", "comments", "promo", "related", "sponsored", "teaser"}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Tags:
+    """The tags of a page in order, in time linear in its length: what was looked at in vain is not looked at again."""
+
+    def __init__(self, markup: str):
+        self.markup = markup
+        self.last = markup.rfind(">")
+        self.open_quotes: set[int] = set()  # quotes after which no tag ends
+
+    def _end(self, at: int) -> int:
+        """Where the tag whose name ends at ``at`` has its ``>``: quoted ones do not count, unless a quote is never closed."""
+        seen, where = [], at
+        while (special := _SPECIAL.search(self.markup, where)) and special.start() not in self.open_quotes:
+            if special[0] == ">":
+                return special.start()
+            seen.append(special.start())
+            where = self.markup.find(special[0], special.end()) + 1
+            if not where:
+                break
+        self.open_quotes.update(seen)
+        return self.markup.find(">", at)
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start, end, whether it closes, name and attributes of the first tag from ``at`` on; comments have no name."""
+        markup = self.markup
+        while (at := markup.find("<" if at <= self.last else "<!--", at)) >= 0:
+            if markup.startswith("<!--", at):
+                end = markup.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(markup), False, "", ""
+            if markup[at + 1 : at + 2] in ("!", "?") and at < self.last:
+                return at, markup.find(">", at) + 1, False, "", ""
+            name = _NAME.match(markup, at) if at < self.last else None
+            if name and name.end() <= self.last:
+                end = self._end(name.end())
+                return at, end + 1, bool(name[1]), name[2].lower(), markup[name.end() : end]
+            at += 1
+        return None
+
+
+#: Where a subtree stands, in the two lowest bits of its hash: beside a main part without a name, inside one, beside an article or main element.
+_PLACE, _IN_MAIN, _BESIDE_NAMED = 3, 1, 2
+
+
 @dataclass
 class Element:
     name: str
@@ -88,19 +128,33 @@ class Element:
 
 @dataclass
 class Page:
-    """Blocks of text with the numbers of the elements around them, each element's hash (odd inside the main part), and hashes of all content and of the main part."""
+    """Blocks of text with the number of the element around them, each element's parent (a smaller number), the hash of
+    elements that may be template (the lowest bits tell where it stands), the outermost elements that rules take
+    off, and hashes of all content and of the main part."""
 
-    blocks: list[tuple[str, tuple[int, ...], bool]]
+    blocks: list[tuple[str, int, bool]]
+    parent: list[int]
     hashes: dict[int, int]
+    ruled: set[int]
     key: int
     main_key: int | None
 
     def counted(self) -> list[tuple[int, int]]:
         """Each hash with the content that it counts once for; 0 and 1 stand for the pages and main parts themselves."""
-        out = {(h, self.main_key if h & 1 else self.key) for h in self.hashes.values()}
+        out = {(h, self.main_key if h & _PLACE == _IN_MAIN else self.key) for h in self.hashes.values()}
         return [(0, self.key), *([] if self.main_key is None else [(1, self.main_key)]), *out]
 
 
+def _down(parent: list[int], starts: Iterable[int]) -> list[bool]:
+    """Which elements are one of ``starts`` or inside one."""
+    out = [False] * len(parent)
+    for n in starts:
+        out[n] = True
+    for n in range(1, len(parent)):
+        out[n] |= out[parent[n]]
+    return out
+
+
 def _never(name: str, rest: str, inside_main: bool) -> bool:
     """An element that is not part of the text, whatever it holds."""
     if name in NEVER or name == "header" and not inside_main:
@@ -126,15 +180,18 @@ def _is_beside(marks: set[str]) -> bool:
 
 
 def parse(markup: str) -> Page:
-    blocks: list[tuple[str, tuple[int, ...], bool]] = []
+    blocks: list[tuple[str, int, bool]] = []
     hashes: dict[int, int] = {}
     root = Element("", "", False, False, [], 0)
     stack = [root]
+    opened: Counter[str] = Counter()
     buffer: list[str] = []
     articles: set[int] = set()
     marked: dict[int, set[str]] = {}
     containers: set[int] = set()
-    count = at = 0
+    dropped: set[int] = set()
+    parent = [0]
+    at = 0
 
     def flush() -> None:
         if buffer:
@@ -143,14 +200,14 @@ def parse(markup: str) -> Page:
             top = stack[-1]
             if text:
                 top.parts.append(text.encode("utf-8", "surrogatepass"))
-                if not top.dropped:
-                    blocks.append((text, tuple(e.number for e in stack), top.inside_main))
+                blocks.append((text, top.number, top.inside_main))
 
     def pop() -> None:
         done = stack[-1]
         if done.name not in INLINE:
             flush()
         stack.pop()
+        opened[done.name] -= 1
         if done.name in INLINE:
             return
         value = xxhash.xxh3_64_digest("\x00".join((done.name, done.attributes)).encode("utf-8", "surrogatepass") + b"\x01" + b"\x02".join(done.parts))
@@ -158,24 +215,21 @@ def parse(markup: str) -> Page:
         if done.parts and done.name not in ("html", "body"):
             hashes[done.number] = int.from_bytes(value, "big", signed=True)
 
-    for token in _TOKEN.finditer(markup):
-        if token.start() < at:
-            continue  # inside raw text
-        if token.start() > at:
-            buffer.append(markup[at : token.start()])
-        at = token.end()
-        name = (token["name"] or token["name2"] or "").lower()
+    tags = Tags(markup)
+    while tag := tags.after(at):
+        start, end, closes, name, rest = tag
+        if start > at:
+            buffer.append(markup[at:start])
+        at = end
         if not name:
             continue
-        rest = token["rest"] if token["name"] else token["rest2"]
-        if token["end"] or token["end2"]:
+        if closes:
             if name == "br":
                 buffer.append(" ")
-                continue
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
-            if place:
-                while len(stack) > place:
+            elif opened[name]:
+                while stack[-1].name != name:
                     pop()
+                pop()
             elif name not in INLINE:
                 flush()
             continue
@@ -186,18 +240,19 @@ def parse(markup: str) -> Page:
         if name not in INLINE:
             flush()
             while stack[-1].name in INLINE:
-                stack.pop()
+                opened[stack.pop().name] -= 1
             if stack[-1].name == "p":
                 pop()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[n] for n in CLOSES.get(name, ())) else ():
                 if stack[i].name in CLOSES.get(name, ()):
                     while len(stack) > i:
                         pop()
                     break
                 if stack[i].name in SCOPE:
                     break
-        count += 1
         top = stack[-1]
+        count = len(parent)
+        parent.append(top.number)
         plain = not rest.strip(" /")
         gone = top.dropped or (name in NEVER or name == "header" and not top.inside_main if plain else _never(name, rest, top.inside_main))
         if not gone and name not in MAIN and name not in ("html", "body"):
@@ -210,67 +265,87 @@ def parse(markup: str) -> Page:
         if name in CONTAINERS:
             containers.add(count)
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(markup, at)
-            content = markup[at : end.start() if end else len(markup)]
+            close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(markup, at)
+            content = markup[at : close.start() if close else len(markup)]
             top.parts.append(f"<{name}{rest}>{content}".encode("utf-8", "surrogatepass")) if name not in ("script", "style", "title") else None
-            at = markup.find(">", end.start()) + 1 if end else len(markup)
+            at = markup.find(">", close.start()) + 1 if close else len(markup)
             at = at or len(markup)
             continue
         if rest.endswith("/") and name not in INLINE and name in ("path", "use", "circle", "rect"):
             continue
         if (gone or count in marked) and name in INLINE and not top.dropped:
             flush()
+        if gone and not top.dropped:
+            dropped.add(count)
         stack.append(Element(name, " ".join(rest.split()), inside, gone, [], count))
+        opened[name] += 1
     if at < len(markup):
         buffer.append(markup[at:])
     while len(stack) > 1:
         pop()
     flush()
     key = int.from_bytes(xxhash.xxh3_64_digest(b"\x02".join(root.parts)), "big", signed=True)
-    return _with_main_part(blocks, hashes, articles, containers, marked, key)
+    return _with_main_part(blocks, parent, hashes, articles, containers, marked, dropped, key)
 
 
 def _with_main_part(
-    blocks: list[tuple[str, tuple[int, ...], bool]], hashes: dict[int, int], articles: set[int], containers: set[int], marked: dict[int, set[str]], key: int
+    blocks: list[tuple[str, int, bool]], parent: list[int], hashes: dict[int, int], articles: set[int], containers: set[int], marked: dict[int, set[str]], dropped: set[int], key: int
 ) -> Page:
-    """The page without marked containers (number: words) beside its main part; those that hold the main part stay."""
-    length: Counter[int] = Counter()
-    around_of: dict[int, tuple[int, ...]] = {}
-    for text, around, _ in blocks:
-        for i, n in enumerate(around):
+    """The page with its main part; marked containers (number: words) that hold the main part are not taken off."""
+    length, held = [0] * len(parent), [False] * len(parent)
+    gone = _down(parent, dropped)
+    for text, n, _ in blocks:
+        if not gone[n]:
             length[n] += len(text)
-            around_of[n] = around[: i + 1]
+            held[n] = True
+    for n in range(len(parent) - 1, 0, -1):
+        length[parent[n]] += length[n]
+        held[parent[n]] |= held[n]
+    other = _down(parent, (n for n, marks in marked.items() if _is_beside(marks)))
+    perhaps = _down(parent, (n for n, marks in marked.items() if marks & MAIN_EXCEPT))
 
     def may_be_main(n: int) -> bool:
-        most = 2 * length[n] > length[0]
-        return not any(_is_beside(marked[a]) or not most and marked[a] & MAIN_EXCEPT for a in around_of[n] if a in marked)
+        return held[n] and not other[n] and (2 * length[n] > length[0] or not perhaps[n])
 
-    shown = [n for n in articles if n in length and may_be_main(n)]
+    shown = [n for n in articles if may_be_main(n)]
     if shown:
         main = max(shown, key=lambda n: (length[n], n))
-        main = max(n for n in shown if main in around_of[n] and 2 * length[n] > length[main])
+        inside = _down(parent, [main])
+        main = max(n for n in shown if inside[n] and 2 * length[n] > length[main])
     else:
         main = max((n for n in containers if 2 * length[n] > length[0] and may_be_main(n)), default=0)
-    whole = around_of.get(main, ())
-    beside = marked.keys() - set(whole)
-    blocks = [b for b in blocks if beside.isdisjoint(b[1])] if beside else blocks
-    # what goes anyway needs no count, and what holds the main part is no template
-    left = {n for _, around, _ in blocks for n in around}.difference(whole)
-    own = {n: h & ~1 | (main > 0 and main in around_of[n]) for n, h in hashes.items() if n in left}
-    return Page(blocks, own, key, hashes.get(main))
+    whole, n = {0, main}, main
+    while n:
+        n = parent[n]
+        whole.add(n)
+    ruled = dropped | (marked.keys() - whole)
+    inside = _down(parent, [main] if main else [])
+    place = _BESIDE_NAMED if shown else 0
+    # what holds the main part is no template
+    own = {n: h & ~_PLACE | (_IN_MAIN if inside[n] else place) for n, h in hashes.items() if n not in whole}
+    return Page(blocks, parent, own, ruled, key, hashes.get(main))
 
 
 def main_text(page: Page, template: set[int]) -> str:
-    """The blocks that stay, joined by one space."""
-    gone = {n for n, h in page.hashes.items() if h in template}
-    kept = [b for b in page.blocks if not gone.intersection(b[1])]
-    article = [b for b in page.blocks if b[2]]
+    """The blocks that stay, joined by one space: first without template, then without what rules take off."""
+    gone = _down(page.parent, (n for n, h in page.hashes.items() if h in template))
+    ruled = _down(page.parent, page.ruled)
+    whole = [b for b in page.blocks if not ruled[b[1]]]
+    kept = [b for b in whole if not gone[b[1]]]
+    article = [b for b in whole if b[2]]
     if article:
         left = [b for b in kept if b[2]]
         kept = left if 2 * sum(len(b[0]) for b in left) >= sum(len(b[0]) for b in article) else article
     return " ".join(b[0] for b in kept)
 
 
+def removed(page: Page, template: set[int]) -> tuple[int, int]:
+    """Outermost subtrees that the counts delete, and those that they leave to the rules."""
+    gone = _down(page.parent, (n for n, h in page.hashes.items() if h in template))
+    outer = sum(gone[n] and not gone[page.parent[n]] for n in range(1, len(gone)))
+    return outer, sum(not gone[n] for n in page.ruled if n in page.hashes)
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "html"):
         at, hashes, keys = [], [], []
@@ -282,6 +357,12 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("host").take(pa.array(at, pa.int64())), pa.array(hashes, pa.int64()), pa.array(keys, pa.int64())], ["host", "hash", "key"])
 
 
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in slices(batches, "html"):
+        found = [removed(parse(m), set(t or ())) for m, t in zip(rows.column("html").to_pylist(), rows.column("template").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([rows.column("page_id"), *(pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((), ())))], ["page_id", "by_counts", "by_rules"])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in slices(batches, "html"):
         templates = rows.column("template").to_pylist()
@@ -289,8 +370,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("page_id"), rows.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """page_id, url, text (main text), n_chars of every page."""
+def _with_templates(pages: DataFrame, min_pages: int, share: float) -> DataFrame:
+    """page_id, url, html and the hashes of the templates of its host of every page."""
     spark = pages.sparkSession
     source = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
@@ -301,10 +382,23 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE)
     counts.write.parquet(path)
     counts = spark.read.parquet(path)
     itself = F.col("hash").isin(0, 1)
-    sizes = counts.where(itself).select("host", F.col("hash").alias("inside"), F.col("count").alias("size"))
-    many = counts.where(~itself).withColumn("inside", F.col("hash").bitwiseAND(F.lit(1).cast("long"))).join(sizes, ["host", "inside"])
+    place = F.col("hash").bitwiseAND(F.lit(_PLACE).cast("long"))
+    sizes = counts.where(itself).select("host", F.col("hash").alias("place"), F.col("count").alias("size"))
+    many = counts.where(~itself).withColumn("place", place)
+    named = many.where(F.col("place") == _BESIDE_NAMED).select("host", "hash")
+    shared = many.where(F.col("place") != _BESIDE_NAMED).join(sizes, ["host", "place"]).where(F.col("count") >= share * F.col("size")).select("host", "hash")
     path = scratch_path(spark, "page_templates")
-    many.where(F.col("count") >= share * F.col("size")).groupBy("host").agg(F.collect_list("hash").alias("template")).write.parquet(path)
+    named.union(shared).groupBy("host").agg(F.collect_list("hash").alias("template")).write.parquet(path)
     # read again, so that its size is known when the join is planned
-    texts = source.join(spark.read.parquet(path), "host", "left").select("page_id", "url", "html", "template").mapInArrow(_texts, "page_id long, url string, text string")
+    return source.join(spark.read.parquet(path), "host", "left").select("page_id", "url", "html", "template")
+
+
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """page_id, url, text (main text), n_chars of every page."""
+    texts = _with_templates(pages, min_pages, share).mapInArrow(_texts, "page_id long, url string, text string")
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def removals(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """page_id, by_counts, by_rules: outermost subtrees that go as template, and those left to the rules about names."""
+    return _with_templates(pages, min_pages, share).mapInArrow(_removed, "page_id long, by_counts long, by_rules long")

@@ -1,4 +1,6 @@
 import re
+import time
+from collections import defaultdict
 from html import unescape
 
 import pytest
@@ -116,3 +118,47 @@ def test_template_is_a_share_of_the_host(spark):
 )
 def test_words_of_a_container_around_the_text(markup, want):
     assert text(markup) == want
+
+
+def recount(rows, min_pages=3):
+    """Menus, adverts and footers of the given pages by host, counted without the operator: outermost elements beside the article."""
+    pages, found = defaultdict(set), {}
+    for r in rows:
+        host = re.match(r"https?://([^/?#:]*)", r.url)[1].lower()
+        beside = re.sub(r"<article>.*</article>|<(script|style|title)>.*?</\1>|<head>.*?</head>", "", r.html, flags=re.S)
+        found[r.page_id] = [(host, x[0]) for x in re.finditer(r"<(nav|footer|div)\b[^>]*>.*?</\1>", beside, re.S)]
+        for x in found[r.page_id]:
+            pages[x].add(re.sub(r"<(script|style|title)>.*?</\1>", "", r.html, flags=re.S))
+    return {i: (sum(len(pages[x]) >= min_pages for x in own), sum(len(pages[x]) < min_pages for x in own)) for i, own in found.items()}
+
+
+def test_counts_delete_before_rules(spark):
+    """Against a recount; on this table a part of the menus, adverts and footers recurs, and the rules take the others."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = frame.select("page_id", "url", "html").collect()
+    got = {r.page_id: (r.by_counts, r.by_rules) for r in page_text.removals(frame).collect()}
+    want = recount(rows)
+    whole = {i: (a, b) for i, (a, b) in got.items()}
+    assert sum(a for a, _ in want.values()) > 0
+    # single items of a menu recur where the menu as a whole does not: they count besides
+    assert all(whole[i][1] == b and whole[i][0] >= a for i, (a, b) in want.items())
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda n: "<a " * n, lambda n: "<a " * n + ">", lambda n: "<div>x" * n, lambda n: "<div>" * n + "</x>" * n, lambda n: "<a \"x'>" * n, lambda n: "<a '\"><p>" * n + '"',
+        lambda n: "<!" * n, lambda n: "<a" * n, lambda n: "<div>" * n + "<p>t</p>" * n, lambda n: "<!--" * n, lambda n: "<ul><li><ul>" + "<h1>" * n + "<li>x" * n, lambda n: "<p>" + "word " * (20 * n),
+    ],
+)
+def test_broken_and_deep_pages_take_linear_time(make):
+    page_text.parse(make(1000))
+    before = time.process_time()
+    page_text.main_text(page_text.parse(make(60_000)), set())
+    assert time.process_time() - before < 20
+
+
+def test_a_very_long_page(spark):
+    body = "<nav>m</nav><article>" + "".join(f"<p>part {i}</p>" for i in range(60_000)) + "</article>"
+    got = page_text.extract(spark.createDataFrame([(1, "http://a.example", body)], "page_id long, url string, html string")).first()
+    assert got.text == " ".join(f"part {i}" for i in range(60_000))

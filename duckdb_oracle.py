@@ -133,8 +133,31 @@ ENRICHED = f"""enriched as (
 CHAIN = ",\n".join([RAW, CLEANED, GEO, GEOLOCATED, ENRICHED])
 
 
-def with_chain(body: str) -> str:
-    return f"with {CHAIN}\n{body}"
+# FIXTURES.md §3.1: overlapping, odd and bad blocks, NULL names, times and methods.
+WIDE_LOGS = """raw_logs as (
+ select idx,
+  case when cast(idx as bigint) % 7 = 3 then concat('10.', cast(cast(idx as bigint) % 25 as varchar), '.', cast(cast(idx as bigint) % 200 as varchar), '.7') else host end as host,
+  case when cast(idx as bigint) % 89 = 0 then null when cast(idx as bigint) % 83 = 0 then 'x' else time end as time,
+  case when cast(idx as bigint) % 79 = 0 then null else method end as method, url, response, bytes from narrow_logs)"""
+WIDE_GEO = """geo_blocks as (
+ select * from narrow_blocks
+ union all select concat('10.', cast(n_nationkey as varchar), '.64.0/18'), cast((n_nationkey + 1) % 25 + 1000000 as bigint) from nation where n_nationkey % 2 = 0
+ union all select '10.0.0.0/8', 1000000
+ union all select concat('10.', cast(n_nationkey as varchar), '.7.7/32'), cast(n_nationkey + 1000000 as bigint) from nation where n_nationkey % 5 = 0
+ union all select concat('10.', cast(n_nationkey as varchar), '.7.7'), cast(n_nationkey + 1000000 as bigint) from nation where n_nationkey % 5 = 1
+ union all select '2001:db8::/32', 1000001 union all select 'bad', 1000002 union all select null, 1000003
+ union all select '10.4.0.0/16', null union all select '10.5.0.0/16', 99 union all select '10.6.3.0/33', 1000006),
+geo_locations as (
+ select geoname_id, case when (geoname_id - 1000000) % 11 <> 0 then country_name end as country_name,
+        case when (geoname_id - 1000000) % 13 <> 0 then continent_name end as continent_name, country_iso_code, continent_code
+ from narrow_locations)"""
+_narrow_geo, _parsed = GEO.split(",\nblocks_parsed as", 1)
+_narrow_geo = _narrow_geo.replace("geo_blocks as (", "narrow_blocks as (", 1).replace("geo_locations as (", "narrow_locations as (", 1)
+WIDE_CHAIN = ",\n".join([RAW.replace("raw_logs as", "narrow_logs as", 1), WIDE_LOGS, CLEANED, _narrow_geo, WIDE_GEO, f"blocks_parsed as{_parsed}", GEOLOCATED, ENRICHED])
+
+
+def with_chain(body: str, wide: bool = False) -> str:
+    return f"with {WIDE_CHAIN if wide else CHAIN}\n{body}"
 
 
 REQ = "count(*) as requests"
@@ -246,6 +269,58 @@ OTHER_BODIES = {
 }
 
 
+_METRICS = {"requests": "bigint", "total_bytes": "bigint", "unique_hosts": "bigint", "percentage": "double", "avg_bytes": "double", "total_mb": "double"}
+_LONG = {  # report: key columns, metrics, order
+    "traffic_by_country": ("country_name country_iso_code", "requests total_bytes unique_hosts", "requests"),
+    "traffic_by_continent": ("continent_name continent_code", "requests total_bytes unique_hosts", "requests"),
+    "top_pages": ("url", "requests total_bytes", "requests"),
+    "error_analysis": ("response response_category", "requests percentage", "requests"),
+    "hourly_traffic": ("hour_of_day", "requests total_bytes", None),
+    "daily_traffic": ("date", "requests unique_hosts", None),
+    "day_of_week_traffic": ("day_of_week", "requests total_bytes", "requests"),
+    "bandwidth_by_category": ("url_category", "requests total_bytes avg_bytes", "total_bytes"),
+    "top_hosts": ("host", "requests total_bytes", "requests"),
+    "url_category_distribution": ("url_category", "requests percentage", "requests"),
+    "response_distribution": ("response response_category", "requests", "requests"),
+    "country_hour_heatmap": ("country_name hour_of_day", "requests", None),
+    "top_error_pages": ("url", "requests", "requests"),
+    "daily_bandwidth": ("date", "total_bytes total_mb", None),
+    "method_distribution": ("method", "requests percentage", "requests"),
+}
+
+
+def _long(first: int | None = None) -> str:
+    parts = []
+    for report, (keys, metrics, order) in _LONG.items():
+        keys = [f'"{k}"' for k in keys.split()]
+        cells = [f"cast({keys[i]} as varchar)" if i < len(keys) else "cast(null as varchar)" for i in range(2)]
+        values = [f"cast({m if m in metrics.split() else 'null'} as {t}) as {m}" for m, t in _METRICS.items()]
+        by = ", ".join(([f"{order} desc"] if order else []) + [f"{k} asc nulls first" for k in keys])
+        rows = f"select * from ({REPORT_BODIES[report]}) r" + (f" order by {by} limit {first}" if first else "")
+        parts.append(f"select '{report}' as report, {cells[0]} as key_1, {cells[1]} as key_2, {', '.join(values)} from ({rows}) t")
+    return "\nunion all ".join(parts)
+
+
+WIDE_BODIES = {
+    "clean_logs_wide": "select * from cleaned",
+    "geo_ranges_wide": "select * from geo_ranges",
+    "geolocate_logs_wide": "select * from geolocated",
+    # every stretch between two neighbouring ends, counted on its own; equal neighbours are one span
+    "geo_overlaps": """select min(a) as span_start, max(b) as span_end, n as n_ranges from (
+  select *, sum(case when n = before and a = after then 0 else 1 end) over (order by a) as span from (
+   select *, lag(n) over (order by a) as before, lag(b) over (order by a) + 1 as after from (
+    select a, b, cast((select count(*) from geo_ranges g where g.ip_start <= p.a and g.ip_end >= p.a) as bigint) as n
+    from (select a, lead(a) over (order by a) - 1 as b from (select ip_start as a from geo_ranges union select ip_end + 1 from geo_ranges)) p where b is not null)))
+ where n > 1 group by span, n""",
+    "url_categories_with_overlaps": STREAM_BODIES["stream_requests_by_url_category"],
+    "pipeline_counts_with_overlaps": OTHER_BODIES["pipeline_counts"],
+    "file_job_enriched": "select * from enriched",
+    "file_job_reports": _long(),
+}
+OTHER_BODIES["all_reports"] = _long()
+OTHER_BODIES["previews_of_reports"] = _long(5)
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {**OTHER_BODIES, **REPORT_BODIES, **STREAM_BODIES}
-    return {name: with_chain(body) for name, body in bodies.items()}
+    return {name: with_chain(body) for name, body in bodies.items()} | {name: with_chain(body, wide=True) for name, body in WIDE_BODIES.items()}

@@ -17,6 +17,7 @@ bins of their own, below zero, by the same hash.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -68,12 +69,12 @@ def add_ip_columns(logs: DataFrame, host_col: str = "host") -> DataFrame:
     })
 
 
-def bin_ranges(ranges: DataFrame, bin_bits: int = 16) -> DataFrame:
+def bin_ranges(ranges: DataFrame, bin_bits: int = 16, columns: Sequence[str] = GEO_COLUMNS) -> DataFrame:
     """Explode each range over the address bins it covers (``range_bin``)."""
     shift = 32 - bin_bits
     return ranges.select(
         F.explode(F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift))).alias("range_bin"),
-        "ip_start", "ip_end", *GEO_COLUMNS,
+        "ip_start", "ip_end", *columns,
     )
 
 
@@ -87,11 +88,12 @@ class RangeIndex:
     approx_bytes: int
     broadcast: bool
     max_per_bin: int = -1
+    columns: tuple[str, ...] = tuple(GEO_COLUMNS)
 
 
-def _measure(binned: DataFrame) -> tuple[int, int, int]:
+def _measure(binned: DataFrame, columns: Sequence[str]) -> tuple[int, int, int]:
     """(rows, approximate broadcast bytes, most ranges in one bin): one small job."""
-    width = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in GEO_COLUMNS)
+    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns)
     per_bin = binned.groupBy("range_bin").agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("chars"))
     stats = per_bin.agg(F.sum("n").alias("rows"), F.max("n").alias("top"), F.sum("chars").alias("chars")).first()
     rows = int(stats["rows"] or 0)
@@ -100,7 +102,7 @@ def _measure(binned: DataFrame) -> tuple[int, int, int]:
 
 def index_ranges(ranges: DataFrame, bin_bits: int | str = DEFAULT_BIN_BITS,
                  broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES,
-                 strategy: str = "auto", persist: bool = False) -> RangeIndex:
+                 strategy: str = "auto", persist: bool = False, columns: Sequence[str] = GEO_COLUMNS) -> RangeIndex:
     """Bin the ranges and measure them (small jobs over the dimension table only).
 
     ``bin_bits="auto"`` takes the coarsest of ``BIN_BITS_CANDIDATES`` whose fullest bin
@@ -116,7 +118,7 @@ def index_ranges(ranges: DataFrame, bin_bits: int | str = DEFAULT_BIN_BITS,
     try:
         measured = []
         for bits in candidates:
-            rows, approx, top = _measure(bin_ranges(ranges, bits))
+            rows, approx, top = _measure(bin_ranges(ranges, bits, columns), columns)
             measured.append((bits, rows, approx, top))
             if top <= MAX_RANGES_PER_BIN and approx <= broadcast_limit_bytes:
                 break
@@ -133,11 +135,11 @@ def index_ranges(ranges: DataFrame, bin_bits: int | str = DEFAULT_BIN_BITS,
     else:
         chosen = min(fitting or measured, key=lambda m: m[3])
     bits, rows, approx, top = chosen
-    binned = bin_ranges(ranges, bits)
+    binned = bin_ranges(ranges, bits, columns)
     if persist:
         binned = binned.persist()
     go_broadcast = strategy != "shuffle" and approx <= broadcast_limit_bytes
-    return RangeIndex(binned, bits, rows, approx, go_broadcast, top)
+    return RangeIndex(binned, bits, rows, approx, go_broadcast, top, tuple(columns))
 
 
 def _finish(joined: DataFrame) -> DataFrame:
@@ -165,6 +167,11 @@ def geolocate(logs: DataFrame, ranges: DataFrame | RangeIndex, *,
 
     index = ranges if isinstance(ranges, RangeIndex) else index_ranges(
         ranges, bin_bits, broadcast_limit_bytes, strategy)
+    return _finish(join_ranges(with_ip, index))
+
+
+def join_ranges(with_ip: DataFrame, index: RangeIndex) -> DataFrame:
+    """Rows with ``ip_long`` and the columns of each range that holds it, or NULL: a left equi join on the bin."""
     shift = 32 - index.bin_bits
     bin_of = F.shiftright("ip_long", shift)
     in_range = (F.col("ip_long") >= F.col("ip_start")) & (F.col("ip_long") <= F.col("ip_end"))
@@ -182,5 +189,4 @@ def geolocate(logs: DataFrame, ranges: DataFrame | RangeIndex, *,
         })
         cond = (F.col("ip_bin") == F.col("range_bin")) & (F.col("ip_salt") == F.col("range_salt")) & in_range
         joined = probe.join(index.binned.select("*", salts).hint("merge"), cond, "left").drop("ip_salt", "range_salt")
-    joined = joined.drop("ip_bin", "range_bin", "ip_start", "ip_end")
-    return _finish(joined)
+    return joined.drop("ip_bin", "range_bin", "ip_start", "ip_end")

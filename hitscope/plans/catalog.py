@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from hitscope.functions.sql import register_sql_functions
 from hitscope.operators import measures, reports
 from hitscope.operators.cleaning import clean
-from hitscope.operators.windows import windowed
+from hitscope.operators.windows import requests_by_url_category, windowed
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
-from hitscope.plans.batch import enriched_logs, pipeline_counts
+from hitscope.operators.overlaps import Multiplicity, multiplicity, overlaps
+from hitscope.plans.batch import enriched_logs, pipeline_counts, previews, run_file_job
 from hitscope.plans.streams import (
     replay_in_two_parts,
     replay_late_rows,
@@ -25,7 +26,7 @@ from hitscope.plans.streams import (
     replay_with_two_checkpoints,
     write_record_input,
 )
-from hitscope.session import configure
+from hitscope.session import configure, scratch_path
 from hitscope.sinks.records import encode_records
 from hitscope.sources import testdata
 from hitscope.sources.stream import decode_records
@@ -107,13 +108,89 @@ def _records(spark: SparkSession, sf_dir: str) -> str:
     return _RECORD_INPUTS[key]
 
 
-def _stream(name: str, **kw) -> Query:
+_MANY: dict[tuple[str, str], Multiplicity] = {}
+
+
+def _many(spark: SparkSession, sf_dir: str) -> Multiplicity:
+    """The overlaps of the geo ranges, swept once per session and input folder."""
+    key = _key(spark, sf_dir)
+    if key not in _MANY:
+        _MANY[key] = multiplicity(_ranges(spark, sf_dir), persist=True)
+    return _MANY[key]
+
+
+def _stream(name: str, *, geo: bool = True, **kw) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return replay_windowed(spark, None, _index(spark, sf_dir), name,
+        return replay_windowed(spark, None, (_index if geo else _many)(spark, sf_dir), name,
                                input_dir=_records(spark, sf_dir), **kw)
     return run
 
 
+def _wide_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return build_geo_ranges(testdata.geo_blocks_wide(spark, sf_dir), testdata.geo_locations_wide(spark, sf_dir))
+
+
+def _wide_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return testdata.raw_logs_wide(spark, sf_dir)
+
+
+def geo_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of addresses that two and more ranges hold, by the distributed sweep."""
+    return overlaps(_wide_ranges(spark, sf_dir))
+
+
+def url_categories_with_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 over overlapping ranges without geo columns: rows count as often as ranges hold their address."""
+    logs = enriched_logs(_wide_logs(spark, sf_dir), multiplicity(_wide_ranges(spark, sf_dir)))
+    return requests_by_url_category(logs, watermark=None)
+
+
+def pipeline_counts_with_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 where enriched rows are more than cleaned ones."""
+    return pipeline_counts(_wide_logs(spark, sf_dir), testdata.geo_blocks_wide(spark, sf_dir), testdata.geo_locations_wide(spark, sf_dir))
+
+
+def all_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A15 from one scan of the logs, as one long table."""
+    path = scratch_path(spark, "report_base")
+    base = reports.lattice(_enriched(spark, sf_dir))
+    base.write.partitionBy("level").parquet(path)
+    return reports.long_table(reports.reports_from_lattice(spark.read.schema(base.schema).parquet(path)))
+
+
+def _file_job(spark: SparkSession, sf_dir: str) -> str:
+    """The job from CSV files to files: log files of two layouts in one folder, some with records too short or long."""
+    root = scratch_path(spark, "file_job")
+    raw = _wide_logs(spark, sf_dir)
+    first = F.col("idx").cast("long") % 2 == 0
+    write = lambda df, name: df.write.option("header", True).option("quote", '"').option("escape", '"').mode("append").csv(f"{root}/{name}")
+    write(raw.where(first), "logs")
+    write(raw.where(~first).select(F.col("idx").alias("n"), "bytes", "response", F.lit("a,\"b\"").alias("agent"), "url", "method", "time", "host"), "logs")
+    write(testdata.geo_blocks_wide(spark, sf_dir), "blocks")
+    write(testdata.geo_locations_wide(spark, sf_dir).select("continent_code", "country_iso_code", "geoname_id", "continent_name", "country_name"), "locations")
+    run_file_job(spark, f"{root}/logs", f"{root}/blocks", f"{root}/locations", f"{root}/out")
+    return f"{root}/out"
+
+
+def file_job_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched table that the file job wrote."""
+    return spark.read.parquet(f"{_file_job(spark, sf_dir)}/enriched_logs_parquet")
+
+
+def file_job_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, K7: the CSV files of all reports that the file job wrote, read back as one long table."""
+    out = _file_job(spark, sf_dir)
+    text = {name: spark.read.option("header", True).csv(f"{out}/reports/{name}") for name in reports.REPORT_KEYS}
+    return reports.long_table(text)
+
+
+def previews_of_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the first five rows of each report, as one long table."""
+    return reports.long_table(previews({name: _report(name)(spark, sf_dir) for name in reports.REPORTS}, 5))
+
+
 def stream_requests_by_country_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 through the staged layout (records enriched once into a table, then windowed)."""
     return replay_staged(spark, _records(spark, sf_dir), _index(spark, sf_dir), "stream_requests_by_country")
@@ -125,7 +202,7 @@ HOST_ERROR = 0.15
 
 def stream_traffic_volume_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 in full: each window with its exact hosts, and whether the stream's estimate is near them."""
-    found = replay_windowed(spark, None, _index(spark, sf_dir), "stream_traffic_volume", input_dir=_records(spark, sf_dir))
+    found = replay_windowed(spark, None, _many(spark, sf_dir), "stream_traffic_volume", input_dir=_records(spark, sf_dir))
     exact = windowed(_enriched(spark, sf_dir), [], [F.count_distinct("host").alias("exact_hosts")], watermark=None)
     near = F.abs(F.col("unique_hosts") - F.col("exact_hosts")) <= F.greatest(F.lit(1.0), HOST_ERROR * F.col("exact_hosts"))
     return found.join(exact, ["window_start", "window_end"]).withColumn("estimate_ok", near).drop("unique_hosts")
@@ -134,17 +211,17 @@ def stream_traffic_volume_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third row arrives after the others; what the watermark has passed by then is dropped."""
     late = F.col("idx").cast("long") % 3 == 0
-    return replay_late_rows(spark, _raw(spark, sf_dir), _index(spark, sf_dir), "stream_error_rate", late)
+    return replay_late_rows(spark, _raw(spark, sf_dir), _many(spark, sf_dir), "stream_error_rate", late)
 
 
 def latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error-rate windows from two runs over one checkpoint; the newest version of each window."""
-    return replay_in_two_parts(spark, _raw(spark, sf_dir), _index(spark, sf_dir), "stream_error_rate")[1]
+    return replay_in_two_parts(spark, _raw(spark, sf_dir), _many(spark, sf_dir), "stream_error_rate")[1]
 
 
 def latest_windows_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W8 after a change that needs a new checkpoint: the newest run's windows are read."""
-    return replay_with_two_checkpoints(spark, _raw(spark, sf_dir), _index(spark, sf_dir), "stream_error_rate")[1]
+    return replay_with_two_checkpoints(spark, _raw(spark, sf_dir), _many(spark, sf_dir), "stream_error_rate")[1]
 
 
 def _measure(fn, source: Query, *args) -> Query:
@@ -161,9 +238,9 @@ QUERIES: dict[str, Query] = {
     "enrich_logs": _enriched,
     **{name: _report(name) for name in reports.REPORTS},
     "stream_requests_by_country": _stream("stream_requests_by_country"),
-    "stream_requests_by_url_category": _stream("stream_requests_by_url_category"),
-    "stream_error_rate": _stream("stream_error_rate"),
-    "stream_traffic_volume": _stream("stream_traffic_volume", with_unique_hosts=False),
+    "stream_requests_by_url_category": _stream("stream_requests_by_url_category", geo=False),
+    "stream_error_rate": _stream("stream_error_rate", geo=False),
+    "stream_traffic_volume": _stream("stream_traffic_volume", geo=False, with_unique_hosts=False),
     "stream_traffic_volume_hosts": stream_traffic_volume_hosts,
     "stream_late_rows": stream_late_rows,
     "stream_requests_by_country_staged": stream_requests_by_country_staged,
@@ -180,6 +257,16 @@ QUERIES: dict[str, Query] = {
     "country_slice": _measure(measures.country_slice, _report("traffic_by_country"), COUNTRIES),
     "category_slice": _measure(measures.category_slice, _report("url_category_distribution"), CATEGORIES),
     "hour_slice": _measure(measures.hour_slice, _report("hourly_traffic"), *HOURS),
+    "clean_logs_wide": lambda spark, sf_dir: clean(_wide_logs(spark, sf_dir)),
+    "geo_ranges_wide": _wide_ranges,
+    "geolocate_logs_wide": lambda spark, sf_dir: geolocate(clean(_wide_logs(spark, sf_dir)), _wide_ranges(spark, sf_dir)),
+    "geo_overlaps": geo_overlaps,
+    "url_categories_with_overlaps": url_categories_with_overlaps,
+    "pipeline_counts_with_overlaps": pipeline_counts_with_overlaps,
+    "all_reports": all_reports,
+    "file_job_enriched": file_job_enriched,
+    "file_job_reports": file_job_reports,
+    "previews_of_reports": previews_of_reports,
     "heatmap_matrix": _measure(measures.heatmap_matrix, _report("country_hour_heatmap")),
 }
 

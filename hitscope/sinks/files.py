@@ -14,16 +14,23 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = True) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None) -> None:
+def write_parquet(df: DataFrame, path: str, *, partition_by: list[str] | None = None, replace: str = "all") -> None:
     """K4: Parquet, overwrite, optionally partitioned (``date`` for the enriched table).
 
+    ``replace="folders"`` overwrites only the folders that the rows fall into (a job run again for some days
+    leaves the other days as they are); ``"all"`` replaces the table.
+
     Partitioned rows are rebalanced by the folder columns first: without that every task writes a file
     into every folder. Spark splits a large folder by size, so a hot day is not one task's work."""
+    if replace not in ("all", "folders"):
+        raise ValueError(f"unknown replace {replace!r}")
+    if replace == "folders" and not partition_by:
+        raise ValueError('replace="folders" needs partition_by')
     if partition_by:
         writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     else:
         writer = df.write.mode("overwrite")
-    writer.parquet(path)
+    writer.option("partitionOverwriteMode", "dynamic" if replace == "folders" else "static").parquet(path)
 
 
 def export_reports(reports: dict[str, DataFrame], csv_dir: str | None = None, *,

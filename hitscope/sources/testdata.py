@@ -85,6 +85,50 @@ def geo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lower.unionByName(upper)
 
 
+def raw_logs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_logs`` with NULL and bad times, NULL methods, and hosts all over the 10.0.0.0/8 block (FIXTURES.md §3.1)."""
+    eid = F.col("idx").cast("long")
+    spread = F.concat(F.lit("10."), _s(eid % 25), F.lit("."), _s(eid % 200), F.lit(".7"))
+    return raw_logs(spark, sf_dir).withColumns({
+        "host": F.when(eid % 7 == 3, spread).otherwise(F.col("host")),
+        "time": F.when(eid % 89 == 0, F.lit(None)).when(eid % 83 == 0, F.lit("x")).otherwise(F.col("time")),
+        "method": F.when(eid % 79 == 0, F.lit(None)).otherwise(F.col("method")),
+    })
+
+
+def geo_blocks_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``geo_blocks`` with nested and covering blocks, single addresses, and blocks that drop out."""
+    n = F.col("n_nationkey")
+    block = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else _s(x) for x in parts])
+    known = (n + 1000000).cast("long")
+    extra = [
+        (n % 2 == 0, block("10.", n, ".64.0/18"), ((n + 1) % 25 + 1000000).cast("long")),
+        (n == 0, F.lit("10.0.0.0/8"), known),
+        (n % 5 == 0, block("10.", n, ".7.7/32"), known),
+        (n % 5 == 1, block("10.", n, ".7.7"), known),
+        (n == 1, F.lit("2001:db8::/32"), known),
+        (n == 2, F.lit("bad"), known),
+        (n == 3, F.lit(None).cast("string"), known),
+        (n == 4, F.lit("10.4.0.0/16"), F.lit(None).cast("long")),
+        (n == 5, F.lit("10.5.0.0/16"), F.lit(99).cast("long")),
+        (n == 6, F.lit("10.6.3.0/33"), known),
+    ]
+    nation = table(spark, sf_dir, "nation")
+    out = geo_blocks(spark, sf_dir)
+    for where, network, geoname in extra:
+        out = out.unionByName(nation.where(where).select(network.alias("network"), geoname.alias("geoname_id")))
+    return out
+
+
+def geo_locations_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``geo_locations`` with some names of countries and continents NULL."""
+    key = F.col("geoname_id") - 1000000
+    return geo_locations(spark, sf_dir).withColumns({
+        "country_name": F.when(key % 11 != 0, F.col("country_name")),
+        "continent_name": F.when(key % 13 != 0, F.col("continent_name")),
+    })
+
+
 def geo_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")

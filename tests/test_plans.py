@@ -9,10 +9,11 @@ from hitscope.plans.catalog import QUERIES
 
 BATCH = [n for n in sorted(QUERIES) if not n.startswith("stream_")
          and n not in ("latest_windows", "latest_windows_two_checkpoints", "latest_error_rate")]
-# shares of a total: one row is broadcast to the groups
-ONE_ROW_JOIN = {"error_analysis", "url_category_distribution", "method_distribution", "client_error_rate", "category_slice"}
-# queries that read the log table other than once (K9 counts raw+cleaned in one pass, enriched in another; G5 reads none)
-MULTI_SCAN = {"pipeline_counts": 2, "geo_ranges": 0}
+# the groups of a share, of the lattice and of the file job are written once and read; what is planned last reads no log
+STORED = {"error_analysis", "url_category_distribution", "method_distribution", "client_error_rate", "category_slice", "all_reports",
+          "file_job_enriched", "file_job_reports", "geo_ranges", "geo_ranges_wide", "geo_overlaps"}
+# one scan a report, but those whose groups are stored; with overlaps K9 reads the logs for the rows that they add
+SEVERAL_SCANS = {"previews_of_reports": 12, "pipeline_counts_with_overlaps": 2}
 
 
 def _final_plan(df):
@@ -30,17 +31,46 @@ def test_plan_shape(spark, name):
     plan = _final_plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
         assert bad not in plan, (name, bad)
-    if name not in ONE_ROW_JOIN:
-        assert "NestedLoopJoin" not in plan, name
-    if name in ONE_ROW_JOIN:
-        # only the one-row total goes to a single partition, never a window over the groups
-        assert "Window" not in plan, name
+    assert "NestedLoopJoin" not in plan, name
     # nothing is shuffled between the scan and the first operator that needs it
     assert "REPARTITION_BY" not in plan, name
     scans = len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan))
-    # the one-row total is a second aggregate; where its shuffle is not reused, it is a second, narrow scan
-    allowed = (1, 2) if name in ONE_ROW_JOIN else (MULTI_SCAN.get(name, 1),)
-    assert scans in allowed, (name, scans)
+    assert scans == (0 if name in STORED else SEVERAL_SCANS.get(name, 1)), (name, scans)
+
+
+def _scans(df):
+    return len(re.findall(r"FileScan parquet [^\n]*events\.parquet", df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]))
+
+
+@pytest.mark.parametrize("name", ["error_analysis", "url_category_distribution", "method_distribution", "client_error_rate", "category_slice", "all_reports", "pipeline_counts"])
+def test_one_scan_of_the_logs_in_all(spark, monkeypatch, name):
+    """The whole query, with what it stores on the way, reads the logs once."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    written = []
+    store = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **kw: (written.append(_scans(self._df)), store(self, *args, **kw))[1])
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    assert sum(written) + _scans(df) == 1
+
+
+def test_reports_read_the_enriched_table_once(spark, scratch):
+    from hitscope.operators import reports
+    from hitscope.plans.batch import run_batch
+    from hitscope.sources import testdata
+
+    out = f"{scratch}/one_pass"
+    made = run_batch(spark, testdata.raw_logs(spark, SF_SMALL), testdata.geo_blocks(spark, SF_SMALL), testdata.geo_locations(spark, SF_SMALL), out)
+    stored = spark.read.parquet(f"{out}/enriched_logs_parquet")
+    for name, df in made.items():
+        plan = _final_plan(df)
+        assert "enriched_logs_parquet" not in plan and re.search(r"PartitionFilters: \[[^\]]*level", plan), name
+        alone = reports.REPORTS[name](stored)
+        assert df.columns == alone.columns
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, alone.collect()), key=str), name
+    plan = _final_plan(reports.lattice(stored))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_date_slicer_prunes_partitions(spark, scratch):

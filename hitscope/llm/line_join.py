@@ -18,7 +18,7 @@ earlier line of the corpus (by doc_id, then by place) matches it, whether that o
 Defined results: lines end with a line feed; a line without words never goes; null text counts as
 empty and comes back unchanged; a null doc_id comes after all others; rows with the same doc_id are
 ordered by a hash of their text, and repeated rows are one place, so all of them lose the same lines;
-an empty table gives an empty table; the columns of the documents are kept as they are.
+an empty table gives an empty table; a text or line of any length is read whole, in memory in proportion to it; the columns of the documents are kept as they are.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.llm.count_min import sketch
-from hitscope.llm.textio import sequence_hashes, short_hashes, slices, string_bytes, words
+from hitscope.llm.textio import distinct_in_groups, sequence_hashes, short_hashes, slices, string_bytes, words
 from hitscope.session import scratch_path
 
 SHINGLE = 5
@@ -57,11 +57,7 @@ def _line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     long, line, _ = sequence_hashes(hashes, first, SHINGLE)
     short, short_line = short_hashes(hashes, first, SHINGLE)
     values, line = np.concatenate([long, short]), np.concatenate([line, short_line])
-    by = np.lexsort((values, line))
-    values, line = values[by], line[by]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
-    values, line = values[new], line[new]
+    values, line = distinct_in_groups(values, line)
     return values, np.searchsorted(line, np.arange(len(text) + 1)), text, place
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,17 @@ _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PLACE = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
-# A random number for each byte at each place of a word, and 0 for what is between words. Sums of these have
-# no algebraic structure, as powers of a base modulo 2^64 have, where words of equal hash can be constructed.
-_AT_PLACE = np.append(_random.integers(0, 1 << 64, VECTOR_BYTES * 256, dtype=np.uint64), _U(0))
-_BETWEEN = VECTOR_BYTES * 256
+# A random number for each byte at each place of a word. Sums of these have no algebraic structure, as powers
+# of a base modulo 2^64 have, where words of equal hash can be constructed.
+_AT_PLACE = _random.integers(0, 1 << 64, VECTOR_BYTES * 256, dtype=np.uint64).reshape(VECTOR_BYTES, 256)
+
+
+@cache
+def _numbers(breaks: bytes, lower: bool) -> np.ndarray:
+    """The numbers by place and byte, 0 for bytes between words; with ``lower`` A-Z have those of a-z."""
+    table = _AT_PLACE[:, _LOWER] if lower else _AT_PLACE.copy()
+    table[:, np.frombuffer(breaks, bool)] = 0
+    return table.ravel()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,6 +91,7 @@ class Words:
         """64 bits per word; with ``lower`` A-Z count as a-z."""
         out = np.empty(len(self.start), np.uint64)
         length = self.end - self.start
+        numbers = _numbers(self.breaks.tobytes(), lower)
         at = 0
         while at < len(self.start):
             begin = self.start[at]
@@ -91,10 +100,13 @@ class Words:
             if span <= SLICE_BYTES:  # else one very long word
                 here = self.data[begin : begin + span]
                 rel = self.start[at:upto] - begin
-                place = np.arange(span) - np.repeat(rel, np.diff(rel, append=span))
-                code = np.minimum(place, VECTOR_BYTES - 1) * 256 + (_LOWER[here] if lower else here)
-                code[self.breaks[here]] = _BETWEEN
-                out[at:upto] = np.add.reduceat(_AT_PLACE[code], rel)
+                steps = np.diff(rel, append=span)
+                code = np.arange(span) - np.repeat(rel, steps)  # the place in a word
+                if int(steps.max()) > VECTOR_BYTES:
+                    np.minimum(code, VECTOR_BYTES - 1, out=code)
+                code <<= 8
+                code |= here
+                out[at:upto] = np.add.reduceat(numbers[code], rel)
             at = upto
         for i in np.flatnonzero(length > VECTOR_BYTES).tolist():
             word = self.data[self.start[i] : self.end[i]].tobytes()
@@ -140,6 +152,22 @@ def short_hashes(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.n
     return mix(total + counts[doc].astype(np.uint64)), doc
 
 
+def distinct_in_groups(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value of a group once, by group and value. Sorted by one number of both; where that cannot tell two values apart, by both."""
+    if len(group) and int(group.max()) < 1 << 20:
+        key = (group.astype(np.uint64) << _U(44)) | (values >> _U(20))
+        by = np.argsort(key)
+        key, values_by = key[by], values[by]
+        if np.any((key[1:] == key[:-1]) & (values_by[1:] != values_by[:-1])):
+            by = np.lexsort((values, group))
+    else:
+        by = np.lexsort((values, group))
+    values, group = values[by], group[by]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (group[1:] != group[:-1])
+    return values[new], group[new]
+
+
 def binary_array(data: np.ndarray | bytes, offsets: np.ndarray) -> pa.Array:
     """An Arrow binary column over one buffer."""
     raw = data if isinstance(data, bytes) else np.ascontiguousarray(data).view(np.uint8)

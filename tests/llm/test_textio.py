@@ -37,3 +37,15 @@ def test_lower_case_and_many_words():
     words = [f"{a}{b}{c}" for a, b, c in itertools.product("abcdefghij", repeat=3)] * 300
     h = textio.words(pa.array([" ".join(words)])).hashes()
     assert len(np.unique(h)) == 1000
+
+
+def test_distinct_values_of_groups():
+    rng = np.random.default_rng(4)
+    for high in (3, 1 << 40):
+        values = rng.integers(0, high, 5000).astype(np.uint64) * np.uint64(high if high < 9 else 1)
+        group = rng.integers(0, 50, 5000)
+        got = distinct = textio.distinct_in_groups(values, group)
+        assert list(zip(got[1].tolist(), got[0].tolist())) == sorted(set(zip(group.tolist(), values.tolist())))
+    got = textio.distinct_in_groups(values, group + (1 << 20))
+    assert np.array_equal(got[0], distinct[0])
+    assert [len(x) for x in textio.distinct_in_groups(values[:0], group[:0])] == [0, 0]

@@ -12,8 +12,8 @@ similarity of at least 75 %. The join keeps classes of documents with equal sets
    with a few neighbours in random orders of its lists; nodes that turn out connected need no
    further pairs. Then the smaller groups of each list are paired with all of another group. All pairs
    pass a length and a positional filter.
-3. The overlap of a pair is counted by fragment and summed per pair, which decides exactly.
-4. Components of the links, by repeated contraction.
+3. The overlap of a pair is counted by fragment, in rows of their own, and summed per pair, which decides exactly.
+4. Components of the links, by repeated contraction with pointer doubling.
 
 Nodes are known by a 64-bit hash of their set that is checked against a second one: sets that meet
 in the first use the second.
@@ -21,7 +21,7 @@ in the first use the second.
 Defined results: null or empty text, or text without words, has an empty set and is its own
 component; fewer than five words count as one shingle; repeated rows give a row each; component_id
 is the smallest doc_id, null only if all are null; ties in rarity fall by hash; an empty table
-gives an empty table; only doc_id and the text column are read, so extra columns never clash.
+gives an empty table; a text of any length is cut whole, in memory in proportion to its length; only doc_id and the text column are read, so extra columns never clash.
 """
 
 from __future__ import annotations
@@ -35,15 +35,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitscope.llm.textio import binary_array, sequence_hashes, short_hashes, slices, words
+from hitscope.llm.textio import binary_array, distinct_in_groups, sequence_hashes, short_hashes, slices, words
 from hitscope.session import scratch_path
 
 SHINGLE = 5
 PERCENT = 75
 #: Shingles of one fragment that a task has in memory.
 FRAGMENT_SHINGLES = 4_000_000
-#: Fragments in which the overlaps of a pair are counted.
-PAIR_FRAGMENTS = 8
+#: Fragments in which the overlaps of a pair are counted, each in a row of its own.
+PAIR_FRAGMENTS = 4
+#: Copies of a table that is looked up, for keys that a large part of the rows have.
+SALTS = 8
 #: Of each list, so many neighbours of a member are paired with it at once, in parts of so many members.
 CHAIN_STEPS = 8
 CHAIN_ROWS = 1000
@@ -56,11 +58,7 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     long, doc, _ = sequence_hashes(hashes, found.first, SHINGLE)
     short, short_doc = short_hashes(hashes, found.first, SHINGLE)
     values, doc = np.concatenate([long, short]), np.concatenate([doc, short_doc])
-    by = np.lexsort((values, doc))
-    values, doc = values[by], doc[by]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (doc[1:] != doc[:-1])
-    values, doc = values[new], doc[new]
+    values, doc = distinct_in_groups(values, doc)
     return values, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
@@ -172,27 +170,42 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) those that link: partial overlaps by fragment, summed per pair."""
-    left = segments.select(F.col("node").alias("b"), F.col("segments").alias("of_b"), F.col("size").alias("size_b"))
-    right = segments.select(F.col("node").alias("a"), F.col("segments").alias("of_a"), F.col("size").alias("size_a"))
-    partial = F.zip_with("of_a", "of_b", lambda x, y: F.size(F.array_intersect(x, y)))
-    both = pairs.join(left, "b").join(right, "a").select("a", "b", "size_a", "size_b", F.aggregate(partial, F.lit(0), lambda total, x: total + x).alias("overlap"))
-    return both.where(100 * F.col("overlap") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b")
+def _looked_up(rows: DataFrame, key: str, table: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row of ``table`` (first column: key) that has their key; rows of one key are dealt over ``SALTS`` tasks."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__copy")
+    copies = table.select(F.col(table.columns[0]).alias("__key"), *table.columns[1:], salts)
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return dealt.join(copies, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")), how).drop("__key", "__copy", "__salt")
+
+
+def _linked(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b) those that link: each fragment counts what it has of the overlap, and a shuffle sums it per pair."""
+    left = pieces.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("of_b"), F.col("size").alias("size_b"))
+    right = pieces.select(F.col("node").alias("a"), F.col("fragment").alias("__fragment"), F.col("shingles").alias("of_a"), F.col("size").alias("size_a"))
+    met = pairs.join(left, "b").join(right.withColumnRenamed("a", "__a"), (F.col("a") == F.col("__a")) & (F.col("fragment") == F.col("__fragment")))
+    partial = met.select("fragment", "a", "b", "size_a", "size_b", F.size(F.array_intersect("of_a", "of_b")).alias("partial"))
+    summed = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("partial").alias("overlap"))
+    return summed.where(100 * F.col("overlap") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label of every node of a link: equal labels for connected nodes. Each round joins nodes to their smallest neighbour."""
-    spark = links.sparkSession
+    """node, label of every node of a link: equal labels for connected nodes.
+
+    A round joins every node to its smallest neighbour, follows these parents to their last by doubling (so a chain
+    in the order of its numbers takes one round), and contracts what is joined."""
     edges = _stored(links.select("a", "b").where("a <> b"), "edges")
     labels = _stored(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("label", F.col("node")), "labels")
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
         parents = _stored(both.groupBy(F.col("a").alias("child")).agg(F.least(F.min("b"), F.col("child")).alias("parent")), "parents")
-        labels = _stored(labels.join(parents, F.col("label") == F.col("child"), "left").select("node", F.coalesce("parent", "label").alias("label")), "labels")
-        up_a = parents.select(F.col("child").alias("a"), F.col("parent").alias("to_a"))
-        up_b = parents.select(F.col("child").alias("b"), F.col("parent").alias("to_b"))
-        moved = edges.join(up_a, "a").join(up_b, "b").where("to_a <> to_b")
+        while True:
+            up = parents.where("parent < child").select("child", F.col("parent").alias("next"))
+            further = _looked_up(parents, "parent", up, "left")
+            if further.where("next IS NOT NULL").isEmpty():
+                break
+            parents = _stored(further.select("child", F.coalesce("next", "parent").alias("parent")), "parents")
+        labels = _stored(_looked_up(labels, "label", parents, "left").select("node", F.coalesce("parent", "label").alias("label")), "labels")
+        moved = _looked_up(_looked_up(edges, "a", parents.withColumnRenamed("parent", "to_a")), "b", parents.withColumnRenamed("parent", "to_b")).where("to_a <> to_b")
         edges = _stored(moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct(), "edges")
     return labels
 
@@ -218,7 +231,7 @@ def _links(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     lists = _stored(lists.join(often, "shingle"), "lists")
     shift = 64 - (PAIR_FRAGMENTS - 1).bit_length()
     cut = f"transform(sequence(0, {PAIR_FRAGMENTS - 1}), f -> filter(shingles, s -> shiftrightunsigned(s, {shift}) = f))"
-    segments = nodes.select("node", "size", F.expr(cut).alias("segments"))
+    segments = _stored(nodes.select("node", "size", F.posexplode(F.expr(cut)).alias("fragment", "shingles")), "pieces")
     own, hub = F.col("own"), F.col("hub")
     to_hub = lists.where((own["node"] != hub["node"]) & _may_link(own, hub)).groupBy(own["node"].alias("node")).agg(F.min("hub").alias("hub"))
     to_hub = to_hub.select(F.least("node", hub["node"]).alias("a"), F.greatest("node", hub["node"]).alias("b"))
@@ -268,7 +281,7 @@ def join(documents: DataFrame, text: str = "text") -> DataFrame:
     named = _stored(named, "labelled")
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return named.join(least, "label").select("doc_id", "n_shingles", "component_id").union(alone)
+    return _looked_up(named, "label", least).select("doc_id", "n_shingles", "component_id").union(alone)
 
 
 def one_of_each(documents: DataFrame, text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hitscope.llm import ngram_join
 
@@ -89,3 +90,41 @@ def test_one_of_each_keeps_columns(spark, documents):
     out = ngram_join.one_of_each(frame)
     assert out.columns == frame.columns
     assert {r.doc_id for r in out.collect()} == {c for _, _, c in brute(rows)}
+
+
+def test_a_chain_in_order_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    stored = ngram_join._stored
+    monkeypatch.setattr(ngram_join, "_stored", lambda frame, name: (rounds.append(name), stored(frame, name))[1])
+    links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(1000, 1001), (7, 7)], "a long, b long"))
+    got = {r.node: r.label for r in ngram_join.components(links).collect()}
+    assert {got[i] for i in range(301)} == {0} and got[1001] == 1000 and len(rounds) < 30
+
+
+def thue_morse(a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(1024))
+
+
+def test_words_that_collide_under_a_polynomial_hash_do_not_link(documents):
+    x, y = thue_morse("a", "b"), thue_morse("b", "a")
+    rows = [(1, " ".join([x] * 4 + ["c", "d"])), (2, " ".join([y] * 4 + ["c", "d"])), (3, " ".join([x] * 4 + ["c", "d"]))]
+    assert {r.doc_id: r.component_id for r in ngram_join.join(documents(rows)).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_a_very_long_text(documents):
+    long = " ".join(f"w{i}" for i in range(150_000))
+    rows = [(1, long), (2, long + " more"), (3, "w1 w2 w3 w4 w5")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(documents(rows)).collect()}
+    assert got == {1: (149_996, 1), 2: (149_997, 1), 3: (1, 3)}
+
+
+def test_a_large_group_without_adaptive_execution(spark, documents):
+    """One group of near copies, with AQE off: all linked, and no task of the last join has them all."""
+    rows = [(i, " ".join(f"t{k}" for k in range(40)) + f" end{i % 500}") for i in range(3000)]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = ngram_join.join(documents(rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert {r.component_id for r in got} == {0} and len(got) == 3000

@@ -179,17 +179,21 @@ def _with_last_digits(value: Column, last: Column, pattern: str) -> Column:
     return F.regexp_replace(value, pattern, F.concat(F.lit("$1"), last))
 
 
-def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
-    draws = _draws(key, kind, canonical(kind, entity), attempt)
+def _host(entity: Column) -> Column:
+    return F.regexp_extract(F.substring_index(entity, "@", -1), r"^(.*)\.[A-Za-z]+$", 1)
+
+
+def surrogate(kind: Column, entity: Column, attempt: Column, draws: Column, host_draws: Column) -> Column:
+    """The surrogate made of keyed ``draws``; these are columns of their own, or they would be made again for every character."""
     more = F.greatest(attempt - (IN_FORMAT - 1), F.lit(0))
     tail = F.array_join(F.transform(_upto(more), lambda i: (_number(draws, 70 + 3 * i) % 10).cast("string")), "")
     plain = _redrawn(entity, draws)
     compact = F.regexp_replace(entity, "[^A-Za-z0-9]", "")
     rest = lambda value, first: F.substring(value, F.lit(first), F.char_length(value))
     domain = F.substring_index(entity, "@", -1)
-    host = F.regexp_extract(domain, r"^(.*)\.[A-Za-z]+$", 1)
+    host = _host(entity)
     local = _redrawn(F.substring_index(entity, "@", 1), draws)
-    email = F.concat(local, tail, F.lit("@"), _redrawn(host, _draws(key, F.lit("domain"), F.lower(host))), F.regexp_extract(domain, r"(\.[A-Za-z]+)$", 1))
+    email = F.concat(local, tail, F.lit("@"), _redrawn(host, host_draws), F.regexp_extract(domain, r"(\.[A-Za-z]+)$", 1))
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.when(i == 0, 1).otherwise(0) + _number(draws, i * 8) % F.when(i == 0, 223).otherwise(256)).cast("string"))
     # the first digit stays, and the last makes the number as valid as it was
     card = F.concat(F.substring(compact, 1, 1), _redrawn(rest(compact, 2), draws))
@@ -251,10 +255,14 @@ def _table(entities: DataFrame, key: str) -> DataFrame:
     spark = entities.sparkSession
     # drawing is work per row and not per byte, so its tasks are not merged by their size
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    drawn = entities.select(kind_of(F.col("entity")).alias("kind"), "entity", F.lit(0).alias("attempt")).repartition(tasks, "entity")
+    spread = F.xxhash64("entity")  # entities come hashed already, and a second exchange by the same key would be left out
+    drawn = entities.select(kind_of(F.col("entity")).alias("kind"), "entity", F.lit(0).alias("attempt"))
     while True:  # each attempt past IN_FORMAT has a larger space, so this ends
         path = scratch_path(spark, "surrogates")
-        drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), key)).write.parquet(path)
+        drawn = drawn.repartition(tasks, spread).withColumn("same", canonical(F.col("kind"), F.col("entity")))
+        drawn = drawn.withColumn("draws", _draws(key, F.col("kind"), F.col("same"), F.col("attempt"))).withColumn("host_draws", _draws(key, F.lit("domain"), F.lower(_host(F.col("entity")))))
+        made = surrogate(F.col("kind"), F.col("entity"), F.col("attempt"), F.col("draws"), F.col("host_draws"))
+        drawn.select("kind", "entity", "attempt", "same", made.alias("surrogate")).write.parquet(path)
         table = spark.read.parquet(path)
         order = Window.partitionBy("surrogate").orderBy("attempt", F.sha2("entity", 256))
         occurs = table.select(F.col("entity").alias("other"), F.lit(True).alias("occurs"))
@@ -263,8 +271,8 @@ def _table(entities: DataFrame, key: str) -> DataFrame:
         if ranked.where(again).isEmpty():
             return table.select("kind", "entity", "surrogate")
         # entities that mean the same are drawn again together
-        same = Window.partitionBy("kind", canonical(F.col("kind"), F.col("entity")))
-        drawn = ranked.select("kind", "entity", (F.max("attempt").over(same) + F.max(again.cast("int")).over(same)).alias("attempt")).repartition(tasks, "entity")
+        same = Window.partitionBy("kind", "same")
+        drawn = ranked.select("kind", "entity", (F.max("attempt").over(same) + F.max(again.cast("int")).over(same)).alias("attempt"))
 
 
 def replace(documents: DataFrame, key: str, text: str = "text") -> DataFrame:

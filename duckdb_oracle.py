@@ -318,6 +318,51 @@ WIDE_BODIES = {
     "file_job_reports": _long(),
 }
 OTHER_BODIES["all_reports"] = _long()
+_BY_PERIOD = f"cast(count(*) as bigint) as requests, {BYTES}, count(distinct host) as exact_hosts, true as estimate_ok from enriched where \"date\" is not null"
+_DAY, _MONTH = "strftime(\"date\", '%Y-%m-%d')", "strftime(\"date\", '%Y-%m')"
+OTHER_BODIES["hosts_by_period"] = "\nunion all ".join(
+    f"select '{level}' as level, {period} as period, {country} as country_name, {_BY_PERIOD}{by}"
+    for level, period, country, by in [
+        ("day", _DAY, "country_name", f" group by {_DAY}, country_name"), ("day", _DAY, "null", f" group by {_DAY}"),
+        ("month", _MONTH, "country_name", f" group by {_MONTH}, country_name"), ("month", _MONTH, "null", f" group by {_MONTH}"),
+        ("all", "'all'", "country_name", " group by country_name"), ("all", "'all'", "null", " having count(*) > 0"),
+    ])
+OTHER_BODIES["stream_four_tables"] = "\nunion all ".join(
+    f"select '{name}' as table_name, window_start, window_end, {key} as \"key\", cast({requests} as bigint) as requests, "
+    + ", ".join(f"cast({m if m in metrics.split() else 'null'} as {t}) as {m}" for m, t in
+                {"total_bytes": "bigint", "avg_bytes": "double", "error_requests": "bigint", "error_rate_pct": "double", "total_mb": "double"}.items())
+    + f" from ({STREAM_BODIES[name]}) s"
+    for name, key, requests, metrics in [
+        ("stream_requests_by_country", "country_name", "requests", "total_bytes"),
+        ("stream_requests_by_url_category", "url_category", "requests", "total_bytes avg_bytes"),
+        ("stream_error_rate", "cast(null as varchar)", "total_requests", "error_requests error_rate_pct"),
+        ("stream_traffic_volume", "cast(null as varchar)", "requests", "total_bytes total_mb"),
+    ])
+_SESSIONS = """select make_timestamp(min(time) * 1000000) as session_start, make_timestamp((max(time) + 1800) * 1000000) as session_end,
+ host, count(*) as requests, cast(sum(bytes) as bigint) as total_bytes from (
+  select *, sum(fresh) over (partition by host order by time rows unbounded preceding) as session from (
+   select *, case when time - lag(time) over (partition by host order by time) <= 1800 then 0 else 1 end as fresh from cleaned where time is not null))
+ group by host, session"""
+OTHER_BODIES["host_sessions"] = _SESSIONS
+# a session is emitted once the newest time less ten minutes has reached its end
+OTHER_BODIES["stream_host_sessions"] = f"select * from ({_SESSIONS}) s where session_end <= (select make_timestamp((max(time) - 600) * 1000000) from cleaned)"
+OTHER_BODIES["requests_with_error_rate"] = f"""select e.host, e.url, e.response, e.bytes, e."timestamp", r.window_end, r.error_rate_pct
+ from enriched_once e asof left join (
+  select host, make_timestamp((cast(floor(time / 300) as bigint) * 300 + 300) * 1000000) as window_end,
+         {R(f'cast({ERR} as double) / cast(count(*) as double) * 100')} as error_rate_pct
+  from cleaned where time is not null group by host, cast(floor(time / 300) as bigint)) r
+ on e.host = r.host and e."timestamp" >= r.window_end"""
+OTHER_BODIES["requests_with_error_rate"] = ("select * from (" + OTHER_BODIES["requests_with_error_rate"].replace(
+    "enriched_once", "(select *, make_timestamp(time * 1000000) as \"timestamp\" from cleaned)") + ")")
+WIDE_BODIES["run_difference"] = f"""select host, method, response, bytes, change, cast(n as bigint) as n from (
+ select host, method, response, bytes, unnest(['gained', 'lost', 'same']) as change, unnest([a - b, b - a, least(a, b)]) as n from (
+  select host, method, response, bytes, sum(b) as b, sum(a) as a from (
+   select host, method, response, bytes, 1 as b, 0 as a from (select {CLEAN_COLS} from narrow_logs where {CLEAN_WHERE})
+   union all select host, method, response, bytes, 0, 1 from cleaned) group by all)) where n > 0"""
+OTHER_BODIES["stream_late_split"] = f"""select host, time, method, url, response, bytes,
+ coalesce(cast(idx as bigint) % 3 = 0 and cast(floor(time / 300) as bigint) * 300 + 300
+   <= (select max(time) - 600 from (select idx, {CLEAN_COLS} from raw_logs where {CLEAN_WHERE}) where cast(idx as bigint) % 3 <> 0), false) as late
+ from (select idx, {CLEAN_COLS} from raw_logs where {CLEAN_WHERE})"""
 OTHER_BODIES["previews_of_reports"] = _long(5)
 
 

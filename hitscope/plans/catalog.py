@@ -7,20 +7,27 @@ DataFrame; the stream queries run their stream to the end of the input first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.functions.sql import register_sql_functions
-from hitscope.operators import measures, reports
+from hitscope.operators import host_sketches, measures, reports
+from hitscope.operators.asof import asof_join
 from hitscope.operators.cleaning import clean
-from hitscope.operators.windows import requests_by_url_category, windowed
+from hitscope.operators.difference import run_difference
+from hitscope.operators.sessions import host_sessions
+from hitscope.operators.windows import WINDOWED, requests_by_url_category, windowed
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.operators.overlaps import Multiplicity, multiplicity, overlaps
 from hitscope.plans.batch import enriched_logs, pipeline_counts, previews, run_file_job
 from hitscope.plans.streams import (
+    replay_four_tables,
     replay_in_two_parts,
+    replay_late_split,
     replay_late_rows,
+    replay_sessions,
     replay_staged,
     replay_windowed,
     replay_with_two_checkpoints,
@@ -224,6 +231,50 @@ def latest_windows_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFram
     return replay_with_two_checkpoints(spark, _raw(spark, sf_dir), _many(spark, sf_dir), "stream_error_rate")[1]
 
 
+def stream_four_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 as one query: the four tables from one read of the records, as one long table."""
+    metrics = {"requests": "long", "total_bytes": "long", "avg_bytes": "double", "error_requests": "long", "error_rate_pct": "double", "total_mb": "double"}
+    parts = []
+    for name, df in replay_four_tables(spark, _records(spark, sf_dir), _index(spark, sf_dir)).items():
+        key = F.col(WINDOWED[name][1][0]) if WINDOWED[name][1] else F.lit(None).cast("string")
+        df = df.withColumnRenamed("total_requests", "requests")
+        values = [(F.col(m) if m in df.columns else F.lit(None)).cast(t).alias(m) for m, t in metrics.items()]
+        parts.append(df.select(F.lit(name).alias("table_name"), "window_start", "window_end", key.alias("key"), *values))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third row arrives after the others: each row once, and whether it went to the late table."""
+    kept, late = replay_late_split(spark, _raw(spark, sf_dir), F.col("idx").cast("long") % 3 == 0)
+    columns = ["host", "time", "method", "url", "response", "bytes"]
+    return kept.select(*columns, F.lit(False).alias("late")).unionByName(late.select(*columns, F.lit(True).alias("late")))
+
+
+def hosts_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct hosts by day, month and in all, with and without the country, merged from stored daily sketches."""
+    path = scratch_path(spark, "host_sketches")
+    enriched = _enriched(spark, sf_dir)
+    host_sketches.write_sketches(enriched, path)
+    return host_sketches.checked_hosts(host_sketches.read_sketches(spark, path), enriched)
+
+
+def requests_with_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request with the error rate of its host's last 5-minute window that had ended by then."""
+    logs = _enriched_without_geo(spark, sf_dir).select("host", "url", "response", "bytes", "timestamp")
+    rate = F.round(F.count_if(F.col("response") >= 400) / F.count(F.lit(1)) * 100, 2).alias("error_rate_pct")
+    rates = windowed(logs, ["host"], [rate], watermark=None)
+    return asof_join(logs, rates, "host", "timestamp", "window_end", ["window_end", "error_rate_pct"])
+
+
+def _enriched_without_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_logs(_raw(spark, sf_dir), Multiplicity(None))
+
+
+def run_difference_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs over the two fixtures have in common and not, by columns in which rows repeat."""
+    return run_difference(clean(_raw(spark, sf_dir)), clean(_wide_logs(spark, sf_dir)), ["host", "method", "response", "bytes"])
+
+
 def _measure(fn, source: Query, *args) -> Query:
     return lambda spark, sf_dir: fn(source(spark, sf_dir), *args)
 
@@ -257,6 +308,13 @@ QUERIES: dict[str, Query] = {
     "country_slice": _measure(measures.country_slice, _report("traffic_by_country"), COUNTRIES),
     "category_slice": _measure(measures.category_slice, _report("url_category_distribution"), CATEGORIES),
     "hour_slice": _measure(measures.hour_slice, _report("hourly_traffic"), *HOURS),
+    "hosts_by_period": hosts_by_period,
+    "host_sessions": lambda spark, sf_dir: host_sessions(_enriched_without_geo(spark, sf_dir)),
+    "stream_host_sessions": lambda spark, sf_dir: replay_sessions(spark, _records(spark, sf_dir)),
+    "requests_with_error_rate": requests_with_error_rate,
+    "run_difference": run_difference_of_logs,
+    "stream_four_tables": stream_four_tables,
+    "stream_late_split": stream_late_split,
     "clean_logs_wide": lambda spark, sf_dir: clean(_wide_logs(spark, sf_dir)),
     "geo_ranges_wide": _wide_ranges,
     "geolocate_logs_wide": lambda spark, sf_dir: geolocate(clean(_wide_logs(spark, sf_dir)), _wide_ranges(spark, sf_dir)),

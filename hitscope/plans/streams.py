@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 
 from hitscope.operators.cleaning import kept, typed
 from hitscope.operators.geo import RangeIndex
+from hitscope.operators.overlaps import Multiplicity
+from hitscope.operators.sessions import session_stream
 from hitscope.operators.windows import WINDOW_SECONDS, WINDOWED
 from hitscope.session import scratch_path
 from hitscope.sinks.records import write_records
 from hitscope.sources.stream import read_record_stream
 from hitscope.streaming.pipeline import enriched_stream
-from hitscope.streaming.sink import ParquetBatchTarget, start_query
+from hitscope.streaming.late import read_split, start_late_split
+from hitscope.streaming.sink import ParquetBatchTarget, start_four_tables, start_query
 from hitscope.streaming.versions import latest_versions, read_versions
 
 
@@ -196,3 +199,41 @@ def replay_staged(spark: SparkSession, input_dir: str, ranges: DataFrame | Range
     if not target.writes:
         spark.createDataFrame([], windows.schema).write.mode("overwrite").parquet(f"{run.output}/run={NO_RUN}/batch_id=-1")
     return run.latest(spark, name)
+
+
+def replay_four_tables(spark: SparkSession, input_dir: str, ranges: DataFrame | RangeIndex) -> dict[str, DataFrame]:
+    """All records through one query into four versioned tables: the newest versions of each."""
+    root = scratch_path(spark, "streams", "four_tables")
+    logs = enriched_stream(read_record_stream(spark, "text", path=input_dir), ranges)
+    targets = {name: ParquetBatchTarget(f"{root}/{name}") for name in WINDOWED}
+    query = start_four_tables(logs, targets, f"{root}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"four tables failed: {query.exception()}")
+    return {name: latest_versions(read_versions(spark, target.path), WINDOWED[name][1]) for name, target in targets.items()}
+
+
+def replay_late_split(spark: SparkSession, raw_rows: DataFrame, late: Column) -> tuple[DataFrame, DataFrame]:
+    """All rows but the ``late`` ones, then those, through the split at the watermark: (kept, late)."""
+    run = StreamRun.create(spark, "late_split")
+    for part in (raw_rows.where(~late), raw_rows.where(late)):
+        run.add_input(part)
+        rows = enriched_stream(read_record_stream(spark, "text", path=run.input), Multiplicity(None))
+        query = start_late_split(rows, run.output, run.checkpoint, name=f"late_split_{run.root.rsplit('/', 1)[-1]}", trigger={"availableNow": True})
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"late split failed: {query.exception()}")
+    return read_split(spark, run.output, "kept"), read_split(spark, run.output, "late")
+
+
+def replay_sessions(spark: SparkSession, input_dir: str) -> DataFrame:
+    """All records through the session stream: the sessions that the watermark has closed."""
+    root = scratch_path(spark, "streams", "sessions")
+    logs = enriched_stream(read_record_stream(spark, "text", path=input_dir), Multiplicity(None))
+    sessions = session_stream(logs)
+    query = start_query(sessions, f"sessions_{root.rsplit('/', 1)[-1]}", ParquetBatchTarget(f"{root}/sessions"), f"{root}/checkpoint",
+                        output_mode="append", trigger={"availableNow": True}, skip_empty=False)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"session stream failed: {query.exception()}")
+    return read_versions(spark, f"{root}/sessions").select(*sessions.columns)

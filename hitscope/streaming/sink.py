@@ -163,3 +163,26 @@ def start_windowed_queries(enriched: DataFrame, targets: dict[str, object], chec
         started[name] = start_query(fn(enriched), name, targets[name],
                                     f"{checkpoint_root.rstrip('/')}/{name}", preview=preview, **kw)
     return started
+
+
+@dataclass(frozen=True)
+class FourTargets:
+    """Each micro-batch of ``four_tables`` to the four targets; ``versioned_batch_writer`` has it persisted, so it is computed once."""
+
+    targets: dict[str, object]
+
+    def write(self, df: DataFrame, batch_id: int, run: str = LOCAL_RUN) -> None:
+        from hitscope.operators.windows import split_tables
+
+        for name, part in split_tables(df).items():
+            self.targets[name].write(part, batch_id, run)
+
+
+def start_four_tables(enriched: DataFrame, targets: dict[str, object], checkpoint: str, **kw) -> StreamingQuery:
+    """W7 as one query: one read of the records, one checkpoint and one state for the four tables.
+
+    The tables are written one after the other; a batch that fails between them is run again and each
+    target overwrites what it has of that version."""
+    from hitscope.operators.windows import four_tables
+
+    return start_query(four_tables(enriched), "four_tables", FourTargets(targets), checkpoint, **kw)

@@ -1,0 +1,133 @@
+"""Sessions, the as-of join, the difference of runs and the stored sketches, against brute force."""
+
+import collections
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from hitscope.operators import host_sketches
+from hitscope.operators.asof import asof_join
+from hitscope.operators.difference import run_difference
+from hitscope.operators.sessions import host_sessions, session_stream
+
+QUIET = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+EPOCH = dt.datetime(2024, 1, 1)
+
+
+def logs(spark, rows):
+    return spark.createDataFrame([(h, None if t is None else EPOCH + dt.timedelta(seconds=t), b) for h, t, b in rows], "host string, timestamp timestamp, bytes long")
+
+
+def brute_sessions(rows, gap):
+    out = []
+    for host in {h for h, _, _ in rows}:
+        for t, b in sorted((t, b) for h, t, b in rows if h == host and t is not None):
+            if out and out[-1][2] == host and t <= out[-1][1]:
+                out[-1] = (out[-1][0], t + gap, host, out[-1][3] + 1, out[-1][4] + b)
+            else:
+                out.append((t, t + gap, host, 1, b))
+    return sorted(out, key=str)
+
+
+def seconds(rows):
+    return sorted((((r.session_start - EPOCH).total_seconds(), (r.session_end - EPOCH).total_seconds(), r.host, r.requests, r.total_bytes) for r in rows), key=str)
+
+
+@QUIET
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(0, 400)), st.integers(0, 9)), max_size=40), st.integers(1, 60))
+def test_sessions_against_brute_force(spark, rows, chunk):
+    want = [(float(a), float(b), *r) for a, b, *r in brute_sessions(rows, 20)]
+    assert seconds(host_sessions(logs(spark, rows), gap=20, chunk=chunk).collect()) == sorted(want, key=str)
+
+
+def test_a_pause_of_just_the_gap_is_the_same_for_batch_and_session_windows(spark):
+    rows = [("a", 0, 1), ("a", 20, 1), ("a", 41, 1), ("b", 5, 1)]
+    assert seconds(host_sessions(logs(spark, rows), gap=20).collect()) == seconds(session_stream(logs(spark, rows), gap=20).collect())
+
+
+def test_a_hot_host_is_ordered_in_parts(spark):
+    """No ordering before the second level has all requests of a host; with adaptive execution off the largest task stays small."""
+    frame = spark.range(60_000).selectExpr("IF(id % 3 = 0, 'hot', concat('h', id % 999)) AS host", "timestamp_seconds(id * 40) AS timestamp", "1L AS bytes")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = {r.host: r.requests for r in host_sessions(frame, gap=119).where("host = 'hot'").collect()}
+        sessions = host_sessions(frame, gap=121).where("host = 'hot'").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out["hot"] == 1 and len(sessions) == 1 and sessions[0].requests == 20_000
+
+
+def brute_asof(left, right):
+    out = []
+    for k, t, x in left:
+        best = max(((u, v) for j, u, v in right if j == k and u is not None and t is not None and u <= t), default=(None, None), key=lambda p: p)
+        out.append((k, t, x, best[1]))
+    return sorted(out, key=str)
+
+
+@QUIET
+@given(
+    st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 30)), st.integers(0, 3)), max_size=30),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "d", None]), st.one_of(st.none(), st.integers(0, 30)), st.integers(0, 9)), max_size=20),
+    st.integers(1, 9),
+)
+def test_asof_against_brute_force(spark, left, right, parts):
+    a = spark.createDataFrame(left, "k string, t long, x long")
+    b = spark.createDataFrame(right, "k string, u long, v long")
+    got = asof_join(a, b, "k", "t", "u", ["v"], parts)
+    assert got.columns == ["k", "t", "x", "v"]
+    assert sorted(map(tuple, got.collect()), key=str) == brute_asof(left, right)
+
+
+def test_asof_carries_over_many_ranges_of_a_hot_key(spark):
+    a = spark.range(20_000).selectExpr("IF(id % 3 < 2, 'hot', concat('k', id)) AS k", "id AS t")
+    b = spark.createDataFrame([("hot", 5, "first"), ("hot", 15_000, "second")], "k string, u long, v string")
+    got = asof_join(a, b, "k", "t", "u", ["v"], 32)
+    want = collections.Counter(("hot", None if t < 5 else "first" if t < 15_000 else "second") for t in range(20_000) if t % 3 < 2)
+    assert collections.Counter((r.k, r.v) for r in got.where("k = 'hot'").collect()) == want
+    assert got.where("k <> 'hot' AND v IS NOT NULL").isEmpty() and got.count() == 20_000
+
+
+def test_run_difference_is_a_bag(spark):
+    schema = "a string, b int"
+    before = spark.createDataFrame([("x", 1)] * 3 + [("y", None)] * 2 + [("z", 1)], schema)
+    after = spark.createDataFrame([("x", 1)] * 5 + [("y", None)] + [(None, None)] * 2, schema)
+    got = {(r.a, r.b, r.change): r.n for r in run_difference(before, after).collect()}
+    assert got == {("x", 1, "gained"): 2, ("x", 1, "same"): 3, ("y", None, "lost"): 1, ("y", None, "same"): 1, ("z", 1, "lost"): 1, (None, None, "gained"): 2}
+    for change, frame in (("gained", after.exceptAll(before)), ("lost", before.exceptAll(after)), ("same", before.intersectAll(after))):
+        assert collections.Counter(map(tuple, frame.collect())) == collections.Counter({k[:2]: n for k, n in got.items() if k[2] == change})
+    assert run_difference(before.limit(0), after.limit(0)).collect() == []
+
+
+@pytest.fixture(scope="module")
+def sketched(spark, scratch):
+    rows = spark.range(30_000).selectExpr("date_add(DATE'2024-01-20', cast(id % 30 AS int)) AS date", "IF(id % 7 = 0, 'A', 'B') AS country_name", "concat('h', pmod(xxhash64(id), 9000)) AS host", "id AS bytes")
+    path = f"{scratch}/sketches"
+    host_sketches.write_sketches(rows, path)
+    return rows, path
+
+
+def test_sketches_roll_up_within_their_error(spark, sketched):
+    rows, path = sketched
+    out = host_sketches.checked_hosts(host_sketches.read_sketches(spark, path), rows).collect()
+    assert all(r.estimate_ok for r in out) and {r.level for r in out} == {"day", "month", "all"}
+    whole = next(r for r in out if r.level == "all" and r.country_name is None)
+    assert (whole.requests, whole.total_bytes, whole.exact_hosts) == (30_000, sum(range(30_000)), rows.select("host").distinct().count())
+    plan = host_sketches.hosts_by_period(host_sketches.read_sketches(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "sketches" in plan and "Range" not in plan
+
+
+def test_a_day_written_again_replaces_its_sketches(spark, scratch):
+    path = f"{scratch}/sketches-again"
+    make = lambda day, n: spark.range(n).selectExpr(f"DATE'{day}' AS date", "'A' AS country_name", "concat('h', id) AS host", "1L AS bytes")
+    host_sketches.write_sketches(make("2024-01-01", 10).union(make("2024-01-02", 20)), path)
+    host_sketches.write_sketches(make("2024-01-02", 5), path)
+    got = {(r.level, r.period): r.requests for r in host_sketches.hosts_by_period(host_sketches.read_sketches(spark, path)).where("country_name IS NULL").collect()}
+    assert got == {("day", "2024-01-01"): 10, ("day", "2024-01-02"): 5, ("month", "2024-01"): 15, ("all", "all"): 15}
+
+
+def test_sketches_of_nothing(spark, scratch):
+    empty = spark.createDataFrame([], "date date, country_name string, host string, bytes long")
+    assert host_sketches.hosts_by_period(host_sketches.daily_sketches(empty)).collect() == []

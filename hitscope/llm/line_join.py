@@ -221,14 +221,16 @@ def _matched(spark: SparkSession, source: DataFrame, firsts: DataFrame, again: f
     lists = classes.mapInArrow(_listed(rarity), "token long, key long, size long, place long").join(firsts.select("key", "first"), "key")
     lists = _stored(lists.select("token", "key", "size", "place", _first().alias("first")), "lists")
     hubs = lists.groupBy("token").agg(F.min(F.struct("first", "key", "size", "place")).alias("hub"), F.count("*").alias("members")).where("members > 1")
-    pairs = lists.join(hubs, "token").where(F.col("key") != F.col("hub.key"))
+    # from here on only tokens that several lines have, each entry with its list's earliest line
+    lists = _stored(lists.join(hubs.select("token", F.struct("hub.key", "hub.size", "hub.place").alias("hub")), "token"), "shared_lists")
+    pairs = lists.where(F.col("key") != F.col("hub.key"))
     pairs = pairs.where(_may_match(F.col("hub.size"), F.col("hub.place"), F.col("size"), F.col("place")))
     tried = _stored(pairs.select(F.col("hub.key").alias("earlier"), F.col("key").alias("later")).distinct(), "pairs")
     settled = _stored(_verified(tried, classes), "settled")
     # the rest: lines that did not match the earliest of their list, with all earlier ones but that
-    open_ = lists.join(settled, F.col("key") == F.col("later"), "left_anti").join(hubs.select("token", "hub"), "token").where(F.col("key") != F.col("hub.key"))
+    open_ = lists.where(F.col("key") != F.col("hub.key")).join(settled, F.col("key") == F.col("later"), "left_anti")
     open_ = open_.select("token", F.col("key").alias("later"), F.col("size").alias("b_size"), F.col("place").alias("b_place"), F.col("first").alias("b_first"))
-    pairs = lists.join(open_, "token").where((F.col("first") < F.col("b_first")) & _may_match(F.col("size"), F.col("place"), F.col("b_size"), F.col("b_place")))
+    pairs = lists.drop("hub").join(open_, "token").where((F.col("first") < F.col("b_first")) & _may_match(F.col("size"), F.col("place"), F.col("b_size"), F.col("b_place")))
     pairs = pairs.select(F.col("key").alias("earlier"), "later").distinct().join(tried, ["earlier", "later"], "left_anti")
     return settled.union(_verified(pairs, classes))
 

@@ -10,7 +10,7 @@ occurs in a document with a smaller doc_id.
 2. A second pass over all texts sends only windows whose cells all have that bit. A sketch can
    only overestimate, so every repeated window is among them; on more data than the table can
    tell apart more windows come through, none is lost. Windows are dealt by the upper bits of
-   their hash and grouped exactly by 64-bit hash, and those in a document other than the
+   their hash and grouped by it and by 32 further bits of their words, and those in a document other than the
    smallest of their group are returned to their documents.
 3. The documents are joined with what goes.
 
@@ -20,7 +20,7 @@ what goes of it is decided in the last pass from a small table, so no task gets
 Defined results: null or empty text has no words and keeps the empty text; fewer than 13 words
 lose nothing; a null doc_id counts as larger than any other; rows with the same doc_id are not
 smaller than one another, so none of them loses words to another; repeated rows each give a row,
-with equal results; an empty table gives an empty table; only doc_id
+with equal results; an empty table gives an empty table; a text of any length is read whole, in memory in proportion to it; only doc_id
 and the text column are read, so extra columns never clash.
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.llm.count_min import Sketch, gaps_packed, gaps_unpacked, sketch
-from hitscope.llm.textio import _SPACES, Words, binary_array, sequence_hashes, slices, string_bytes, words
+from hitscope.llm.textio import _SPACES, Words, binary_array, sequence_checks, sequence_hashes, slices, string_bytes, words
 from hitscope.session import scratch_path
 
 WINDOW = 13
@@ -53,7 +53,7 @@ def _window_hashes(rows: pa.RecordBatch) -> np.ndarray:
     return _windows(rows)[1]
 
 
-_SENT = "range int, ids binary, tags binary, counts binary, lengths binary, starts binary, hashes binary"
+_SENT = "range int, ids binary, tags binary, counts binary, lengths binary, starts binary, hashes binary, checks binary"
 
 
 def _sent(table, range_bits: int):
@@ -70,6 +70,7 @@ def _sent(table, range_bits: int):
                 use[spots] = False
                 by = spots[np.lexsort((ids[doc[spots]], hashes[spots]))]  # of each heavy window only its smallest document
                 use[by[np.flatnonzero(np.diff(hashes[by], prepend=hashes[by[:1]] + np.uint64(1)))] if len(by) else by] = True
+            checks = sequence_checks(found.hashes(), start[use], WINDOW)
             hashes, doc, start = hashes[use], doc[use], start[use] - found.first[doc[use]]
             shard = (hashes >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(hashes), np.int64)
             by = np.argsort(shard, kind="stable")
@@ -78,10 +79,10 @@ def _sent(table, range_bits: int):
                 own = by[edges[k] : edges[k + 1]]
                 docs, count = np.unique(doc[own], return_counts=True)
                 far = start[own] + np.repeat(np.cumsum(np.append(0, found.first[docs[:-1] + 1] - found.first[docs[:-1]])), count)
-                out.append((k, ids[docs].tobytes(), tags[docs].tobytes(), count.astype(np.uint32).tobytes(), np.diff(found.first)[docs].astype(np.uint32).tobytes(), gaps_packed(far), hashes[own].tobytes()))
+                out.append((k, ids[docs].tobytes(), tags[docs].tobytes(), count.astype(np.uint32).tobytes(), np.diff(found.first)[docs].astype(np.uint32).tobytes(), gaps_packed(far), hashes[own].tobytes(), checks[own].tobytes()))
             if out:
                 columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], ["range", "ids", "tags", "counts", "lengths", "starts", "hashes"])
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32())] + [pa.array(c, pa.binary()) for c in columns[1:]], ["range", "ids", "tags", "counts", "lengths", "starts", "hashes", "checks"])
 
     return run
 
@@ -93,17 +94,19 @@ def _grouped(heavy: np.ndarray):
     """Per document the starts of its windows that a smaller document has too; per heavy window its smallest document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True))
+        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True))
         for _, group in groupby(rows, key=lambda r: r[0]):
-            parts = [[] for _ in range(4)]
-            for _, ids, tags, counts, lengths, starts, hashes in group:
+            parts = [[] for _ in range(5)]
+            for _, ids, tags, counts, lengths, starts, hashes, checks in group:
                 count, length = (np.frombuffer(x, np.uint32).astype(np.int64) for x in (counts, lengths))
                 own = gaps_unpacked(starts) - np.repeat(np.cumsum(np.append(0, length[:-1])), count)
-                for part, values in zip(parts, (np.repeat(np.frombuffer(ids, np.int64), count), np.repeat(np.frombuffer(tags, np.int32), count), own.astype(np.uint32), np.frombuffer(hashes, np.uint64)), strict=True):
+                for part, values in zip(parts, (np.repeat(np.frombuffer(ids, np.int64), count), np.repeat(np.frombuffer(tags, np.int32), count), own.astype(np.uint32), np.frombuffer(hashes, np.uint64), np.frombuffer(checks, np.uint32)), strict=True):
                     part.append(values)
-            ids, tags, starts, hashes = (np.concatenate(p) for p in parts)
+            ids, tags, starts, hashes, checks = (np.concatenate(p) for p in parts)
             by = np.argsort(hashes, kind="stable")
-            edge = np.flatnonzero(np.diff(hashes[by], prepend=hashes[by[0]] + np.uint64(1)))
+            if np.any((hashes[by[1:]] == hashes[by[:-1]]) & (checks[by[1:]] != checks[by[:-1]])):
+                by = np.lexsort((checks, hashes))  # different words with one hash
+            edge = np.flatnonzero(np.append(True, (hashes[by[1:]] != hashes[by[:-1]]) | (checks[by[1:]] != checks[by[:-1]])))
             least = np.minimum.reduceat(ids[by], edge)
             size = np.diff(np.append(edge, len(by)))
             gone = by[ids[by] > np.repeat(least, size)]
@@ -173,7 +176,8 @@ def remove_repeats(documents: DataFrame, text: str = "text", **heavy: int) -> Da
     # sorted by range, so that a task has one range in memory at a time
     sent.repartition(1 << range_bits, "range").sortWithinPartitions("range").mapInArrow(_grouped(table.heavy), _GONE).write.parquet(path)
     found = spark.read.schema(_GONE).parquet(path)
-    least = {r.hash & ((1 << 64) - 1): r.order for r in found.where("hash IS NOT NULL").collect()} if len(table.heavy) else {}  # at most 1000 rows
+    smallest = found.where("hash IS NOT NULL").groupBy("hash").agg(F.min("order").alias("order"))
+    least = {r.hash & ((1 << 64) - 1): r.order for r in smallest.collect()} if len(table.heavy) else {}  # at most 1000 rows
     keys = np.array(sorted(least), np.uint64)
     values = np.array([least[k] for k in keys.tolist()], np.int64)
     gone = found.where("hash IS NULL").groupBy(F.col("order").alias("gone_order"), F.col("tag").alias("gone_tag")).agg(F.collect_list("starts").alias("gone"))

@@ -28,6 +28,7 @@ _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PLACE = _random.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
+_CHECK_PLACE = np.random.Generator(np.random.PCG64(97)).integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 # A random number for each byte at each place of a word. Sums of these have no algebraic structure, as powers
 # of a base modulo 2^64 have, where words of equal hash can be constructed.
 _AT_PLACE = _random.integers(0, 1 << 64, VECTOR_BYTES * 256, dtype=np.uint64).reshape(VECTOR_BYTES, 256)
@@ -141,6 +142,14 @@ def sequence_hashes(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[n
     return mix(total + _U(size)), doc, start
 
 
+def sequence_checks(hashes: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """32 further bits of the ``size`` words from each ``start``, independent of ``sequence_hashes``."""
+    total = np.zeros(len(start), np.uint64)
+    for k in range(size):
+        total += hashes[start + k] * _CHECK_PLACE[k]
+    return (mix(total + _U(size)) >> _U(32)).astype(np.uint32)
+
+
 def short_hashes(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """One hash for each document that has words but fewer than ``size``: its whole sequence."""
     counts = np.diff(first)

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hitscope.llm import repeated_spans
@@ -89,3 +90,46 @@ def test_gaps_round_trip():
         values = np.cumsum(rng.integers(0, top, 500))
         assert gaps_unpacked(gaps_packed(values)).tolist() == values.tolist()
     assert len(gaps_unpacked(b"")) == 0
+
+
+def thue_morse(a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(1024))
+
+
+def digest_of(documents, rows):
+    return {r.doc_id: r.n_removed for r in repeated_spans.digest(documents(rows)).collect()}
+
+
+def test_words_that_collide_under_a_polynomial_hash_stay(documents):
+    x, y = thue_morse("a", "b"), thue_morse("b", "a")
+    rest = " ".join(f"w{i}" for i in range(12))
+    assert digest_of(documents, [(1, f"{x} {rest}"), (2, f"{y} {rest}"), (3, f"{x} {rest}")]) == {1: 0, 2: 0, 3: 13}
+
+
+def test_windows_of_one_hash_are_told_apart(documents, monkeypatch):
+    """With hashes of a few bits only, the further bits of the words decide."""
+    full = repeated_spans.sequence_hashes
+
+    def few(hashes, first, size):
+        values, doc, start = full(hashes, first, size)
+        return values >> np.uint64(62) << np.uint64(62), doc, start
+
+    rows = [(i, " ".join(f"d{i % 40}w{k}" for k in range(15))) for i in range(80)]
+    found = repeated_spans.words(pa.array([t for _, t in rows]))
+    monkeypatch.setattr(repeated_spans, "sequence_hashes", few)
+    ids = np.arange(80, dtype=np.int64)
+    values, doc, start = few(found.hashes(), found.first, 13)
+    checks = repeated_spans.sequence_checks(found.hashes(), start, 13)
+    own = start - found.first[doc]
+    count = np.bincount(doc).astype(np.uint32)
+    length = np.diff(found.first).astype(np.uint32)
+    far = own + np.repeat(np.cumsum(np.append(0, length[:-1])), count)
+    row = [0, ids.tobytes(), np.zeros(80, np.int32).tobytes(), count.tobytes(), length.tobytes(), repeated_spans.gaps_packed(far), values.tobytes(), checks.tobytes()]
+    batch = pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *(pa.array([c], pa.binary()) for c in row[1:])], ["range", "ids", "tags", "counts", "lengths", "starts", "hashes", "checks"])
+    gone = [r for b in repeated_spans._grouped(np.empty(0, np.uint64))(iter([batch])) for r in b.to_pylist()]
+    assert {r["order"] for r in gone} == set(range(40, 80))
+
+
+def test_a_very_long_text(documents):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    assert digest_of(documents, [(1, long), (2, long), (3, "w5 " * 12)]) == {1: 0, 2: 200_000, 3: 0}

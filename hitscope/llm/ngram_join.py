@@ -12,7 +12,8 @@ similarity of at least 75 %. The join keeps classes of documents with equal sets
    with a few neighbours in random orders of its lists; nodes that turn out connected need no
    further pairs. Then the smaller groups of each list are paired with all of another group. All pairs
    pass a length and a positional filter.
-3. The overlap of a pair is counted by fragment, in rows of their own, and summed per pair, which decides exactly.
+3. The overlap of a pair is counted by fragment, in rows of their own, and summed per pair, which decides exactly;
+   pairs that the first fragment rules out are not counted in the others.
 4. Components of the links, by repeated contraction with pointer doubling.
 
 Nodes are known by a 64-bit hash of their set that is checked against a second one: sets that meet
@@ -178,14 +179,29 @@ def _looked_up(rows: DataFrame, key: str, table: DataFrame, how: str = "inner")
     return dealt.join(copies, (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__copy")), how).drop("__key", "__copy", "__salt")
 
 
+def _counted(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """fragment, a, b and what the fragment has of their overlap (``partial``), for each piece of the two."""
+    b = pieces.select(F.col("node").alias("__b"), F.col("fragment").alias("__fragment"), F.col("shingles").alias("of_b"))
+    a = pieces.select(F.col("node").alias("__a"), "fragment", F.col("shingles").alias("of_a"))
+    met = pairs.join(a, F.col("a") == F.col("__a")).join(b, (F.col("b") == F.col("__b")) & (F.col("fragment") == F.col("__fragment")))
+    return met.select(*pairs.columns, "fragment", F.size(F.array_intersect("of_a", "of_b")).alias("partial"))
+
+
+def _reaches(overlap: Column) -> Column:
+    return 100 * overlap >= PERCENT * (F.col("size_a") + F.col("size_b") - overlap)
+
+
 def _linked(pairs: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) those that link: each fragment counts what it has of the overlap, and a shuffle sums it per pair."""
-    left = pieces.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("of_b"), F.col("size").alias("size_b"))
-    right = pieces.select(F.col("node").alias("a"), F.col("fragment").alias("__fragment"), F.col("shingles").alias("of_a"), F.col("size").alias("size_a"))
-    met = pairs.join(left, "b").join(right.withColumnRenamed("a", "__a"), (F.col("a") == F.col("__a")) & (F.col("fragment") == F.col("__fragment")))
-    partial = met.select("fragment", "a", "b", "size_a", "size_b", F.size(F.array_intersect("of_a", "of_b")).alias("partial"))
-    summed = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("partial").alias("overlap"))
-    return summed.where(100 * F.col("overlap") >= PERCENT * (F.col("size_a") + F.col("size_b") - F.col("overlap"))).select("a", "b")
+    """Of candidate pairs (a, b) those that link: each fragment counts what it has of the overlap, summed per pair.
+
+    The first fragment is counted for all pairs; those that cannot link any more, even if all that is left of the smaller
+    set is shared, go before the other fragments are counted."""
+    zero = pieces.where("fragment = 0").select("node", "size", (F.col("shared") - F.size("shingles")).alias("left"), "shingles")
+    met = pairs.join(zero.toDF("a", "size_a", "left_a", "of_a"), "a").join(zero.toDF("b", "size_b", "left_b", "of_b"), "b")
+    first = met.withColumn("counted", F.size(F.array_intersect("of_a", "of_b")))
+    open_ = _stored(first.where(_reaches(F.col("counted") + F.least("left_a", "left_b"))).select("a", "b", "size_a", "size_b", "counted"), "open_pairs")
+    rest = _counted(open_.select("a", "b"), pieces.where("fragment > 0")).groupBy("a", "b").agg(F.sum("partial").alias("rest"))
+    return open_.join(rest, ["a", "b"]).where(_reaches(F.col("counted") + F.col("rest"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -231,7 +247,7 @@ def _links(spark: SparkSession, nodes: DataFrame) -> DataFrame:
     lists = _stored(lists.join(often, "shingle"), "lists")
     shift = 64 - (PAIR_FRAGMENTS - 1).bit_length()
     cut = f"transform(sequence(0, {PAIR_FRAGMENTS - 1}), f -> filter(shingles, s -> shiftrightunsigned(s, {shift}) = f))"
-    segments = _stored(nodes.select("node", "size", F.posexplode(F.expr(cut)).alias("fragment", "shingles")), "pieces")
+    segments = _stored(nodes.select("node", "size", F.size("shingles").alias("shared"), F.posexplode(F.expr(cut)).alias("fragment", "shingles")), "pieces")
     own, hub = F.col("own"), F.col("hub")
     to_hub = lists.where((own["node"] != hub["node"]) & _may_link(own, hub)).groupBy(own["node"].alias("node")).agg(F.min("hub").alias("hub"))
     to_hub = to_hub.select(F.least("node", hub["node"]).alias("a"), F.greatest("node", hub["node"]).alias("b"))

@@ -13,7 +13,8 @@ content has at most ``max(HEAVY_FROM, rows / HEAVY)`` rows.
 Defined results: null text counts as empty, and empty texts are equal to each other; rows with
 the same doc_id and the same text are one document (one row); of equal texts the smallest
 doc_id stays, null doc_id counting as largest, and between equal ids the smaller text hash;
-an empty table gives an empty table; only doc_id and the text column are read, so extra
+an empty table gives an empty table; a text of any length is named block by block, in as many levels as it
+needs; only doc_id and the text column are read, so extra
 columns never clash.
 """
 

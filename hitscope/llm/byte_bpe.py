@@ -11,7 +11,8 @@ not seen lately go through a vectorised pair merge, many slices per step. ``enco
 byte offset at which each id starts, so a range of ids can be mapped back to its text.
 
 Defined results: null text counts as empty; empty text gives no ids; rows are independent, so
-repeated rows and ties need no rule; an empty table gives an empty table; other input columns
+repeated rows and ties need no rule; an empty table gives an empty table; a text of any length is encoded
+whole, in memory in proportion to the longest text of a slice; other input columns
 are dropped unless named in ``keep``, so clashing names cannot arise.
 """
 

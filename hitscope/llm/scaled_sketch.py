@@ -13,7 +13,7 @@ shingle; null or empty text, or white space alone, has an empty fingerprint; two
 fingerprints have likeness 1; equal texts have equal fingerprints; rows with the same doc_id
 and text are one document (one row); documents with the same doc_id follow each other by the
 hash of their text; a null doc_id comes after all others; the only document of a table is its own
-next; an empty table gives an empty table; only doc_id and the text column are read, so extra
+next; an empty table gives an empty table; a text of any length is sketched whole, in a row of its own; only doc_id and the text column are read, so extra
 columns never clash.
 """
 

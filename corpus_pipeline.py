@@ -2,6 +2,11 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns the documents that the
 next stage works on, with the columns of ``documents``. The last returns the tokens.
+
+Defined results of all stages: a null or empty text is a document without words, which no stage drops (line
+dedup drops only what loses its last words) but the mix, which never takes it; a null doc_id passes as such; repeated rows are
+documents of their own (near duplicates keep all rows of the id that stays); texts of any length are read whole; an
+empty table gives an empty table; further columns are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations

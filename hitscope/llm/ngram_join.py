@@ -44,7 +44,7 @@ PERCENT = 75
 #: Shingles of one fragment that a task has in memory.
 FRAGMENT_SHINGLES = 4_000_000
 #: Fragments in which the overlaps of a pair are counted, each in a row of its own.
-PAIR_FRAGMENTS = 4
+PAIR_FRAGMENTS = 2
 #: Copies of a table that is looked up, for keys that a large part of the rows have.
 SALTS = 8
 #: Of each list, so many neighbours of a member are paired with it at once, in parts of so many members.

@@ -51,3 +51,9 @@ def test_repeated_rows_and_null_id(spark, documents):
 
 def test_empty_table(spark, documents):
     assert block_naming.deduplicate(documents([])).collect() == []
+
+
+def test_a_very_long_text(spark, documents):
+    long = " ".join(f"w{i}" for i in range(150_000))
+    rows = [(1, long), (2, long.replace(" ", "\n", 5)), (3, long + "x"), (4, "x" * 700_000)]
+    assert {r.doc_id: r.keep_id for r in block_naming.deduplicate(documents(rows)).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}

@@ -96,3 +96,8 @@ def test_query_over_a_frame(spark, documents, known):
 
 def test_empty_table(spark, documents):
     assert byte_bpe.tokenise(documents([]), PATH).collect() == []
+
+
+def test_a_very_long_text_and_word(known):
+    texts = ["word " * 100_000, "ab" * 20_000, " " * 50_000 + "x"]
+    assert encoded(texts)[0] == [known.encode_ordinary(t) for t in texts]

@@ -79,3 +79,20 @@ def test_remove_keeps_columns_and_drops_emptied_documents(spark, documents):
     out = line_join.remove(frame)
     assert out.columns == frame.columns
     assert sorted(map(tuple, out.collect())) == [(1, "one two\nthree", 5), (3, "", 5), (4, "four", 5)]
+
+
+def test_very_long_lines_and_texts(spark, documents):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(1, long + "\nshort line"), (2, long + " more\nother words here"), (3, "a\n" * 50_000), (4, "x" * 400_000)]
+    out = {r.doc_id: (r.n_lines, r.n_removed) for r in line_join.deduplicate(documents(rows)).collect()}
+    assert out[1] == (2, 0) and out[2] == (2, 1) and out[3] == (50_001, 49_999) and out[4] == (1, 0)
+
+
+def thue_morse(a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(1024))
+
+
+def test_words_that_collide_under_a_polynomial_hash_stay(spark, documents):
+    x, y = thue_morse("a", "b"), thue_morse("b", "a")
+    out = {r.doc_id: r.n_removed for r in line_join.deduplicate(documents([(1, f"{x} c d"), (2, f"{y} c d"), (3, f"{x} c d")])).collect()}
+    assert out == {1: 0, 2: 0, 3: 1}

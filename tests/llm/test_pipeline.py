@@ -69,3 +69,39 @@ def test_run_equals_the_stages(spark, stages):
     path, out = stages
     got = sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, path).collect())
     assert got == sorted((r.doc_id, r.ids_sha256) for r in out[-1][2].collect())
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, copies int, row int"
+
+
+def through(spark, rows, labels):
+    """The tables after each stage, for documents with columns whose names the operators use too."""
+    path = scratch_path(spark, "tests")
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    docs, out = spark.read.parquet(f"{path}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        stored = scratch_path(spark, "tests")
+        stage(spark, docs, path).write.parquet(stored)
+        docs = spark.read.parquet(stored)
+        out.append((name, docs.columns, docs.collect()))
+    return out
+
+
+def test_odd_rows_through_all_stages(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and clashing names."""
+    long = " ".join(f"w{i * 7919 % 100_003}" for i in range(60_000))
+    rows = [(1, long, "en", "a", len(long), 1, 1), (2, None, None, None, None, None, None), (3, "", "en", "b", 0, 1, 1), (None, "a text without an id stands here", "en", "a", 32, 1, 1)]
+    rows += [(10, "the same row four times", "en", "c", 23, 1, 1)] * 4 + [(20 + i, f"document number {i} has words of its own like x{i}", "en", "ab"[i % 2], 45, i, i) for i in range(30)]
+    out = through(spark, rows, [])
+    (_, columns, clean), (_, _, lines), (_, _, single), (_, _, mixed), (_, _, tokens) = out
+    assert columns == [c.split()[0] for c in COLUMNS.split(", ")] == out[3][1]
+    assert len(clean) == len(lines) == len(single) == len(rows)
+    assert sorted(map(str, clean)) == sorted(map(str, single)) or len({r.doc_id for r in single}) == len({r.doc_id for r in clean})
+    assert next(r for r in single if r.doc_id == 1).text == long
+    assert not [r for r in mixed if not r.text] and max(Counter(r.doc_id for r in mixed if r.doc_id != 10).values()) <= 2
+    assert sorted(str(r.doc_id) for r in tokens) == sorted(str(r.doc_id) for r in mixed)
+
+
+def test_empty_tables_through_all_stages(spark):
+    assert all(rows == [] for _, _, rows in through(spark, [], []))

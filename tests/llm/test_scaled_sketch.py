@@ -93,3 +93,10 @@ def test_hashes_are_wide_enough_for_merged_sketches(spark, documents):
     assert got == {1.0, None}
     alone = both.select(scaled_sketch.containment(F.col("part"), F.col("part")).alias("c")).distinct().collect()
     assert [r.c for r in alone] == [1.0]
+
+
+def test_a_very_long_text(spark, documents):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    got = {r.doc_id: r for r in scaled_sketch.fingerprints(documents([(1, long), (2, "x" * 300_000), (3, long)])).collect()}
+    assert got[1].fingerprint == got[3].fingerprint != got[2].fingerprint and got[1].n_chars == len(long)
+    assert 0.4 < got[3].near_edited < 0.9

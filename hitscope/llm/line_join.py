@@ -189,7 +189,7 @@ def _listed(rarity: np.ndarray):
 def _stored(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, "line_join", name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -338,6 +338,11 @@ OTHER_BODIES["stream_four_tables"] = "\nunion all ".join(
         ("stream_error_rate", "cast(null as varchar)", "total_requests", "error_requests error_rate_pct"),
         ("stream_traffic_volume", "cast(null as varchar)", "requests", "total_bytes total_mb"),
     ])
+OTHER_BODIES["recovered_errors"] = """select e.host, make_timestamp(e.time * 1000000) as error_time, e.url as error_url, e.response as error_response,
+ make_timestamp(s.time * 1000000) as success_time, s.url as success_url
+ from cleaned e join cleaned s on e.host = s.host and e.response >= 400 and s.response between 200 and 299 and s.time between e.time and e.time + 3600"""
+OTHER_BODIES["stream_recovered_errors"] = OTHER_BODIES["recovered_errors"]
+OTHER_BODIES["latest_windows_manifest"] = STREAM_BODIES["stream_error_rate"]
 _SESSIONS = """select make_timestamp(min(time) * 1000000) as session_start, make_timestamp((max(time) + 1800) * 1000000) as session_end,
  host, count(*) as requests, cast(sum(bytes) as bigint) as total_bytes from (
   select *, sum(fresh) over (partition by host order by time rows unbounded preceding) as session from (

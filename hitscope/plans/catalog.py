@@ -17,6 +17,7 @@ from hitscope.operators import host_sketches, measures, reports
 from hitscope.operators.asof import asof_join
 from hitscope.operators.cleaning import clean
 from hitscope.operators.difference import run_difference
+from hitscope.operators.interval import errors, interval_join, successes
 from hitscope.operators.sessions import host_sessions
 from hitscope.operators.windows import WINDOWED, requests_by_url_category, windowed
 from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
@@ -26,6 +27,8 @@ from hitscope.plans.streams import (
     replay_four_tables,
     replay_in_two_parts,
     replay_late_split,
+    replay_manifest,
+    replay_recovered_errors,
     replay_late_rows,
     replay_sessions,
     replay_staged,
@@ -270,6 +273,21 @@ def _enriched_without_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enriched_logs(_raw(spark, sf_dir), Multiplicity(None))
 
 
+#: Seconds within which a success after an error counts (the test rows are too thin for the default).
+RECOVERED_WITHIN = 3600
+
+
+def recovered_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors and the successes of the same host within an hour after them."""
+    logs = _enriched_without_geo(spark, sf_dir)
+    return interval_join(errors(logs), successes(logs), ["host"], "error_time", "success_time", RECOVERED_WITHIN)
+
+
+def latest_windows_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W8 through a table with snapshots: the newest windows after compaction."""
+    return replay_manifest(spark, _records(spark, sf_dir), _many(spark, sf_dir), "stream_error_rate").latest(spark)
+
+
 def run_difference_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What two runs over the two fixtures have in common and not, by columns in which rows repeat."""
     return run_difference(clean(_raw(spark, sf_dir)), clean(_wide_logs(spark, sf_dir)), ["host", "method", "response", "bytes"])
@@ -313,6 +331,9 @@ QUERIES: dict[str, Query] = {
     "stream_host_sessions": lambda spark, sf_dir: replay_sessions(spark, _records(spark, sf_dir)),
     "requests_with_error_rate": requests_with_error_rate,
     "run_difference": run_difference_of_logs,
+    "recovered_errors": recovered_errors,
+    "stream_recovered_errors": lambda spark, sf_dir: replay_recovered_errors(spark, _records(spark, sf_dir), RECOVERED_WITHIN),
+    "latest_windows_manifest": latest_windows_manifest,
     "stream_four_tables": stream_four_tables,
     "stream_late_split": stream_late_split,
     "clean_logs_wide": lambda spark, sf_dir: clean(_wide_logs(spark, sf_dir)),

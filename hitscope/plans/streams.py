@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from hitscope.operators.cleaning import kept, typed
 from hitscope.operators.geo import RangeIndex
 from hitscope.operators.overlaps import Multiplicity
+from hitscope.operators.interval import errors, interval_join_streams, successes
 from hitscope.operators.sessions import session_stream
 from hitscope.operators.windows import WINDOW_SECONDS, WINDOWED
 from hitscope.session import scratch_path
 from hitscope.sinks.records import write_records
 from hitscope.sources.stream import read_record_stream
+from hitscope.streaming.manifest import ManifestTable
 from hitscope.streaming.pipeline import enriched_stream
 from hitscope.streaming.late import read_split, start_late_split
 from hitscope.streaming.sink import ParquetBatchTarget, start_four_tables, start_query
@@ -237,3 +239,31 @@ def replay_sessions(spark: SparkSession, input_dir: str) -> DataFrame:
     if query.exception() is not None:
         raise RuntimeError(f"session stream failed: {query.exception()}")
     return read_versions(spark, f"{root}/sessions").select(*sessions.columns)
+
+
+def replay_recovered_errors(spark: SparkSession, input_dir: str, within: int) -> DataFrame:
+    """Errors and later successes of the same host, as two streams of the same records."""
+    root = scratch_path(spark, "streams", "recovered")
+    logs = enriched_stream(read_record_stream(spark, "text", path=input_dir), Multiplicity(None))
+    again = enriched_stream(read_record_stream(spark, "text", path=input_dir), Multiplicity(None))
+    pairs = interval_join_streams(errors(logs), successes(again), ["host"], "error_time", "success_time", within)
+    query = start_query(pairs, f"recovered_{root.rsplit('/', 1)[-1]}", ParquetBatchTarget(f"{root}/pairs"), f"{root}/checkpoint",
+                        output_mode="append", trigger={"availableNow": True}, skip_empty=False)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"interval join failed: {query.exception()}")
+    return read_versions(spark, f"{root}/pairs").select(*pairs.columns)
+
+
+def replay_manifest(spark: SparkSession, input_dir: str, ranges: DataFrame | RangeIndex | Multiplicity, name: str) -> ManifestTable:
+    """A windowed query into a table with snapshots, then compacted; the table."""
+    root = scratch_path(spark, "streams", f"{name}_manifest")
+    fn, keys = WINDOWED[name]
+    windows = fn(enriched_stream(read_record_stream(spark, "text", path=input_dir), ranges))
+    table = ManifestTable(f"{root}/table", windows.schema, keys)
+    query = start_query(windows, f"{name}_manifest_{root.rsplit('/', 1)[-1]}", table, f"{root}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream {name} (manifest) failed: {query.exception()}")
+    table.compact(spark)
+    return table

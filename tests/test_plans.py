@@ -11,9 +11,9 @@ BATCH = [n for n in sorted(QUERIES) if not n.startswith("stream_")
          and n not in ("latest_windows", "latest_windows_two_checkpoints", "latest_error_rate")]
 # the groups of a share, of the lattice and of the file job are written once and read; what is planned last reads no log
 STORED = {"error_analysis", "url_category_distribution", "method_distribution", "client_error_rate", "category_slice", "all_reports",
-          "file_job_enriched", "file_job_reports", "geo_ranges", "geo_ranges_wide", "geo_overlaps"}
+          "file_job_enriched", "file_job_reports", "geo_ranges", "geo_ranges_wide", "geo_overlaps", "requests_with_error_rate", "latest_windows_manifest"}
 # one scan a report, but those whose groups are stored; with overlaps K9 reads the logs for the rows that they add
-SEVERAL_SCANS = {"previews_of_reports": 12, "pipeline_counts_with_overlaps": 2}
+SEVERAL_SCANS = {"previews_of_reports": 12, "pipeline_counts_with_overlaps": 2, "run_difference": 2, "recovered_errors": 2}
 
 
 def _final_plan(df):

@@ -245,11 +245,16 @@ def removed_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     spark = documents.sparkSession
     source = _keyed(documents, text)
     lines = _stored(source.mapInArrow(_lines(frozenset()), _LINE), "lines")
-    meet = lines.groupBy("key").agg((F.min("second") != F.max("second")).alias("meet")).where("meet")
-    again = frozenset(r.key for r in meet.collect())  # about lines ** 2 / 2 ** 65 of them
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        meet = (F.min("second") != F.max("second")).alias("meet")
+        return _stored(rows.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.count("*").alias("lines"), meet), "firsts")
+
+    firsts = grouped(lines)
+    again = frozenset(r.key for r in firsts.where("meet").collect())  # about lines ** 2 / 2 ** 65 of them
     if again:
         lines = lines.withColumn("key", F.when(F.col("key").isin(list(again)), F.col("second")).otherwise(F.col("key")))
-    firsts = _stored(lines.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.count("*").alias("lines")), "firsts")
+        firsts = grouped(lines)
     matched = _stored(_matched(spark, source, firsts, again).distinct(), "matched")
     marks = firsts.join(matched, F.col("key") == F.col("later"), "left").where((F.col("lines") > 1) | F.col("later").isNotNull())
     marks = marks.select("key", "first", F.col("later").isNotNull().alias("all_go"))

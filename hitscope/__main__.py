@@ -18,12 +18,12 @@ from pyspark.sql import SparkSession
 
 from hitscope.operators.geo import build_geo_ranges, index_ranges
 from hitscope.operators.windows import WINDOWED
-from hitscope.plans.batch import pipeline_counts, previews, run_batch
+from hitscope.plans.batch import pipeline_counts, previews, run_batch, write_corrupt_records
 from hitscope.session import configure
 from hitscope.sources.files import read_access_log, read_geo_blocks, read_geo_locations
 from hitscope.sources.stream import read_record_stream
 from hitscope.streaming.pipeline import enriched_stream
-from hitscope.streaming.sink import JdbcBatchTarget, ParquetBatchTarget, start_windowed_queries
+from hitscope.streaming.sink import JdbcBatchTarget, ParquetBatchTarget, start_four_tables, start_windowed_queries
 from hitscope.streaming.staging import read_enriched_table, start_enriched_table, wait_for_first_batch
 
 
@@ -41,11 +41,14 @@ def _jdbc(args) -> dict | None:
 
 
 def batch(spark: SparkSession, args) -> None:
+    if args.corrupt_dir and args.logs_format == "csv":
+        write_corrupt_records(spark, args.logs, args.corrupt_dir)
     raw = read_access_log(spark, args.logs, fmt=args.logs_format)
     blocks, locations = read_geo_blocks(spark, args.blocks), read_geo_locations(spark, args.locations)
     reports = run_batch(spark, raw, blocks, locations, args.out, jdbc=_jdbc(args),
                         on_error="skip" if args.keep_going else "raise",
-                        jdbc_enriched=not args.no_enriched_jdbc)
+                        jdbc_enriched=not args.no_enriched_jdbc,
+                        replace="folders" if args.replace_days else "all")
     print(f"wrote {len(reports)} reports under {args.out}")
     if args.show:
         pipeline_counts(raw, blocks, locations).show(truncate=False)
@@ -92,6 +95,12 @@ def stream(spark: SparkSession, args) -> None:
                else ParquetBatchTarget(f"{args.out.rstrip('/')}/{name}"))
         for name in WINDOWED
     }
+    if args.one_query:
+        query = start_four_tables(logs, targets, f"{args.checkpoint.rstrip('/')}/four_tables", trigger=trigger,
+                                  output_mode=args.output_mode, on_error="skip" if args.keep_going else "raise",
+                                  preview=_printer(args.show)("four_tables") if args.show else None)
+        query.awaitTermination()
+        return
     queries = start_windowed_queries(logs, targets, args.checkpoint, trigger=trigger,
                                      output_mode=args.output_mode,
                                      on_error="skip" if args.keep_going else "raise",
@@ -124,6 +133,9 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--logs-format", choices=["csv", "parquet"], default="csv")
             p.add_argument("--no-enriched-jdbc", action="store_true",
                            help="send only the reports to JDBC; the enriched table stays in Parquet")
+            p.add_argument("--corrupt-dir", help="folder for log records whose number of fields does not fit their file's header")
+            p.add_argument("--replace-days", action="store_true",
+                           help="replace only the days that the logs have; reports are over all days of the table")
         else:
             p.add_argument("--checkpoint", required=True)
             p.add_argument("--kafka-servers")
@@ -138,6 +150,8 @@ def main(argv: list[str] | None = None) -> None:
                            help="go on over offsets that the broker has already dropped")
             p.add_argument("--state-partitions", type=int,
                            help="shuffle/state partitions of the windowed queries (first start only)")
+            p.add_argument("--one-query", action="store_true",
+                           help="one query and one state for the four tables: records are read, parsed and geolocated once")
             p.add_argument("--once", action="store_true", help="process what is available, then stop")
             p.add_argument("--stage-enriched",
                            help="folder for an enriched Parquet table: records are parsed, geolocated "

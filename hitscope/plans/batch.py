@@ -101,6 +101,12 @@ def run_batch(spark: SparkSession, raw: DataFrame, blocks: DataFrame, locations:
     return reports
 
 
+def write_corrupt_records(spark: SparkSession, logs: str | list[str], path: str) -> None:
+    """The log records whose number of fields does not fit their file's header, as Parquet (idx, record)."""
+    marked = read_access_log(spark, logs, corrupt="record")
+    marked.where(F.col("record").isNotNull()).select("idx", "record").write.mode("overwrite").parquet(path)
+
+
 def run_file_job(spark: SparkSession, logs: str | list[str], blocks: str | list[str], locations: str | list[str],
                  out_dir: str, *, corrupt_dir: str | None = None, **options) -> dict[str, DataFrame]:
     """The batch job from CSV files to files (S1-S3 -> K3, K4, K7).
@@ -108,7 +114,6 @@ def run_file_job(spark: SparkSession, logs: str | list[str], blocks: str | list[
     With ``corrupt_dir`` the log records whose number of fields does not fit their file's header are also
     written there (idx, record) as Parquet; they go through the job as far as their fields can be read, as without it."""
     if corrupt_dir:
-        marked = read_access_log(spark, logs, corrupt="record")
-        marked.where(F.col("record").isNotNull()).select("idx", "record").write.mode("overwrite").parquet(corrupt_dir)
+        write_corrupt_records(spark, logs, corrupt_dir)
     return run_batch(spark, read_access_log(spark, logs), read_geo_blocks(spark, blocks), read_geo_locations(spark, locations),
                      out_dir, **options)

@@ -55,3 +55,29 @@ def test_stream_command_staged(spark, scratch):
     expected = sorted(tuple(r) for r in catalog.QUERIES["stream_requests_by_country"](spark, SF_SMALL).collect())
     got = latest_versions(read_versions(spark, f"{root}/out/stream_requests_by_country"), ["country_name"])
     assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_batch_command_for_days_and_corrupt_records(spark, scratch):
+    root = f"{scratch}/cli_days"
+    _write_inputs(spark, root)
+    with open(f"{root}/day.csv", "w") as out:
+        out.write("n,bytes,response,url,method,time,host\n1,5,200,/x,GET,86400,h\n2,5\n")
+    common = ["--blocks", f"{root}/blocks", "--locations", f"{root}/locations", "--out", f"{root}/out"]
+    main(["batch", "--logs", f"{root}/logs", *common])
+    days = spark.read.parquet(f"{root}/out/enriched_logs_parquet").select("date").distinct().count()
+    main(["batch", "--logs", f"{root}/day.csv", *common, "--replace-days", "--corrupt-dir", f"{root}/bad"])
+    assert spark.read.parquet(f"{root}/out/enriched_logs_parquet").select("date").distinct().count() == days + 1
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/bad").collect()] == [("2", "2,5")]
+
+
+def test_stream_command_as_one_query(spark, scratch):
+    root = f"{scratch}/cli_one"
+    _write_inputs(spark, root)
+    write_records(testdata.raw_logs(spark, SF_SMALL), f"{root}/records")
+    main(["stream", "--records", f"{root}/records", "--blocks", f"{root}/blocks", "--locations", f"{root}/locations",
+          "--out", f"{root}/out", "--checkpoint", f"{root}/ckpt", "--once", "--one-query"])
+    from hitscope.plans import catalog
+    for name, keys in (("stream_error_rate", []), ("stream_requests_by_country", ["country_name"])):
+        expected = sorted(tuple(r) for r in catalog.QUERIES[name](spark, SF_SMALL).collect())
+        got = latest_versions(read_versions(spark, f"{root}/out/{name}"), keys)
+        assert sorted(tuple(r) for r in got.collect()) == expected

@@ -2,11 +2,12 @@
 
 import collections
 import datetime as dt
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from hitscope.operators.interval import interval_join
+from hitscope.operators.interval import interval_join, interval_join_streams
 from hitscope.streaming.manifest import ManifestTable
 
 DAY = dt.datetime(2024, 1, 1)
@@ -78,3 +79,22 @@ def test_interval_join_against_brute_force(spark, first, second, within):
     want = [(k, a, b) for k, a in first for j, b in second if k is not None and k == j and a is not None and b is not None and a <= b <= a + within]
     seconds = lambda t: int((t - DAY).total_seconds())
     assert collections.Counter((r.k, seconds(r.t), seconds(r.u)) for r in got.collect()) == collections.Counter(want)
+
+
+def test_stream_interval_join_meets_only_its_bucket(spark, scratch, capsys):
+    """Pairs as by brute force, and a join on key and bucket: a row is not compared with all that its key has."""
+    rows = {side: [(k, n * step) for k in ("a", "b", None) for n in range(40)] + [("a", None), ("a", 0), ("a", 100)] for side, step in (("t", 37), ("u", 23))}
+    streams = []
+    for time, listed in rows.items():
+        path = f"{scratch}/interval-{time}"
+        spark.createDataFrame([(k, None if s is None else DAY + dt.timedelta(seconds=s), i) for i, (k, s) in enumerate(listed)], f"k string, {time} timestamp, n{time} long").write.parquet(path)
+        streams.append(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    joined = interval_join_streams(*streams, ["k"], "t", "u", 100)
+    assert joined.columns == ["k", "t", "nt", "u", "nu"]
+    joined.explain()
+    assert re.search(r"StreamingSymmetricHashJoin \[k#\w+, __bucket#\w+\], \[k#\w+, __bucket#\w+\]", capsys.readouterr().out)
+    query = joined.writeStream.format("memory").queryName("interval_pairs").outputMode("append").option("checkpointLocation", f"{scratch}/interval-checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = collections.Counter((r.k, r.nt, r.nu) for r in spark.table("interval_pairs").collect())
+    want = [(k, i, j) for i, (k, a) in enumerate(rows["t"]) for j, (m, b) in enumerate(rows["u"]) if k is not None and k == m and a is not None and b is not None and a <= b <= a + 100]
+    assert got == collections.Counter(want)

@@ -20,7 +20,7 @@ from hitscope.operators.difference import run_difference
 from hitscope.operators.interval import errors, interval_join, successes
 from hitscope.operators.sessions import host_sessions
 from hitscope.operators.windows import WINDOWED, requests_by_url_category, windowed
-from hitscope.operators.geo import RangeIndex, build_geo_ranges, geolocate, index_ranges
+from hitscope.operators.geo import GEO_COLUMNS, RangeIndex, build_geo_ranges, geolocate, index_ranges
 from hitscope.operators.overlaps import Multiplicity, multiplicity, overlaps
 from hitscope.plans.batch import enriched_logs, pipeline_counts, previews, run_file_job
 from hitscope.plans.streams import (
@@ -88,7 +88,15 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(name: str) -> Query:
-    return lambda spark, sf_dir: reports.REPORTS[name](_enriched(spark, sf_dir), None)
+    """A report over its own scan; one without a geo key reads the same rows without geo columns (no lookup of addresses
+    unless ranges overlap)."""
+    geo = any(key in GEO_COLUMNS for key in reports.REPORT_KEYS[name])
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        logs = _enriched(spark, sf_dir) if geo else enriched_logs(_raw(spark, sf_dir), _many(spark, sf_dir))
+        return reports.REPORTS[name](logs, None)
+
+    return run
 
 
 def ip_functions(spark: SparkSession, sf_dir: str) -> DataFrame:

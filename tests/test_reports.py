@@ -4,9 +4,10 @@ import datetime as dt
 
 import pytest
 
+from paths import SF_SMALL
 from hitscope.operators import reports as R
 from hitscope.operators.enrich import enrich
-from hitscope.operators.geo import geolocate
+from hitscope.operators.geo import RangeIndex, geolocate
 
 LOG = "host string, time long, method string, url string, response int, bytes long"
 RANGES = ("ip_start long, ip_end long, country_name string, continent_name string, "
@@ -70,3 +71,14 @@ def test_top_k_tie_breaks_and_filters(enriched):
 def test_heatmap_top_n(enriched):
     got = _rows(R.country_hour_heatmap(enriched, top_n=1))
     assert got == [("A", 1, 2), ("A", 2, 1)]
+
+
+@pytest.mark.parametrize("name,geo", [("traffic_by_country", True), ("country_hour_heatmap", True), ("daily_traffic", False), ("top_hosts", False), ("method_distribution", False)])
+def test_only_reports_by_place_look_addresses_up(spark, monkeypatch, name, geo):
+    from hitscope.plans import catalog
+
+    looked_up = []
+    lookup = catalog.enriched_logs
+    monkeypatch.setattr(catalog, "enriched_logs", lambda raw, ranges: looked_up.append(isinstance(ranges, RangeIndex)) or lookup(raw, ranges))
+    catalog.QUERIES[name](spark, SF_SMALL).collect()
+    assert looked_up == [geo]

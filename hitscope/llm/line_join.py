@@ -27,12 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.llm.count_min import sketch
-from hitscope.llm.textio import distinct_in_groups, sequence_hashes, short_hashes, slices, string_bytes, words
+from hitscope.llm.textio import distinct_in_groups, mix, sequence_hashes, short_hashes, slices, string_bytes, words
 from hitscope.session import scratch_path
 
 SHINGLE = 5
@@ -41,6 +40,8 @@ PERCENT = 75
 RARITY_BITS = 18
 RARITY_ROWS = 16
 _LAST = np.iinfo(np.int64).max
+# What tells the two hashes of a line's set apart.
+_SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
 def _line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -64,23 +65,26 @@ def _line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 def _line_hashes(rows: pa.RecordBatch) -> np.ndarray:
     """The shingles of a slice, once for each of its different lines."""
     values, at, _, _ = _line_sets(rows.column("text"))
-    keys = _keys(values, at, frozenset())[0]
+    keys = _sums(values, at, _SALTS[0])
     own = np.unique(keys, return_index=True)[1]
     count = np.diff(at)[own]
     return values[np.arange(count.sum()) + np.repeat(at[own] - (np.cumsum(count) - count), count)]
 
 
+def _sums(values: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each line's set: the sum of its mixed shingle hashes; 0 for a line without any."""
+    out = np.zeros(len(at) - 1, np.uint64)
+    own = np.flatnonzero(np.diff(at))
+    if len(own):
+        out[own] = mix(np.add.reduceat(mix(values ^ np.uint64(salt)), at[own]) + np.uint64(salt))
+    return out.view(np.int64)
+
+
 def _keys(values: np.ndarray, at: np.ndarray, again: frozenset[int]) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each line's set and a second one; sets whose first is in ``again`` use the second."""
-    first, second = np.zeros(len(at) - 1, np.int64), np.zeros(len(at) - 1, np.int64)
-    raw = values.tobytes()
-    for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
-        if b > a:
-            digest = xxhash.xxh3_128_digest(raw[8 * a : 8 * b])
-            second[i] = int.from_bytes(digest[8:], "big", signed=True)
-            first[i] = int.from_bytes(digest[:8], "big", signed=True)
-            if again and int(first[i]) in again:
-                first[i] = second[i]
+    first, second = _sums(values, at, _SALTS[0]), _sums(values, at, _SALTS[1])
+    if again:
+        first = np.where(np.isin(first, list(again)), second, first)
     return first, second
 
 

@@ -89,3 +89,18 @@ def test_long_texts_leave_no_gap_in_the_sample(spark, monkeypatch):
     docs = spark.createDataFrame(rows + [rows[5]] * 50, "doc_id long, text string")
     toxicity.train(docs, spark.createDataFrame([(i, i // 10 % 2) for i, _ in rows], "doc_id long, toxic int"))
     assert sizes == [(6, 30_000, 3)]
+
+
+def test_rows_outside_the_start_are_learned(spark, monkeypatch):
+    """Words that mark toxic texts only in rows that the start was not drawn from are learned all the same."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 60)
+    rows, labels = corpus(2400, seed=3)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    order = marks.where(~toxicity.is_held_out(F.col("doc_id")) & (F.col("toxic") == 1)).orderBy(F.xxhash64("doc_id"), "doc_id")
+    drawn = {r.doc_id for r in order.limit(toxicity.SAMPLE).collect()}
+    label, bad = dict(labels), dict.fromkeys(BAD, "vexquibble")
+    rows = [(i, t if i in drawn else " ".join(bad.get(w, w) for w in t.split())) for i, t in rows]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), marks)
+    held = [(t, label[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    predicted = model.scores(pa.array([t for t, _ in held])) >= toxicity.DECISION
+    assert np.mean(predicted == [bool(y) for _, y in held]) > 0.9

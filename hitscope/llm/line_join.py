@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitscope.llm.count_min import sketch
-from hitscope.llm.textio import distinct_in_groups, mix, sequence_hashes, short_hashes, slices, string_bytes, words
+from hitscope.llm.textio import mix, sequence_hashes, short_hashes, slices, string_bytes, words
 from hitscope.session import scratch_path
 
 SHINGLE = 5
@@ -45,7 +45,7 @@ _SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
 def _line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each line in rising order, the lines' offsets in them, each line's text and its place there."""
+    """Distinct shingle hashes of each line, the lines' offsets in them, each line's text and its place there."""
     found = words(texts)
     data, at = string_bytes(texts)
     feed = np.flatnonzero(data == 10)
@@ -54,12 +54,32 @@ def _line_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     text = np.repeat(np.arange(len(texts)), per_text)
     place = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     first = np.append(np.searchsorted(found.start, start), len(found.start))
-    hashes = found.hashes(lower=True)
-    long, line, _ = sequence_hashes(hashes, first, SHINGLE)
+    hashes = found.keys(lower=True)
+    long, _, _ = sequence_hashes(hashes, first, SHINGLE)
     short, short_line = short_hashes(hashes, first, SHINGLE)
-    values, line = np.concatenate([long, short]), np.concatenate([line, short_line])
-    values, line = distinct_in_groups(values, line)
-    return values, np.searchsorted(line, np.arange(len(text) + 1)), text, place
+    count = np.maximum(np.diff(first) - SHINGLE + 1, 0)
+    count[short_line] = 1
+    at = np.append(0, np.cumsum(count))
+    values, of_long = np.empty(at[-1], np.uint64), np.ones(at[-1], bool)
+    of_long[at[short_line]] = False
+    values[of_long], values[at[short_line]] = long, short
+    values, at = _distinct(values, at)
+    return values, at, text, place
+
+
+def _distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value of a line once, and the lines' offsets. Few lines have one twice: a sort of numbers of line and value finds them, only they are looked at in full."""
+    line = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    key = np.sort((line.astype(np.uint64) << np.uint64(44)) | (values >> np.uint64(20)))  # past 2 ** 20 lines they share numbers, which finds some too many
+    twice = np.zeros(1 << 20, bool)
+    twice[key[1:][key[1:] == key[:-1]] >> np.uint64(44)] = True
+    odd = np.flatnonzero(twice[line & ((1 << 20) - 1)])
+    if not len(odd):
+        return values, at
+    odd = odd[np.lexsort((values[odd], line[odd]))]
+    keep = np.ones(len(values), bool)
+    keep[odd[1:][(values[odd[1:]] == values[odd[:-1]]) & (line[odd[1:]] == line[odd[:-1]])]] = False
+    return values[keep], np.append(0, np.cumsum(keep))[at]
 
 
 def _line_hashes(rows: pa.RecordBatch) -> np.ndarray:
@@ -116,20 +136,23 @@ def _candidates(table, again: frozenset[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches, "text"):
-            values, at, _, _ = _line_sets(rows.column("text"))
+            values, at, text, place = _line_sets(rows.column("text"))
             key, _ = _keys(values, at, again)
             size = np.diff(at)
             use = table.value.may_repeat(values)
             sums = np.append(0, np.cumsum(use))
             shared = np.diff(sums[at])
             own = np.flatnonzero((size > 0) & (shared >= _least(size)))
-            own = own[np.unique(key[own], return_index=True)[1]]
+            doc, tag = (rows.column(c).to_numpy()[text] for c in ("doc", "tag"))
+            own = own[np.lexsort((place[own], tag[own], doc[own], key[own]))]
+            own = own[np.diff(key[own], prepend=~key[own[:1]]) != 0]  # each class once, by its earliest line
             ends = np.append(0, np.cumsum(shared[own]))
             line = np.repeat(np.arange(len(own)), size[own])
             pick = np.arange(len(line)) + np.repeat(at[own] - (np.cumsum(size[own]) - size[own]), size[own])
             tokens = values[pick[use[pick]]].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens))
-            yield pa.RecordBatch.from_arrays([pa.array(key[own]), pa.array(size[own]), lists], ["key", "size", "tokens"])
+            columns = [pa.array(x[own]) for x in (key, doc, tag, place, size)]
+            yield pa.RecordBatch.from_arrays([*columns, lists], ["key", "doc", "tag", "place", "size", "tokens"])
 
     return run
 
@@ -184,8 +207,8 @@ def _listed(rarity: np.ndarray):
             place = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count) + (size - count)[line]
             own = np.flatnonzero(place < (size - _least(size) + 1)[line])
             line = line[own]
-            columns = [pa.array(flat[own]), pa.array(rows.column("key").to_numpy()[line]), pa.array(size[line]), pa.array(place[own])]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "key", "size", "place"])
+            columns = [pa.array(flat[own]), pa.array(rows.column("key").to_numpy()[line]), pa.array(size[line]), pa.array(place[own]), rows.column("first").take(pa.array(line))]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "key", "size", "place", "first"])
 
     return run
 
@@ -212,18 +235,16 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(100 * F.col("overlap") >= PERCENT * (F.col("a_size") + F.col("b_size") - F.col("overlap"))).select("later").distinct()
 
 
-def _first(order: str = "first") -> Column:
-    return F.struct(*[F.col(f"{order}.{c}").alias(c) for c in ("doc", "tag", "place")])
-
-
-def _matched(spark: SparkSession, source: DataFrame, firsts: DataFrame, again: frozenset[int]) -> DataFrame:
+def _matched(spark: SparkSession, source: DataFrame, again: frozenset[int]) -> DataFrame:
     """later: classes whose first line matches an earlier line of another class."""
     table = spark.sparkContext.broadcast(sketch(source, _line_hashes, lines=1))
-    found = source.select("text").mapInArrow(_candidates(table, again), "key long, size long, tokens array<long>")
-    classes = _stored(found.dropDuplicates(["key"]), "classes")
+    found = source.mapInArrow(_candidates(table, again), "key long, doc long, tag long, place long, size long, tokens array<long>")
+    # all lines of a class are candidates or none is, so its earliest line is among them
+    found = found.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.first("size").alias("size"), F.first("tokens").alias("tokens"))
+    classes = _stored(found, "classes")
     rarity = _rarity(spark, classes)
-    lists = classes.mapInArrow(_listed(rarity), "token long, key long, size long, place long").join(firsts.select("key", "first"), "key")
-    lists = _stored(lists.select("token", "key", "size", "place", _first().alias("first")), "lists")
+    lists = classes.mapInArrow(_listed(rarity), "token long, key long, size long, place long, first struct<doc: long, tag: long, place: long>")
+    lists = _stored(lists, "lists")
     hubs = lists.groupBy("token").agg(F.min(F.struct("first", "key", "size", "place")).alias("hub"), F.count("*").alias("members")).where("members > 1")
     # from here on only tokens that several lines have, each entry with its list's earliest line
     lists = _stored(lists.join(hubs.select("token", F.struct("hub.key", "hub.size", "hub.place").alias("hub")), "token"), "shared_lists")
@@ -259,7 +280,7 @@ def removed_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     if again:
         lines = lines.withColumn("key", F.when(F.col("key").isin(list(again)), F.col("second")).otherwise(F.col("key")))
         firsts = grouped(lines)
-    matched = _stored(_matched(spark, source, firsts, again).distinct(), "matched")
+    matched = _stored(_matched(spark, source, again).distinct(), "matched")
     marks = firsts.join(matched, F.col("key") == F.col("later"), "left").where((F.col("lines") > 1) | F.col("later").isNotNull())
     marks = marks.select("key", "first", F.col("later").isNotNull().alias("all_go"))
     gone = lines.join(marks, "key").where(F.col("all_go") | (F.struct("doc", "tag", "place") != F.col("first")))

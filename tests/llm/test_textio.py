@@ -49,3 +49,26 @@ def test_distinct_values_of_groups():
     got = textio.distinct_in_groups(values, group + (1 << 20))
     assert np.array_equal(got[0], distinct[0])
     assert [len(x) for x in textio.distinct_in_groups(values[:0], group[:0])] == [0, 0]
+
+
+def test_block_keys_tell_words_apart_as_strings_do():
+    rng = random.Random(5)
+    pool = ["a", "a\x00", "\x00", "\x00\x00", "é", "abcdefg", "abcdefgh", "abcdefg\x00", "abcdefgh\x00", "abcdefgha", *(k * "x" for k in range(15, 18)), *(k * "y" for k in range(62, 67)), "z" * 5000]
+    texts = [" " * (i % 3) + " ".join(rng.choice(pool) for _ in range(i % 40)) for i in range(200)] + pool
+    for part in (pa.array(texts), pa.array(texts).slice(7)):
+        by_word: dict = {}
+        for word, k in zip(itertools.chain(*(t.split() for t in part.to_pylist())), textio.words(part).keys().tolist(), strict=True):
+            by_word.setdefault(word, set()).add(k)
+        assert all(len(k) == 1 for k in by_word.values()) and len({next(iter(k)) for k in by_word.values()}) == len(by_word)
+    k = textio.words(pa.array(["Ab AB ab @[ `{ É é " + "W" * 100 + " " + "w" * 100])).keys(lower=True)
+    assert len(set(k[:3].tolist())) == 1 and len(set(k[2:7].tolist())) == 5 and k[7] == k[8]
+    x, y = thue_morse(64), thue_morse(64, "b", "a")
+    assert len(set(textio.words(pa.array([x, y])).keys().tolist())) == 2
+    assert len(textio.words(pa.array([], pa.string())).keys()) == 0
+
+
+def test_usual_breaks_are_those_of_the_table():
+    every = bytes(range(256))
+    data = pa.array([every, every[::-1]], pa.binary())
+    usual, given = textio.words(data), textio.words(data, textio._SPACES)
+    assert np.array_equal(usual.start, given.start) and np.array_equal(usual.end, given.end) and np.array_equal(usual.breaks, given.breaks)

@@ -5,7 +5,8 @@ shingle). Two lines match at a Jaccard similarity of ``PERCENT`` or more, and a
 earlier line of the corpus (by doc_id, then by place) matches it, whether that one stays or not.
 
 1. Lines with equal sets are one class. Classes of which too many shingles occur nowhere else
-   cannot match another; a count-min table tells such shingles without listing them.
+   cannot match another; a count-min table tells such shingles without listing them, first by the
+   lines, then by the classes that are left, where copies of a line count once.
 2. The tokens of the other classes are ordered by rarity (frequencies hashed into a table of
    fixed size, ties by hash). The first of them, as many as a match cannot miss, are the keys of
    an inverted list; a pair must fit in length, and its common key must stand early enough in both
@@ -108,6 +109,7 @@ def _keys(values: np.ndarray, at: np.ndarray, again: frozenset[int]) -> tuple[np
     return first, second
 
 
+_FIRST = "struct<doc: long, tag: long, place: long>"
 _LINE = "doc long, tag long, place long, key long, second long"
 
 
@@ -157,6 +159,28 @@ def _candidates(table, again: frozenset[int]):
     return run
 
 
+def _class_tokens(rows: pa.RecordBatch) -> np.ndarray:
+    return _tokens(rows.column("tokens"))[0].view(np.uint64)
+
+
+def _meeting(table):
+    """Classes that may match another one, with their tokens that another class may have too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            flat, count = _tokens(rows.column("tokens"))
+            use = table.value.may_repeat(flat.view(np.uint64))
+            ends = np.append(0, np.cumsum(count))
+            shared = np.diff(np.append(0, np.cumsum(use))[ends])
+            own = shared >= _least(rows.column("size").to_numpy())
+            tokens = flat[use & np.repeat(own, count)]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared[own])), pa.int32()), pa.array(tokens))
+            kept = rows.filter(pa.array(own))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("key", "first", "size")), lists], ["key", "first", "size", "tokens"])
+
+    return run
+
+
 def _bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens.view(np.uint64) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
@@ -242,8 +266,11 @@ def _matched(spark: SparkSession, source: DataFrame, again: frozenset[int]) -> D
     # all lines of a class are candidates or none is, so its earliest line is among them
     found = found.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.first("size").alias("size"), F.first("tokens").alias("tokens"))
     classes = _stored(found, "classes")
+    # many were kept for copies of their own lines alone: now each class counts once
+    table = spark.sparkContext.broadcast(sketch(classes.select("tokens"), _class_tokens, lines=1, text=None))
+    classes = _stored(classes.mapInArrow(_meeting(table), f"key long, first {_FIRST}, size long, tokens array<long>"), "meeting")
     rarity = _rarity(spark, classes)
-    lists = classes.mapInArrow(_listed(rarity), "token long, key long, size long, place long, first struct<doc: long, tag: long, place: long>")
+    lists = classes.mapInArrow(_listed(rarity), f"token long, key long, size long, place long, first {_FIRST}")
     lists = _stored(lists, "lists")
     hubs = lists.groupBy("token").agg(F.min(F.struct("first", "key", "size", "place")).alias("hub"), F.count("*").alias("members")).where("members > 1")
     # from here on only tokens that several lines have, each entry with its list's earliest line

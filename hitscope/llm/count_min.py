@@ -56,7 +56,7 @@ def cells(hashes: np.ndarray, line: int) -> np.ndarray:
 _SKETCH = "line int, chunk int, hit binary, again binary"
 
 
-def _sketches(hash_of: HashOf, lines: int, heavy_in_slice: int, text: str | None = "text"):
+def _sketches(hash_of: HashOf, lines: int, heavy_in_slice: int, sliced: bool = True):
     """Cells hit by this task, and hashes that are frequent in one of its slices (line -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,7 @@ def _sketches(hash_of: HashOf, lines: int, heavy_in_slice: int, text: str | None
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["line", "chunk", "hit", "again"])
 
-        for rows in batches if text is None else slices(batches, text):
+        for rows in slices(batches, "text") if sliced else batches:
             hashes = hash_of(rows)
             values, count = np.unique(hashes, return_counts=True)
             once.append(values)
@@ -162,7 +162,7 @@ class Sketch:
         return out
 
 
-def sketch(source: DataFrame, hash_of: HashOf, lines: int = LINES, heavy_in_slice: int = HEAVY_IN_SLICE, heavy_from: int = HEAVY_FROM, text: str | None = "text") -> Sketch:
-    """The merged table of what ``hash_of`` gives for slices of column ``text``; without one, for whole batches of all columns."""
-    rows = (source if text is None else source.select(text)).mapInArrow(_sketches(hash_of, lines, heavy_in_slice, text), _SKETCH).repartition("line", "chunk").sortWithinPartitions("line", "chunk")
+def sketch(source: DataFrame, hash_of: HashOf, lines: int = LINES, heavy_in_slice: int = HEAVY_IN_SLICE, heavy_from: int = HEAVY_FROM, columns: tuple[str, ...] = ("text",)) -> Sketch:
+    """The merged table of what ``hash_of`` gives for slices of column ``text`` (whole batches if it is not among ``columns``)."""
+    rows = source.select(*columns).mapInArrow(_sketches(hash_of, lines, heavy_in_slice, "text" in columns), _SKETCH).repartition("line", "chunk").sortWithinPartitions("line", "chunk")
     return Sketch(rows.mapInArrow(_folded(heavy_from), "line int, chunk int, bits binary").collect(), lines)  # a table of fixed size

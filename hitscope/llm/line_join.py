@@ -5,8 +5,8 @@ shingle). Two lines match at a Jaccard similarity of ``PERCENT`` or more, and a
 earlier line of the corpus (by doc_id, then by place) matches it, whether that one stays or not.
 
 1. Lines with equal sets are one class. Classes of which too many shingles occur nowhere else
-   cannot match another; a count-min table tells such shingles without listing them, first by the
-   lines, then by the classes that are left, where copies of a line count once.
+   cannot match another; a count-min table tells such shingles without listing them. It counts the
+   earliest line of each class only; a second table of fixed size tells which lines those are.
 2. The tokens of the other classes are ordered by rarity (frequencies hashed into a table of
    fixed size, ties by hash). The first of them, as many as a match cannot miss, are the keys of
    an inverted list; a pair must fit in length, and its common key must stand early enough in both
@@ -83,13 +83,32 @@ def _distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return values[keep], np.append(0, np.cumsum(keep))[at]
 
 
-def _line_hashes(rows: pa.RecordBatch) -> np.ndarray:
-    """The shingles of a slice, once for each of its different lines."""
-    values, at, _, _ = _line_sets(rows.column("text"))
-    keys = _sums(values, at, _SALTS[0])
-    own = np.unique(keys, return_index=True)[1]
-    count = np.diff(at)[own]
-    return values[np.arange(count.sum()) + np.repeat(at[own] - (np.cumsum(count) - count), count)]
+def _place_hashes(doc: np.ndarray, tag: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of each line's place in the corpus."""
+    doc, tag, place = (np.ascontiguousarray(x).view(np.uint64) for x in (doc, tag, place))
+    return mix(doc ^ mix(tag ^ mix(place + np.uint64(_SALTS[0]))))
+
+
+def _first_places(rows: pa.RecordBatch) -> np.ndarray:
+    """The place of each class's earliest line, two times, so that the table has it as one that is there."""
+    first = rows.column("first")
+    return np.repeat(_place_hashes(*(first.field(c).to_numpy() for c in ("doc", "tag", "place"))), 2)
+
+
+def _earliest(earliest, rows: pa.RecordBatch, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether a line is the earliest of its class; true for a few others too."""
+    doc, tag = (rows.column(c).to_numpy()[text] for c in ("doc", "tag"))
+    return earliest.value.may_repeat(_place_hashes(doc, tag, place))
+
+
+def _line_hashes(earliest):
+    """The shingles of a slice, of lines that are the earliest of their class."""
+
+    def hashes(rows: pa.RecordBatch) -> np.ndarray:
+        values, at, text, place = _line_sets(rows.column("text"))
+        return values[np.repeat(_earliest(earliest, rows, text, place), np.diff(at))]
+
+    return hashes
 
 
 def _sums(values: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
@@ -133,7 +152,7 @@ def _least(size):
     return (PERCENT * size + 99) // 100
 
 
-def _candidates(table, again: frozenset[int]):
+def _candidates(table, earliest, again: frozenset[int]):
     """Classes that may match another: their shingles that may occur elsewhere too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +163,7 @@ def _candidates(table, again: frozenset[int]):
             use = table.value.may_repeat(values)
             sums = np.append(0, np.cumsum(use))
             shared = np.diff(sums[at])
-            own = np.flatnonzero((size > 0) & (shared >= _least(size)))
+            own = np.flatnonzero((size > 0) & (shared >= _least(size)) & _earliest(earliest, rows, text, place))
             doc, tag = (rows.column(c).to_numpy()[text] for c in ("doc", "tag"))
             own = own[np.lexsort((place[own], tag[own], doc[own], key[own]))]
             own = own[np.diff(key[own], prepend=~key[own[:1]]) != 0]  # each class once, by its earliest line
@@ -159,28 +178,6 @@ def _candidates(table, again: frozenset[int]):
     return run
 
 
-def _class_tokens(rows: pa.RecordBatch) -> np.ndarray:
-    return _tokens(rows.column("tokens"))[0].view(np.uint64)
-
-
-def _meeting(table):
-    """Classes that may match another one, with their tokens that another class may have too."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            flat, count = _tokens(rows.column("tokens"))
-            use = table.value.may_repeat(flat.view(np.uint64))
-            ends = np.append(0, np.cumsum(count))
-            shared = np.diff(np.append(0, np.cumsum(use))[ends])
-            own = shared >= _least(rows.column("size").to_numpy())
-            tokens = flat[use & np.repeat(own, count)]
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(shared[own])), pa.int32()), pa.array(tokens))
-            kept = rows.filter(pa.array(own))
-            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("key", "first", "size")), lists], ["key", "first", "size", "tokens"])
-
-    return run
-
-
 def _bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens.view(np.uint64) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
@@ -259,16 +256,15 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(100 * F.col("overlap") >= PERCENT * (F.col("a_size") + F.col("b_size") - F.col("overlap"))).select("later").distinct()
 
 
-def _matched(spark: SparkSession, source: DataFrame, again: frozenset[int]) -> DataFrame:
+def _matched(spark: SparkSession, source: DataFrame, firsts: DataFrame, again: frozenset[int]) -> DataFrame:
     """later: classes whose first line matches an earlier line of another class."""
-    table = spark.sparkContext.broadcast(sketch(source, _line_hashes, lines=1))
-    found = source.mapInArrow(_candidates(table, again), "key long, doc long, tag long, place long, size long, tokens array<long>")
-    # all lines of a class are candidates or none is, so its earliest line is among them
+    earliest = spark.sparkContext.broadcast(sketch(firsts, _first_places, lines=1, columns=("first",)))
+    # each class counts once, or copies of a line would make all its shingles look common
+    table = spark.sparkContext.broadcast(sketch(source, _line_hashes(earliest), lines=1, columns=("doc", "tag", "text")))
+    found = source.mapInArrow(_candidates(table, earliest, again), "key long, doc long, tag long, place long, size long, tokens array<long>")
+    # a class that is a candidate is so by its earliest line, and perhaps by others too
     found = found.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.first("size").alias("size"), F.first("tokens").alias("tokens"))
     classes = _stored(found, "classes")
-    # many were kept for copies of their own lines alone: now each class counts once
-    table = spark.sparkContext.broadcast(sketch(classes.select("tokens"), _class_tokens, lines=1, text=None))
-    classes = _stored(classes.mapInArrow(_meeting(table), f"key long, first {_FIRST}, size long, tokens array<long>"), "meeting")
     rarity = _rarity(spark, classes)
     lists = classes.mapInArrow(_listed(rarity), f"token long, key long, size long, place long, first {_FIRST}")
     lists = _stored(lists, "lists")
@@ -307,7 +303,7 @@ def removed_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     if again:
         lines = lines.withColumn("key", F.when(F.col("key").isin(list(again)), F.col("second")).otherwise(F.col("key")))
         firsts = grouped(lines)
-    matched = _stored(_matched(spark, source, again).distinct(), "matched")
+    matched = _stored(_matched(spark, source, firsts, again).distinct(), "matched")
     marks = firsts.join(matched, F.col("key") == F.col("later"), "left").where((F.col("lines") > 1) | F.col("later").isNotNull())
     marks = marks.select("key", "first", F.col("later").isNotNull().alias("all_go"))
     gone = lines.join(marks, "key").where(F.col("all_go") | (F.struct("doc", "tag", "place") != F.col("first")))

@@ -152,7 +152,7 @@ def test_candidates_carry_the_earliest_line_of_their_class():
     class Every:
         value = type("Table", (), {"may_repeat": staticmethod(lambda x: np.ones(len(x), bool))})
 
-    (out,) = line_join._candidates(Every, frozenset())(iter([rows]))
+    (out,) = line_join._candidates(Every, Every, frozenset())(iter([rows]))
     assert sorted((r["doc"], r["tag"], r["place"], r["size"], len(r["tokens"])) for r in out.to_pylist()) == [(3, -7, 2, 2, 2), (3, 8, 0, 3, 3)]
 
 
@@ -164,4 +164,4 @@ def test_classes_that_only_their_own_copies_kept_go(spark, documents, monkeypatc
     kept, stored = {}, line_join._stored
     monkeypatch.setattr(line_join, "_stored", lambda frame, name: kept.setdefault(name, stored(frame, name)))
     assert got(documents(rows).repartition(4)) == brute(rows)
-    assert kept["meeting"].count() == 2 and kept["lists"].select("key").distinct().count() == 2
+    assert kept["classes"].count() == 2 and kept["lists"].select("key").distinct().count() == 2

@@ -3,13 +3,14 @@
 Each task sends, for every line of the table, the cells that it hits and those that it hits more
 than once; sketches are merged by ranges of cells into one bit a cell: hit at least twice. It can
 only overestimate: a hash that occurs twice is always reported. The table has a fixed size
-(``lines * 2 ** CELL_BITS`` bits), so what is collected and broadcast does not grow with the data.
+(``lines * 2 ** CELL_BITS`` bits), so what is collected and broadcast does not grow with the data. It is
+stored and comes to the driver in ``TABLE_PARTS`` parts, ranges with few cells as the gaps between them.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from hitscope.llm.textio import mix, slices
+from hitscope.session import scratch_path
 
 LINES = 2
 CELL_BITS = 28
@@ -28,6 +30,8 @@ HEAVY_IN_SLICE = 32
 HEAVY = 1000
 HEAVY_FROM = 1000
 HEAVY_CHUNK = 64
+#: Parts in which the merged table comes to the driver, one after the other.
+TABLE_PARTS = 16
 _SALT = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)]
 HashOf = Callable[[pa.RecordBatch], np.ndarray]
 
@@ -49,11 +53,27 @@ def gaps_unpacked(raw: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps < 255]
 
 
+def cells_packed(two: np.ndarray) -> bytes:
+    """The cells of a chunk that are set: the gaps between them, or one bit a cell where that is not longer."""
+    gaps = gaps_packed(np.flatnonzero(two))
+    return gaps if len(gaps) < len(two) >> 3 else np.packbits(two, bitorder="little").tobytes()
+
+
+def cells_unpacked(raw: bytes) -> np.ndarray:
+    """One bit a cell of a chunk."""
+    if len(raw) == 1 << (CHUNK_BITS - 3):
+        return np.frombuffer(raw, np.uint8)
+    two = np.zeros(1 << CHUNK_BITS, bool)
+    two[gaps_unpacked(raw)] = True
+    return np.packbits(two, bitorder="little")
+
+
 def cells(hashes: np.ndarray, line: int) -> np.ndarray:
     return (mix(hashes ^ _SALT[line]) >> np.uint64(64 - CELL_BITS)).astype(np.uint32)
 
 
 _SKETCH = "line int, chunk int, hit binary, again binary"
+_FOLDED = "line int, chunk int, bits binary"
 
 
 def _sketches(hash_of: HashOf, lines: int, heavy_in_slice: int, sliced: bool = True):
@@ -112,7 +132,7 @@ def _often(often: dict[int, int]) -> Iterator[tuple]:
 
 
 def _folded(heavy_from: int):
-    """One row per (line, chunk): the cells hit twice as bits; for line -1 the most frequent hashes; for -2 the number of hashes."""
+    """One row per (line, chunk): the cells hit twice, packed; for line -1 the most frequent hashes; for -2 the number of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True))
@@ -133,7 +153,7 @@ def _folded(heavy_from: int):
                     two[at[one[at]]] = True
                     one[at] = True
                     two[gaps_unpacked(again)] = True
-                bits = np.packbits(two, bitorder="little").tobytes()
+                bits = cells_packed(two)
             yield pa.RecordBatch.from_arrays([pa.array([line], pa.int32()), pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], ["line", "chunk", "bits"])
 
     return run
@@ -142,12 +162,13 @@ def _folded(heavy_from: int):
 class Sketch:
     """The merged table, and the hashes that occur very often."""
 
-    def __init__(self, rows: list, lines: int):
+    def __init__(self, rows: Iterable, lines: int):
         self.lines = np.zeros((lines, 1 << (CELL_BITS - 3)), np.uint8)
         self.total, heavy, size = 0, [], 1 << (CHUNK_BITS - 3)
         for line, chunk, bits in rows:
             if line >= 0:
-                self.lines[line, chunk * size : (chunk + 1) * size] = np.frombuffer(bits, np.uint8)
+                if bits:  # cells of a chunk without any stay untouched
+                    self.lines[line, chunk * size : (chunk + 1) * size] = cells_unpacked(bits)
             elif line == -1:
                 heavy += np.frombuffer(bits, np.uint64).reshape(-1, 2).tolist()
             else:
@@ -165,4 +186,8 @@ class Sketch:
 def sketch(source: DataFrame, hash_of: HashOf, lines: int = LINES, heavy_in_slice: int = HEAVY_IN_SLICE, heavy_from: int = HEAVY_FROM, columns: tuple[str, ...] = ("text",)) -> Sketch:
     """The merged table of what ``hash_of`` gives for slices of column ``text`` (whole batches if it is not among ``columns``)."""
     rows = source.select(*columns).mapInArrow(_sketches(hash_of, lines, heavy_in_slice, "text" in columns), _SKETCH).repartition("line", "chunk").sortWithinPartitions("line", "chunk")
-    return Sketch(rows.mapInArrow(_folded(heavy_from), "line int, chunk int, bits binary").collect(), lines)  # a table of fixed size
+    path = scratch_path(source.sparkSession, "count_min")
+    rows.mapInArrow(_folded(heavy_from), _FOLDED).write.option("compression", "zstd").parquet(path)
+    # one part at a time is in the driver's JVM and on its way to Python, where the table itself is all there is
+    parts = source.sparkSession.read.schema(_FOLDED).parquet(path).repartition(TABLE_PARTS, "chunk")
+    return Sketch(parts.toLocalIterator(), lines)

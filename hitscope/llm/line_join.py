@@ -265,6 +265,8 @@ def _matched(spark: SparkSession, source: DataFrame, firsts: DataFrame, again: f
     # a class that is a candidate is so by its earliest line, and perhaps by others too
     found = found.groupBy("key").agg(F.min(F.struct("doc", "tag", "place")).alias("first"), F.first("size").alias("size"), F.first("tokens").alias("tokens"))
     classes = _stored(found, "classes")
+    for shared in (table, earliest):  # what follows reads the stored classes
+        shared.destroy()
     rarity = _rarity(spark, classes)
     lists = classes.mapInArrow(_listed(rarity), f"token long, key long, size long, place long, first {_FIRST}")
     lists = _stored(lists, "lists")
